@@ -1,14 +1,32 @@
-"""Query catalog: one callable per operator / report, each ``(spark, sf_dir)
--> DataFrame`` over the driver's tables."""
+"""Query catalog: one callable per operator / report, each
+``(spark, sf_dir) -> DataFrame`` over the driver's tables (through the
+ticket fixture of ``sources.fixture``)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from . import model, reports
+from ..functions.columns import (
+    hours_between,
+    priority_flag,
+    standardize_category,
+    standardize_priority,
+    standardize_project,
+    target_met,
+    sla_threshold,
+)
+from ..operators import clean, marts, quality, star
+from ..operators.state import latest_change_per_field
+from ..schemas import WAREHOUSE_FACT_COLUMNS
+from ..session import checkpoint_dir, prepare
+from ..sources import fixture, scan, sinks
+from ..streaming import current_state as streaming
+from . import dashboard, extras, model, pipeline, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,14 +38,331 @@ def finalize(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-def _on_fact(fn: Callable[[DataFrame], DataFrame]) -> Query:
+def _q(fn: Callable[[model.TicketModel], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return finalize(fn(model.from_tables(spark, sf_dir).fact))
+        return finalize(fn(model.from_tables(spark, sf_dir)))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
 
 
+def _on_fact(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    return _q(lambda m: fn(m.fact))
+
+
+def _on_display(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    return _q(lambda m: fn(dashboard.display_frame(m.fact)))
+
+
+def _scratch(spark: SparkSession, what: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex[:12]}"
+
+
+# --- sources ---------------------------------------------------------------
+
+def _input_counts(m):
+    return scan.input_counts(m.issues, m.changes)
+
+
+def _scan_issues_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 through a real CSV file: the derived extract is written as CSV
+    into the shared folder and scanned back with the declared schema."""
+    prepare(spark)
+    path = _scratch(spark, "issues-csv")
+    scan.write_csv_text(fixture.raw_issues(spark, sf_dir), path)
+    return scan.read_issues_csv(spark, path)
+
+
+def _scan_changes_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    path = _scratch(spark, "changes-csv")
+    scan.write_csv_text(fixture.raw_changes(spark, sf_dir), path)
+    return scan.read_changes_csv(spark, path)
+
+
+# --- projections -----------------------------------------------------------
+
+def _parse_timestamps(m):
+    return m.parsed.select("id", "issue_created", "issue_resolution_date", "last_change_date")
+
+
+def _invalid_resolution_count(m):
+    return clean.invalid_resolution_counts(m.parsed)
+
+
+def _valid_issues(m):
+    return m.valid
+
+
+def _dedup_tickets(m):
+    return m.deduped
+
+
+def _resolution_hours(m):
+    return m.deduped.select(F.col("id").alias("ticket_id"),
+                            hours_between("issue_created", "issue_resolution_date")
+                            .alias("resolution_duration_hours"))
+
+
+def _standardize_category(m):
+    return m.deduped.select(F.col("id").alias("ticket_id"),
+                            standardize_category("issue_type").alias("category"))
+
+
+def _standardize_priority(m):
+    return m.deduped.select(F.col("id").alias("ticket_id"),
+                            standardize_priority("issue_priority").alias("priority"))
+
+
+def _priority_flag(m):
+    p = standardize_priority("issue_priority")
+    return m.deduped.select(F.col("id").alias("ticket_id"), p.alias("priority"),
+                            priority_flag(p).alias("priority_flag"))
+
+
+def _standardize_project(m):
+    return m.deduped.select(F.col("id").alias("ticket_id"),
+                            standardize_project("issue_proj").alias("project"))
+
+
+def _sla_target_met(m):
+    return m.fact.select("ticket_id", "priority", "resolution_duration_hours",
+                         sla_threshold("priority").alias("threshold_hours"),
+                         "resolution_target_met")
+
+
+# --- state / joins ---------------------------------------------------------
+
+def _latest_change_per_field(m):
+    return latest_change_per_field(m.changes_parsed)
+
+
+def _current_state(m):
+    return m.state
+
+
+def _ticket_current_state(m):
+    return (m.deduped.join(m.state, m.deduped["id"] == m.state["issueid"], "left")
+            .select(F.col("id").alias("ticket_id"), "current_assignee", "last_assigned_at",
+                    "current_status"))
+
+
+# --- star schema -----------------------------------------------------------
+
+def _dim(name):
+    def build(m):
+        return star.build_dimensions(m.fact, (name,)).table(name)
+    build.__name__ = f"dim_{name}"
+    return build
+
+
+def _keyed(m):
+    return star.fact_with_keys(m.fact, star.build_dimensions(m.fact))
+
+
+def _fact_with_keys(m):
+    return _keyed(m).select("ticket_id", "reporter", "customer_id", "assignee", "agent_id",
+                            "project", "project_id")
+
+
+def _warehouse_fact(m):
+    return star.warehouse_fact(_keyed(m))
+
+
+def _agent_performance(m):
+    dims = star.build_dimensions(m.fact, ("agents",))
+    return star.agent_performance(marts.agent_rank_by_volume(m.fact), dims)
+
+
+def _dashboard_base(m):
+    return dashboard.dashboard_base(m.fact, star.build_dimensions(m.fact))
+
+
+def _preview(m):
+    return dashboard.preview(dashboard.dashboard_base(m.fact, star.build_dimensions(m.fact)))
+
+
+def _dim_category(m):
+    names = (m.fact.select(F.lit("category").alias("role"), F.col("category").alias("name"))
+             .filter(F.col("name").isNotNull()).distinct())
+    return star.dense_keys(names).select(F.col("key").alias("category_id"),
+                                         F.col("name").alias("category_name"))
+
+
+def _dim_priority(m):
+    names = (m.fact.select(F.lit("priority").alias("role"), F.col("priority").alias("name"))
+             .filter(F.col("name").isNotNull()).distinct())
+    return star.dense_keys(names).select(F.col("key").alias("priority_id"),
+                                         F.col("name").alias("priority_name"))
+
+
+# --- checks ----------------------------------------------------------------
+
+def _checked_tables(m):
+    dims = star.build_dimensions(m.fact)
+    wfact = star.warehouse_fact(star.fact_with_keys(m.fact, dims))
+    tables = {f"dim_{d}": dims.table(d) for d in star.DIMENSIONS}
+    return dims, wfact, tables
+
+
+def _check_unique(m):
+    _, wfact, tables = _checked_tables(m)
+    return quality.check_unique(wfact, tables)
+
+
+def _check_not_null(m):
+    _, wfact, tables = _checked_tables(m)
+    return quality.check_not_null(wfact, tables)
+
+
+def _check_foreign_keys(m):
+    _, wfact, tables = _checked_tables(m)
+    return quality.check_foreign_keys(wfact, tables)
+
+
+def _check_bounds(m):
+    dims, _, tables = _checked_tables(m)
+    agents = star.agent_performance(marts.agent_rank_by_volume(m.fact), dims)
+    return quality.check_bounds(m.fact, tables, marts.resolution_performance(m.fact),
+                                marts.category_trends(m.fact), agents)
+
+
+def _quality_counts(m):
+    names = star.distinct_names(m.fact, ["reporter", "assignee", "project"])
+    return quality.quality_counts(m.parsed, m.changes, m.fact, names)
+
+
+# --- sinks / pipeline / stream ---------------------------------------------
+
+def _parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: the stored fact written partitioned by priority and read back."""
+    m = model.from_tables(spark, sf_dir)
+    path = _scratch(spark, "fact-parquet")
+    sinks.write_parquet(_warehouse_fact(m), path, partition_col="priority")
+    return finalize(sinks.read_parquet(spark, path, list(WAREHOUSE_FACT_COLUMNS)))
+
+
+def _run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4-K7: the whole batch run into a fresh curated folder."""
+    prepare(spark)
+    issues = scan.scan_issues(fixture.raw_issues(spark, sf_dir))
+    changes = scan.scan_changes(fixture.raw_changes(spark, sf_dir))
+    result = pipeline.run(spark, issues, changes, _scratch(spark, "curated"))
+    return pipeline.table_sizes(result.tables)
+
+
+def _jdbc_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: the stored fact loaded twice into an in-process Derby database
+    (no server, visible to this JVM only) and read back: a full refresh
+    leaves no duplicates."""
+    m = model.from_tables(spark, sf_dir)
+    wfact = _warehouse_fact(m).checkpoint(eager=True)
+    url = f"jdbc:derby:memory:deskmetrics_{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    for _ in range(2):
+        sinks.write_jdbc(wfact, url, "fact_tickets", props)
+    back = sinks.read_jdbc(spark, url, "FACT_TICKETS", props)
+    return finalize(back.toDF(*[c.lower() for c in back.columns]))
+
+
+def _stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R-D5: ``events`` read as a file stream and folded into the latest
+    value per (user, event type) with ``availableNow``."""
+    prepare(spark)
+    schema = fixture.read_table(spark, sf_dir, "events").schema
+    state = streaming.run_available(spark, sf_dir, schema, "parquet",
+                                    transform=streaming.events_as_changes,
+                                    operator=streaming.stream_latest_per_field,
+                                    glob="events.parquet")
+    return finalize(state)
+
+
 QUERIES: dict[str, Query] = {
+    # sources
+    "scan_issues": _q(lambda m: m.issues),
+    "scan_changes": _q(lambda m: m.changes),
+    "scan_issues_csv": _scan_issues_csv,
+    "scan_changes_csv": _scan_changes_csv,
+    "input_counts": _q(_input_counts),
+    "dashboard_base": _q(_dashboard_base),
+    "preview": _q(_preview),
+    # projections and filters
+    "parse_timestamps": _q(_parse_timestamps),
+    "invalid_resolution_count": _q(_invalid_resolution_count),
+    "valid_issues": _q(_valid_issues),
+    "resolution_hours": _q(_resolution_hours),
+    "standardize_category": _q(_standardize_category),
+    "standardize_priority": _q(_standardize_priority),
+    "priority_flag": _q(_priority_flag),
+    "standardize_project": _q(_standardize_project),
+    "sla_target_met": _q(_sla_target_met),
+    "fact_tickets": _on_fact(lambda f: f),
+    "warehouse_fact": _q(_warehouse_fact),
+    # state, de-dup, joins
+    "latest_change_per_field": _q(_latest_change_per_field),
+    "current_state": _q(_current_state),
+    "dedup_tickets": _q(_dedup_tickets),
+    "ticket_current_state": _q(_ticket_current_state),
+    "fact_with_keys": _q(_fact_with_keys),
+    # star schema
+    "dim_customers": _q(_dim("customers")),
+    "dim_agents": _q(_dim("agents")),
+    "dim_projects": _q(_dim("projects")),
+    # marts
+    "agent_volume": _on_fact(marts.agent_volume),
+    "agent_rank_by_volume": _on_fact(marts.agent_rank_by_volume),
+    "agent_performance": _q(_agent_performance),
+    "resolution_performance": _on_fact(marts.resolution_performance),
+    "category_monthly_volume": _on_fact(marts.category_monthly_volume),
+    "category_trends": _on_fact(marts.category_trends),
+    # reports
     "sla_by_priority": _on_fact(reports.sla_by_priority),
+    "top_agents_last_month": _on_fact(reports.top_agents_last_month),
+    "avg_resolution_by_project": _on_fact(reports.avg_resolution_by_project),
+    "agent_rank_by_speed": _on_fact(reports.agent_rank_by_speed),
+    "heavy_reporters": _on_fact(reports.heavy_reporters),
+    "running_resolved_total": _on_fact(reports.running_resolved_total),
+    "zero_compliance_categories": _on_fact(reports.zero_compliance_categories),
+    "zero_compliance_categories_anti": _on_fact(reports.zero_compliance_categories_anti),
+    "resolution_stats_by_priority": _on_fact(reports.resolution_stats_by_priority),
+    "status_distribution": _on_fact(reports.status_distribution),
+    "fastest_agent_per_project": _on_fact(reports.fastest_agent_per_project),
+    # dashboard data sets
+    "kpi_overall_compliance": _on_display(dashboard.kpi_overall_compliance),
+    "top_category": _on_display(dashboard.top_category),
+    "kpi_total_tickets": _on_display(dashboard.kpi_total_tickets),
+    "tickets_by_status": _on_display(dashboard.tickets_by_status),
+    "tickets_by_priority": _on_display(dashboard.tickets_by_priority),
+    "tickets_by_category": _on_display(dashboard.tickets_by_category),
+    "tickets_per_month": _on_display(dashboard.tickets_per_month),
+    "avg_hours_by_priority": _on_display(dashboard.avg_hours_by_priority),
+    "target_met_split": _on_display(dashboard.target_met_split),
+    "top_projects": _on_display(dashboard.top_projects),
+    "compliance_by_priority_all": _on_display(dashboard.compliance_by_priority_all),
+    "monthly_compliance_trend": _on_display(dashboard.monthly_compliance_trend),
+    "top_agents_by_tickets": _on_display(dashboard.top_agents_by_tickets),
+    "top_agents_avg_hours": _on_display(dashboard.top_agents_avg_hours),
+    "category_month_heatmap": _on_display(dashboard.category_month_heatmap),
+    # checks
+    "check_unique": _q(_check_unique),
+    "check_not_null": _q(_check_not_null),
+    "check_foreign_keys": _q(_check_foreign_keys),
+    "check_bounds": _q(_check_bounds),
+    "quality_counts": _q(_quality_counts),
+    # documented extras
+    "category_trends_with_hours": _on_fact(marts.category_trends_with_hours),
+    "dim_date": _on_fact(extras.dim_date),
+    "dim_category": _q(_dim_category),
+    "dim_priority": _q(_dim_priority),
+    "agent_monthly_hours": _on_fact(extras.agent_monthly_hours),
+    "fastest_growing_categories": _on_fact(extras.fastest_growing_categories),
+    "agent_workload_spread": _on_fact(extras.agent_workload_spread),
+    "stream_current_state": _stream_current_state,
+    # sinks and the whole run
+    "parquet_roundtrip": _parquet_roundtrip,
+    "jdbc_refresh": _jdbc_refresh,
+    "run_pipeline": _run_pipeline,
 }
+
+# Queries whose result is checked by row count only (no SQL equivalent).
+ROWS_ONLY = ("run_pipeline",)

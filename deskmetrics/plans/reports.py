@@ -1,17 +1,39 @@
 """The ten reports (R1-R10), written against the ticket fact.
 
-Reports read the hours as the warehouse stores them (DECIMAL(10,2)); the
+Reports read the hours as the warehouse stores them (DECIMAL(10,2)).  The
 fact carries names next to the surrogate keys, so the inner joins of the
 SQL originals (fact -> dimension on key -> name) reduce to "name is not
 NULL": every non-NULL name has exactly one key and vice versa.
+
+Top-N lists order by a full key (value, then name) so the cut is stable.
+Global scalars (the data's last stamp) are scalar subqueries, planned once.
+Ranks are taken after aggregation and, where only the first N are wanted,
+after a distributed top-N, so no window ever sees ticket rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import round2
+from ..functions.columns import met_as_false, month_start, round2
+from ..operators.star import hours_at_rest
+
+HOURS = "resolution_duration_hours"
+
+
+def at_rest(fact: DataFrame) -> DataFrame:
+    """The fact with hours as stored (idempotent on stored data)."""
+    return fact.withColumn(HOURS, hours_at_rest(F.col(HOURS)))
+
+
+def exact_mean(c: str) -> Column:
+    """Mean of a DECIMAL column without the intermediate rounding of avg()."""
+    return F.try_divide(F.sum(c), F.count(c))
+
+
+def mean_2dp(c: str) -> Column:
+    return F.round(exact_mean(c), 2).cast("double")
 
 
 def sla_by_priority(fact: DataFrame) -> DataFrame:
@@ -23,3 +45,125 @@ def sla_by_priority(fact: DataFrame) -> DataFrame:
             .agg(total.alias("total_tickets"),
                  met.alias("met_target"),
                  round2(F.lit(100.0) * met / F.nullif(total, F.lit(0))).alias("compliance_rate_pct")))
+
+
+def top_agents_last_month(fact: DataFrame, n: int = 5) -> DataFrame:
+    """R2: agents with most tickets resolved in the calendar month before
+    the month of the data's last resolution."""
+    last = fact.agg(F.max("resolution_time")).scalar()
+    lo = F.date_trunc("month", last - F.make_ym_interval(F.lit(0), F.lit(1)))
+    hi = F.date_trunc("month", last)
+    res = F.col("resolution_time")
+    return (fact.filter(F.col("assignee").isNotNull() & (res >= lo) & (res < hi))
+            .groupBy(F.col("assignee").alias("agent_name"))
+            .agg(F.count("ticket_id").alias("tickets_resolved"))
+            .orderBy(F.col("tickets_resolved").desc(), "agent_name")
+            .limit(n))
+
+
+def avg_resolution_by_project(fact: DataFrame, n: int = 20) -> DataFrame:
+    """Per project, resolved count and mean hours; fastest first."""
+    f = at_rest(fact)
+    return (f.filter(F.col(HOURS).isNotNull() & F.col("project").isNotNull())
+            .groupBy(F.col("project").alias("project_name"))
+            .agg(F.count("ticket_id").alias("total_tickets"),
+                 mean_2dp(HOURS).alias("avg_resolution_hours"))
+            .orderBy("avg_resolution_hours", "project_name")
+            .limit(n))
+
+
+def agent_rank_by_speed(fact: DataFrame, n: int = 20) -> DataFrame:
+    """Agents ranked by mean hours (RANK on the unrounded mean).
+
+    The first n by (mean, name) are taken with a distributed top-N; every
+    agent with a smaller mean is among them, so ranking those n rows gives
+    the global rank."""
+    f = at_rest(fact)
+    top = (f.filter(F.col(HOURS).isNotNull() & F.col("assignee").isNotNull())
+           .groupBy(F.col("assignee").alias("agent_name"))
+           .agg(exact_mean(HOURS).alias("_mean"))
+           .orderBy("_mean", "agent_name")
+           .limit(n))
+    return (top.withColumn("rank_by_speed", F.rank().over(Window.orderBy("_mean")))
+            .select("agent_name", F.round("_mean", 2).cast("double").alias("avg_resolution_hours"),
+                    "rank_by_speed"))
+
+
+def heavy_reporters(fact: DataFrame, n: int = 20, more_than: int = 5) -> DataFrame:
+    """Reporters with more than ``more_than`` tickets in one start month."""
+    return (fact.filter(F.col("reporter").isNotNull())
+            .groupBy(F.col("reporter").alias("reporter_name"),
+                     month_start("start_time").alias("ticket_month"))
+            .agg(F.count(F.lit(1)).alias("ticket_count"))
+            .filter(F.col("ticket_count") > more_than)
+            .orderBy(F.col("ticket_count").desc(), "reporter_name",
+                     F.col("ticket_month").asc_nulls_first())
+            .limit(n))
+
+
+def running_resolved_total(fact: DataFrame) -> DataFrame:
+    """Resolved tickets per resolution month and their running total
+    (the window runs over months, not tickets)."""
+    monthly = (fact.filter(F.col("resolution_time").isNotNull())
+               .groupBy(month_start("resolution_time").alias("month"))
+               .agg(F.count(F.lit(1)).alias("monthly_resolved")))
+    upto = Window.orderBy("month").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return monthly.withColumn("running_total", F.sum("monthly_resolved").over(upto))
+
+
+def zero_compliance_categories(fact: DataFrame, days: int = 30) -> DataFrame:
+    """Categories with tickets started in the data's last ``days`` days
+    but none of them met (NOT IN rewritten as one grouped pass)."""
+    last = fact.agg(F.max("start_time")).scalar()
+    recent = fact.filter((F.col("start_time") >= last - F.make_dt_interval(F.lit(days)))
+                         & F.col("category").isNotNull())
+    return (recent.groupBy("category")
+            .agg(F.bool_or(met_as_false("resolution_target_met")).alias("_any_met"))
+            .filter(~F.col("_any_met"))
+            .select("category"))
+
+
+def zero_compliance_categories_anti(fact: DataFrame, days: int = 30) -> DataFrame:
+    """R7 in its original shape (anti-join), kept as a cross-check."""
+    last = fact.agg(F.max("start_time")).scalar()
+    recent = fact.filter((F.col("start_time") >= last - F.make_dt_interval(F.lit(days)))
+                         & F.col("category").isNotNull())
+    met = recent.filter(F.col("resolution_target_met") == F.lit(True)).select("category").distinct()
+    return recent.select("category").distinct().join(met, "category", "left_anti")
+
+
+def resolution_stats_by_priority(fact: DataFrame) -> DataFrame:
+    """Mean / min / max hours and count per priority."""
+    f = at_rest(fact)
+    return (f.filter(F.col(HOURS).isNotNull())
+            .groupBy("priority")
+            .agg(mean_2dp(HOURS).alias("avg_resolution_hours"),
+                 F.count(F.lit(1)).alias("total_tickets"),
+                 F.min(HOURS).cast("double").alias("min_hours"),
+                 F.max(HOURS).cast("double").alias("max_hours")))
+
+
+def status_distribution(fact: DataFrame) -> DataFrame:
+    """Tickets per current status and their share of all tickets with a
+    status (the total is a scalar subquery, not an all-rows window)."""
+    with_status = fact.filter(F.col("status").isNotNull())
+    total = with_status.agg(F.count(F.lit(1))).scalar()
+    return (with_status.groupBy("status")
+            .agg(F.count(F.lit(1)).alias("ticket_count"))
+            .withColumn("percentage",
+                        round2(F.lit(100.0) * F.col("ticket_count") / F.nullif(total, F.lit(0)))))
+
+
+def fastest_agent_per_project(fact: DataFrame, n: int = 20) -> DataFrame:
+    """Per project the agent(s) with the lowest mean hours (ties kept)."""
+    f = at_rest(fact)
+    pairs = (f.filter(F.col(HOURS).isNotNull() & F.col("assignee").isNotNull()
+                      & F.col("project").isNotNull())
+             .groupBy(F.col("project").alias("project_name"), F.col("assignee").alias("agent_name"))
+             .agg(exact_mean(HOURS).alias("_mean")))
+    best = F.rank().over(Window.partitionBy("project_name").orderBy("_mean"))
+    return (pairs.withColumn("_rank", best).filter(F.col("_rank") == 1)
+            .select("project_name", "agent_name",
+                    F.round("_mean", 2).cast("double").alias("avg_resolution_hours"))
+            .orderBy("project_name", "agent_name")
+            .limit(n))

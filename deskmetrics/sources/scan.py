@@ -56,7 +56,11 @@ def read_changes_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def write_csv_text(df: DataFrame, path: str) -> None:
     """Write a text frame as header CSV (used to build raw extracts)."""
-    df.write.mode("overwrite").option("header", "true").csv(path)
+    (df.write.mode("overwrite").option("header", "true")
+     # the writer trims blanks by default; the extracts keep theirs
+     .option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false")
+     .csv(path))
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
