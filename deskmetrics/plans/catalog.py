@@ -156,8 +156,15 @@ def _dim(name):
     return build
 
 
+def _saved_fact(m) -> DataFrame:
+    """The fact, saved once in the shared checkpoint folder when it feeds
+    both the key assignment and the keyed join (two reads, one compute)."""
+    return m.fact.checkpoint(eager=True)
+
+
 def _keyed(m):
-    return star.fact_with_keys(m.fact, star.build_dimensions(m.fact))
+    fact = _saved_fact(m)
+    return star.fact_with_keys(fact, star.build_dimensions(fact))
 
 
 def _fact_with_keys(m):
@@ -170,16 +177,18 @@ def _warehouse_fact(m):
 
 
 def _agent_performance(m):
-    dims = star.build_dimensions(m.fact, ("agents",))
-    return star.agent_performance(marts.agent_rank_by_volume(m.fact), dims)
+    fact = _saved_fact(m)
+    dims = star.build_dimensions(fact, ("agents",))
+    return star.agent_performance(marts.agent_rank_by_volume(fact), dims)
 
 
 def _dashboard_base(m):
-    return dashboard.dashboard_base(m.fact, star.build_dimensions(m.fact))
+    fact = _saved_fact(m)
+    return dashboard.dashboard_base(fact, star.build_dimensions(fact))
 
 
 def _preview(m):
-    return dashboard.preview(dashboard.dashboard_base(m.fact, star.build_dimensions(m.fact)))
+    return dashboard.preview(_dashboard_base(m))
 
 
 def _dim_category(m):
@@ -199,32 +208,33 @@ def _dim_priority(m):
 # --- checks ----------------------------------------------------------------
 
 def _checked_tables(m):
-    dims = star.build_dimensions(m.fact)
-    wfact = star.warehouse_fact(star.fact_with_keys(m.fact, dims))
+    fact = _saved_fact(m)
+    dims = star.build_dimensions(fact)
+    wfact = star.warehouse_fact(star.fact_with_keys(fact, dims))
     tables = {f"dim_{d}": dims.table(d) for d in star.DIMENSIONS}
-    return dims, wfact, tables
+    return fact, dims, wfact, tables
 
 
 def _check_unique(m):
-    _, wfact, tables = _checked_tables(m)
+    _, _, wfact, tables = _checked_tables(m)
     return quality.check_unique(wfact, tables)
 
 
 def _check_not_null(m):
-    _, wfact, tables = _checked_tables(m)
+    _, _, wfact, tables = _checked_tables(m)
     return quality.check_not_null(wfact, tables)
 
 
 def _check_foreign_keys(m):
-    _, wfact, tables = _checked_tables(m)
+    _, _, wfact, tables = _checked_tables(m)
     return quality.check_foreign_keys(wfact, tables)
 
 
 def _check_bounds(m):
-    dims, _, tables = _checked_tables(m)
-    agents = star.agent_performance(marts.agent_rank_by_volume(m.fact), dims)
-    return quality.check_bounds(m.fact, tables, marts.resolution_performance(m.fact),
-                                marts.category_trends(m.fact), agents)
+    fact, dims, _, tables = _checked_tables(m)
+    agents = star.agent_performance(marts.agent_rank_by_volume(fact), dims)
+    return quality.check_bounds(fact, tables, marts.resolution_performance(fact),
+                                marts.category_trends(fact), agents)
 
 
 def _quality_counts(m):

@@ -11,7 +11,7 @@ by key, month labels are ``yyyy-MM`` and NULL months are left out.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import met_as_false, month_label
@@ -164,10 +164,21 @@ def category_month_heatmap_wide(d: DataFrame, n_categories: int = 10,
 
 
 def category_month_heatmap(d: DataFrame, n_categories: int = 10, n_months: int = 12) -> DataFrame:
-    """A17 in long form: (category, ym, ticket_count), zeros included."""
-    wide = category_month_heatmap_wide(d, n_categories, n_months)
-    months = [c for c in wide.columns if c != "category"]
-    if not months:
-        return wide.select("category", F.lit(None).cast("string").alias("ym"),
-                           F.lit(None).cast("long").alias("ticket_count")).limit(0)
-    return wide.unpivot("category", months, "ym", "ticket_count")
+    """A17 in long form: (category, ym, ticket_count) over every category x
+    month pair of the heat map, zeros included.
+
+    The grid is built from the aggregated counts (at most n_categories x
+    n_months rows, so the all-rows window below is bounded by construction):
+    each category row carries the list of months present and its own counts
+    as a map, and the list is exploded."""
+    counts = _heat_rows(d, n_categories, n_months)
+    months = F.array_sort(F.collect_set("ym").over(Window.partitionBy()))
+    per_category = (counts.withColumn("_months", months)
+                    .groupBy("category")
+                    .agg(F.first("_months").alias("_months"),
+                         F.map_from_entries(F.collect_list(F.struct("ym", "ticket_count")))
+                         .alias("_counts")))
+    return (per_category.select("category", "_counts", F.explode("_months").alias("ym"))
+            .select("category", "ym",
+                    F.coalesce(F.col("_counts")[F.col("ym")], F.lit(0).cast("long"))
+                    .alias("ticket_count")))

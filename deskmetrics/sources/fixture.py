@@ -82,13 +82,17 @@ def raw_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
 
     key = F.col("o_orderkey")
-    joined = (orders
-              .join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-              .join(customer, customer.c_custkey == orders.o_custkey, "left")
+    # Large-to-large joins are shuffle joins at any real scale; they are
+    # ordered so the last one is on the order (= ticket) key and hinted as
+    # sort-merge, which leaves the tickets hash-partitioned on their id:
+    # the de-dup window and the state join downstream reuse that layout.
+    with_part = lines.join(part, F.col("p_partkey") == F.col("pk"), "left")
+    with_customer = orders.join(customer, customer.c_custkey == orders.o_custkey, "left")
+    joined = (with_customer
+              .join(with_part.hint("merge"), key == F.col("l_orderkey"), "left")
               .join(F.broadcast(reporters), F.col("rep_key") == F.col("o_custkey") % REPORTER_MOD, "left")
               .join(F.broadcast(nation), F.col("n_nationkey") == F.col("c_nationkey"), "left")
-              .join(F.broadcast(agents), F.col("agent_key") == key % AGENT_MOD, "left")
-              .join(part, F.col("p_partkey") == F.col("pk"), "left"))
+              .join(F.broadcast(agents), F.col("agent_key") == key % AGENT_MOD, "left"))
 
     q = F.col("q")
     hours = F.when(key % 40 == 0, -q).when(key % 17 == 0, q + 400).otherwise(q).cast("int")
@@ -149,7 +153,9 @@ def raw_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_returnflag", "l_linestatus", "l_shipdate")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    joined = lineitem.join(supplier, supplier.s_suppkey == lineitem.l_suppkey, "left")
+    # supplier grows with the data (10k rows per scale unit): a shuffle join,
+    # which also spreads the per-line text work over all tasks.
+    joined = lineitem.join(supplier.hint("merge"), supplier.s_suppkey == lineitem.l_suppkey, "left")
 
     line = F.col("l_linenumber")
     odd = line % 2 == 1
