@@ -283,7 +283,7 @@ def _stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = streaming.run_available(spark, sf_dir, schema, "parquet",
                                     transform=streaming.events_as_changes,
                                     operator=streaming.stream_latest_per_field,
-                                    glob="events.parquet")
+                                    glob="events.parquet", keys=("issueid", "field"))
     return finalize(state)
 
 

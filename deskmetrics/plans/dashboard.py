@@ -53,8 +53,9 @@ def kpi_overall_compliance(d: DataFrame) -> DataFrame:
 
 
 def top_category(d: DataFrame) -> DataFrame:
-    """Most frequent category, smallest on ties."""
-    return d.agg(F.mode("category", deterministic=True).alias("top_category"))
+    """Mode of the category (NULLs ignored, smallest on ties), as a
+    distributed count and top-1 rather than one buffer of all categories."""
+    return top_n_by_count(d, "category", 1).select(F.col("category").alias("top_category"))
 
 
 def kpi_total_tickets(d: DataFrame) -> DataFrame:

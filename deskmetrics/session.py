@@ -67,6 +67,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.local.dir", os.path.join(scratch, "local"))
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
         .config(CHECKPOINT_CONF, os.path.join(scratch, "checkpoints"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.extraJavaOptions",
                 f"-Dderby.system.home={os.path.join(scratch, 'derby')}")
     )

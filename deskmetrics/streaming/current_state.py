@@ -14,7 +14,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.errors import AnalysisException
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.clean import parse_change_stamps
 from ..operators.state import current_state, latest_change_per_field
@@ -34,17 +35,22 @@ def stream_latest_per_field(changes: DataFrame) -> DataFrame:
 def run_available(spark: SparkSession, source_dir: str, schema: StructType, fmt: str = "parquet",
                   transform=None, name: str | None = None,
                   max_files_per_trigger: int | None = None,
-                  operator=stream_current_state, glob: str | None = None) -> DataFrame:
+                  operator=stream_current_state, glob: str | None = None,
+                  keys: tuple[str, ...] = ("issueid",)) -> DataFrame:
     """Process every file in ``source_dir`` now (``availableNow``), in
-    micro-batches, and return the resulting state as a table.
-
-    The query's checkpoint goes under the session's checkpoint folder, so a
-    restart resumes where it stopped.  ``transform`` maps the raw stream to
-    the change-log shape (issueid, field, value, created, id).
+    micro-batches, and return the resulting state.
+
+    Update mode: each micro-batch emits only the keys whose state changed and
+    ``foreachBatch`` writes them to their own ``epoch=N`` folder (overwrite, so
+    a replayed epoch is idempotent).  The current state is the newest epoch's
+    row per key -- an aggregate, so readers never need the whole state in one
+    place.  The query checkpoint lives under the session's checkpoint folder,
+    so a restart resumes where it stopped.  ``transform`` maps the raw stream
+    to the change-log shape (id, issueid, field, value, created).
     """
     name = name or f"current_state_{uuid.uuid4().hex[:8]}"
     base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
-    out_path = f"{base}/table"
+    out_path = f"{base}/updates"
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -52,19 +58,32 @@ def run_available(spark: SparkSession, source_dir: str, schema: StructType, fmt:
         reader = reader.option("pathGlobFilter", glob)
     raw = reader.load(source_dir)
     changes = transform(raw) if transform else parse_change_stamps(raw)
+    state = operator(changes)
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
-        # complete mode hands over the whole state; replace the table with it
-        batch.write.mode("overwrite").parquet(out_path)
+        batch.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")
 
-    q = (operator(changes).writeStream
-         .outputMode("complete")
+    q = (state.writeStream
+         .outputMode("update")
          .foreachBatch(publish)
          .option("checkpointLocation", f"{base}/checkpoint")
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    return spark.read.parquet(out_path)
+    published = StructType(list(state.schema.fields) + [StructField("epoch", LongType())])
+    try:
+        updates = spark.read.schema(published).parquet(out_path)
+    except AnalysisException:  # no micro-batch produced output
+        updates = spark.createDataFrame([], published)
+    return latest_per_key(updates, list(keys))
+
+
+def latest_per_key(updates: DataFrame, keys: list[str]) -> DataFrame:
+    """Newest published row per key across epochs."""
+    values = [c for c in updates.columns if c not in keys and c != "epoch"]
+    return (updates.groupBy(*keys)
+            .agg(F.max(F.struct(F.col("epoch").cast("long").alias("_e"), *values)).alias("_l"))
+            .select(*keys, *[F.col(f"_l.{c}").alias(c) for c in values]))
 
 
 def events_as_changes(events: DataFrame) -> DataFrame:
