@@ -32,10 +32,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def finalize(df: DataFrame) -> DataFrame:
-    """Output stamps as ``timestamp_ntz`` (wall-clock, no zone)."""
-    casts = {f.name: df[f.name].cast("timestamp_ntz")
-             for f in df.schema.fields if isinstance(f.dataType, TimestampType)}
-    return df.withColumns(casts) if casts else df
+    """Output stamps as ``timestamp_ntz`` (wall-clock, no zone).
+
+    Always returns a new DataFrame: model plans are shared between queries,
+    and an action on a shared DataFrame object would reuse the shuffle files
+    of an earlier query instead of computing from the sources."""
+    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, TimestampType) else F.col(f.name)
+                       for f in df.schema.fields])
 
 
 def _q(fn: Callable[[model.TicketModel], DataFrame]) -> Query:
@@ -158,8 +162,10 @@ def _dim(name):
 
 def _saved_fact(m) -> DataFrame:
     """The fact, saved once in the shared checkpoint folder when it feeds
-    both the key assignment and the keyed join (two reads, one compute)."""
-    return m.fact.checkpoint(eager=True)
+    both the key assignment and the keyed join (two reads, one compute).
+    Checkpointed from a new DataFrame so it is computed from the sources, not
+    from shuffle files an earlier query left behind."""
+    return m.fact.select("*").checkpoint(eager=True)
 
 
 def _keyed(m):

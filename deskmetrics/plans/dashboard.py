@@ -115,11 +115,10 @@ def avg_hours_by_priority(d: DataFrame, n: int = 10) -> DataFrame:
 
 def target_met_split(d: DataFrame) -> DataFrame:
     """Met / missed share among tickets with a verdict."""
-    judged = d.filter(F.col("resolution_target_met").isNotNull())
-    total = judged.agg(F.count(F.lit(1))).scalar()
-    return (judged.groupBy("resolution_target_met")
-            .agg(F.count(F.lit(1)).alias("tickets"))
-            .withColumn("share_pct", F.lit(100.0) * F.col("tickets") / total))
+    counts = (d.filter(F.col("resolution_target_met").isNotNull())
+              .groupBy("resolution_target_met").agg(F.count(F.lit(1)).alias("tickets")))
+    total = F.sum("tickets").over(Window.partitionBy())  # over <= 2 grouped rows
+    return counts.withColumn("share_pct", F.lit(100.0) * F.col("tickets") / total)
 
 
 def compliance_by_priority_all(d: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ SQL originals (fact -> dimension on key -> name) reduce to "name is not
 NULL": every non-NULL name has exactly one key and vice versa.
 
 Top-N lists order by a full key (value, then name) so the cut is stable.
-Global scalars (the data's last stamp) are scalar subqueries, planned once.
+Global scalars (the data's last stamp, totals) are read off the small
+aggregate the report builds anyway, so no report scans the fact twice.
 Ranks are taken after aggregation and, where only the first N are wanted,
 after a distributed top-N, so no window ever sees ticket rows.
 """
@@ -49,14 +50,20 @@ def sla_by_priority(fact: DataFrame) -> DataFrame:
 
 def top_agents_last_month(fact: DataFrame, n: int = 5) -> DataFrame:
     """R2: agents with most tickets resolved in the calendar month before
-    the month of the data's last resolution."""
-    last = fact.agg(F.max("resolution_time")).scalar()
-    lo = F.date_trunc("month", last - F.make_ym_interval(F.lit(0), F.lit(1)))
-    hi = F.date_trunc("month", last)
-    res = F.col("resolution_time")
-    return (fact.filter(F.col("assignee").isNotNull() & (res >= lo) & (res < hi))
-            .groupBy(F.col("assignee").alias("agent_name"))
-            .agg(F.count("ticket_id").alias("tickets_resolved"))
+    the month of the data's last resolution.
+
+    One pass: resolved tickets are counted per (agent, month) -- the NULL
+    agent kept so the last month is taken over all tickets -- and the window
+    [trunc(last - 1 month), trunc(last)) is exactly the month before the
+    latest month of that aggregate, so the scalar is read off the small
+    aggregate instead of a second scan of the fact."""
+    monthly = (fact.filter(F.col("resolution_time").isNotNull())
+               .groupBy("assignee", month_start("resolution_time").alias("month"))
+               .agg(F.count("ticket_id").alias("n")))
+    last = monthly.agg(F.max("month")).scalar()
+    return (monthly.filter(F.col("assignee").isNotNull()
+                           & (F.col("month") == last - F.make_ym_interval(F.lit(0), F.lit(1))))
+            .select(F.col("assignee").alias("agent_name"), F.col("n").alias("tickets_resolved"))
             .orderBy(F.col("tickets_resolved").desc(), "agent_name")
             .limit(n))
 
@@ -113,13 +120,19 @@ def running_resolved_total(fact: DataFrame) -> DataFrame:
 
 def zero_compliance_categories(fact: DataFrame, days: int = 30) -> DataFrame:
     """Categories with tickets started in the data's last ``days`` days
-    but none of them met (NOT IN rewritten as one grouped pass)."""
-    last = fact.agg(F.max("start_time")).scalar()
-    recent = fact.filter((F.col("start_time") >= last - F.make_dt_interval(F.lit(days)))
-                         & F.col("category").isNotNull())
-    return (recent.groupBy("category")
-            .agg(F.bool_or(met_as_false("resolution_target_met")).alias("_any_met"))
-            .filter(~F.col("_any_met"))
+    but none of them met (NOT IN rewritten as one grouped pass).
+
+    Per category: the latest start and the latest start of a met ticket.  A
+    category qualifies when its latest start is inside the window and its
+    latest met start is not.  The window's end is the latest start over all
+    categories (the NULL category included), read off that small aggregate."""
+    per_cat = fact.groupBy("category").agg(
+        F.max("start_time").alias("_last"),
+        F.max(F.when(F.col("resolution_target_met") == F.lit(True), F.col("start_time")))
+        .alias("_last_met"))
+    cutoff = per_cat.agg(F.max("_last")).scalar() - F.make_dt_interval(F.lit(days))
+    return (per_cat.filter(F.col("category").isNotNull() & (F.col("_last") >= cutoff)
+                           & (F.col("_last_met").isNull() | (F.col("_last_met") < cutoff)))
             .select("category"))
 
 
@@ -145,13 +158,13 @@ def resolution_stats_by_priority(fact: DataFrame) -> DataFrame:
 
 def status_distribution(fact: DataFrame) -> DataFrame:
     """Tickets per current status and their share of all tickets with a
-    status (the total is a scalar subquery, not an all-rows window)."""
-    with_status = fact.filter(F.col("status").isNotNull())
-    total = with_status.agg(F.count(F.lit(1))).scalar()
-    return (with_status.groupBy("status")
-            .agg(F.count(F.lit(1)).alias("ticket_count"))
-            .withColumn("percentage",
-                        round2(F.lit(100.0) * F.col("ticket_count") / F.nullif(total, F.lit(0)))))
+    status.  The total is a window over the grouped rows (one per status,
+    a handful), not over tickets."""
+    counts = (fact.filter(F.col("status").isNotNull())
+              .groupBy("status").agg(F.count(F.lit(1)).alias("ticket_count")))
+    total = F.sum("ticket_count").over(Window.partitionBy())
+    return counts.withColumn(
+        "percentage", round2(F.lit(100.0) * F.col("ticket_count") / F.nullif(total, F.lit(0))))
 
 
 def fastest_agent_per_project(fact: DataFrame, n: int = 20) -> DataFrame:
