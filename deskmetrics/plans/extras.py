@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import month_start, round2
@@ -56,12 +56,15 @@ def agent_workload_spread(fact: DataFrame) -> DataFrame:
     """R-D7: tickets per agent against the quartiles of all agents' loads:
     'over' above the upper quartile, 'under' below the lower one.  The
     quartiles are exact percentiles over the per-agent counts (one value per
-    agent), computed once as a scalar subquery."""
+    agent)."""
     loads = (fact.filter(F.col("assignee").isNotNull())
              .groupBy(F.col("assignee").alias("agent_name"))
              .agg(F.count(F.lit(1)).alias("tickets")))
-    q = loads.agg(F.percentile("tickets", [0.25, 0.75])).scalar()
-    p25, p75 = q.getItem(0), q.getItem(1)
+    # quartiles as an all-rows window over one row per agent (a scalar
+    # subquery would be planned as a second pass over the fact)
+    q = F.percentile("tickets", [0.25, 0.75]).over(Window.partitionBy())
+    loads = loads.withColumn("_q", q)
+    p25, p75 = F.col("_q").getItem(0), F.col("_q").getItem(1)
     band = (F.when(F.col("tickets") > p75, F.lit("over"))
             .when(F.col("tickets") < p25, F.lit("under"))
             .otherwise(F.lit("normal")))

@@ -55,14 +55,17 @@ def top_agents_last_month(fact: DataFrame, n: int = 5) -> DataFrame:
     One pass: resolved tickets are counted per (agent, month) -- the NULL
     agent kept so the last month is taken over all tickets -- and the window
     [trunc(last - 1 month), trunc(last)) is exactly the month before the
-    latest month of that aggregate, so the scalar is read off the small
+    latest month of that aggregate, so the scalar is read off the
     aggregate instead of a second scan of the fact."""
     monthly = (fact.filter(F.col("resolution_time").isNotNull())
                .groupBy("assignee", month_start("resolution_time").alias("month"))
                .agg(F.count("ticket_id").alias("n")))
-    last = monthly.agg(F.max("month")).scalar()
-    return (monthly.filter(F.col("assignee").isNotNull()
-                           & (F.col("month") == last - F.make_ym_interval(F.lit(0), F.lit(1))))
+    # all-rows window over (agent, month) counts, not tickets; a scalar
+    # subquery here would be planned as a second pass over the fact
+    last = F.max("month").over(Window.partitionBy())
+    return (monthly.withColumn("_last", last)
+            .filter(F.col("assignee").isNotNull()
+                    & (F.col("month") == F.col("_last") - F.make_ym_interval(F.lit(0), F.lit(1))))
             .select(F.col("assignee").alias("agent_name"), F.col("n").alias("tickets_resolved"))
             .orderBy(F.col("tickets_resolved").desc(), "agent_name")
             .limit(n))
@@ -130,9 +133,11 @@ def zero_compliance_categories(fact: DataFrame, days: int = 30) -> DataFrame:
         F.max("start_time").alias("_last"),
         F.max(F.when(F.col("resolution_target_met") == F.lit(True), F.col("start_time")))
         .alias("_last_met"))
-    cutoff = per_cat.agg(F.max("_last")).scalar() - F.make_dt_interval(F.lit(days))
-    return (per_cat.filter(F.col("category").isNotNull() & (F.col("_last") >= cutoff)
-                           & (F.col("_last_met").isNull() | (F.col("_last_met") < cutoff)))
+    # all-rows window over one row per category
+    cutoff = F.col("_end") - F.make_dt_interval(F.lit(days))
+    return (per_cat.withColumn("_end", F.max("_last").over(Window.partitionBy()))
+            .filter(F.col("category").isNotNull() & (F.col("_last") >= cutoff)
+                    & (F.col("_last_met").isNull() | (F.col("_last_met") < cutoff)))
             .select("category"))
 
 
