@@ -69,11 +69,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("DESKMETRICS_DRIVER_MEMORY", "8g"))
         .config("spark.local.dir", os.path.join(scratch, "local"))
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
-        .config(CHECKPOINT_CONF, os.path.join(scratch, "checkpoints"))
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.extraJavaOptions",
                 f"-Dderby.system.home={os.path.join(scratch, 'derby')}")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # spark.checkpoint.dir comes from the environment's defaults when set;
+    # prepare() gives an unset local session a scratch folder
     return prepare(spark)

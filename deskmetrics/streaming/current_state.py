@@ -36,7 +36,8 @@ def run_available(spark: SparkSession, source_dir: str, schema: StructType, fmt:
                   transform=None, name: str | None = None,
                   max_files_per_trigger: int | None = None,
                   operator=stream_current_state, glob: str | None = None,
-                  keys: tuple[str, ...] = ("issueid",)) -> DataFrame:
+                  keys: tuple[str, ...] = ("issueid",),
+                  state_partitions: int | None = None) -> DataFrame:
     """Process every file in ``source_dir`` now (``availableNow``), in
     micro-batches, and return the resulting state.
 
@@ -47,6 +48,11 @@ def run_available(spark: SparkSession, source_dir: str, schema: StructType, fmt:
     place.  The query checkpoint lives under the session's checkpoint folder,
     so a restart resumes where it stopped.  ``transform`` maps the raw stream
     to the change-log shape (id, issueid, field, value, created).
+
+    The state is split into ``state_partitions`` partitions, fixed for the
+    life of the checkpoint (default: the cluster's parallelism); the session
+    setting is only changed while the query starts (the query keeps its own
+    copy).
     """
     name = name or f"current_state_{uuid.uuid4().hex[:8]}"
     base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
@@ -63,12 +69,18 @@ def run_available(spark: SparkSession, source_dir: str, schema: StructType, fmt:
     def publish(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")
 
-    q = (state.writeStream
-         .outputMode("update")
-         .foreachBatch(publish)
-         .option("checkpointLocation", f"{base}/checkpoint")
-         .trigger(availableNow=True)
-         .start())
+    partitions = state_partitions or spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        q = (state.writeStream
+             .outputMode("update")
+             .foreachBatch(publish)
+             .option("checkpointLocation", f"{base}/checkpoint")
+             .trigger(availableNow=True)
+             .start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     q.awaitTermination()
     published = StructType(list(state.schema.fields) + [StructField("epoch", LongType())])
     try:
