@@ -359,6 +359,10 @@ FINAL: dict[str, str] = {
     "monthly_compliance_trend": f"""select ym, {_MET_PCT} compliance_pct from disp
         where ym is not null group by ym order by ym desc limit 20""",
     "top_agents_by_tickets": _top("agent_name", 10),
+    "top_n_by_count": "\nunion all ".join(
+        f"select * from (select '{c}' dimension, {c} as value, count(*) tickets from disp "
+        f"where {c} is not null group by {c} order by tickets desc, {c} limit {n})"
+        for c, n in (("status", 15), ("priority", 10), ("category", 10), ("project_name", 15))),
     "top_agents_avg_hours": """select agent_name, count(*) tickets, avg(resolution_duration_hours) avg_hours
       from disp where agent_name is not null group by agent_name
       order by tickets desc, agent_name limit 10""",

@@ -357,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "compliance_by_priority_all": _on_display(dashboard.compliance_by_priority_all),
     "monthly_compliance_trend": _on_display(dashboard.monthly_compliance_trend),
     "top_agents_by_tickets": _on_display(dashboard.top_agents_by_tickets),
+    "top_n_by_count": _on_display(dashboard.top_n_by_count_tiles),
     "top_agents_avg_hours": _on_display(dashboard.top_agents_avg_hours),
     "category_month_heatmap": _on_display(dashboard.category_month_heatmap),
     # checks

@@ -71,6 +71,27 @@ def top_n_by_count(d: DataFrame, col: str, n: int) -> DataFrame:
             .limit(n))
 
 
+# The count tiles of the dashboard: column -> how many values it shows.
+COUNT_TILES = {"status": 15, "priority": 10, "category": 10, "project_name": 15}
+
+
+def top_n_by_count_tiles(d: DataFrame, tiles: dict[str, int] = COUNT_TILES) -> DataFrame:
+    """O3 for all count tiles in one pass: each ticket row is exploded into
+    (dimension, value) pairs, counted, and the first n values of every
+    dimension kept (the window runs over grouped values, not tickets)."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("dimension"),
+                                         F.col(c).cast("string").alias("value"))
+                                for c in tiles]))
+    limit = F.create_map(*[x for c, n in tiles.items() for x in (F.lit(c), F.lit(n))])
+    counts = (d.select(pairs.alias("p")).select("p.dimension", "p.value")
+              .filter(F.col("value").isNotNull())
+              .groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("tickets")))
+    order = Window.partitionBy("dimension").orderBy(F.col("tickets").desc(), F.col("value"))
+    return (counts.withColumn("_rank", F.row_number().over(order))
+            .filter(F.col("_rank") <= limit[F.col("dimension")])
+            .drop("_rank"))
+
+
 def tickets_by_status(d: DataFrame) -> DataFrame:
     return top_n_by_count(d, "status", 15)        # A6
 
