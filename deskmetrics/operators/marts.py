@@ -26,13 +26,12 @@ def agent_volume(fact: DataFrame) -> DataFrame:
 def dense_rank_desc(df: DataFrame, value: str, rank_col: str) -> DataFrame:
     """Dense rank of ``value`` (largest first) over the whole frame.
 
-    Only the distinct values are ranked in one partition: distinct ticket
-    counts k satisfy k(k+1)/2 <= total tickets, so even 10^12 tickets give
-    at most ~1.4M values; the ranks are joined back on the value.
-    """
-    ranks = (df.select(value).distinct()
-             .withColumn(rank_col, F.dense_rank().over(Window.orderBy(F.col(value).desc()))))
-    return df.join(ranks, value, "left").select(*df.columns, rank_col)
+    Used on aggregates with one row per agent (bounded by head count), so
+    the all-rows window sorts agents, never tickets.  (Ranking only the
+    distinct values and joining back would read the aggregate twice, and
+    Catalyst prunes the two reads differently, so the fact would be
+    computed twice.)"""
+    return df.withColumn(rank_col, F.dense_rank().over(Window.orderBy(F.col(value).desc())))
 
 
 def agent_rank_by_volume(fact: DataFrame) -> DataFrame:

@@ -105,13 +105,14 @@ def hours_at_rest(hours) -> F.Column:
     return hours.try_cast("decimal(10,2)")
 
 
-def warehouse_fact(keyed_fact: DataFrame) -> DataFrame:
-    """The 11 stored fact columns with the warehouse's types."""
+def warehouse_fact(keyed_fact: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The 11 stored fact columns with the warehouse's types (plus ``extra``
+    columns passed through)."""
     return keyed_fact.select(
         "ticket_id", "customer_id", "agent_id", "project_id", "category", "priority",
         "start_time", "resolution_time",
         hours_at_rest(F.col("resolution_duration_hours")).alias("resolution_duration_hours"),
-        "status", "resolution_target_met",
+        "status", "resolution_target_met", *extra,
     )
 
 

@@ -20,11 +20,13 @@ from .reports import at_rest
 
 
 def dashboard_base(fact: DataFrame, dims: Dimensions) -> DataFrame:
-    """Stored fact LEFT JOIN projects and agents, all rows."""
+    """Stored fact LEFT JOIN projects and agents, all rows.  The
+    keyed fact still carries the names the key joins would fetch back."""
     keyed = fact_with_keys(fact, dims)
-    return warehouse_fact(keyed).join(
-        keyed.select("ticket_id", F.col("project").alias("project_name"),
-                     F.col("assignee").alias("agent_name")), "ticket_id")
+    return warehouse_fact(keyed.withColumns({"_project_name": F.col("project"),
+                                             "_agent_name": F.col("assignee")}),
+                          extra=("_project_name", "_agent_name")).withColumnsRenamed(
+        {"_project_name": "project_name", "_agent_name": "agent_name"})
 
 
 def display_frame(fact: DataFrame) -> DataFrame:
@@ -166,14 +168,23 @@ def top_agents_avg_hours(d: DataFrame, n: int = 10) -> DataFrame:
 
 def _heat_rows(d: DataFrame, n_categories: int, n_months: int) -> DataFrame:
     """Counts per (category, month) for the top categories of all time and
-    the latest months of all months; both key lists are bounded (n rows) and
-    applied as broadcast semi-joins."""
-    top_cats = top_n_by_count(d, "category", n_categories).select("category")
-    months = (d.filter(F.col("ym").isNotNull()).select("ym").distinct()
-              .orderBy(F.col("ym").desc()).limit(n_months))
-    return (d.join(F.broadcast(top_cats), "category", "left_semi")
-            .join(F.broadcast(months), "ym", "left_semi")
-            .groupBy("category", "ym").agg(F.count(F.lit(1)).alias("ticket_count")))
+    the latest months of all months, in one pass: tickets are counted per
+    (category, month) once, and both rankings are windows over those counts
+    (categories x months rows, bounded by the time span)."""
+    counts = d.groupBy("category", "ym").agg(F.count(F.lit(1)).alias("ticket_count"))
+    all_rows = Window.partitionBy()
+    cat_total = F.sum("ticket_count").over(Window.partitionBy("category"))
+    ranked = (counts.withColumn("_cat_total", cat_total)
+              # categories ranked by all-time count (NULL category last), ties by name
+              .withColumn("_cat_rank", F.dense_rank().over(all_rows.orderBy(
+                  F.col("category").isNull(), F.col("_cat_total").desc(), F.col("category"))))
+              # months ranked latest first (NULL month last)
+              .withColumn("_month_rank", F.dense_rank().over(all_rows.orderBy(
+                  F.col("ym").desc_nulls_last()))))
+    return (ranked.filter(F.col("category").isNotNull() & F.col("ym").isNotNull()
+                          & (F.col("_cat_rank") <= n_categories)
+                          & (F.col("_month_rank") <= n_months))
+            .select("category", "ym", "ticket_count"))
 
 
 def category_month_heatmap_wide(d: DataFrame, n_categories: int = 10,
