@@ -9,6 +9,7 @@ caller; nothing is hard-coded.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def write_parquet(df: DataFrame, path: str, partition_col: str | None = None) -> None:
@@ -30,10 +31,13 @@ def write_parquet(df: DataFrame, path: str, partition_col: str | None = None) ->
     w.save(path)
 
 
-def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None,
+                 schema: StructType | None = None) -> DataFrame:
     """Read a curated table; partition columns move to the end on read, so
-    the declared column order is restored when given."""
-    df = spark.read.parquet(path)
+    the declared column order is restored when given.  A known schema spares
+    the footer-inference job."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(path)
     return df.select(*columns) if columns else df
 
 
