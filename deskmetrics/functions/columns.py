@@ -8,7 +8,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import SLA_HOURS, TIMESTAMP_FORMAT, UNCATEGORIZED, UNRECOGNIZED_PRIORITY
+from ..schemas import (
+    SLA_HOURS,
+    STAMP_FRACTION_SUFFIX,
+    STAMP_ZONE_SUFFIX,
+    TIMESTAMP_FORMAT,
+    UNCATEGORIZED,
+    UNRECOGNIZED_PRIORITY,
+)
 
 
 def _col(c: str | Column) -> Column:
@@ -18,12 +25,13 @@ def _col(c: str | Column) -> Column:
 def parse_timestamp(c: str | Column) -> Column:
     """Parse the extract's stamps to whole seconds.
 
-    Accepts ``2016-03-24 15:35:53+00:00``, ``2018-08-14 15:42:12.564000`` and
-    ``2018-08-14 15:42:12``: a trailing ``+00:00`` is cut, then a trailing
-    fraction.  Any other shape (other offsets, ISO ``T…Z``, blanks, junk)
-    gives NULL instead of an error.
+    Accepts ``YYYY-MM-DD hh:mm:ss`` optionally followed by a fraction of a
+    second and/or a ``+00:00`` offset: the offset is cut, then the fraction.
+    Any other shape (other offsets, ISO ``T...Z``, blanks, junk) gives NULL
+    instead of an error.
     """
-    cleaned = F.regexp_replace(F.regexp_replace(_col(c), r"\+00:00$", ""), r"\.(\d+)$", "")
+    cleaned = F.regexp_replace(F.regexp_replace(_col(c), STAMP_ZONE_SUFFIX, ""),
+                               STAMP_FRACTION_SUFFIX, "")
     return F.try_to_timestamp(cleaned, F.lit(TIMESTAMP_FORMAT))
 
 

@@ -44,6 +44,23 @@ def test_pipeline_twice_gives_same_tables(spark, scratch_dir):
     assert "priority=__HIVE_DEFAULT_PARTITION__" in parts
 
 
+def test_pipeline_loads_warehouse_twice_without_duplicates(spark, scratch_dir):
+    """Dimensions -> fact -> marts over JDBC (in-process Derby), run twice."""
+    url = f"jdbc:derby:memory:w{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    issues = scan.scan_issues(fixture.raw_issues(spark, SMOKE_DIR))
+    changes = scan.scan_changes(fixture.raw_changes(spark, SMOKE_DIR))
+    sizes = []
+    for _ in range(2):
+        out = f"{scratch_dir}/curated-{uuid.uuid4().hex[:8]}"
+        res = pipeline.run(spark, issues, changes, out, jdbc_url=url, jdbc_properties=props)
+        sizes.append({name: sinks.read_jdbc(spark, url, pipeline.WAREHOUSE_NAMES.get(name, name).upper(),
+                                            props).count()
+                      for name in pipeline.CURATED_ORDER})
+        assert sizes[-1] == {n: t.count() for n, t in res.tables.items()}
+    assert sizes[0] == sizes[1]
+
+
 def test_jdbc_refresh_is_idempotent(spark):
     df = spark.range(5).select(F.col("id").alias("ticket_id"), (F.col("id") * 1.5).cast("decimal(10,2)").alias("h"))
     url = f"jdbc:derby:memory:t{uuid.uuid4().hex[:8]};create=true"
