@@ -13,7 +13,9 @@ without moving all names through one task:
    ``checkpoint()`` in the shared checkpoint folder so a lost executor cannot
    re-run it with another layout;
 3. per (partition, role) counts -- at most 3 x partitions rows, a proven
-   bound -- give each range its offset, broadcast back to the rows.
+   bound -- give each range its offset, broadcast back to the rows;
+4. the keyed names are saved and counted once, and the fact's lookups are
+   broadcast only when that count is within ``BROADCAST_MAX_ROWS``.
 
 The result does not depend on where the range boundaries fell: ranges are
 contiguous and ordered, so offset + position is the row's rank.
@@ -37,9 +39,15 @@ DIMENSIONS = {
 _POS_BITS = 33
 
 
+# Dimension lookups up to this many rows (all roles together) are broadcast
+# to the fact; larger ones are joined with a shuffle.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
 @dataclass(frozen=True)
 class Dimensions:
     keyed: DataFrame  # role, name, key -- all dimensions in one frame
+    rows: int         # measured size of ``keyed``
 
     def table(self, dim: str) -> DataFrame:
         role, key_col, name_col = DIMENSIONS[dim]
@@ -76,21 +84,27 @@ def dense_keys(pairs: DataFrame) -> DataFrame:
 
 
 def build_dimensions(fact: DataFrame, dims=tuple(DIMENSIONS)) -> Dimensions:
-    return Dimensions(dense_keys(distinct_names(fact, [DIMENSIONS[d][0] for d in dims])))
+    """Key all requested dimensions from one pass over the fact; the keyed
+    names are saved (checkpoint) and counted, so the lookups below know
+    their size before they are joined."""
+    keyed = dense_keys(distinct_names(fact, [DIMENSIONS[d][0] for d in dims])).checkpoint(eager=True)
+    return Dimensions(keyed, keyed.count())
 
 
 def _lookup(dims: Dimensions, dim: str) -> DataFrame:
+    """Name -> key for one dimension; broadcast when the measured size of
+    the keyed names is within ``BROADCAST_MAX_ROWS``."""
     role, key_col, _ = DIMENSIONS[dim]
-    return (dims.keyed.filter(F.col("role") == role)
-            .select(F.col("name").alias(f"_{role}_name"), F.col("key").alias(key_col)))
+    lk = (dims.keyed.filter(F.col("role") == role)
+          .select(F.col("name").alias(f"_{role}_name"), F.col("key").alias(key_col)))
+    return F.broadcast(lk) if dims.rows <= BROADCAST_MAX_ROWS else lk
 
 
 def fact_with_keys(fact: DataFrame, dims: Dimensions) -> DataFrame:
     """The fact LEFT JOIN each dimension on name (NULL name -> NULL key).
 
-    Dimension sides are small against the fact; AQE turns the joins into
-    broadcast joins from their measured size and keeps a shuffle join when
-    they are not small.
+    Lookups are broadcast when their counted size allows it; beyond that
+    they are shuffle joins (AQE's skew handling splits a hot name).
     """
     out = fact
     for dim, (role, _, _) in DIMENSIONS.items():

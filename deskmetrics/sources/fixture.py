@@ -82,10 +82,12 @@ def raw_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
 
     key = F.col("o_orderkey")
-    # Large-to-large joins are shuffle joins at any real scale; they are
-    # ordered so the last one is on the order (= ticket) key and hinted as
-    # sort-merge, which leaves the tickets hash-partitioned on their id:
-    # the de-dup window and the state join downstream reuse that layout.
+    # Large-to-large joins are shuffle joins at any real scale; the last one
+    # is on the order (= ticket) key and hinted as sort-merge, so the
+    # per-ticket text work below runs on every shuffle partition instead of
+    # in the scan task of one file.  (The text round trip hides the layout
+    # from the planner, as a real CSV extract would: de-dup shuffles by id
+    # and the state join reuses that.)
     with_part = lines.join(part, F.col("p_partkey") == F.col("pk"), "left")
     with_customer = orders.join(customer, customer.c_custkey == orders.o_custkey, "left")
     joined = (with_customer
