@@ -17,7 +17,6 @@ from ..functions.columns import (
     standardize_category,
     standardize_priority,
     standardize_project,
-    target_met,
     sla_threshold,
 )
 from ..operators import clean, marts, quality, star
