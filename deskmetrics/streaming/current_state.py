@@ -22,6 +22,10 @@ from ..operators.state import current_state, latest_change_per_field
 from ..session import checkpoint_dir
 
 
+STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stream_current_state(changes: DataFrame) -> DataFrame:
     """Streaming (or batch) ticket change log -> latest assignee / status."""
     return current_state(changes)
@@ -37,7 +41,8 @@ def run_available(spark: SparkSession, source_dir: str, schema: StructType, fmt:
                   max_files_per_trigger: int | None = None,
                   operator=stream_current_state, glob: str | None = None,
                   keys: tuple[str, ...] = ("issueid",),
-                  state_partitions: int | None = None) -> DataFrame:
+                  state_partitions: int | None = None,
+                  state_store: str | None = ROCKSDB_STATE_STORE) -> DataFrame:
     """Process every file in ``source_dir`` now (``availableNow``), in
     micro-batches, and return the resulting state.
 
@@ -50,9 +55,12 @@ def run_available(spark: SparkSession, source_dir: str, schema: StructType, fmt:
     to the change-log shape (id, issueid, field, value, created).
 
     The state is split into ``state_partitions`` partitions, fixed for the
-    life of the checkpoint (default: the cluster's parallelism); the session
-    setting is only changed while the query starts (the query keeps its own
-    copy).
+    life of the checkpoint (default: the cluster's parallelism), and kept in
+    RocksDB on the executors' disks rather than in their heap: it holds one
+    row per key for ever (no watermark can retire it).  Both session
+    settings are only changed while the query starts (the query keeps its
+    own copy).  The update folders grow with the epochs; rewriting
+    ``latest_per_key`` as a new base now and then compacts them.
     """
     name = name or f"current_state_{uuid.uuid4().hex[:8]}"
     base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
@@ -70,8 +78,12 @@ def run_available(spark: SparkSession, source_dir: str, schema: StructType, fmt:
         batch.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")
 
     partitions = state_partitions or spark.sparkContext.defaultParallelism
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    settings = {"spark.sql.shuffle.partitions": str(partitions)}
+    if state_store:
+        settings[STATE_STORE_CONF] = state_store
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         q = (state.writeStream
              .outputMode("update")
@@ -80,7 +92,11 @@ def run_available(spark: SparkSession, source_dir: str, schema: StructType, fmt:
              .trigger(availableNow=True)
              .start())
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     q.awaitTermination()
     published = StructType(list(state.schema.fields) + [StructField("epoch", LongType())])
     try:
