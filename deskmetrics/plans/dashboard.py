@@ -29,6 +29,17 @@ def dashboard_base(fact: DataFrame, dims: Dimensions) -> DataFrame:
         {"_project_name": "project_name", "_agent_name": "agent_name"})
 
 
+def dashboard_base_stored(fact_tickets: DataFrame, dim_projects: DataFrame,
+                          dim_agents: DataFrame) -> DataFrame:
+    """S7 on the stored tables: fact LEFT JOIN projects LEFT JOIN agents on
+    their keys, every row (no row cap).  Dimension tables are joined as-is;
+    AQE broadcasts them from their measured size."""
+    return (fact_tickets
+            .join(dim_projects, "project_id", "left")
+            .join(dim_agents, "agent_id", "left")
+            .select(*fact_tickets.columns, "project_name", "agent_name"))
+
+
 def display_frame(fact: DataFrame) -> DataFrame:
     """What the tiles read: the stored fact with project and agent names.
     Joining keys back to names is the identity on non-NULL names, so the

@@ -59,8 +59,17 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str,
-              properties: dict[str, str] | None = None) -> DataFrame:
+              properties: dict[str, str] | None = None,
+              partition_column: str | None = None, lower_bound: int | None = None,
+              upper_bound: int | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Read a warehouse table; with a numeric partition column and its
+    bounds the read is split into ``num_partitions`` parallel range queries
+    instead of one connection reading everything."""
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    if partition_column:
+        r = (r.option("partitionColumn", partition_column)
+             .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))
+             .option("numPartitions", str(num_partitions or spark.sparkContext.defaultParallelism)))
     for k, v in (properties or {}).items():
         r = r.option(k, v)
     return r.load()

@@ -61,6 +61,29 @@ def test_pipeline_loads_warehouse_twice_without_duplicates(spark, scratch_dir):
     assert sizes[0] == sizes[1]
 
 
+def test_dashboard_from_stored_tables_equals_in_flight(spark, scratch_dir):
+    from deskmetrics.operators import star
+    from deskmetrics.plans import dashboard
+    out = f"{scratch_dir}/curated-{uuid.uuid4().hex[:8]}"
+    m = model.from_tables(spark, SMOKE_DIR)
+    res = pipeline.run(spark, m.issues, m.changes, out)
+    t = res.tables
+    stored = dashboard.dashboard_base_stored(t["fact_tickets"], t["dim_projects"], t["dim_agents"])
+    fact = m.fact.select("*").checkpoint()
+    in_flight = dashboard.dashboard_base(fact, star.build_dimensions(fact))
+    assert same(stored.select(*in_flight.columns), in_flight)
+
+
+def test_partitioned_jdbc_read(spark):
+    df = spark.range(100).select(F.col("id").alias("ticket_id"))
+    url = f"jdbc:derby:memory:p{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    sinks.write_jdbc(df, url, "t", props)
+    back = sinks.read_jdbc(spark, url, "T", props, partition_column="TICKET_ID",
+                           lower_bound=0, upper_bound=100, num_partitions=4)
+    assert back.rdd.getNumPartitions() == 4 and back.count() == 100
+
+
 def test_jdbc_refresh_is_idempotent(spark):
     df = spark.range(5).select(F.col("id").alias("ticket_id"), (F.col("id") * 1.5).cast("decimal(10,2)").alias("h"))
     url = f"jdbc:derby:memory:t{uuid.uuid4().hex[:8]};create=true"
