@@ -47,17 +47,19 @@ def from_scans(issues: DataFrame, changes: DataFrame) -> TicketModel:
 # Plan objects (lazy recipes, no data) of the model per session and folder.
 # Building the ~100-operator plan costs ~1,500 driver-to-JVM calls; queries
 # reuse the recipe and still read and compute everything from the files.
-_PLANS: dict[tuple[str, str], TicketModel] = {}
+# Keyed by the session object itself (a new session of the same application
+# has its own settings), which the entry also keeps alive.
+_PLANS: dict[tuple[int, str], tuple[SparkSession, TicketModel]] = {}
 
 
 def from_tables(spark: SparkSession, sf_dir: str) -> TicketModel:
     """Tickets derived from the driver's tables (see ``sources.fixture``)."""
     prepare(spark)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _PLANS:
-        _PLANS[key] = from_scans(scan.scan_issues(fixture.raw_issues(spark, sf_dir)),
-                                 scan.scan_changes(fixture.raw_changes(spark, sf_dir)))
-    return _PLANS[key]
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _PLANS or _PLANS[key][0] is not spark:
+        _PLANS[key] = (spark, from_scans(scan.scan_issues(fixture.raw_issues(spark, sf_dir)),
+                                         scan.scan_changes(fixture.raw_changes(spark, sf_dir))))
+    return _PLANS[key][1]
 
 
 def from_csv(spark: SparkSession, issues_path: str, changes_path: str) -> TicketModel:
