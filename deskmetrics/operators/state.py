@@ -21,13 +21,13 @@ def _order_key():
 
 
 def latest_change_per_field(changes: DataFrame) -> DataFrame:
-    """The newest log row per (ticket, field)."""
+    """The newest log row per (ticket, field), all its columns."""
+    rest = [c for c in changes.columns if c not in ("issueid", "field", "created", "id", "value")]
+    last = F.struct("created", "id", "value", *rest)
     return (changes.groupBy("issueid", "field")
-            .agg(F.max(_order_key()).alias("_last"))
+            .agg(F.max(last).alias("_last"))
             .select("issueid", "field",
-                    F.col("_last.id").alias("id"),
-                    F.col("_last.value").alias("value"),
-                    F.col("_last.created").alias("created")))
+                    *[F.col(f"_last.{c}").alias(c) for c in ("id", "value", "created", *rest)]))
 
 
 def current_state(changes: DataFrame) -> DataFrame:

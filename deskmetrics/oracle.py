@@ -267,7 +267,10 @@ FINAL: dict[str, str] = {
     "fact_tickets": "select * from fact",
     "warehouse_fact": "select * from wfact",
     # state and joins
-    "latest_change_per_field": "select issueid, field, id, value, created from latest",
+    "latest_change_per_field": """select issueid, field, id, value, created, change_group_id from (
+        select *, row_number() over (partition by issueid, field order by created desc nulls last,
+          id desc nulls last, value desc nulls last, change_group_id desc nulls last) rn
+        from changes_parsed) where rn = 1""",
     "current_state": "select * from state",
     "dedup_tickets": "select * from deduped",
     "ticket_current_state": """select d.id ticket_id, s.current_assignee, s.last_assigned_at,

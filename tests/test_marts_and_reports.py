@@ -94,9 +94,10 @@ def test_window_form_equals_aggregate_form(smoke):
     from deskmetrics.operators.state import latest_change_per_field
     ch = smoke.changes_parsed
     w = Window.partitionBy("issueid", "field").orderBy(
-        F.col("created").desc_nulls_last(), F.col("id").desc_nulls_last(), F.col("value").desc_nulls_last())
+        F.col("created").desc_nulls_last(), F.col("id").desc_nulls_last(),
+        F.col("value").desc_nulls_last(), F.col("change_group_id").desc_nulls_last())
     literal = (ch.withColumn("rn", F.row_number().over(w)).filter("rn = 1")
-               .select("issueid", "field", "id", "value", "created"))
+               .select("issueid", "field", "id", "value", "created", "change_group_id"))
     agg = latest_change_per_field(ch)
     assert literal.exceptAll(agg).count() == 0 and agg.exceptAll(literal).count() == 0
 
