@@ -15,6 +15,21 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None on Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -22,13 +37,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     fault-tolerant file system).  Only a local-mode session without it gets a
     scratch folder of its own.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None)
+    sc = _context(spark)
+    current = (sc.getCheckpointDir() if sc is not None else None) or \
+        spark.conf.get(CHECKPOINT_CONF, None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder")
     path = tempfile.mkdtemp(prefix="deskmetrics-ckpt-")

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..session import default_parallelism
+
 
 def write_parquet(df: DataFrame, path: str, partition_col: str | None = None) -> None:
     """Overwrite ``path`` with ``df`` (snappy Parquet, Spark's default).
@@ -69,7 +71,7 @@ def read_jdbc(spark: SparkSession, url: str, table: str,
     if partition_column:
         r = (r.option("partitionColumn", partition_column)
              .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))
-             .option("numPartitions", str(num_partitions or spark.sparkContext.defaultParallelism)))
+             .option("numPartitions", str(num_partitions or default_parallelism(spark))))
     for k, v in (properties or {}).items():
         r = r.option(k, v)
     return r.load()

@@ -19,7 +19,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.clean import parse_change_stamps
 from ..operators.state import current_state, latest_change_per_field
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, default_parallelism
 
 
 STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
@@ -77,7 +77,7 @@ def run_available(spark: SparkSession, source_dir: str, schema: StructType, fmt:
     def publish(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")
 
-    partitions = state_partitions or spark.sparkContext.defaultParallelism
+    partitions = state_partitions or default_parallelism(spark)
     settings = {"spark.sql.shuffle.partitions": str(partitions)}
     if state_store:
         settings[STATE_STORE_CONF] = state_store
