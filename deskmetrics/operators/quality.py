@@ -101,10 +101,13 @@ def check_bounds(fact: DataFrame, dim_tables: dict[str, DataFrame],
     return _union(out)
 
 
-def quality_counts(parsed: DataFrame, changes: DataFrame, fact: DataFrame,
-                   names: DataFrame) -> DataFrame:
+def quality_counts(parsed: DataFrame, changes: DataFrame, fact: DataFrame) -> DataFrame:
     """The counters the reference logs, as (metric, value) rows:
-    rows read, invalid resolutions, rows after de-dup, dimension sizes."""
+    rows read, invalid resolutions, rows after de-dup, dimension sizes.
+
+    The fact is read once: every row is exploded into its (role, name) pairs
+    plus one row marker, counted per pair, then per role -- the marker's sum
+    is the row count, the other roles' pair counts are the dimension sizes."""
     res, created = F.col("issue_resolution_date"), F.col("issue_created")
     tickets = _rows("issues", parsed, {
         "rows_in": F.count(F.lit(1)),
@@ -112,12 +115,22 @@ def quality_counts(parsed: DataFrame, changes: DataFrame, fact: DataFrame,
         "resolved_without_created": F.count_if(res.isNotNull() & created.isNull()),
     })
     log = _rows("changes", changes, {"rows_in": F.count(F.lit(1))})
-    facts = _rows("fact_tickets", fact, {"rows_after_dedup": F.count(F.lit(1))})
-    dims = _rows("dimensions", names, {
-        "dim_customers": F.count_if(F.col("role") == "reporter"),
-        "dim_agents": F.count_if(F.col("role") == "assignee"),
-        "dim_projects": F.count_if(F.col("role") == "project"),
-    })
-    return (_union([tickets, log, facts, dims])
+    dims = {"reporter": "dim_customers", "assignee": "dim_agents", "project": "dim_projects"}
+    pairs = F.explode(F.array(
+        F.struct(F.lit("rows").alias("role"), F.lit(None).cast("string").alias("name")),
+        *[F.struct(F.lit(r).alias("role"), F.col(r).alias("name")) for r in dims]))
+    per_role = (fact.select(pairs.alias("p")).select("p.role", "p.name")
+                .groupBy("role", "name").agg(F.count(F.lit(1)).alias("_n"))
+                .groupBy("role").agg(F.sum("_n").alias("_rows"),
+                                     F.count_if(F.col("name").isNotNull()).alias("_names")))
+    facts = per_role.select(
+        F.when(F.col("role") == "rows", F.lit("fact_tickets.rows_after_dedup"))
+        .otherwise(F.concat(F.lit("dimensions."), F.create_map(
+            *[x for r, d in dims.items() for x in (F.lit(r), F.lit(d))])[F.col("role")]))
+        .alias("metric"),
+        F.when(F.col("role") == "rows", F.col("_rows")).otherwise(F.col("_names"))
+        .cast("long").alias("value"))
+    return (_union([tickets, log])
             .select(F.concat_ws(".", "table_name", "column_name").alias("metric"),
-                    F.col("violations").alias("value")))
+                    F.col("violations").alias("value"))
+            .unionByName(facts))

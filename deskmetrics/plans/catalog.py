@@ -243,8 +243,7 @@ def _check_bounds(m):
 
 
 def _quality_counts(m):
-    names = star.distinct_names(m.fact, ["reporter", "assignee", "project"])
-    return quality.quality_counts(m.parsed, m.changes, m.fact, names)
+    return quality.quality_counts(m.parsed, m.changes, m.fact)
 
 
 # --- sinks / pipeline / stream ---------------------------------------------
