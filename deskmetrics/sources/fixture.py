@@ -156,8 +156,10 @@ def raw_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag", "l_linestatus", "l_shipdate")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     # supplier grows with the data (10k rows per scale unit): a shuffle join,
-    # which also spreads the per-line text work over all tasks.
-    joined = lineitem.join(supplier.hint("merge"), supplier.s_suppkey == lineitem.l_suppkey, "left")
+    # which also spreads the per-line text work over all tasks.  Hash join
+    # with the supplier partition as the build side: line items need no sort
+    # to get a name attached.
+    joined = lineitem.join(supplier.hint("shuffle_hash"), supplier.s_suppkey == lineitem.l_suppkey, "left")
 
     line = F.col("l_linenumber")
     odd = line % 2 == 1
