@@ -26,6 +26,7 @@ COUNTS = (
     ("single-partition", r"Exchange SinglePartition"),
     ("broadcasts", r"BroadcastExchange"),
     ("SMJ", r"SortMergeJoin"),
+    ("SHJ", r"ShuffledHashJoin"),
     ("BHJ", r"BroadcastHashJoin"),
     ("windows", r"\bWindow \["),
     ("group limits", r"WindowGroupLimit"),
