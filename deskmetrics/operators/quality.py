@@ -122,14 +122,17 @@ def quality_counts(parsed: DataFrame, changes: DataFrame, fact: DataFrame) -> Da
     per_role = (fact.select(pairs.alias("p")).select("p.role", "p.name")
                 .groupBy("role", "name").agg(F.count(F.lit(1)).alias("_n"))
                 .groupBy("role").agg(F.sum("_n").alias("_rows"),
-                                     F.count_if(F.col("name").isNotNull()).alias("_names")))
-    facts = per_role.select(
-        F.when(F.col("role") == "rows", F.lit("fact_tickets.rows_after_dedup"))
-        .otherwise(F.concat(F.lit("dimensions."), F.create_map(
-            *[x for r, d in dims.items() for x in (F.lit(r), F.lit(d))])[F.col("role")]))
-        .alias("metric"),
-        F.when(F.col("role") == "rows", F.col("_rows")).otherwise(F.col("_names"))
-        .cast("long").alias("value"))
+                                     F.count_if(F.col("name").isNotNull()).alias("_names"))
+                .select("role", F.when(F.col("role") == "rows", F.col("_rows"))
+                        .otherwise(F.col("_names")).alias("_v")))
+    # pivot on the known roles: one row even for an empty fact, so every
+    # metric is reported (0 rather than missing)
+    wide = per_role.groupBy().pivot("role", ["rows", *dims]).agg(F.first("_v"))
+    metrics = {"rows": "fact_tickets.rows_after_dedup",
+               **{r: f"dimensions.{d}" for r, d in dims.items()}}
+    facts = wide.select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.coalesce(F.col(r), F.lit(0)).cast("long").alias("value"))
+        for r, m in metrics.items()])).alias("m")).select("m.metric", "m.value")
     return (_union([tickets, log])
             .select(F.concat_ws(".", "table_name", "column_name").alias("metric"),
                     F.col("violations").alias("value"))

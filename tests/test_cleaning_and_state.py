@@ -87,3 +87,6 @@ def test_empty_inputs_keep_schemas(spark):
     assert len(m.fact.columns) == 15
     assert reports.sla_by_priority(m.fact).count() == 0
     assert marts.category_trends(m.fact).count() == 0
+    from deskmetrics.operators import quality
+    counts = {r.metric: r.value for r in quality.quality_counts(m.parsed, m.changes, m.fact).collect()}
+    assert len(counts) == 8 and set(counts.values()) == {0}
