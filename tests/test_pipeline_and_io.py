@@ -119,3 +119,15 @@ def test_entry_and_contract(spark):
     qs, sql = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(sql) <= set(qs)
     assert len(qs) >= 70
+
+
+def test_command_line_run_on_csv_extracts(spark, scratch_dir):
+    from deskmetrics.__main__ import main
+    base = f"{scratch_dir}/cli-{uuid.uuid4().hex[:8]}"
+    scan.write_csv_text(fixture.raw_issues(spark, SMOKE_DIR), f"{base}/issues")
+    scan.write_csv_text(fixture.raw_changes(spark, SMOKE_DIR), f"{base}/changes")
+    report = main(["--issues", f"{base}/issues", "--changes", f"{base}/changes",
+                   "--out", f"{base}/curated"], spark)
+    assert report["inputs"] == {"issues_in": 1530, "changes_in": 6000}
+    assert report["tables"]["fact_tickets"] == 1476
+    assert set(report["tables"]) == set(pipeline.CURATED_ORDER)
