@@ -116,3 +116,20 @@ def test_marts_reconcile_with_fact(smoke):
     assert marts.resolution_performance(f).agg(F.sum("tickets_resolved")).first()[0] == resolved
     assert marts.category_monthly_volume(f).agg(F.sum("ticket_volume")).first()[0] == f.count()
     assert f.select("ticket_id").distinct().count() == f.count()
+
+
+def test_sf001_counts_match_the_fixture_notes(spark):
+    """Figures recorded for the sf0.01 ticket view in FIXTURES.md."""
+    from conftest import CHECK_DIR
+    from deskmetrics.operators import clean
+    m = model.from_tables(spark, CHECK_DIR)
+    assert clean.invalid_resolution_counts(m.parsed).first().invalid_rows == 310
+    assert m.fact.count() == 14741
+    assert m.fact.filter("resolution_time is null").count() == 5141
+    groups = (m.fact.filter("reporter is not null")
+              .groupBy("reporter", F.date_trunc("month", "start_time")).count()
+              .filter("count > 5").count())
+    assert groups == 925
+    r1 = {r.priority: (r.total_tickets, r.met_target) for r in reports.sla_by_priority(m.fact).collect()}
+    assert r1 == {"Critical": (1906, 11), "High": (1938, 104), "Medium": (1915, 571),
+                  "Low": (1898, 1540), "Blocker": (919, 0), None: (1024, 0)}
