@@ -59,11 +59,12 @@ def run_available(spark: SparkSession, source_dir: str, schema: StructType, fmt:
     RocksDB on the executors' disks rather than in their heap: it holds one
     row per key for ever (no watermark can retire it).  Both session
     settings are only changed while the query starts (the query keeps its
-    own copy).  The update folders grow with the epochs; rewriting
-    ``latest_per_key`` as a new base now and then compacts them.
+    own copy).  The update folders grow with the epochs; ``compact`` folds
+    them into a snapshot that readers start from.  A second call with the
+    same ``name`` resumes the same query (same checkpoint, same folders).
     """
     name = name or f"current_state_{uuid.uuid4().hex[:8]}"
-    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    base = stream_base(spark, name)
     out_path = f"{base}/updates"
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
@@ -98,14 +99,61 @@ def run_available(spark: SparkSession, source_dir: str, schema: StructType, fmt:
             else:
                 spark.conf.set(k, v)
     q.awaitTermination()
-    published = StructType(list(state.schema.fields) + [StructField("epoch", LongType())])
+    return current_table(spark, base, state.schema, keys)
+
+
+def stream_base(spark: SparkSession, name: str) -> str:
+    """Folder of a named stream: checkpoint, updates, snapshots."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+
+
+def _published(schema: StructType) -> StructType:
+    return StructType(list(schema.fields) + [StructField("epoch", LongType())])
+
+
+def _last_snapshot(spark: SparkSession, base: str) -> int | None:
     try:
-        updates = spark.read.schema(published).parquet(out_path)
+        return spark.read.schema("upto long").parquet(f"{base}/compactions") \
+            .agg(F.max("upto")).first()[0]
+    except AnalysisException:  # never compacted
+        return None
+
+
+def current_table(spark: SparkSession, base: str, schema: StructType,
+                  keys: tuple[str, ...]) -> DataFrame:
+    """The current state: the newest row per key over the latest snapshot
+    and the update epochs after it (older epochs are pruned by partition)."""
+    published = _published(schema)
+    try:
+        updates = spark.read.schema(published).parquet(f"{base}/updates")
     except AnalysisException:  # no micro-batch produced output
         updates = spark.createDataFrame([], published)
+    upto = _last_snapshot(spark, base)
+    if upto is not None:
+        snapshot = (spark.read.schema(schema).parquet(f"{base}/snapshots/upto={upto}")
+                    .withColumn("epoch", F.lit(upto).cast("long")))
+        updates = updates.filter(F.col("epoch") > upto).unionByName(snapshot)
     return latest_per_key(updates, list(keys))
 
 
+def compact(spark: SparkSession, base: str, schema: StructType, keys: tuple[str, ...]) -> int | None:
+    """Fold every published epoch into a new snapshot folder and record it;
+    readers then skip the folded epochs.  The snapshot never shares a folder
+    with an epoch, so a replayed micro-batch cannot overwrite it; folded
+    epoch folders can be removed by the storage's retention rules."""
+    published = _published(schema)
+    try:
+        last = spark.read.schema(published).parquet(f"{base}/updates").agg(F.max("epoch")).first()[0]
+    except AnalysisException:
+        return None
+    if last is None or last == _last_snapshot(spark, base):
+        return last
+    state = current_table(spark, base, schema, keys)
+    state.write.mode("overwrite").parquet(f"{base}/snapshots/upto={last}")
+    spark.createDataFrame([(int(last),)], "upto long").write.mode("append").parquet(f"{base}/compactions")
+    return last
+
+
 def latest_per_key(updates: DataFrame, keys: list[str]) -> DataFrame:
     """Newest published row per key across epochs."""
     values = [c for c in updates.columns if c not in keys and c != "epoch"]

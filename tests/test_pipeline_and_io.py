@@ -131,3 +131,25 @@ def test_command_line_run_on_csv_extracts(spark, scratch_dir):
     assert report["inputs"] == {"issues_in": 1530, "changes_in": 6000}
     assert report["tables"]["fact_tickets"] == 1476
     assert set(report["tables"]) == set(pipeline.CURATED_ORDER)
+
+
+def test_stream_resumes_and_compacts(spark, scratch_dir):
+    """Two runs of one named stream over files that arrive in two waves,
+    with a compaction in between, give the batch state."""
+    raw = fixture.raw_changes(spark, SMOKE_DIR)
+    src = f"{scratch_dir}/stream-src-{uuid.uuid4().hex[:8]}"
+    os.makedirs(src)
+    pdf = raw.toPandas().sort_values("created", ascending=False)
+    chunks = [pdf.iloc[k:k + 1500] for k in range(0, len(pdf), 1500)]
+    name = f"resume_{uuid.uuid4().hex[:8]}"
+    kwargs = dict(transform=lambda df: clean.parse_change_stamps(scan.scan_changes(df)), name=name)
+    for wave in (chunks[:2], chunks[2:]):
+        for chunk in wave:
+            pq.write_table(pa.Table.from_pandas(chunk, preserve_index=False),
+                           f"{src}/part-{uuid.uuid4().hex[:8]}.parquet")
+        state = streaming.run_available(spark, src, as_text(CHANGES_SCHEMA), "parquet", **kwargs)
+        if wave is chunks[:2]:
+            base = streaming.stream_base(spark, name)
+            assert streaming.compact(spark, base, state.schema, ("issueid",)) is not None
+    batch = model.from_tables(spark, SMOKE_DIR).state
+    assert same(state, batch)
