@@ -44,8 +44,13 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
-               batch_size: int = 10000, num_partitions: int | None = None) -> None:
-    """Full refresh of one warehouse table over JDBC (idempotent)."""
+               batch_size: int = 10000, num_partitions: int | None = 32) -> None:
+    """Full refresh of one warehouse table over JDBC (idempotent).
+
+    ``num_partitions`` caps the concurrent connections (Spark coalesces the
+    write to that many tasks); each task commits its rows as one
+    transaction, so a retried task does not leave half a partition behind
+    on a transactional database."""
     if df is None:
         raise ValueError(f"nothing to write to {table}")
     w = (df.write.format("jdbc")
