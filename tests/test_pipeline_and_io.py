@@ -153,3 +153,11 @@ def test_stream_resumes_and_compacts(spark, scratch_dir):
             assert streaming.compact(spark, base, state.schema, ("issueid",)) is not None
     batch = model.from_tables(spark, SMOKE_DIR).state
     assert same(state, batch)
+
+
+def test_fact_from_csv_extracts_equals_fact_from_text_frames(spark, scratch_dir):
+    base = f"{scratch_dir}/csvfact-{uuid.uuid4().hex[:8]}"
+    scan.write_csv_text(fixture.raw_issues(spark, SMOKE_DIR), f"{base}/issues")
+    scan.write_csv_text(fixture.raw_changes(spark, SMOKE_DIR), f"{base}/changes")
+    from_csv = model.from_csv(spark, f"{base}/issues", f"{base}/changes").fact
+    assert same(from_csv, model.from_tables(spark, SMOKE_DIR).fact)
