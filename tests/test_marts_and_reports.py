@@ -133,3 +133,23 @@ def test_sf001_counts_match_the_fixture_notes(spark):
     r1 = {r.priority: (r.total_tickets, r.met_target) for r in reports.sla_by_priority(m.fact).collect()}
     assert r1 == {"Critical": (1906, 11), "High": (1938, 104), "Medium": (1915, 571),
                   "Low": (1898, 1540), "Blocker": (919, 0), None: (1024, 0)}
+
+
+@pytest.mark.parametrize("last, counted_month", [
+    (dt.datetime(2021, 3, 31, 23, 0), 2),   # month-end: Mar 31 - 1 month clamps into February
+    (dt.datetime(2021, 1, 15, 8, 0), 12),   # year boundary: December of the year before
+])
+def test_top_agents_last_month_window(spark, last, counted_month):
+    prev = dt.datetime(last.year - (1 if counted_month == 12 else 0), counted_month, 10)
+    rows = [
+        {"ticket_id": 1, "assignee": "a", "start_time": prev, "resolution_time": prev},
+        {"ticket_id": 2, "assignee": "a", "start_time": prev, "resolution_time": prev},
+        {"ticket_id": 3, "assignee": "b", "start_time": prev, "resolution_time": prev},
+        # same month as the last resolution: not counted
+        {"ticket_id": 4, "assignee": "b", "start_time": last, "resolution_time": last},
+        # the last resolution belongs to an unassigned ticket: still sets the window
+        {"ticket_id": 5, "assignee": None, "start_time": last, "resolution_time": last},
+    ]
+    got = [(r.agent_name, r.tickets_resolved)
+           for r in reports.top_agents_last_month(fact_of(spark, rows)).collect()]
+    assert got == [("a", 2), ("b", 1)]
