@@ -153,3 +153,23 @@ def test_top_agents_last_month_window(spark, last, counted_month):
     got = [(r.agent_name, r.tickets_resolved)
            for r in reports.top_agents_last_month(fact_of(spark, rows)).collect()]
     assert got == [("a", 2), ("b", 1)]
+
+
+def test_zero_compliance_window_edges(spark):
+    end = dt.datetime(2021, 6, 30, 12, 0)
+    edge = end - dt.timedelta(days=30)               # inclusive bound
+    rows = [
+        {"ticket_id": 1, "category": "Met", "start_time": end, "resolution_target_met": True},
+        {"ticket_id": 2, "category": "Edge", "start_time": edge, "resolution_target_met": False},
+        {"ticket_id": 3, "category": "Unjudged", "start_time": end, "resolution_target_met": None},
+        # met, but just outside the window: does not rescue the category
+        {"ticket_id": 4, "category": "Unjudged", "start_time": edge - dt.timedelta(seconds=1),
+         "resolution_target_met": True},
+        # only outside the window: not reported at all
+        {"ticket_id": 5, "category": "Old", "start_time": edge - dt.timedelta(days=1),
+         "resolution_target_met": False},
+    ]
+    f = fact_of(spark, rows)
+    got = sorted(r.category for r in reports.zero_compliance_categories(f).collect())
+    assert got == ["Edge", "Unjudged"]
+    assert got == sorted(r.category for r in reports.zero_compliance_categories_anti(f).collect())
