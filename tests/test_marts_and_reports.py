@@ -173,3 +173,15 @@ def test_zero_compliance_window_edges(spark):
     got = sorted(r.category for r in reports.zero_compliance_categories(f).collect())
     assert got == ["Edge", "Unjudged"]
     assert got == sorted(r.category for r in reports.zero_compliance_categories_anti(f).collect())
+
+
+def test_fastest_growing_categories_uses_each_latest_month(spark):
+    from deskmetrics.plans import extras
+    rows = []
+    for cat, counts in {"A": (2, 4), "B": (4, 2), "C": (3, None)}.items():
+        for month, n in zip((1, 2), counts):
+            for i in range(n or 0):
+                rows.append({"ticket_id": len(rows), "category": cat, "start_time": d(2021, month, 3)})
+    got = [(r.category, r.volume_change_pct)
+           for r in extras.fastest_growing_categories(fact_of(spark, rows)).collect()]
+    assert got == [("A", 100.0), ("B", -50.0)]
