@@ -185,3 +185,15 @@ def test_fastest_growing_categories_uses_each_latest_month(spark):
     got = [(r.category, r.volume_change_pct)
            for r in extras.fastest_growing_categories(fact_of(spark, rows)).collect()]
     assert got == [("A", 100.0), ("B", -50.0)]
+
+
+def test_dim_date_covers_starts_and_resolutions(spark):
+    from deskmetrics.plans import extras
+    rows = [{"ticket_id": 1, "start_time": dt.datetime(2020, 2, 27, 9), "resolution_time": None},
+            {"ticket_id": 2, "start_time": dt.datetime(2020, 2, 28, 9),
+             "resolution_time": dt.datetime(2020, 3, 2, 1)}]
+    got = extras.dim_date(fact_of(spark, rows)).orderBy("date").collect()
+    assert [r.date_key for r in got] == [20200227, 20200228, 20200229, 20200301, 20200302]
+    leap = got[2]
+    assert (leap.year, leap.quarter, leap.month, leap.day, leap.day_of_week) == (2020, 1, 2, 29, 7)
+    assert str(got[3].month_start) == "2020-03-01"
