@@ -197,3 +197,16 @@ def test_dim_date_covers_starts_and_resolutions(spark):
     leap = got[2]
     assert (leap.year, leap.quarter, leap.month, leap.day, leap.day_of_week) == (2020, 1, 2, 29, 7)
     assert str(got[3].month_start) == "2020-03-01"
+
+
+def test_workload_bands_use_exact_quartiles(spark):
+    from deskmetrics.plans import extras
+    loads = {"a": 1, "b": 2, "c": 3, "d": 4, "e": 100}
+    rows = [{"ticket_id": i, "assignee": agent, "start_time": d(2021, 1, 1)}
+            for i, (agent, n) in enumerate((a, n) for a, n in loads.items() for _ in range(n))]
+    rows = [dict(r, ticket_id=i) for i, r in enumerate(rows)]
+    got = {r.agent_name: (r.tickets, r.p25_tickets, r.p75_tickets, r.workload_band)
+           for r in extras.agent_workload_spread(fact_of(spark, rows)).collect()}
+    assert got == {"a": (1, 2.0, 4.0, "under"), "b": (2, 2.0, 4.0, "normal"),
+                   "c": (3, 2.0, 4.0, "normal"), "d": (4, 2.0, 4.0, "normal"),
+                   "e": (100, 2.0, 4.0, "over")}
