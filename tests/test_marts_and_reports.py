@@ -210,3 +210,15 @@ def test_workload_bands_use_exact_quartiles(spark):
     assert got == {"a": (1, 2.0, 4.0, "under"), "b": (2, 2.0, 4.0, "normal"),
                    "c": (3, 2.0, 4.0, "normal"), "d": (4, 2.0, 4.0, "normal"),
                    "e": (100, 2.0, 4.0, "over")}
+
+
+def test_running_total_and_status_shares(spark):
+    rows = ([{"ticket_id": i, "resolution_time": d(2021, 1, 5), "status": "Closed"} for i in range(3)]
+            + [{"ticket_id": 10 + i, "resolution_time": d(2021, 4, 5), "status": "Open"} for i in range(1)]
+            + [{"ticket_id": 20, "resolution_time": None, "status": None}])
+    f = fact_of(spark, rows)
+    got = [(r.month.month, r.monthly_resolved, r.running_total)
+           for r in reports.running_resolved_total(f).orderBy("month").collect()]
+    assert got == [(1, 3, 3), (4, 1, 4)]
+    shares = {r.status: (r.ticket_count, r.percentage) for r in reports.status_distribution(f).collect()}
+    assert shares == {"Closed": (3, 75.0), "Open": (1, 25.0)}
