@@ -222,3 +222,17 @@ def test_running_total_and_status_shares(spark):
     assert got == [(1, 3, 3), (4, 1, 4)]
     shares = {r.status: (r.ticket_count, r.percentage) for r in reports.status_distribution(f).collect()}
     assert shares == {"Closed": (3, 75.0), "Open": (1, 25.0)}
+
+
+def test_tiles_drop_null_keys_and_empty_means(spark):
+    rows = [{"ticket_id": 1, "priority": "High", "resolution_duration_hours": 10.0, "start_time": d(2021, 1, 1)},
+            {"ticket_id": 2, "priority": "High", "resolution_duration_hours": 20.0, "start_time": d(2021, 2, 1)},
+            {"ticket_id": 3, "priority": "Low", "resolution_duration_hours": None, "start_time": d(2021, 3, 1)},
+            {"ticket_id": 4, "priority": None, "resolution_duration_hours": 99.0, "start_time": None}]
+    disp = dashboard.display_frame(fact_of(spark, rows))
+    assert [(r.priority, r.avg_hours) for r in dashboard.avg_hours_by_priority(disp).collect()] == [
+        ("High", 15.0)]
+    assert [(r.ym, r.tickets) for r in dashboard.tickets_per_month(disp, n=2).collect()] == [
+        ("2021-03", 1), ("2021-02", 1)]
+    assert {r.priority: r.tickets for r in dashboard.tickets_by_priority(disp).collect()} == {
+        "High": 2, "Low": 1}
