@@ -236,3 +236,12 @@ def test_tiles_drop_null_keys_and_empty_means(spark):
         ("2021-03", 1), ("2021-02", 1)]
     assert {r.priority: r.tickets for r in dashboard.tickets_by_priority(disp).collect()} == {
         "High": 2, "Low": 1}
+
+
+def test_category_trend_carries_mean_hours(spark):
+    rows = [{"ticket_id": 1, "category": "Bug", "start_time": d(2021, 1, 2), "resolution_duration_hours": 1.0},
+            {"ticket_id": 2, "category": "Bug", "start_time": d(2021, 1, 3), "resolution_duration_hours": 2.0},
+            {"ticket_id": 3, "category": "Bug", "start_time": d(2021, 2, 3), "resolution_duration_hours": None}]
+    got = {r.month.month: (r.ticket_volume, r.avg_resolution_hours, r.volume_change_pct)
+           for r in marts.category_trends_with_hours(fact_of(spark, rows)).collect()}
+    assert got == {1: (2, 1.5, None), 2: (1, None, -50.0)}
