@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import quality_rules
+from . import jaccard_join, quality_rules
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,12 +18,17 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(prepare(spark), sf_dir, "documents")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_documents(spark, sf_dir), shingle=3, num=9, den=10)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     return quality_rules.judge(docs).drop("text", "clean_text")
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op6_jaccard_join,
     op9_quality_rules,
 )}
 

@@ -45,3 +45,33 @@ def base_rules(text: str | None) -> tuple:
 
 def sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def shingles(text: str | None, size: int) -> set[tuple]:
+    w = words(lower(text or ""))
+    if not w:
+        return set()
+    size = min(size, len(w))
+    return {tuple(w[i:i + size]) for i in range(len(w) - size + 1)}
+
+
+def jaccard_components(texts: dict, size: int, num: int, den: int) -> dict:
+    """id -> (set size, least id reachable) by comparing all pairs."""
+    sets = {k: shingles(t, size) for k, t in texts.items()}
+    up = {k: k for k in sets}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+    keys = sorted(k for k in sets if sets[k])
+    for i, a in enumerate(keys):
+        for b in keys[i + 1:]:
+            small, large = sorted((len(sets[a]), len(sets[b])))
+            if den * small < num * large:
+                continue
+            inter = len(sets[a] & sets[b])
+            if den * inter >= num * (len(sets[a]) + len(sets[b]) - inter):
+                x, y = root(a), root(b)
+                up[max(x, y)] = min(x, y)
+    return {k: (len(sets[k]), root(k)) for k in sets}
