@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import jaccard_join, quality_rules
+from . import hmm, jaccard_join, quality_rules
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(prepare(spark), sf_dir, "documents")
 
 
+def op1_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.train_and_score(_documents(spark, sf_dir))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(_documents(spark, sf_dir), shingle=3, num=9, den=10)
 
@@ -28,6 +32,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_hidden_markov,
     op6_jaccard_join,
     op9_quality_rules,
 )}
