@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import hmm, jaccard_join, quality_rules
-from .common import table
+from . import hmm, jaccard_join, quality_rules, token_frames
+from .common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,17 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(_documents(spark, sf_dir), shingle=3, num=9, den=10)
 
 
+def byte_bpe() -> str:
+    """The byte-level vocabulary's file among the public tokenizers."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op7_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_frames.write_frames(_documents(spark, sf_dir), scratch(spark, "tokens"), byte_bpe())
+    return token_frames.read_frames(files)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     return quality_rules.judge(docs).drop("text", "clean_text")
@@ -34,6 +45,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_hidden_markov,
     op6_jaccard_join,
+    op7_token_frames,
     op9_quality_rules,
 )}
 
