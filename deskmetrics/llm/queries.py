@@ -6,10 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import hmm, jaccard_join, quality_rules, token_frames
-from .common import scratch, table
+from . import hmm, html_wrapper, jaccard_join, pairwise_rank, quality_rules, secrets, token_frames
+from .common import held_out, scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,25 @@ def op1_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.train_and_score(_documents(spark, sf_dir))
 
 
+def op4_pairwise_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(held_out("doc_id", 5) != 0)
+    ranking = pairwise_rank.learn(docs, labels)
+    return pairwise_rank.score(docs, ranking).select(
+        "doc_id", (held_out("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= pairwise_rank.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_documents(spark, sf_dir).select("doc_id", "text"))
+    count = lambda kind: F.size(secrets.of_kinds(F.col("spans"), (kind,))).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in secrets.KINDS],
+        F.sha2(secrets.listed(secrets.of_kinds(F.col("spans"), secrets.BASE_KINDS)).cast("binary"), 256)
+        .alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(_documents(spark, sf_dir), shingle=3, num=9, den=10)
 
@@ -37,6 +57,11 @@ def op7_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames.read_frames(files)
 
 
+def op8_html_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(prepare(spark), sf_dir, "pages")
+    return html_wrapper.main_text(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     return quality_rules.judge(docs).drop("text", "clean_text")
@@ -44,8 +69,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_hidden_markov,
+    op4_pairwise_rank,
+    op5_secret_scan,
     op6_jaccard_join,
     op7_token_frames,
+    op8_html_wrapper,
     op9_quality_rules,
 )}
 
