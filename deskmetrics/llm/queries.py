@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import hmm, html_wrapper, jaccard_join, pairwise_rank, quality_rules, secrets, token_frames
+from . import decontaminate, hmm, html_wrapper, jaccard_join, mixing, pairwise_rank, quality_rules, secrets, token_frames
 from .common import held_out, scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,24 @@ def op1_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.train_and_score(_documents(spark, sf_dir))
 
 
+def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, domain) of the labelled documents."""
+    return table(spark, sf_dir, "labels").select(
+        "doc_id", mixing.domain_of(F.col("quality"), F.col("toxic")).alias("domain"))
+
+
+def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "source", "text")
+    return mixing.document_rates(docs, domains(spark, sf_dir)).drop("posterior") \
+        .withColumn("copies", mixing.copies(F.col("rate"), F.col("doc_id")))
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 def op4_pairwise_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").filter(held_out("doc_id", 5) != 0)
@@ -69,6 +87,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_hidden_markov,
+    op2_soft_mixing,
+    op3_decontaminate,
     op4_pairwise_rank,
     op5_secret_scan,
     op6_jaccard_join,

@@ -75,3 +75,21 @@ def jaccard_components(texts: dict, size: int, num: int, den: int) -> dict:
                 x, y = root(a), root(b)
                 up[max(x, y)] = min(x, y)
     return {k: (len(sets[k]), root(k)) for k in sets}
+
+
+def contamination(text: str | None, items: dict, window: int = 10) -> tuple:
+    """(words, hit words, ids of the items with windows in the text)."""
+    w = item_words(text)
+    places: dict[str, list[int]] = {}
+    for i, x in enumerate(w):
+        places.setdefault(x, []).append(i)
+    hit, found = set(), set()
+    for item_id, item in items.items():
+        v = item_words(item)
+        size = min(window, len(v))
+        for o in range(len(v) - size + 1) if v else ():
+            for i in places.get(v[o], ()):
+                if w[i:i + size] == v[o:o + size]:
+                    hit |= set(range(i, i + size))
+                    found.add(item_id)
+    return len(w), len(hit), found
