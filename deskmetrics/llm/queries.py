@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import decontaminate, hmm, html_wrapper, jaccard_join, mixing, pairwise_rank, quality_rules, secrets, token_frames
+from . import decontaminate, hmm, html_wrapper, jaccard_join, line_dedup, mixing, pairwise_rank, quality_rules, secrets, token_frames
 from .common import held_out, scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs).drop("text", "clean_text")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.by_document(_documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_hidden_markov,
     op2_soft_mixing,
@@ -95,6 +100,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op7_token_frames,
     op8_html_wrapper,
     op9_quality_rules,
+    op10_line_dedup,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
