@@ -18,6 +18,25 @@ SPACE_WORD = r"[^\x20\x09-\x0D]+"
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores added until no frame has such a column."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def every(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever their names hold."""
+    return [df[f"`{c}`"] for c in df.columns]
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without columns of these names (in any case)."""
+    gone = {n.lower() for n in names}
+    return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in gone])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

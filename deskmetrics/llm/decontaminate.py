@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bits
-from .common import ITEM_WORD, ascii_lower, drop_staged, staged
+from .common import ITEM_WORD, ascii_lower, fresh, staged
 
 WINDOW = 10
 SHINGLE = 5
@@ -134,12 +134,10 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 def clean(docs: DataFrame, items: DataFrame, **columns) -> DataFrame:
     """``docs`` without the contaminated documents.  Only texts that a bit
     array lets through are moved to meet the exact list."""
+    id_col, text_col, name = columns.get("id_col", "doc_id"), columns.get("text_col", "text"), fresh("_bad", docs)
     bad = staged(contamination(docs, items, **columns).filter("contaminated")
-                 .select(F.xxhash64(F.col(columns.get("id_col", "doc_id")), "text_hash").alias("_bad")).distinct(),
-                 "contaminated")
-    key = F.xxhash64(F.col(columns.get("id_col", "doc_id")), F.xxhash64(F.col(columns.get("text_col", "text"))))
+                 .select(F.xxhash64(id_col, "text_hash").alias(name)).distinct(), "contaminated")
+    key = F.xxhash64(docs[id_col], F.xxhash64(docs[text_col]))
     n_bits = bits.size_for(bad.count())
-    held = bits.bit_words(bad, "_bad", n_bits)
-    near = docs.filter(bits.may_hold(held, key, n_bits))
-    return docs.filter(~bits.may_hold(held, key, n_bits)).unionAll(
-        near.join(bad, key == F.col("_bad"), "left_anti"))
+    may = bits.may_hold(bits.bit_words(bad, name, n_bits), key, n_bits)
+    return docs.filter(~may).unionAll(docs.filter(may).join(bad, key == bad[name], "left_anti"))

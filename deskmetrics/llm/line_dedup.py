@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bits
-from .common import SPACE_WORD, ascii_lower, drop_staged, staged
+from .common import SPACE_WORD, ascii_lower, drop_staged, every, staged
 
 SLOTS = 1 << 20
 LEVEL_SHIFT = 57
@@ -183,11 +183,10 @@ def by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
     """``docs`` without the removed lines; texts that keep all lines stay as they are."""
     removed = (line_verdicts(docs, id_col, text_col, num, den).filter("removed").distinct()
-               .groupBy("id", "h").agg(F.collect_list("line_no").alias("_gone")))
-    h = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    keyed = docs.withColumn("_h", h)
-    same = keyed[id_col].eqNullSafe(removed["id"]) & (keyed["_h"] == removed["h"])
-    lines = F.filter(F.split(F.col(text_col), "\n", -1), lambda line, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n"))
-    return keyed.join(removed, same, "left").select(
-        *[text.alias(c) if c == text_col else keyed[c] for c in docs.columns])
+               .groupBy("id", "h").agg(F.collect_list("line_no").alias("gone")))
+    own, gone = docs[text_col], removed["gone"]
+    same = docs[id_col].eqNullSafe(removed["id"]) & (F.xxhash64(F.coalesce(own, F.lit(""))) == removed["h"])
+    lines = F.filter(F.split(own, "\n", -1), lambda line, i: ~F.array_contains(gone, i))
+    text = F.when(gone.isNull(), own).otherwise(F.array_join(lines, "\n"))
+    return docs.join(removed, same, "left").select(
+        *[text.alias(c) if c == text_col else col for c, col in zip(docs.columns, every(docs))])

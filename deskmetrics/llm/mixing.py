@@ -38,7 +38,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructType
 
 from . import features
 from . import words as W
-from .common import drop_staged, staged
+from .common import drop_staged, every, fresh, staged, without
 
 #: Production targets: shares of all tokens by domain.
 TARGETS = {"good": 0.9, "low": 0.1, "toxic": 0.0}
@@ -172,9 +172,9 @@ def learn(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
 
 
 def with_posteriors(docs: DataFrame, classifier: Classifier | None, text_col: str = "text") -> DataFrame:
-    """``docs`` without the text, with ``n_tokens`` (words) and ``posterior``."""
-    if clash := {"n_tokens", "posterior"} & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} exist; rename them")
+    """``docs`` without the text, with ``n_tokens`` (words) and ``posterior``;
+    input columns of these names are replaced."""
+    docs = without(docs, "n_tokens", "posterior")
     kept = [c for c in docs.columns if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +233,8 @@ def solve(members: DataFrame, targets: np.ndarray, iterations: int = ITERATIONS,
 def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None,
                    id_col: str = "doc_id", text_col: str = "text", iterations: int = ITERATIONS) -> DataFrame:
     """``docs`` without the text, with ``n_tokens``, ``posterior``, ``rate``
-    and one ``p_<domain>`` for each domain.  The targets are shares of the
+    and one ``p_<domain>`` for each domain (input columns of these names are
+    replaced).  The targets are shares of the
     tokens there are, so the mean rate of a token is one."""
     targets = TARGETS if targets is None else targets
     classifier = learn(docs, labelled, id_col, text_col)
@@ -244,9 +245,10 @@ def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
     if share.sum() <= 0:
         raise ValueError(f"no target for any of the domains {domains}")
     residuals = solve(members, share / share.sum() * tokens, iterations)
+    added = [f"p_{d}" for d in domains]
     return members.select(
-        "*", _rate(F.col("posterior"), residuals).alias("rate"),
-        *[F.get("posterior", F.lit(j)).alias(f"p_{d}") for j, d in enumerate(domains)])
+        *every(without(members, "rate", *added)), _rate(F.col("posterior"), residuals).alias("rate"),
+        *[F.get("posterior", F.lit(j)).alias(name) for j, name in enumerate(added)])
 
 
 def copies(rate: Column, key: Column) -> Column:
@@ -260,9 +262,10 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
     """``docs`` with each row taken as often as its rate says (not at all,
     once or repeatedly); rows of one id are taken alike."""
     rates = document_rates(docs.select("doc_id", "text"), labelled, targets)
-    times = (rates.filter("doc_id is not null").groupBy("doc_id").agg(F.max("rate").alias("rate"))
-             .select("doc_id", copies(F.col("rate"), F.col("doc_id")).alias("_times"))
-             .filter("_times > 0"))
-    taken = docs.join(times, "doc_id").select(
-        *[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy"))
-    return taken.drop("_copy").unionByName(docs.filter("doc_id is null"))
+    key, times, copy = (fresh(n, docs) for n in ("_key", "_times", "_copy"))
+    taken = (rates.filter("doc_id is not null").groupBy("doc_id").agg(F.max("rate").alias("rate"))
+             .select(F.col("doc_id").alias(key), copies(F.col("rate"), F.col("doc_id")).alias(times))
+             .filter(F.col(times) > 0))
+    repeated = docs.join(taken, docs["doc_id"] == F.col(key)).select(
+        *every(docs), F.explode(F.sequence(F.lit(1), F.col(times))).alias(copy))
+    return repeated.drop(copy).unionAll(docs.filter("doc_id is null"))

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructType
 
 from . import words as W
-from .common import per_batch
+from .common import per_batch, without
 
 WINDOW = 8
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
@@ -166,11 +166,10 @@ ADDED = (("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.i
 
 def judge(docs: DataFrame, text_col: str = "text", rules: Rules = Rules(),
           prefix: str = "") -> DataFrame:
-    """``docs`` with the columns of ``ADDED`` (names led by ``prefix``, to
-    keep clear of columns of the input)."""
+    """``docs`` with the columns of ``ADDED`` (names led by ``prefix``); input
+    columns of these names are replaced."""
     names = [prefix + name for name, _ in ADDED]
-    if clash := set(names) & set(docs.columns):
-        raise ValueError(f"columns {sorted(clash)} exist; give a prefix")
+    docs = without(docs, *names)
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows: list[tuple] = []
@@ -189,8 +188,12 @@ def judge(docs: DataFrame, text_col: str = "text", rules: Rules = Rules(),
 def clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that are kept, with the failing lines removed from
     ``text`` and ``n_chars`` (if there) set to the new length."""
-    judged = judge(docs, "text", rules, prefix="_q_").filter("_q_kept")
-    cols = [F.col("_q_clean_text").alias("text") if c == "text" else
-            F.length("_q_clean_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    judged = judge(docs, "text", rules, prefix).filter(F.col(f"{prefix}kept"))
+    text = F.col(f"{prefix}clean_text")
+    cols = [text.alias(c) if c == "text" else
+            F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else
             F.col(f"`{c}`") for c in docs.columns]
     return judged.select(*cols)
