@@ -2,7 +2,7 @@
 
     python -m deskmetrics --issues s3a://raw/issues.csv \\
         --changes s3a://raw/issues_change_history.csv --out s3a://curated/ \\
-        [--jdbc-url jdbc:postgresql://host/db --jdbc-property user=... ...]
+        [--jdbc-url jdbc:postgresql://host/db --jdbc-connections 16 --jdbc-property user=... ...]
 
     (or ``spark-submit --py-files deskmetrics.zip deskmetrics/__main__.py ...``)
 
@@ -29,6 +29,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     ap.add_argument("--changes", required=True, help="change-log CSV (file or folder)")
     ap.add_argument("--out", required=True, help="curated zone folder")
     ap.add_argument("--jdbc-url", default=None)
+    ap.add_argument("--jdbc-connections", type=int, default=None,
+                    help="concurrent writers of the warehouse load (required with --jdbc-url)")
     ap.add_argument("--jdbc-property", action="append", default=[],
                     help="key=value JDBC option (repeatable); "
                          "DESKMETRICS_JDBC_PASSWORD is used when no password is given")
@@ -43,7 +45,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         props["password"] = os.environ["DESKMETRICS_JDBC_PASSWORD"]
     m = model.from_csv(spark, args.issues, args.changes)
     result = pipeline.run(spark, m.issues, m.changes, args.out,
-                          jdbc_url=args.jdbc_url, jdbc_properties=props)
+                          jdbc_url=args.jdbc_url, jdbc_properties=props,
+                          jdbc_connections=args.jdbc_connections)
     sizes = {r.table_name: r.rows for r in pipeline.table_sizes(result.tables).collect()}
     report = {"inputs": result.metrics, "tables": sizes}
     print(json.dumps(report))

@@ -95,6 +95,13 @@ def round2(c: str | Column) -> Column:
     return F.round(_col(c), 2)
 
 
-def as_ntz(c: str | Column) -> Column:
-    """Output stamps as wall-clock time without zone."""
-    return _col(c).cast("timestamp_ntz")
+def mean_hours(c: str | Column) -> Column:
+    """Mean of durations in hours: whole seconds are added up and divided
+    once, so the result does not depend on the order of rows."""
+    seconds = F.round(_col(c) * F.lit(3600.0)).cast("long")
+    return F.try_divide(F.sum(seconds).cast("double"), F.count(seconds) * F.lit(3600.0))
+
+
+def mean_at_rest(c: str | Column) -> Column:
+    """Unrounded mean of stored (DECIMAL) hours from their exact sum."""
+    return F.try_divide(F.sum(_col(c)).cast("double"), F.count(_col(c)).cast("double"))

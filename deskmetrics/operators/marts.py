@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import month_start, round2
+from ..functions.columns import mean_hours, month_start, round2
+from ..session import scratch, staged
 
 
 def _resolved(fact: DataFrame) -> DataFrame:
@@ -20,18 +21,20 @@ def agent_volume(fact: DataFrame) -> DataFrame:
     """G1: per agent, resolved tickets and mean hours (2 places)."""
     return (_resolved(fact).groupBy("assignee")
             .agg(F.count("ticket_id").alias("tickets_resolved"),
-                 round2(F.avg("resolution_duration_hours")).alias("avg_resolution_duration_hours")))
+                 round2(mean_hours("resolution_duration_hours")).alias("avg_resolution_duration_hours")))
 
 
 def dense_rank_desc(df: DataFrame, value: str, rank_col: str) -> DataFrame:
     """Dense rank of ``value`` (largest first) over the whole frame.
 
-    Used on aggregates with one row per agent (bounded by head count), so
-    the all-rows window sorts agents, never tickets.  (Ranking only the
-    distinct values and joining back would read the aggregate twice, and
-    Catalyst prunes the two reads differently, so the fact would be
-    computed twice.)"""
-    return df.withColumn(rank_col, F.dense_rank().over(Window.orderBy(F.col(value).desc())))
+    The frame (an aggregate, one row per agent) is saved once; its distinct
+    values are ranked -- k distinct counts need at least k * (k - 1) / 2
+    tickets, so they are far fewer than agents -- and joined back, so the
+    agents never meet in one task."""
+    saved = staged(df, scratch(df.sparkSession, "to-rank"))
+    ranks = saved.select(F.col(value).alias("_value")).distinct().withColumn(
+        rank_col, F.dense_rank().over(Window.orderBy(F.col("_value").desc())))
+    return saved.join(ranks, saved[value].eqNullSafe(ranks["_value"])).drop("_value")
 
 
 def agent_rank_by_volume(fact: DataFrame) -> DataFrame:
@@ -76,5 +79,24 @@ def category_trends_with_hours(fact: DataFrame) -> DataFrame:
     """R-D1: the category trend with the mean resolution hours per month."""
     monthly = (fact.groupBy("category", month_start("start_time").alias("month"))
                .agg(F.count("ticket_id").alias("ticket_volume"),
-                    round2(F.avg("resolution_duration_hours")).alias("avg_resolution_hours")))
+                    round2(mean_hours("resolution_duration_hours")).alias("avg_resolution_hours")))
     return with_month_over_month(monthly)
+
+
+def typed_agent_performance(agents: DataFrame) -> DataFrame:
+    """The agent mart with the warehouse's types."""
+    return agents.select("agent_id", F.col("tickets_resolved").cast("int").alias("tickets_resolved"),
+                         F.col("avg_resolution_duration_hours").cast("decimal(10,2)")
+                         .alias("avg_resolution_duration_hours"), "rank_by_volume")
+
+
+def typed_resolution_performance(perf: DataFrame) -> DataFrame:
+    return perf.select("priority", "month", F.col("tickets_resolved").cast("int").alias("tickets_resolved"),
+                       F.col("compliance_rate").cast("decimal(5,2)").alias("compliance_rate"))
+
+
+def typed_category_trends(trends: DataFrame) -> DataFrame:
+    """Changes are kept as DECIMAL(12,2): a small category can grow by more
+    than the declared DECIMAL(6,2) holds."""
+    return trends.select("category", "month", F.col("ticket_volume").cast("int").alias("ticket_volume"),
+                         F.col("volume_change_pct").cast("decimal(12,2)").alias("volume_change_pct"))

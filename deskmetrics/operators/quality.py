@@ -58,16 +58,18 @@ def check_not_null(wfact: DataFrame, dim_tables: dict[str, DataFrame]) -> DataFr
 
 
 def check_foreign_keys(wfact: DataFrame, dim_tables: dict[str, DataFrame]) -> DataFrame:
-    """Fact keys without a dimension row (NULL keys are allowed)."""
-    out = []
-    for table, dim in dim_tables.items():
-        key = dim.columns[0]
-        orphans = (wfact.filter(F.col(key).isNotNull()).select(key)
-                   .join(dim.select(key), key, "left_anti"))
-        out.append(orphans.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit("fact_tickets").alias("table_name"), F.lit(key).alias("column_name"),
-            F.col("violations")))
-    return _union(out)
+    """Fact keys without a dimension row (NULL keys are allowed).  One
+    scan: the fact's keys are counted per (column, key) before they meet the
+    dimensions' keys, so a hot key is one row."""
+    keys = [dim.columns[0] for dim in dim_tables.values()]
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("column_name"), F.col(k).alias("key")) for k in keys]))
+    used = (wfact.select(pairs.alias("p")).select("p.*").filter("key is not null")
+            .groupBy("column_name", "key").agg(F.count(F.lit(1)).alias("_n")))
+    known = reduce(DataFrame.unionAll, [
+        dim.select(F.lit(k).alias("column_name"), F.col(k).alias("key")) for k, dim in zip(keys, dim_tables.values())])
+    orphans = used.join(known, ["column_name", "key"], "left_anti").agg(*[
+        F.coalesce(F.sum(F.when(F.col("column_name") == k, F.col("_n"))), F.lit(0)).alias(k) for k in keys])
+    return _rows("fact_tickets", orphans, {k: F.max(k) for k in keys})
 
 
 def _too_long(col: str, n: int) -> Column:
@@ -101,39 +103,21 @@ def check_bounds(fact: DataFrame, dim_tables: dict[str, DataFrame],
     return _union(out)
 
 
-def quality_counts(parsed: DataFrame, changes: DataFrame, fact: DataFrame) -> DataFrame:
-    """The counters the reference logs, as (metric, value) rows:
-    rows read, invalid resolutions, rows after de-dup, dimension sizes.
-
-    The fact is read once: every row is exploded into its (role, name) pairs
-    plus one row marker, counted per pair, then per role -- the marker's sum
-    is the row count, the other roles' pair counts are the dimension sizes."""
+def ticket_counters() -> dict[str, Column]:
+    """What the reference logs about the parsed tickets, as aggregates."""
     res, created = F.col("issue_resolution_date"), F.col("issue_created")
-    tickets = _rows("issues", parsed, {
-        "rows_in": F.count(F.lit(1)),
-        "invalid_resolution": F.count_if(res.isNotNull() & (res < created)),
-        "resolved_without_created": F.count_if(res.isNotNull() & created.isNull()),
-    })
-    log = _rows("changes", changes, {"rows_in": F.count(F.lit(1))})
-    dims = {"reporter": "dim_customers", "assignee": "dim_agents", "project": "dim_projects"}
-    pairs = F.explode(F.array(
-        F.struct(F.lit("rows").alias("role"), F.lit(None).cast("string").alias("name")),
-        *[F.struct(F.lit(r).alias("role"), F.col(r).alias("name")) for r in dims]))
-    per_role = (fact.select(pairs.alias("p")).select("p.role", "p.name")
-                .groupBy("role", "name").agg(F.count(F.lit(1)).alias("_n"))
-                .groupBy("role").agg(F.sum("_n").alias("_rows"),
-                                     F.count_if(F.col("name").isNotNull()).alias("_names"))
-                .select("role", F.when(F.col("role") == "rows", F.col("_rows"))
-                        .otherwise(F.col("_names")).alias("_v")))
-    # pivot on the known roles: one row even for an empty fact, so every
-    # metric is reported (0 rather than missing)
-    wide = per_role.groupBy().pivot("role", ["rows", *dims]).agg(F.first("_v"))
-    metrics = {"rows": "fact_tickets.rows_after_dedup",
-               **{r: f"dimensions.{d}" for r, d in dims.items()}}
-    facts = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.coalesce(F.col(r), F.lit(0)).cast("long").alias("value"))
-        for r, m in metrics.items()])).alias("m")).select("m.metric", "m.value")
-    return (_union([tickets, log])
-            .select(F.concat_ws(".", "table_name", "column_name").alias("metric"),
-                    F.col("violations").alias("value"))
-            .unionByName(facts))
+    return {"rows_in": F.count(F.lit(1)),
+            "invalid_resolution": F.count_if(res.isNotNull() & (res < created)),
+            "resolved_without_created": F.count_if(res.isNotNull() & created.isNull())}
+
+
+def quality_counts(parsed: DataFrame, changes: DataFrame, fact: DataFrame) -> DataFrame:
+    """C5 as a query of its own: the same counters that the batch run gathers
+    by ``Observation`` while it writes, as (metric, value) rows."""
+    tickets = _rows("issues", parsed, ticket_counters())
+    rows = [tickets, _rows("changes", changes, {"rows_in": F.count(F.lit(1))}),
+            _rows("fact_tickets", fact, {"rows_after_dedup": F.count(F.lit(1))}),
+            _rows("dimensions", fact, {d: F.count_distinct(r) for r, d in (
+                ("reporter", "dim_customers"), ("assignee", "dim_agents"), ("project", "dim_projects"))})]
+    return _union(rows).select(F.concat_ws(".", "table_name", "column_name").alias("metric"),
+                               F.col("violations").alias("value"))

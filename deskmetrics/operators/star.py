@@ -9,13 +9,13 @@ without moving all names through one task:
    three dimensions (partial aggregation map-side);
 2. the pairs are range-partitioned and sorted; each row's position inside
    its partition comes from ``monotonically_increasing_id`` (partition index
-   in the high bits, row number in the low 33), taken once and saved with
-   ``checkpoint()`` in the shared checkpoint folder so a lost executor cannot
-   re-run it with another layout;
+   in the high bits, row number in the low 33), taken once and written to the
+   shared checkpoint folder so a lost executor cannot re-run it with another
+   layout;
 3. per (partition, role) counts -- at most 3 x partitions rows, a proven
    bound -- give each range its offset, broadcast back to the rows;
-4. the keyed names are saved and counted once, and the fact's lookups are
-   broadcast only when that count is within ``BROADCAST_MAX_ROWS``.
+4. the keyed names are written once; the fact's lookups are plain joins, and
+   AQE broadcasts them or splits hot names from measured sizes.
 
 The result does not depend on where the range boundaries fell: ranges are
 contiguous and ordered, so offset + position is the row's rank.
@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import scratch, staged
 
 # (role in the fact, key column, name column) of each dimension.
 DIMENSIONS = {
@@ -39,15 +39,9 @@ DIMENSIONS = {
 _POS_BITS = 33
 
 
-# Dimension lookups up to this many rows (all roles together) are broadcast
-# to the fact; larger ones are joined with a shuffle.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
 @dataclass(frozen=True)
 class Dimensions:
     keyed: DataFrame  # role, name, key -- all dimensions in one frame
-    rows: int         # measured size of ``keyed``
 
     def table(self, dim: str) -> DataFrame:
         role, key_col, name_col = DIMENSIONS[dim]
@@ -65,14 +59,12 @@ def distinct_names(fact: DataFrame, roles: list[str]) -> DataFrame:
 
 def dense_keys(pairs: DataFrame) -> DataFrame:
     """(role, name) -> (role, name, key) with key = rank of name within role."""
-    checkpoint_dir(pairs.sparkSession)
     mid = F.monotonically_increasing_id()
-    ranged = (pairs.repartitionByRange("role", "name")
-              .sortWithinPartitions("role", "name")
-              .select("role", "name",
-                      F.shiftright(mid, _POS_BITS).alias("_part"),
-                      mid.bitwiseAND((1 << _POS_BITS) - 1).alias("_pos"))
-              .checkpoint(eager=True))
+    ranged = staged(
+        pairs.repartitionByRange("role", "name").sortWithinPartitions("role", "name")
+        .select("role", "name", F.shiftright(mid, _POS_BITS).alias("_part"),
+                mid.bitwiseAND((1 << _POS_BITS) - 1).alias("_pos")),
+        scratch(pairs.sparkSession, "names"))
     before = Window.partitionBy("role").orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1)
     ranges = (ranged.groupBy("_part", "role")
@@ -85,27 +77,20 @@ def dense_keys(pairs: DataFrame) -> DataFrame:
 
 def build_dimensions(fact: DataFrame, dims=tuple(DIMENSIONS)) -> Dimensions:
     """Key all requested dimensions from one pass over the fact; the keyed
-    names are saved (checkpoint) and counted, so the lookups below know
-    their size before they are joined."""
-    keyed = dense_keys(distinct_names(fact, [DIMENSIONS[d][0] for d in dims])).checkpoint(eager=True)
-    return Dimensions(keyed, keyed.count())
+    names are written once."""
+    keyed = dense_keys(distinct_names(fact, [DIMENSIONS[d][0] for d in dims]))
+    return Dimensions(staged(keyed, scratch(fact.sparkSession, "keys")))
 
 
 def _lookup(dims: Dimensions, dim: str) -> DataFrame:
-    """Name -> key for one dimension; broadcast when the measured size of
-    the keyed names is within ``BROADCAST_MAX_ROWS``."""
+    """Name -> key for one dimension."""
     role, key_col, _ = DIMENSIONS[dim]
-    lk = (dims.keyed.filter(F.col("role") == role)
-          .select(F.col("name").alias(f"_{role}_name"), F.col("key").alias(key_col)))
-    return F.broadcast(lk) if dims.rows <= BROADCAST_MAX_ROWS else lk
+    return (dims.keyed.filter(F.col("role") == role)
+            .select(F.col("name").alias(f"_{role}_name"), F.col("key").alias(key_col)))
 
 
 def fact_with_keys(fact: DataFrame, dims: Dimensions) -> DataFrame:
-    """The fact LEFT JOIN each dimension on name (NULL name -> NULL key).
-
-    Lookups are broadcast when their counted size allows it; beyond that
-    they are shuffle joins (AQE's skew handling splits a hot name).
-    """
+    """The fact LEFT JOIN each dimension on name (NULL name -> NULL key)."""
     out = fact
     for dim, (role, _, _) in DIMENSIONS.items():
         lk = _lookup(dims, dim)
@@ -114,9 +99,10 @@ def fact_with_keys(fact: DataFrame, dims: Dimensions) -> DataFrame:
 
 
 def hours_at_rest(hours) -> F.Column:
-    """Hours as the warehouse stores them, DECIMAL(10,2), rounded half up;
-    a value out of range becomes NULL (and is reported by ``check_bounds``)."""
-    return hours.try_cast("decimal(10,2)")
+    """Hours as the warehouse stores them, DECIMAL(10,2), rounded half up; a
+    value out of range fails the job under ANSI mode, as the warehouse's load
+    would (``check_bounds`` reports such values beforehand)."""
+    return hours.cast("decimal(10,2)")
 
 
 def warehouse_fact(keyed_fact: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:

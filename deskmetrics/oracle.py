@@ -40,8 +40,12 @@ def _hours(end: str, start: str) -> str:
 _THRESHOLD = ("case priority when 'Critical' then 4.0::double when 'High' then 24.0::double "
               "when 'Medium' then 72.0::double when 'Low' then 168.0::double end")
 
+# whole seconds are added up, so the mean does not depend on the order of rows
+_EXACT_MEAN = ("cast(sum(cast(round(resolution_duration_hours * 3600) as bigint)) as double) "
+               "/ (count(resolution_duration_hours) * 3600.0::double)")
+
 CTES: list[tuple[str, str]] = [
-    ("li", """select l_orderkey, sum(l_quantity) q, min(l_partkey) pk, count(*) n_lines
+    ("li", """select l_orderkey, sum(l_quantity) q, min(l_partkey) pk, min(l_suppkey) sk, count(*) n_lines
         from lineitem group by l_orderkey"""),
     ("one", """select o_orderkey id,
           '  ' || lower(n_name) || ' ' issue_proj,
@@ -55,14 +59,15 @@ CTES: list[tuple[str, str]] = [
           o_orderdate created,
           case when o_orderstatus <> 'O' and q is not null then o_orderdate + to_hours(cast(
             case when o_orderkey % 40 = 0 then -q when o_orderkey % 17 = 0 then q + 400 else q end
-            as bigint)) end resolved,
+            as bigint)) + to_minutes(o_orderkey % 60) + to_seconds(o_orderkey * 7 % 60) end resolved,
           o_orderstatus issue_status
         from orders
         left join li on l_orderkey = o_orderkey
         left join customer c on c.c_custkey = o_custkey
-        left join customer rep on rep.c_custkey = o_custkey % 40
+        left join customer rep on rep.c_custkey =
+          case when o_orderkey % 4 = 0 then o_custkey % 10 else o_custkey end
         left join nation on n_nationkey = c.c_nationkey
-        left join supplier on s_suppkey = o_orderkey % 7
+        left join supplier on s_suppkey = case when o_orderkey % 4 = 0 then o_orderkey % 7 else sk end
         left join part on p_partkey = pk"""),
     ("two", """select * from one union all
         select id, issue_proj, issue_reporter, issue_assignee, issue_contr_count, issue_priority,
@@ -157,28 +162,29 @@ CTES: list[tuple[str, str]] = [
           cast({ROUND2('resolution_duration_hours')} as decimal(10, 2)) resolution_duration_hours,
           status, resolution_target_met from fact_keys"""),
     ("agent_vol", f"""select assignee, count(ticket_id) tickets_resolved,
-          {ROUND2('avg(resolution_duration_hours)')} avg_resolution_duration_hours
+          {ROUND2(_EXACT_MEAN)} avg_resolution_duration_hours
         from fact where resolution_time is not null group by assignee"""),
     ("agent_ranked", """select *, cast(dense_rank() over (order by tickets_resolved desc) as integer)
           rank_by_volume from agent_vol"""),
-    ("agent_perf", """select a.agent_id, r.tickets_resolved, r.avg_resolution_duration_hours, r.rank_by_volume
+    ("agent_perf", """select a.agent_id, cast(r.tickets_resolved as integer) tickets_resolved,
+          cast(r.avg_resolution_duration_hours as decimal(10, 2)) avg_resolution_duration_hours, r.rank_by_volume
         from agent_ranked r left join dim_agents a on r.assignee = a.agent_name"""),
     ("res_perf", f"""select priority, date_trunc('month', resolution_time) as month,
-          count(ticket_id) tickets_resolved,
-          {ROUND2('100.0::double * sum(cast(resolution_target_met as integer)) / count(ticket_id)')}
-            compliance_rate
+          cast(count(ticket_id) as integer) tickets_resolved,
+          cast({ROUND2('100.0::double * sum(cast(resolution_target_met as integer)) / count(ticket_id)')}
+            as decimal(5, 2)) compliance_rate
         from fact where resolution_time is not null group by all"""),
-    ("cat_monthly", """select category, date_trunc('month', start_time) as month, count(ticket_id) ticket_volume,
-          avg(resolution_duration_hours) avg_h
+    ("cat_monthly", f"""select category, date_trunc('month', start_time) as month, count(ticket_id) ticket_volume,
+          {_EXACT_MEAN} avg_h
         from fact group by all"""),
     ("cat_trends_h", f"""select *, case when prev is not null and prev > 0 then
           {ROUND2('100.0::double * (ticket_volume - prev) / prev')} end volume_change_pct
         from (select *, lag(ticket_volume) over (partition by category order by month asc nulls first) prev
               from cat_monthly)"""),
     ("cat_trends", "select category, month, ticket_volume, volume_change_pct from cat_trends_h"),
-    ("disp", """select * replace (cast(resolution_duration_hours as double) as resolution_duration_hours),
-          project project_name, assignee agent_name, strftime(start_time, '%Y-%m') ym
-        from fact_rest"""),
+    ("disp", """select w.*, p.project_name, a.agent_name, strftime(start_time, '%Y-%m') ym from wfact w
+        left join dim_projects p on p.project_id = w.project_id
+        left join dim_agents a on a.agent_id = w.agent_id"""),
     ("heat_cats", """select category from disp where category is not null group by category
         order by count(*) desc, category limit 10"""),
     ("heat_months", "select distinct ym from disp where ym is not null order by ym desc limit 12"),
@@ -242,10 +248,12 @@ FINAL: dict[str, str] = {
     "scan_changes_csv": "select * from changes",
     "input_counts": """select 'issues' source, count(*) rows from issues
         union all select 'changes', count(*) from changes""",
-    "dashboard_base": """select w.*, f.project project_name, f.assignee agent_name
-        from wfact w join fact f using (ticket_id)""",
-    "preview": """select w.*, f.project project_name, f.assignee agent_name
-        from wfact w join fact f using (ticket_id) order by ticket_id limit 5""",
+    "dashboard_base": """select w.*, p.project_name, a.agent_name from wfact w
+        left join dim_projects p on p.project_id = w.project_id
+        left join dim_agents a on a.agent_id = w.agent_id""",
+    "preview": """select w.*, p.project_name, a.agent_name from wfact w
+        left join dim_projects p on p.project_id = w.project_id
+        left join dim_agents a on a.agent_id = w.agent_id order by ticket_id limit 5""",
     # projections
     "parse_timestamps": "select id, issue_created, issue_resolution_date, last_change_date from parsed",
     "invalid_resolution_count": """select
@@ -287,7 +295,8 @@ FINAL: dict[str, str] = {
     "agent_performance": "select * from agent_perf",
     "resolution_performance": "select * from res_perf",
     "category_monthly_volume": "select category, month, ticket_volume from cat_monthly",
-    "category_trends": "select * from cat_trends",
+    "category_trends": """select category, month, cast(ticket_volume as integer) ticket_volume,
+        cast(volume_change_pct as decimal(12, 2)) volume_change_pct from cat_trends""",
     # reports
     "sla_by_priority": f"""select priority, count(*) total_tickets,
         cast(sum(case when resolution_target_met = true then 1 else 0 end) as bigint) met_target,
@@ -304,6 +313,9 @@ FINAL: dict[str, str] = {
         {ROUND2(_MEAN)} avg_resolution_hours
       from fact_rest where resolution_duration_hours is not null and project is not null
       group by project order by avg_resolution_hours, project_name limit 20""",
+    "view_avg_resolution_by_project": f"""select project project_name, count(ticket_id) total_tickets,
+        {ROUND2(_MEAN)} avg_resolution_hours
+      from fact_rest where resolution_duration_hours is not null and project is not null group by project""",
     "agent_rank_by_speed": f"""select agent_name, avg_resolution_hours, rank_by_speed from (
         select assignee agent_name, {ROUND2(_MEAN)} avg_resolution_hours,
           cast(rank() over (order by {_MEAN}) as integer) rank_by_speed
@@ -333,6 +345,9 @@ FINAL: dict[str, str] = {
     "status_distribution": f"""select status, count(*) ticket_count,
         {ROUND2('100.0::double * count(*) / sum(count(*)) over ()')} percentage
       from fact where status is not null group by status""",
+    "view_status_distribution": f"""select status, count(*) ticket_count,
+        {ROUND2('100.0::double * count(*) / sum(count(*)) over ()')} percentage
+      from fact where status is not null group by status""",
     "fastest_agent_per_project": f"""select project_name, agent_name, avg_resolution_hours from (
         select project project_name, assignee agent_name, {ROUND2(_MEAN)} avg_resolution_hours,
           rank() over (partition by project order by {_MEAN}) rk
@@ -350,8 +365,8 @@ FINAL: dict[str, str] = {
     "tickets_by_category": _top("category", 10),
     "tickets_per_month": """select ym, count(*) tickets from disp where ym is not null
         group by ym order by ym desc limit 20""",
-    "avg_hours_by_priority": """select priority, avg(resolution_duration_hours) avg_hours from disp
-        where priority is not null group by priority having avg(resolution_duration_hours) is not null
+    "avg_hours_by_priority": f"""select priority, {_MEAN} avg_hours from disp
+        where priority is not null group by priority having count(resolution_duration_hours) > 0
         order by avg_hours desc, priority limit 10""",
     "target_met_split": """select resolution_target_met, count(*) tickets,
         100.0::double * count(*) / sum(count(*)) over () share_pct
@@ -366,7 +381,7 @@ FINAL: dict[str, str] = {
         f"select * from (select '{c}' dimension, {c} as value, count(*) tickets from disp "
         f"where {c} is not null group by {c} order by tickets desc, {c} limit {n})"
         for c, n in (("status", 15), ("priority", 10), ("category", 10), ("project_name", 15))),
-    "top_agents_avg_hours": """select agent_name, count(*) tickets, avg(resolution_duration_hours) avg_hours
+    "top_agents_avg_hours": f"""select agent_name, count(*) tickets, {_MEAN} avg_hours
       from disp where agent_name is not null group by agent_name
       order by tickets desc, agent_name limit 10""",
     "category_month_heatmap": """select c.category, m.ym, cast(coalesce(h.n, 0) as bigint) ticket_count
@@ -420,7 +435,7 @@ FINAL: dict[str, str] = {
     "dim_priority": """select cast(row_number() over (order by priority) as bigint) priority_id,
         priority priority_name from (select distinct priority from fact where priority is not null)""",
     "agent_monthly_hours": f"""select assignee agent_name, date_trunc('month', resolution_time) as month,
-        count(*) tickets_resolved, {ROUND2('avg(resolution_duration_hours)')} avg_resolution_hours
+        count(*) tickets_resolved, {ROUND2(_EXACT_MEAN)} avg_resolution_hours
       from fact where resolution_time is not null and assignee is not null group by all""",
     "fastest_growing_categories": """select category, month, ticket_volume, volume_change_pct from (
         select *, row_number() over (partition by category order by month desc nulls last) rn
@@ -430,7 +445,8 @@ FINAL: dict[str, str] = {
         case when tickets > p75 then 'over' when tickets < p25 then 'under' else 'normal' end
           workload_band
       from loads, (select quantile_cont(tickets, 0.25) p25, quantile_cont(tickets, 0.75) p75 from loads)""",
-    "stream_current_state": """select issueid, field, id, value, created from (
+    "stream_current_state": "select * from state",
+    "stream_latest_per_field": """select issueid, field, id, value, created from (
         select event_id id, user_id issueid, event_type field, cast(value as varchar) value,
           date_trunc('second', ts) created,
           row_number() over (partition by user_id, event_type order by date_trunc('second', ts) desc nulls last,
@@ -438,7 +454,6 @@ FINAL: dict[str, str] = {
         from events) where rn = 1""",
     # sinks and the whole run
     "parquet_roundtrip": "select * from wfact",
-    "jdbc_refresh": "select * from wfact",
     "run_pipeline": """select 'dim_customers' table_name, count(*) rows from dim_customers
       union all select 'dim_agents', count(*) from dim_agents
       union all select 'dim_projects', count(*) from dim_projects

@@ -4,7 +4,6 @@ ticket fixture of ``sources.fixture``)."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +20,11 @@ from ..functions.columns import (
 )
 from ..operators import clean, marts, quality, star
 from ..operators.state import latest_change_per_field
-from ..schemas import WAREHOUSE_FACT_COLUMNS
-from ..session import checkpoint_dir, prepare
+from ..schemas import CHANGES_SCHEMA, WAREHOUSE_FACT_COLUMNS, as_text
+from ..session import prepare, scratch, staged
 from ..sources import fixture, scan, sinks
 from ..streaming import current_state as streaming
-from . import dashboard, extras, model, pipeline, reports
+from . import dashboard, extras, model, pipeline, reports, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,9 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def finalize(df: DataFrame) -> DataFrame:
     """Output stamps as ``timestamp_ntz`` (wall-clock, no zone).
 
-    Always returns a new DataFrame: model plans are shared between queries,
-    and an action on a shared DataFrame object would reuse the shuffle files
-    of an earlier query instead of computing from the sources."""
+    Always returns a new DataFrame."""
     return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
                        if isinstance(f.dataType, TimestampType) else F.col(f.name)
                        for f in df.schema.fields])
@@ -53,12 +50,30 @@ def _on_fact(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return _q(lambda m: fn(m.fact))
 
 
-def _on_display(fn: Callable[[DataFrame], DataFrame]) -> Query:
-    return _q(lambda m: fn(dashboard.display_frame(m.fact)))
+def _on_star(fn: Callable[[stored.Star], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return finalize(fn(stored.for_tables(spark, sf_dir)))
+    return run
+
+
+def _table(name: str) -> Query:
+    return _on_star(lambda star: star.tables[name])
+
 
+def _report(fn: Callable[[DataFrame], DataFrame], *roles: str) -> Query:
+    """A report on the stored fact with the names it needs."""
+    return _on_star(lambda star: fn(stored.with_names(star, *roles)))
 
-def _scratch(spark: SparkSession, what: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex[:12]}"
+
+def _tile(fn: Callable[[DataFrame], DataFrame], *roles: str) -> Query:
+    return _on_star(lambda star: fn(dashboard.display_frame(stored.with_names(star, *roles))))
+
+
+def _view(name: str) -> Query:
+    def read(star: stored.Star) -> DataFrame:
+        stored.create_views(star)
+        return star.fact.sparkSession.table(name)
+    return _on_star(read)
 
 
 # --- sources ---------------------------------------------------------------
@@ -67,19 +82,24 @@ def _input_counts(m):
     return scan.input_counts(m.issues, m.changes)
 
 
+def _shuffled(raw: DataFrame) -> DataFrame:
+    """The extract's columns in another order, with an extra one in front."""
+    return raw.select(F.lit("x").alias("export_note"), *sorted(raw.columns, reverse=True))
+
+
 def _scan_issues_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S2 through a real CSV file: the derived extract is written as CSV
-    into the shared folder and scanned back with the declared schema."""
+    """S2 through real CSV files whose columns stand in another order, with
+    one more column: taken by header name."""
     prepare(spark)
-    path = _scratch(spark, "issues-csv")
-    scan.write_csv_text(fixture.raw_issues(spark, sf_dir), path)
+    path = scratch(spark, "issues-csv")
+    scan.write_csv_text(_shuffled(fixture.raw_issues(spark, sf_dir)), path)
     return scan.read_issues_csv(spark, path)
 
 
 def _scan_changes_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    path = _scratch(spark, "changes-csv")
-    scan.write_csv_text(fixture.raw_changes(spark, sf_dir), path)
+    path = scratch(spark, "changes-csv")
+    scan.write_csv_text(_shuffled(fixture.raw_changes(spark, sf_dir)), path)
     return scan.read_changes_csv(spark, path)
 
 
@@ -152,23 +172,8 @@ def _ticket_current_state(m):
 
 # --- star schema -----------------------------------------------------------
 
-def _dim(name):
-    def build(m):
-        return star.build_dimensions(m.fact, (name,)).table(name)
-    build.__name__ = f"dim_{name}"
-    return build
-
-
-def _saved_fact(m) -> DataFrame:
-    """The fact, saved once in the shared checkpoint folder when it feeds
-    both the key assignment and the keyed join (two reads, one compute).
-    Checkpointed from a new DataFrame so it is computed from the sources, not
-    from shuffle files an earlier query left behind."""
-    return m.fact.select("*").checkpoint(eager=True)
-
-
-def _keyed(m):
-    fact = _saved_fact(m)
+def _keyed(m) -> DataFrame:
+    fact = staged(m.fact, scratch(m.fact.sparkSession, "fact"))
     return star.fact_with_keys(fact, star.build_dimensions(fact))
 
 
@@ -177,23 +182,12 @@ def _fact_with_keys(m):
                             "project", "project_id")
 
 
-def _warehouse_fact(m):
-    return star.warehouse_fact(_keyed(m))
-
-
-def _agent_performance(m):
-    fact = _saved_fact(m)
-    dims = star.build_dimensions(fact, ("agents",))
-    return star.agent_performance(marts.agent_rank_by_volume(fact), dims)
-
+def _dashboard_base(star_: stored.Star) -> DataFrame:
+    return dashboard.dashboard_base_stored(star_.fact, star_.tables["dim_projects"], star_.tables["dim_agents"])
 
-def _dashboard_base(m):
-    fact = _saved_fact(m)
-    return dashboard.dashboard_base(fact, star.build_dimensions(fact))
 
-
-def _preview(m):
-    return dashboard.preview(_dashboard_base(m))
+def _preview(star_: stored.Star) -> DataFrame:
+    return dashboard.preview(_dashboard_base(star_))
 
 
 def _dim_category(m):
@@ -212,76 +206,52 @@ def _dim_priority(m):
 
 # --- checks ----------------------------------------------------------------
 
-def _checked_tables(m):
-    fact = _saved_fact(m)
-    dims = star.build_dimensions(fact)
-    wfact = star.warehouse_fact(star.fact_with_keys(fact, dims))
-    tables = {f"dim_{d}": dims.table(d) for d in star.DIMENSIONS}
-    return fact, dims, wfact, tables
-
-
-def _check_unique(m):
-    _, _, wfact, tables = _checked_tables(m)
-    return quality.check_unique(wfact, tables)
-
-
-def _check_not_null(m):
-    _, _, wfact, tables = _checked_tables(m)
-    return quality.check_not_null(wfact, tables)
-
-
-def _check_foreign_keys(m):
-    _, _, wfact, tables = _checked_tables(m)
-    return quality.check_foreign_keys(wfact, tables)
-
+def _checks(check: Callable[[DataFrame, dict[str, DataFrame]], DataFrame]) -> Query:
+    return _on_star(lambda star_: check(star_.fact, star_.dimensions))
 
-def _check_bounds(m):
-    fact, dims, _, tables = _checked_tables(m)
-    agents = star.agent_performance(marts.agent_rank_by_volume(fact), dims)
-    return quality.check_bounds(fact, tables, marts.resolution_performance(fact),
-                                marts.category_trends(fact), agents)
 
-
-def _quality_counts(m):
-    return quality.quality_counts(m.parsed, m.changes, m.fact)
+def _check_bounds(m) -> DataFrame:
+    """C4 on the values before the warehouse's types are applied."""
+    fact = staged(m.fact, scratch(m.fact.sparkSession, "fact"))
+    dims = star.build_dimensions(fact)
+    return quality.check_bounds(fact, {f"dim_{d}": dims.table(d) for d in star.DIMENSIONS},
+                                marts.resolution_performance(fact), marts.category_trends(fact),
+                                marts.agent_volume(fact))
 
 
 # --- sinks / pipeline / stream ---------------------------------------------
 
 def _parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K2: the stored fact written partitioned by priority and read back."""
-    m = model.from_tables(spark, sf_dir)
-    path = _scratch(spark, "fact-parquet")
-    sinks.write_parquet(_warehouse_fact(m), path, partition_col="priority")
+    """K2: the fact written partitioned by priority and read back."""
+    path = scratch(spark, "fact-parquet")
+    sinks.curate(stored.for_tables(spark, sf_dir).fact, path, by="priority")
     return finalize(sinks.read_parquet(spark, path, list(WAREHOUSE_FACT_COLUMNS)))
 
 
 def _run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4-K7: the whole batch run into a fresh curated folder."""
     prepare(spark)
-    issues = scan.scan_issues(fixture.raw_issues(spark, sf_dir))
-    changes = scan.scan_changes(fixture.raw_changes(spark, sf_dir))
-    result = pipeline.run(spark, issues, changes, _scratch(spark, "curated"))
-    return pipeline.table_sizes(result.tables)
-
-
-def _jdbc_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K3: the stored fact loaded twice into an in-process Derby database
-    (no server, visible to this JVM only) and read back: a full refresh
-    leaves no duplicates."""
-    m = model.from_tables(spark, sf_dir)
-    wfact = _warehouse_fact(m).checkpoint(eager=True)
-    url = f"jdbc:derby:memory:deskmetrics_{uuid.uuid4().hex[:8]};create=true"
-    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    for _ in range(2):
-        sinks.write_jdbc(wfact, url, "fact_tickets", props)
-    back = sinks.read_jdbc(spark, url, "FACT_TICKETS", props)
-    return finalize(back.toDF(*[c.lower() for c in back.columns]))
+    star_ = stored.build(spark, sf_dir, scratch(spark, "curated"))
+    return pipeline.table_sizes({n: star_.tables[n] for n in pipeline.CURATED_ORDER})
+
+
+STREAM_FILES = 4
 
 
 def _stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R-D5: ``events`` read as a file stream and folded into the latest
-    value per (user, event type) with ``availableNow``."""
+    """R-D5: the change log lands as several files and is folded into the
+    current state in as many micro-batches."""
+    prepare(spark)
+    landing = scratch(spark, "change-log")
+    fixture.raw_changes(spark, sf_dir).repartition(STREAM_FILES).write.parquet(landing)
+    return finalize(streaming.run_available(
+        spark, landing, as_text(CHANGES_SCHEMA), "parquet", max_files_per_trigger=1,
+        transform=lambda raw: clean.parse_change_stamps(scan.scan_changes(raw))))
+
+
+def _stream_latest_per_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` read as a file stream and folded into the latest value per
+    (user, event type) with ``availableNow``."""
     prepare(spark)
     schema = fixture.read_table(spark, sf_dir, "events").schema
     state = streaming.run_available(spark, sf_dir, schema, "parquet",
@@ -298,8 +268,8 @@ QUERIES: dict[str, Query] = {
     "scan_issues_csv": _scan_issues_csv,
     "scan_changes_csv": _scan_changes_csv,
     "input_counts": _q(_input_counts),
-    "dashboard_base": _q(_dashboard_base),
-    "preview": _q(_preview),
+    "dashboard_base": _on_star(_dashboard_base),
+    "preview": _on_star(_preview),
     # projections and filters
     "parse_timestamps": _q(_parse_timestamps),
     "invalid_resolution_count": _q(_invalid_resolution_count),
@@ -311,7 +281,7 @@ QUERIES: dict[str, Query] = {
     "standardize_project": _q(_standardize_project),
     "sla_target_met": _q(_sla_target_met),
     "fact_tickets": _on_fact(lambda f: f),
-    "warehouse_fact": _q(_warehouse_fact),
+    "warehouse_fact": _table("fact_tickets"),
     # state, de-dup, joins
     "latest_change_per_field": _q(_latest_change_per_field),
     "current_state": _q(_current_state),
@@ -319,51 +289,53 @@ QUERIES: dict[str, Query] = {
     "ticket_current_state": _q(_ticket_current_state),
     "fact_with_keys": _q(_fact_with_keys),
     # star schema
-    "dim_customers": _q(_dim("customers")),
-    "dim_agents": _q(_dim("agents")),
-    "dim_projects": _q(_dim("projects")),
+    "dim_customers": _table("dim_customers"),
+    "dim_agents": _table("dim_agents"),
+    "dim_projects": _table("dim_projects"),
     # marts
     "agent_volume": _on_fact(marts.agent_volume),
     "agent_rank_by_volume": _on_fact(marts.agent_rank_by_volume),
-    "agent_performance": _q(_agent_performance),
-    "resolution_performance": _on_fact(marts.resolution_performance),
+    "agent_performance": _table("agent_performance"),
+    "resolution_performance": _table("resolution_performance"),
     "category_monthly_volume": _on_fact(marts.category_monthly_volume),
-    "category_trends": _on_fact(marts.category_trends),
+    "category_trends": _table("category_trends"),
     # reports
-    "sla_by_priority": _on_fact(reports.sla_by_priority),
-    "top_agents_last_month": _on_fact(reports.top_agents_last_month),
-    "avg_resolution_by_project": _on_fact(reports.avg_resolution_by_project),
-    "agent_rank_by_speed": _on_fact(reports.agent_rank_by_speed),
-    "heavy_reporters": _on_fact(reports.heavy_reporters),
-    "running_resolved_total": _on_fact(reports.running_resolved_total),
-    "zero_compliance_categories": _on_fact(reports.zero_compliance_categories),
-    "zero_compliance_categories_anti": _on_fact(reports.zero_compliance_categories_anti),
-    "resolution_stats_by_priority": _on_fact(reports.resolution_stats_by_priority),
-    "status_distribution": _on_fact(reports.status_distribution),
-    "fastest_agent_per_project": _on_fact(reports.fastest_agent_per_project),
+    "sla_by_priority": _report(reports.sla_by_priority),
+    "top_agents_last_month": _report(reports.top_agents_last_month, "assignee"),
+    "avg_resolution_by_project": _report(reports.avg_resolution_by_project, "project"),
+    "view_avg_resolution_by_project": _view("view_avg_resolution_by_project"),
+    "view_status_distribution": _view("view_status_distribution"),
+    "agent_rank_by_speed": _report(reports.agent_rank_by_speed, "assignee"),
+    "heavy_reporters": _report(reports.heavy_reporters, "reporter"),
+    "running_resolved_total": _report(reports.running_resolved_total),
+    "zero_compliance_categories": _report(reports.zero_compliance_categories),
+    "zero_compliance_categories_anti": _report(reports.zero_compliance_categories_anti),
+    "resolution_stats_by_priority": _report(reports.resolution_stats_by_priority),
+    "status_distribution": _report(reports.status_distribution),
+    "fastest_agent_per_project": _report(reports.fastest_agent_per_project, "assignee", "project"),
     # dashboard data sets
-    "kpi_overall_compliance": _on_display(dashboard.kpi_overall_compliance),
-    "top_category": _on_display(dashboard.top_category),
-    "kpi_total_tickets": _on_display(dashboard.kpi_total_tickets),
-    "tickets_by_status": _on_display(dashboard.tickets_by_status),
-    "tickets_by_priority": _on_display(dashboard.tickets_by_priority),
-    "tickets_by_category": _on_display(dashboard.tickets_by_category),
-    "tickets_per_month": _on_display(dashboard.tickets_per_month),
-    "avg_hours_by_priority": _on_display(dashboard.avg_hours_by_priority),
-    "target_met_split": _on_display(dashboard.target_met_split),
-    "top_projects": _on_display(dashboard.top_projects),
-    "compliance_by_priority_all": _on_display(dashboard.compliance_by_priority_all),
-    "monthly_compliance_trend": _on_display(dashboard.monthly_compliance_trend),
-    "top_agents_by_tickets": _on_display(dashboard.top_agents_by_tickets),
-    "top_n_by_count": _on_display(dashboard.top_n_by_count_tiles),
-    "top_agents_avg_hours": _on_display(dashboard.top_agents_avg_hours),
-    "category_month_heatmap": _on_display(dashboard.category_month_heatmap),
+    "kpi_overall_compliance": _tile(dashboard.kpi_overall_compliance),
+    "top_category": _tile(dashboard.top_category),
+    "kpi_total_tickets": _tile(dashboard.kpi_total_tickets),
+    "tickets_by_status": _tile(dashboard.tickets_by_status),
+    "tickets_by_priority": _tile(dashboard.tickets_by_priority),
+    "tickets_by_category": _tile(dashboard.tickets_by_category),
+    "tickets_per_month": _tile(dashboard.tickets_per_month),
+    "avg_hours_by_priority": _tile(dashboard.avg_hours_by_priority),
+    "target_met_split": _tile(dashboard.target_met_split),
+    "top_projects": _tile(dashboard.top_projects, "project"),
+    "compliance_by_priority_all": _tile(dashboard.compliance_by_priority_all),
+    "monthly_compliance_trend": _tile(dashboard.monthly_compliance_trend),
+    "top_agents_by_tickets": _tile(dashboard.top_agents_by_tickets, "assignee"),
+    "top_n_by_count": _tile(dashboard.top_n_by_count_tiles, "project"),
+    "top_agents_avg_hours": _tile(dashboard.top_agents_avg_hours, "assignee"),
+    "category_month_heatmap": _tile(dashboard.category_month_heatmap),
     # checks
-    "check_unique": _q(_check_unique),
-    "check_not_null": _q(_check_not_null),
-    "check_foreign_keys": _q(_check_foreign_keys),
+    "check_unique": _checks(quality.check_unique),
+    "check_not_null": _checks(quality.check_not_null),
+    "check_foreign_keys": _checks(quality.check_foreign_keys),
     "check_bounds": _q(_check_bounds),
-    "quality_counts": _q(_quality_counts),
+    "quality_counts": _table("run_metrics"),
     # documented extras
     "category_trends_with_hours": _on_fact(marts.category_trends_with_hours),
     "dim_date": _on_fact(extras.dim_date),
@@ -373,11 +345,8 @@ QUERIES: dict[str, Query] = {
     "fastest_growing_categories": _on_fact(extras.fastest_growing_categories),
     "agent_workload_spread": _on_fact(extras.agent_workload_spread),
     "stream_current_state": _stream_current_state,
+    "stream_latest_per_field": _stream_latest_per_field,
     # sinks and the whole run
     "parquet_roundtrip": _parquet_roundtrip,
-    "jdbc_refresh": _jdbc_refresh,
     "run_pipeline": _run_pipeline,
 }
-
-# Queries whose result is checked by row count only (no SQL equivalent).
-ROWS_ONLY = ("run_pipeline",)

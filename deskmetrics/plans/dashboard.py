@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import met_as_false, month_label
+from ..functions.columns import mean_at_rest, met_as_false, month_label
 from ..operators.star import Dimensions, fact_with_keys, warehouse_fact
 from .reports import at_rest
 
@@ -41,14 +41,11 @@ def dashboard_base_stored(fact_tickets: DataFrame, dim_projects: DataFrame,
 
 
 def display_frame(fact: DataFrame) -> DataFrame:
-    """What the tiles read: the stored fact with project and agent names.
-    Joining keys back to names is the identity on non-NULL names, so the
-    names are taken from the fact directly."""
-    return (at_rest(fact)
-            .withColumn("resolution_duration_hours", F.col("resolution_duration_hours").cast("double"))
-            .withColumn("project_name", F.col("project"))
-            .withColumn("agent_name", F.col("assignee"))
-            .withColumn("ym", month_label("start_time")))
+    """What the tiles read: hours at rest, the start month as text, and the
+    project and agent names if the fact carries them."""
+    names = {"project": "project_name", "assignee": "agent_name"}
+    return (at_rest(fact).withColumn("ym", month_label("start_time"))
+            .withColumnsRenamed({c: n for c, n in names.items() if c in fact.columns}))
 
 
 def preview(frame: DataFrame, n: int = 5) -> DataFrame:
@@ -127,8 +124,8 @@ def top_agents_by_tickets(d: DataFrame) -> DataFrame:
 
 
 def _last_n_months(monthly: DataFrame, n: int) -> DataFrame:
-    """The n latest ``ym`` rows of a per-month frame."""
-    return monthly.orderBy(F.col("ym").desc()).limit(n)
+    """The n latest ``ym`` rows of a per-month frame, earliest first."""
+    return monthly.orderBy(F.col("ym").desc()).limit(n).orderBy("ym")
 
 
 def tickets_per_month(d: DataFrame, n: int = 20) -> DataFrame:
@@ -141,7 +138,7 @@ def tickets_per_month(d: DataFrame, n: int = 20) -> DataFrame:
 def avg_hours_by_priority(d: DataFrame, n: int = 10) -> DataFrame:
     """A10: unrounded mean hours per priority, n largest."""
     return (d.filter(F.col("priority").isNotNull()).groupBy("priority")
-            .agg(F.avg("resolution_duration_hours").alias("avg_hours"))
+            .agg(mean_at_rest("resolution_duration_hours").alias("avg_hours"))
             .filter(F.col("avg_hours").isNotNull())
             .orderBy(F.col("avg_hours").desc(), "priority")
             .limit(n))
@@ -158,7 +155,7 @@ def target_met_split(d: DataFrame) -> DataFrame:
 def compliance_by_priority_all(d: DataFrame) -> DataFrame:
     """Met share over all tickets of each priority."""
     return (d.filter(F.col("priority").isNotNull()).groupBy("priority")
-            .agg(_met_pct().alias("compliance_pct")))
+            .agg(_met_pct().alias("compliance_pct")).orderBy("compliance_pct", "priority"))
 
 
 def monthly_compliance_trend(d: DataFrame, n: int = 20) -> DataFrame:
@@ -172,38 +169,32 @@ def top_agents_avg_hours(d: DataFrame, n: int = 10) -> DataFrame:
     """Mean hours of the n agents with most tickets (one grouping)."""
     return (d.filter(F.col("agent_name").isNotNull()).groupBy("agent_name")
             .agg(F.count(F.lit(1)).alias("tickets"),
-                 F.avg("resolution_duration_hours").alias("avg_hours"))
+                 mean_at_rest("resolution_duration_hours").alias("avg_hours"))
             .orderBy(F.col("tickets").desc(), "agent_name")
             .limit(n))
 
 
 def _heat_rows(d: DataFrame, n_categories: int, n_months: int) -> DataFrame:
     """Counts per (category, month) for the top categories of all time and
-    the latest months of all months, in one pass: tickets are counted per
-    (category, month) once, and both rankings are windows over those counts
-    (categories x months rows, bounded by the time span)."""
-    counts = d.groupBy("category", "ym").agg(F.count(F.lit(1)).alias("ticket_count"))
-    all_rows = Window.partitionBy()
-    cat_total = F.sum("ticket_count").over(Window.partitionBy("category"))
-    ranked = (counts.withColumn("_cat_total", cat_total)
-              # categories ranked by all-time count (NULL category last), ties by name
-              .withColumn("_cat_rank", F.dense_rank().over(all_rows.orderBy(
-                  F.col("category").isNull(), F.col("_cat_total").desc(), F.col("category"))))
-              # months ranked latest first (NULL month last)
-              .withColumn("_month_rank", F.dense_rank().over(all_rows.orderBy(
-                  F.col("ym").desc_nulls_last()))))
-    return (ranked.filter(F.col("category").isNotNull() & F.col("ym").isNotNull()
-                          & (F.col("_cat_rank") <= n_categories)
-                          & (F.col("_month_rank") <= n_months))
-            .select("category", "ym", "ticket_count"))
+    the latest months of all months: two distributed top-N lists, and the
+    tickets semi-joined to them."""
+    categories = top_n_by_count(d, "category", n_categories).select("category")
+    months = (d.filter(F.col("ym").isNotNull()).select("ym").distinct()
+              .orderBy(F.col("ym").desc()).limit(n_months))
+    return (d.select("category", "ym").join(categories, "category", "left_semi")
+            .join(months, "ym", "left_semi")
+            .groupBy("category", "ym").agg(F.count(F.lit(1)).alias("ticket_count")))
 
 
 def category_month_heatmap_wide(d: DataFrame, n_categories: int = 10,
                                 n_months: int = 12) -> DataFrame:
-    """Category x month counts, one column per month, 0 filled.
-    ``pivot`` finds the (at most n_months) month labels itself."""
+    """Category x month counts, one column per month, 0 filled.  The
+    (at most n_months) labels are read first, so the pivot is one pass."""
     counts = _heat_rows(d, n_categories, n_months)
-    return counts.groupBy("category").pivot("ym").agg(F.first("ticket_count")).na.fill(0)
+    months = [r.ym for r in d.filter(F.col("ym").isNotNull()).select("ym").distinct()
+              .orderBy(F.col("ym").desc()).limit(n_months).collect()]
+    return (counts.groupBy("category").pivot("ym", sorted(months)).agg(F.first("ticket_count"))
+            .na.fill(0).orderBy("category"))
 
 
 def category_month_heatmap(d: DataFrame, n_categories: int = 10, n_months: int = 12) -> DataFrame:

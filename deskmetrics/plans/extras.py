@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import month_start, round2
+from ..functions.columns import mean_hours, month_start, round2
+from ..session import scratch, staged
 from ..operators.marts import category_trends
 
 
@@ -36,7 +37,7 @@ def agent_monthly_hours(fact: DataFrame) -> DataFrame:
             .groupBy(F.col("assignee").alias("agent_name"),
                      month_start("resolution_time").alias("month"))
             .agg(F.count(F.lit(1)).alias("tickets_resolved"),
-                 round2(F.avg("resolution_duration_hours")).alias("avg_resolution_hours")))
+                 round2(mean_hours("resolution_duration_hours")).alias("avg_resolution_hours")))
 
 
 def fastest_growing_categories(fact: DataFrame, n: int = 10) -> DataFrame:
@@ -55,14 +56,15 @@ def fastest_growing_categories(fact: DataFrame, n: int = 10) -> DataFrame:
 def agent_workload_spread(fact: DataFrame) -> DataFrame:
     """R-D7: tickets per agent against the quartiles of all agents' loads:
     'over' above the upper quartile, 'under' below the lower one.  The
-    quartiles are exact percentiles over the per-agent counts (one value per
-    agent)."""
+    quartiles are exact percentiles over the per-agent counts."""
     loads = (fact.filter(F.col("assignee").isNotNull())
              .groupBy(F.col("assignee").alias("agent_name"))
              .agg(F.count(F.lit(1)).alias("tickets")))
-    # quartiles as an all-rows window over one row per agent (a scalar
-    # subquery would be planned as a second pass over the fact)
-    q = F.percentile("tickets", [0.25, 0.75]).over(Window.partitionBy())
+    loads = staged(loads, scratch(fact.sparkSession, "loads"))
+    # agents per load: partial counts, so the exact percentile sees one
+    # weighted row per distinct load, and the saved loads get a scalar
+    often = loads.groupBy("tickets").agg(F.count(F.lit(1)).alias("agents"))
+    q = often.agg(F.percentile("tickets", [0.25, 0.75], F.col("agents")).alias("q")).scalar()
     loads = loads.withColumn("_q", q)
     p25, p75 = F.col("_q").getItem(0), F.col("_q").getItem(1)
     band = (F.when(F.col("tickets") > p75, F.lit("over"))

@@ -15,9 +15,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from ..operators import clean, fact, state
+from ..operators import clean, fact, quality, state
 from ..session import prepare
 from ..sources import fixture, scan
 
@@ -34,8 +34,11 @@ class TicketModel:
     fact: DataFrame            # 15-column ticket fact
 
 
-def from_scans(issues: DataFrame, changes: DataFrame) -> TicketModel:
+def from_scans(issues: DataFrame, changes: DataFrame, counters: Observation | None = None) -> TicketModel:
+    """``counters`` collects the counts of the parsed tickets in the next action."""
     parsed = clean.parse_issue_stamps(issues)
+    if counters is not None:
+        parsed = parsed.observe(counters, *[c.alias(name) for name, c in quality.ticket_counters().items()])
     changes_parsed = clean.parse_change_stamps(changes)
     valid = clean.valid_issues(parsed)
     deduped = clean.dedup_tickets(valid)
@@ -44,22 +47,11 @@ def from_scans(issues: DataFrame, changes: DataFrame) -> TicketModel:
     return TicketModel(issues, changes, parsed, changes_parsed, valid, deduped, current, facts)
 
 
-# Plan objects (lazy recipes, no data) of the model per session and folder.
-# Building the ~100-operator plan costs ~1,500 driver-to-JVM calls; queries
-# reuse the recipe and still read and compute everything from the files.
-# Keyed by the session object itself (a new session of the same application
-# has its own settings), which the entry also keeps alive.
-_PLANS: dict[tuple[int, str], tuple[SparkSession, TicketModel]] = {}
-
-
 def from_tables(spark: SparkSession, sf_dir: str) -> TicketModel:
     """Tickets derived from the driver's tables (see ``sources.fixture``)."""
     prepare(spark)
-    key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _PLANS or _PLANS[key][0] is not spark:
-        _PLANS[key] = (spark, from_scans(scan.scan_issues(fixture.raw_issues(spark, sf_dir)),
-                                         scan.scan_changes(fixture.raw_changes(spark, sf_dir))))
-    return _PLANS[key][1]
+    return from_scans(scan.scan_issues(fixture.raw_issues(spark, sf_dir)),
+                      scan.scan_changes(fixture.raw_changes(spark, sf_dir)))
 
 
 def from_csv(spark: SparkSession, issues_path: str, changes_path: str) -> TicketModel:

@@ -1,13 +1,13 @@
 """The batch run: extract -> transform -> load (K4-K7).
 
-One fact computation feeds every output: the fact is checkpointed into the
-shared checkpoint folder (lineage cut, survives executor loss), the
-dimensions are keyed once from it, and each output is then one write.
-Input counters are gathered by ``Observation`` during that single pass
-instead of separate count jobs.  The Parquet writes run concurrently; the
-warehouse load keeps foreign-key order (dimensions -> fact -> marts).  Every
-write is a full refresh, so a re-run gives the same tables.  Errors
-propagate to the caller.
+One fact computation feeds every output: the fact is written once as Parquet
+into the shared folder (lineage cut, pruned reads, survives executor loss),
+the dimensions are keyed once from it, and each output is then one write.
+Counters (C5, S6) are gathered by ``Observation`` during those passes.  The
+Parquet writes run concurrently; the warehouse load empties all tables child
+first and fills them parents first.  Every write is a full refresh, so a
+re-run gives the same tables.  The staged fact is removed at the end of the
+run.  Errors propagate to the caller.
 """
 
 from __future__ import annotations
@@ -16,20 +16,22 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import marts, star
 from ..schemas import WAREHOUSE_FACT_COLUMNS
+from ..session import remove, scratch, staged
 from ..sources import sinks
 from ..sources.scan import counted
-from .model import TicketModel, from_scans
+from .model import from_scans
 
 CURATED_ORDER = ("dim_customers", "dim_agents", "dim_projects", "fact_tickets",
                  "agent_performance", "resolution_performance", "category_trends")
-WAREHOUSE_NAMES = {"agent_performance": "analytics_agent_performance",
-                   "resolution_performance": "analytics_resolution_performance",
-                   "category_trends": "analytics_category_trends"}
+#: Names in the warehouse, where they differ: the marts have a schema of their own.
+WAREHOUSE_NAMES = {"agent_performance": "analytics.agent_performance",
+                   "resolution_performance": "analytics.resolution_performance",
+                   "category_trends": "analytics.category_trends"}
 
 
 @dataclass
@@ -38,48 +40,65 @@ class RunResult:
     metrics: dict[str, int]
 
 
-def build_outputs(model: TicketModel) -> dict[str, DataFrame]:
-    """The seven curated tables over a checkpointed fact."""
-    fact = model.fact.checkpoint(eager=True)
+def build_outputs(fact: DataFrame) -> dict[str, DataFrame]:
+    """The seven curated tables, with the warehouse's types, over a staged fact."""
     dims = star.build_dimensions(fact)
     keyed = star.fact_with_keys(fact, dims)
+    agents = star.agent_performance(marts.agent_rank_by_volume(fact), dims)
     return {
         "dim_customers": dims.table("customers"),
         "dim_agents": dims.table("agents"),
         "dim_projects": dims.table("projects"),
         "fact_tickets": star.warehouse_fact(keyed),
-        "agent_performance": star.agent_performance(marts.agent_rank_by_volume(fact), dims),
-        "resolution_performance": marts.resolution_performance(fact),
-        "category_trends": marts.category_trends(fact),
+        "agent_performance": marts.typed_agent_performance(agents),
+        "resolution_performance": marts.typed_resolution_performance(marts.resolution_performance(fact)),
+        "category_trends": marts.typed_category_trends(marts.category_trends(fact)),
     }
 
 
 def run(spark: SparkSession, issues: DataFrame, changes: DataFrame, out_dir: str,
-        jdbc_url: str | None = None, jdbc_properties: dict[str, str] | None = None) -> RunResult:
+        jdbc_url: str | None = None, jdbc_properties: dict[str, str] | None = None,
+        jdbc_connections: int | None = None, warehouse_names: dict[str, str] | None = None,
+        empty_statement: str = "DELETE FROM {table}") -> RunResult:
     """Full refresh of the curated Parquet zone (and the warehouse if a JDBC
-    URL is given) from typed ticket and change-log scans."""
-    issues, obs_issues = counted(issues, "issues_in")
+    URL is given) from typed ticket and change-log scans.
+
+    The warehouse load needs ``jdbc_connections``, how many writers the
+    database bears; ``warehouse_names`` replaces ``WAREHOUSE_NAMES``."""
+    if jdbc_url and not jdbc_connections:
+        raise ValueError("a warehouse load needs jdbc_connections")
     changes, obs_changes = counted(changes, "changes_in")
-    tables = build_outputs(from_scans(issues, changes))
-    metrics = {"issues_in": obs_issues.get.get("rows", 0),
-               "changes_in": obs_changes.get.get("rows", 0)}
+    obs_tickets, obs_fact = Observation("tickets"), Observation("fact")
+    model = from_scans(issues, changes, obs_tickets)
+    staging = scratch(spark, "fact")
+    fact = staged(model.fact.observe(obs_fact, F.count(F.lit(1)).alias("rows")), staging)
+    tables = build_outputs(fact)
     out = out_dir.rstrip("/")
 
-    def write(name: str) -> None:
-        sinks.write_parquet(tables[name], f"{out}/{name}",
-                            partition_col="priority" if name == "fact_tickets" else None)
+    def write(name: str) -> int:
+        rows = Observation(name)
+        sinks.curate(tables[name].observe(rows, F.count(F.lit(1)).alias("rows")), f"{out}/{name}",
+                     by="priority" if name == "fact_tickets" else None)
+        return rows.get.get("rows", 0)
 
     # Parquet folders have no load order: the seven writes run as concurrent
     # jobs, so the small marts fill the cluster while the fact is written.
     with ThreadPoolExecutor(max_workers=len(CURATED_ORDER)) as pool:
-        list(pool.map(write, CURATED_ORDER))
+        sizes = dict(zip(CURATED_ORDER, pool.map(write, CURATED_ORDER)))
+    remove(spark, staging)
+    seen = obs_tickets.get
+    metrics = {**{f"issues.{k}": seen.get(k, 0) for k in ("rows_in", "invalid_resolution", "resolved_without_created")},
+               "changes.rows_in": obs_changes.get.get("rows", 0),
+               "fact_tickets.rows_after_dedup": obs_fact.get.get("rows", 0),
+               **{f"dimensions.{t}": sizes[t] for t in CURATED_ORDER if t.startswith("dim_")}}
     stored = {name: sinks.read_parquet(spark, f"{out}/{name}",
                                        list(WAREHOUSE_FACT_COLUMNS) if name == "fact_tickets" else None,
                                        schema=tables[name].schema)
               for name in CURATED_ORDER}
     if jdbc_url:
-        for name in CURATED_ORDER:
-            sinks.write_jdbc(stored[name], jdbc_url, WAREHOUSE_NAMES.get(name, name), jdbc_properties)
+        sinks.refresh_warehouse(stored, jdbc_url, jdbc_connections,
+                                WAREHOUSE_NAMES if warehouse_names is None else warehouse_names,
+                                jdbc_properties, empty_statement)
     return RunResult(stored, metrics)
 
 

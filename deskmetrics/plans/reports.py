@@ -1,15 +1,15 @@
-"""The ten reports (R1-R10), written against the ticket fact.
+"""The ten reports (R1-R10), written against the ticket fact: the in-flight
+one, or the stored star with the names each report needs (``stored``).
 
 Reports read the hours as the warehouse stores them (DECIMAL(10,2)).  The
-fact carries names next to the surrogate keys, so the inner joins of the
-SQL originals (fact -> dimension on key -> name) reduce to "name is not
-NULL": every non-NULL name has exactly one key and vice versa.
-
-Top-N lists order by a full key (value, then name) so the cut is stable.
-Global scalars (the data's last stamp, totals) are read off the small
-aggregate the report builds anyway, so no report scans the fact twice.
-Ranks are taken after aggregation and, where only the first N are wanted,
-after a distributed top-N, so no window ever sees ticket rows.
+inner joins of the SQL originals (fact -> dimension on key -> name) are left
+joins and "name is not NULL", which Spark turns into inner joins.
+
+Top-N lists order by a full key (value, then name) so the cut is stable, and
+every report returns its rows in the order of the original.  The data's last
+stamp is a scalar subquery; compared with a stored column it becomes a range
+filter that prunes row groups.  Ranks are taken after aggregation and, where
+only the first N are wanted, after a distributed top-N.
 """
 
 from __future__ import annotations
@@ -45,41 +45,37 @@ def sla_by_priority(fact: DataFrame) -> DataFrame:
             .groupBy("priority")
             .agg(total.alias("total_tickets"),
                  met.alias("met_target"),
-                 round2(F.lit(100.0) * met / F.nullif(total, F.lit(0))).alias("compliance_rate_pct")))
+                 round2(F.lit(100.0) * met / F.nullif(total, F.lit(0))).alias("compliance_rate_pct"))
+            .orderBy(F.col("priority").asc_nulls_last()))
 
 
 def top_agents_last_month(fact: DataFrame, n: int = 5) -> DataFrame:
     """R2: agents with most tickets resolved in the calendar month before
-    the month of the data's last resolution.
-
-    One pass: resolved tickets are counted per (agent, month) -- the NULL
-    agent kept so the last month is taken over all tickets -- and the window
-    [trunc(last - 1 month), trunc(last)) is exactly the month before the
-    latest month of that aggregate, so the scalar is read off the
-    aggregate instead of a second scan of the fact."""
-    monthly = (fact.filter(F.col("resolution_time").isNotNull())
-               .groupBy("assignee", month_start("resolution_time").alias("month"))
-               .agg(F.count("ticket_id").alias("n")))
-    # all-rows window over (agent, month) counts, not tickets; a scalar
-    # subquery here would be planned as a second pass over the fact
-    last = F.max("month").over(Window.partitionBy())
-    return (monthly.withColumn("_last", last)
-            .filter(F.col("assignee").isNotNull()
-                    & (F.col("month") == F.col("_last") - F.make_ym_interval(F.lit(0), F.lit(1))))
-            .select(F.col("assignee").alias("agent_name"), F.col("n").alias("tickets_resolved"))
+    the month of the data's last resolution (the last over all tickets).
+
+    Over an in-flight fact the scalar is a second computation; reports run
+    on the stored fact, where it is a scan of one column."""
+    last = fact.agg(F.max("resolution_time")).scalar()
+    begin = F.date_trunc("month", last - F.make_ym_interval(F.lit(0), F.lit(1)))
+    return (fact.filter((F.col("resolution_time") >= begin)
+                        & (F.col("resolution_time") < F.date_trunc("month", last))
+                        & F.col("assignee").isNotNull())
+            .groupBy(F.col("assignee").alias("agent_name"))
+            .agg(F.count("ticket_id").alias("tickets_resolved"))
             .orderBy(F.col("tickets_resolved").desc(), "agent_name")
             .limit(n))
 
 
-def avg_resolution_by_project(fact: DataFrame, n: int = 20) -> DataFrame:
-    """Per project, resolved count and mean hours; fastest first."""
+def avg_resolution_by_project(fact: DataFrame, n: int | None = 20) -> DataFrame:
+    """Per project, resolved count and mean hours; fastest first.  All
+    projects (the view) with ``n`` None."""
     f = at_rest(fact)
-    return (f.filter(F.col(HOURS).isNotNull() & F.col("project").isNotNull())
+    rows = (f.filter(F.col(HOURS).isNotNull() & F.col("project").isNotNull())
             .groupBy(F.col("project").alias("project_name"))
             .agg(F.count("ticket_id").alias("total_tickets"),
                  mean_2dp(HOURS).alias("avg_resolution_hours"))
-            .orderBy("avg_resolution_hours", "project_name")
-            .limit(n))
+            .orderBy("avg_resolution_hours", "project_name"))
+    return rows if n is None else rows.limit(n)
 
 
 def agent_rank_by_speed(fact: DataFrame, n: int = 20) -> DataFrame:
@@ -118,27 +114,20 @@ def running_resolved_total(fact: DataFrame) -> DataFrame:
                .groupBy(month_start("resolution_time").alias("month"))
                .agg(F.count(F.lit(1)).alias("monthly_resolved")))
     upto = Window.orderBy("month").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return monthly.withColumn("running_total", F.sum("monthly_resolved").over(upto))
+    return monthly.withColumn("running_total", F.sum("monthly_resolved").over(upto)).orderBy("month")
 
 
 def zero_compliance_categories(fact: DataFrame, days: int = 30) -> DataFrame:
     """Categories with tickets started in the data's last ``days`` days
-    but none of them met (NOT IN rewritten as one grouped pass).
-
-    Per category: the latest start and the latest start of a met ticket.  A
-    category qualifies when its latest start is inside the window and its
-    latest met start is not.  The window's end is the latest start over all
-    categories (the NULL category included), read off that small aggregate."""
-    per_cat = fact.groupBy("category").agg(
-        F.max("start_time").alias("_last"),
-        F.max(F.when(F.col("resolution_target_met") == F.lit(True), F.col("start_time")))
-        .alias("_last_met"))
-    # all-rows window over one row per category
-    cutoff = F.col("_end") - F.make_dt_interval(F.lit(days))
-    return (per_cat.withColumn("_end", F.max("_last").over(Window.partitionBy()))
-            .filter(F.col("category").isNotNull() & (F.col("_last") >= cutoff)
-                    & (F.col("_last_met").isNull() | (F.col("_last_met") < cutoff)))
-            .select("category"))
+    but none of them met (the NOT IN as one grouped pass over the recent
+    tickets; their range filter reaches the scan of a stored fact)."""
+    last = fact.agg(F.max("start_time")).scalar()
+    met = F.max(F.when(F.col("resolution_target_met") == F.lit(True), 1))
+    return (fact.filter((F.col("start_time") >= last - F.make_dt_interval(F.lit(days)))
+                        & F.col("category").isNotNull())
+            .groupBy("category").agg(met.alias("_met"))
+            .filter(F.col("_met").isNull())
+            .select("category").orderBy("category"))
 
 
 def zero_compliance_categories_anti(fact: DataFrame, days: int = 30) -> DataFrame:
@@ -147,7 +136,7 @@ def zero_compliance_categories_anti(fact: DataFrame, days: int = 30) -> DataFram
     recent = fact.filter((F.col("start_time") >= last - F.make_dt_interval(F.lit(days)))
                          & F.col("category").isNotNull())
     met = recent.filter(F.col("resolution_target_met") == F.lit(True)).select("category").distinct()
-    return recent.select("category").distinct().join(met, "category", "left_anti")
+    return recent.select("category").distinct().join(met, "category", "left_anti").orderBy("category")
 
 
 def resolution_stats_by_priority(fact: DataFrame) -> DataFrame:
@@ -158,7 +147,8 @@ def resolution_stats_by_priority(fact: DataFrame) -> DataFrame:
             .agg(mean_2dp(HOURS).alias("avg_resolution_hours"),
                  F.count(F.lit(1)).alias("total_tickets"),
                  F.min(HOURS).cast("double").alias("min_hours"),
-                 F.max(HOURS).cast("double").alias("max_hours")))
+                 F.max(HOURS).cast("double").alias("max_hours"))
+            .orderBy("avg_resolution_hours", "priority"))
 
 
 def status_distribution(fact: DataFrame) -> DataFrame:
@@ -169,7 +159,8 @@ def status_distribution(fact: DataFrame) -> DataFrame:
               .groupBy("status").agg(F.count(F.lit(1)).alias("ticket_count")))
     total = F.sum("ticket_count").over(Window.partitionBy())
     return counts.withColumn(
-        "percentage", round2(F.lit(100.0) * F.col("ticket_count") / F.nullif(total, F.lit(0))))
+        "percentage", round2(F.lit(100.0) * F.col("ticket_count") / F.nullif(total, F.lit(0)))) \
+        .orderBy(F.col("ticket_count").desc(), "status")
 
 
 def fastest_agent_per_project(fact: DataFrame, n: int = 20) -> DataFrame:

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -53,6 +54,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once as Parquet and read back: cuts lineage like a
+    checkpoint, but later reads prune columns and push filters down."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder this package wrote."""
+    sc = _context(spark)
+    if sc is None:
+        return
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the session zone to UTC and make sure checkpoints have a home.
 

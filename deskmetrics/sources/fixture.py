@@ -8,11 +8,10 @@ duplicate ticket ids, tickets resolved before creation, unknown priorities,
 NULL reporters/assignees/categories).  Every order becomes a ticket and every
 line item a change-log row, so the work grows with the tables.
 
-Dimension sides joined by a computed key (``o_custkey % 40``,
-``o_orderkey % 7``) are cut to the key range the expression can produce
-before the join; with the primary keys of ``customer`` and ``supplier`` that
-bounds them to at most 79 and 13 rows, so they are broadcast.  ``nation``
-has 25 rows by definition.  Everything else is left to the planner and AQE.
+A quarter of the tickets have one of a few reporters and agents (heavy users
+and hot keys); the others take theirs from all customers and suppliers, so the
+dimensions grow with the tables.  Stamps are whole seconds, and durations are
+fractions of hours.  Joins are left to the planner and AQE.
 """
 
 from __future__ import annotations
@@ -22,9 +21,10 @@ from pyspark.sql import functions as F
 
 from ..schemas import CHANGES_SCHEMA, ISSUES_SCHEMA, TIMESTAMP_FORMAT
 
-# Bounds of the computed join keys below (see module doc).
-REPORTER_MOD = 40
-AGENT_MOD = 7
+# Tickets whose id divides by HOT_SHARE have one of so many reporters / agents.
+HOT_SHARE = 4
+HOT_REPORTERS = 10
+HOT_AGENTS = 7
 
 
 # Declared column types of the driver tables this package reads; a declared
@@ -70,13 +70,12 @@ def raw_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
              .groupBy("l_orderkey")
              .agg(F.sum("l_quantity").alias("q"),
                   F.min("l_partkey").alias("pk"),
+                  F.min("l_suppkey").alias("sk"),
                   F.count(F.lit(1)).alias("n_lines")))
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     reporters = (read_table(spark, sf_dir, "customer")
-                 .filter(F.col("c_custkey").between(-(REPORTER_MOD - 1), REPORTER_MOD - 1))
                  .select(F.col("c_custkey").alias("rep_key"), F.col("c_name").alias("rep_name")))
     agents = (read_table(spark, sf_dir, "supplier")
-              .filter(F.col("s_suppkey").between(-(AGENT_MOD - 1), AGENT_MOD - 1))
               .select(F.col("s_suppkey").alias("agent_key"), F.col("s_name").alias("agent_name")))
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
@@ -89,12 +88,16 @@ def raw_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     # from the planner, as a real CSV extract would: de-dup shuffles by id
     # and the state join reuses that.)
     with_part = lines.join(part, F.col("p_partkey") == F.col("pk"), "left")
-    with_customer = orders.join(customer, customer.c_custkey == orders.o_custkey, "left")
-    joined = (with_customer
-              .join(with_part.hint("merge"), key == F.col("l_orderkey"), "left")
-              .join(F.broadcast(reporters), F.col("rep_key") == F.col("o_custkey") % REPORTER_MOD, "left")
-              .join(F.broadcast(nation), F.col("n_nationkey") == F.col("c_nationkey"), "left")
-              .join(F.broadcast(agents), F.col("agent_key") == key % AGENT_MOD, "left"))
+    hot = key % HOT_SHARE == 0
+    with_customer = (orders.join(customer, customer.c_custkey == orders.o_custkey, "left")
+                     .join(reporters, F.col("rep_key") == F.when(hot, F.col("o_custkey") % HOT_REPORTERS)
+                           .otherwise(F.col("o_custkey")), "left")
+                     .join(nation, F.col("n_nationkey") == F.col("c_nationkey"), "left"))
+    with_agent = (orders.select(key.alias("a_orderkey")).join(with_part, F.col("a_orderkey") == F.col("l_orderkey"), "left")
+                  .withColumn("a_key", F.when(F.col("a_orderkey") % HOT_SHARE == 0, F.col("a_orderkey") % HOT_AGENTS)
+                              .otherwise(F.col("sk")))
+                  .join(agents, F.col("agent_key") == F.col("a_key"), "left"))
+    joined = with_customer.join(with_agent.hint("merge"), key == F.col("a_orderkey"), "left")
 
     q = F.col("q")
     hours = F.when(key % 40 == 0, -q).when(key % 17 == 0, q + 400).otherwise(q).cast("int")
@@ -113,7 +116,8 @@ def raw_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 17 != 0, F.concat(F.lit(" "), F.lower("p_type"))).alias("issue_type"),
         F.col("o_orderdate").alias("created"),
         F.when((F.col("o_orderstatus") != "O") & q.isNotNull(),
-               F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hours)).alias("resolved"),
+               F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hours, (key % 60).cast("int"), key * 7 % 60))
+        .alias("resolved"),
         F.col("o_orderstatus").alias("issue_status"),
     )
     # Every 50th ticket is extracted twice, the copy one day later: one pass

@@ -8,11 +8,14 @@ keep full precision.
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from ..schemas import CHANGES_SCHEMA, ISSUES_SCHEMA, as_text
+from ..schemas import CHANGES_SCHEMA, ISSUES_SCHEMA
 
 
 def _cast(col: Column, dtype) -> Column:
@@ -38,12 +41,45 @@ def scan_changes(raw: DataFrame) -> DataFrame:
     return cast_to_schema(raw, CHANGES_SCHEMA)
 
 
+def _headers(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header (the first line, read through Hadoop's file
+    system, so any store and compression that Spark reads will do)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    found: dict[tuple[str, ...], list[str]] = {}
+    for name in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream = path.getFileSystem(conf).open(path)
+        codec = codecs.getCodec(path)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+            codec.createInputStream(stream) if codec is not None else stream, "UTF-8"))
+        try:
+            line = reader.readLine()
+        finally:
+            reader.close()
+        if line and line.strip("\ufeff \t"):
+            columns = next(csv.reader([line.lstrip("\ufeff")]))
+            found.setdefault(tuple(c.strip() for c in columns), []).append(name)
+    return found
+
+
 def read_csv_text(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Header CSV read as text with the declared names; no inference pass."""
-    return (spark.read.option("header", "true")
-            .option("mode", "PERMISSIVE")
-            .schema(as_text(schema))
-            .csv(path))
+    """The declared columns of header CSV files as text, taken by name.
+
+    Column order may differ, also between the files of a folder: files are
+    read in groups with the same header, each with the names of that header
+    (everything text, no inference pass).  Extra columns are ignored; a
+    column that a file lacks fails analysis.
+    """
+    names = [f.name for f in schema.fields]
+    reader = spark.read.option("header", "true").option("mode", "PERMISSIVE")
+    listed = reader.schema(StructType([StructField(n, StringType()) for n in names])).csv(path)
+    groups = _headers(spark, listed.inputFiles())
+    if not groups:                       # no file, or empty ones
+        return listed
+    parts = [reader.schema(StructType([StructField(c, StringType()) for c in header])).csv(files).select(*names)
+             for header, files in sorted(groups.items())]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def read_issues_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -1,9 +1,7 @@
 """Sinks: curated Parquet zone and JDBC warehouse (K2, K3).
 
-Both are full refreshes and safe to run twice: Parquet overwrites the table
-folder; JDBC overwrites with ``truncate`` so the table (and its constraints)
-stays and no rows are duplicated.  Connection settings come from the
-caller; nothing is hard-coded.
+Both are full refreshes and safe to run twice.  Connection settings come from
+the caller; nothing is hard-coded.
 """
 
 from __future__ import annotations
@@ -14,23 +12,16 @@ from pyspark.sql.types import StructType
 from ..session import default_parallelism
 
 
-def write_parquet(df: DataFrame, path: str, partition_col: str | None = None) -> None:
-    """Overwrite ``path`` with ``df`` (snappy Parquet, Spark's default).
+def curate(df: DataFrame, path: str, by: str | None = None) -> None:
+    """Replace the Parquet table at ``path``.
 
-    With a partition column the rows are first rebalanced on it, so each
-    value gets a few files rather than one per input task, and AQE may
-    split a very large value over several tasks.  NULL values land in the
-    default partition and read back as NULL.
+    With ``by`` the table is partitioned on that column; the rows are
+    rebalanced on it first, so each value gets a few files rather than one
+    per input task, and AQE splits a large value over several tasks.  NULLs
+    land in the default partition and read back as NULL.
     """
-    if df is None:
-        raise ValueError(f"nothing to write to {path}")
-    writer = df
-    if partition_col:
-        writer = df.hint("rebalance", partition_col)
-    w = writer.write.mode("overwrite").format("parquet")
-    if partition_col:
-        w = w.partitionBy(partition_col)
-    w.save(path)
+    rows = df if by is None else df.hint("rebalance", by)
+    rows.write.parquet(path, mode="overwrite", partitionBy=by)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None,
@@ -43,26 +34,60 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
-               batch_size: int = 10000, num_partitions: int | None = 32) -> None:
-    """Full refresh of one warehouse table over JDBC (idempotent).
-
-    ``num_partitions`` caps the concurrent connections (Spark coalesces the
-    write to that many tasks); each task commits its rows as one
-    transaction, so a retried task does not leave half a partition behind
-    on a transactional database."""
-    if df is None:
-        raise ValueError(f"nothing to write to {table}")
-    w = (df.write.format("jdbc")
-         .option("url", url)
-         .option("dbtable", table)
-         .option("truncate", "true")
-         .option("batchsize", str(batch_size)))
-    if num_partitions:
-        w = w.option("numPartitions", str(num_partitions))
+def append_jdbc(df: DataFrame, url: str, table: str, connections: int,
+                properties: dict[str, str] | None = None, batch_size: int = 10000) -> None:
+    """Append over JDBC with ``connections`` concurrent writers.
+
+    The rows are dealt out to the writers by a shuffle, so the tasks before
+    it keep their own number.  Each task commits its rows as one transaction,
+    so a retried task does not leave half a partition behind on a
+    transactional database."""
+    (df.repartition(connections).write.format("jdbc")
+     .options(url=url, dbtable=table, batchsize=str(batch_size), **(properties or {}))
+     .mode("append").save())
+
+
+def empty_tables(spark: SparkSession, url: str, tables: list[str], properties: dict[str, str] | None = None,
+                 statement: str = "DELETE FROM {table}") -> None:
+    """Run ``statement`` for every table, in one transaction.
+
+    Name the tables child first.  The default respects foreign keys on any
+    database; a faster form can be given, for example
+    ``TRUNCATE TABLE {table} CASCADE`` on PostgreSQL."""
+    jvm = spark._jvm
+    settings = jvm.java.util.Properties()
     for k, v in (properties or {}).items():
-        w = w.option(k, v)
-    w.mode("overwrite").save()
+        settings.setProperty(k, v)
+    if "driver" in (properties or {}):
+        loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+        driver = loader.loadClass(properties["driver"]).newInstance()
+        connection = driver.connect(url, settings)
+    else:
+        connection = jvm.java.sql.DriverManager.getConnection(url, settings)
+    try:
+        connection.setAutoCommit(False)
+        run = connection.createStatement()
+        for table in tables:
+            run.executeUpdate(statement.format(table=table))
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
+def refresh_warehouse(tables: dict[str, DataFrame], url: str, connections: int,
+                      names: dict[str, str] | None = None, properties: dict[str, str] | None = None,
+                      empty_statement: str = "DELETE FROM {table}") -> None:
+    """Full refresh of tables that exist with their keys: ``tables`` is in
+    load order (parents first); all are emptied child first, then appended
+    parents first.  ``names`` maps to the database's names."""
+    target = {t: (names or {}).get(t, t) for t in tables}
+    spark = next(iter(tables.values())).sparkSession
+    empty_tables(spark, url, [target[t] for t in reversed(tables)], properties, empty_statement)
+    for name, df in tables.items():
+        append_jdbc(df, url, target[name], connections, properties)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str,
