@@ -37,6 +37,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in gone])
 
 
+def undotted(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with names that ``mapInArrow`` can address (none with a dot or a
+    backtick), and the map back to its own names."""
+    back = {fresh(f"_c{i}", df): c for i, c in enumerate(df.columns) if "." in c or "`" in c}
+    own = {c: safe for safe, c in back.items()}
+    return df.toDF(*[own.get(c, c) for c in df.columns]), back
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

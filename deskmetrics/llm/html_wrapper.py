@@ -28,6 +28,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from hashlib import md5
 from html import unescape
 from itertools import chain
 
@@ -189,7 +190,9 @@ def wrapper_of(item: Item) -> list:
     """The wrapper that fits this page."""
     text = _own_text(item)
     kids = _fold([wrapper_of(p) for p in item.parts if not isinstance(p, str)])
-    return [item.sig, False, False, text[:80] or None, kids]
+    if len(text) > 80:
+        text = f"{text[:60]}... {md5(text.encode()).hexdigest()}"
+    return [item.sig, False, False, text or None, kids]
 
 
 def _pairs(a: list[list], b: list[list]) -> list[tuple[int | None, int | None]]:
@@ -223,7 +226,7 @@ def _pairs(a: list[list], b: list[list]) -> list[tuple[int | None, int | None]]:
 
 def _merge(a: list, b: list) -> list:
     """The wrapper of two nodes with the same signature."""
-    text = a[TEXT] if a[TEXT] == b[TEXT] else True
+    text = a[TEXT] if a[TEXT] == b[TEXT] or b[TEXT] is None else b[TEXT] if a[TEXT] is None else True
     kids = []
     for i, j in _pairs(a[KIDS], b[KIDS]):
         if i is not None and j is not None:

@@ -38,7 +38,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructType
 
 from . import features
 from . import words as W
-from .common import drop_staged, every, fresh, staged, without
+from .common import drop_staged, every, fresh, staged, undotted, without
 
 #: Production targets: shares of all tokens by domain.
 TARGETS = {"good": 0.9, "low": 0.1, "toxic": 0.0}
@@ -174,7 +174,7 @@ def learn(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
 def with_posteriors(docs: DataFrame, classifier: Classifier | None, text_col: str = "text") -> DataFrame:
     """``docs`` without the text, with ``n_tokens`` (words) and ``posterior``;
     input columns of these names are replaced."""
-    docs = without(docs, "n_tokens", "posterior")
+    docs, back = undotted(without(docs, "n_tokens", "posterior"))
     kept = [c for c in docs.columns if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +193,7 @@ def with_posteriors(docs: DataFrame, classifier: Classifier | None, text_col: st
 
     schema = StructType([docs.schema[c] for c in kept])
     schema = schema.add("n_tokens", LongType()).add("posterior", ArrayType(DoubleType()))
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema).withColumnsRenamed(back)
 
 
 def _rate(posterior: Column, residuals: list[list[float]]) -> Column:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructType
 
 from . import words as W
-from .common import per_batch, without
+from .common import per_batch, undotted, without
 
 WINDOW = 8
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
@@ -169,7 +169,7 @@ def judge(docs: DataFrame, text_col: str = "text", rules: Rules = Rules(),
     """``docs`` with the columns of ``ADDED`` (names led by ``prefix``); input
     columns of these names are replaced."""
     names = [prefix + name for name, _ in ADDED]
-    docs = without(docs, *names)
+    docs, back = undotted(without(docs, *names))
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows: list[tuple] = []
@@ -182,7 +182,7 @@ def judge(docs: DataFrame, text_col: str = "text", rules: Rules = Rules(),
     schema = StructType(list(docs.schema.fields))
     for name, (_, kind) in zip(names, ADDED):
         schema = schema.add(name, kinds[kind])
-    return docs.mapInArrow(per_batch(one), schema)
+    return docs.mapInArrow(per_batch(one), schema).withColumnsRenamed(back)
 
 
 def clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import per_batch, without
+from .common import per_batch, undotted, without
 
 # fixed values: what the base kinds match
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -108,7 +108,7 @@ def spans(text: str | None) -> list[tuple[int, str, int]]:
 def scan(docs: DataFrame, text_col: str = "text", out_col: str = "spans") -> DataFrame:
     """``docs`` with an array of (kind, start, end) in ``out_col``; an input
     column of that name is replaced."""
-    docs = without(docs, out_col)
+    docs, back = undotted(without(docs, out_col))
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [[{"kind": k, "start": a, "end": b} for a, k, b in spans(t.as_py())]
@@ -118,7 +118,7 @@ def scan(docs: DataFrame, text_col: str = "text", out_col: str = "spans") -> Dat
 
     kind = StructType.fromDDL("spans array<struct<kind:string,start:int,end:int>>")["spans"].dataType
     schema = StructType(list(docs.schema.fields)).add(out_col, kind)
-    return docs.mapInArrow(per_batch(one), schema)
+    return docs.mapInArrow(per_batch(one), schema).withColumnsRenamed(back)
 
 
 def listed(found: Column) -> Column:

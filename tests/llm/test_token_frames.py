@@ -58,8 +58,10 @@ def test_files_hold_single_documents(spark, clashing_docs, edge_rows, encode, no
     # any zstandard decoder streams a file, and a changed byte is found
     import zstandard
     system, path = token_frames.file_system(listed[0].path)
-    with system.open_input_stream(path) as raw:
+    with system.open_input_stream(path, compression=None) as raw:
         data = raw.read()
+    with system.open_input_stream(path, compression="zstd") as stream:
+        assert len(stream.read()) == 4 * listed[0].n_ids
     whole = zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True).read()
     assert len(whole) == 4 * listed[0].n_ids
     broken = bytearray(data)
