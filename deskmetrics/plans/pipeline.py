@@ -91,6 +91,9 @@ def run(spark: SparkSession, issues: DataFrame, changes: DataFrame, out_dir: str
                "changes.rows_in": obs_changes.get.get("rows", 0),
                "fact_tickets.rows_after_dedup": obs_fact.get.get("rows", 0),
                **{f"dimensions.{t}": sizes[t] for t in CURATED_ORDER if t.startswith("dim_")}}
+    # written last: its marker says that the folder is whole
+    sinks.curate(spark.createDataFrame(sorted(metrics.items()), "metric string, value bigint").coalesce(1),
+                 f"{out}/run_metrics")
     stored = {name: sinks.read_parquet(spark, f"{out}/{name}",
                                        list(WAREHOUSE_FACT_COLUMNS) if name == "fact_tickets" else None,
                                        schema=tables[name].schema)

@@ -90,10 +90,7 @@ def build(spark: SparkSession, sf_dir: str, folder: str) -> Star:
     """The batch run over the driver's tables into ``folder``."""
     issues = scan.scan_issues(fixture.raw_issues(spark, sf_dir))
     changes = scan.scan_changes(fixture.raw_changes(spark, sf_dir))
-    result = pipeline.run(spark, issues, changes, folder)
-    # written last: its marker says that the folder is whole
-    spark.createDataFrame(sorted(result.metrics.items()), SCHEMAS["run_metrics"]).coalesce(1) \
-        .write.mode("overwrite").parquet(f"{folder}/run_metrics")
+    pipeline.run(spark, issues, changes, folder)
     return open_star(spark, folder)
 
 

@@ -147,6 +147,16 @@ def test_counters_equal_the_query(spark, star):
     assert counted == {r.metric: r.value for r in star.tables["run_metrics"].collect()}
 
 
+def test_a_curated_folder_opens(spark, scratch_dir, star):
+    out = f"{scratch_dir}/curated-{uuid.uuid4().hex[:8]}"
+    m = model.from_tables(spark, SMOKE_DIR)
+    pipeline.run(spark, m.issues, m.changes, out)
+    opened = stored.open_star(spark, out)
+    for name, table in star.tables.items():
+        assert opened.tables[name].schema == table.schema
+        assert opened.tables[name].exceptAll(table).count() == 0 == table.exceptAll(opened.tables[name]).count()
+
+
 def test_staged_fact_is_removed(spark, scratch_dir):
     issues, changes = (model.from_tables(spark, SMOKE_DIR).issues, model.from_tables(spark, SMOKE_DIR).changes)
     before = {p for p in os.listdir(scratch_dir) if p.startswith("fact-")}
