@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are handled in runs of rows of about this many bytes.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 
 _U = np.uint64
 _R = 0x9E3779B97F4A7C15 | 1
@@ -59,6 +59,16 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """One uint64 per span of bytes, equal for equal bytes."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    power, inverse = _power_tables(len(buf))
+    sums = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(_CODES[lower][buf] * power[:len(buf)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 @dataclass
 class Words:
     """Words of a run of rows: byte borders in ``buf`` and the first word of each row."""
@@ -74,13 +84,7 @@ class Words:
 
     def hashes(self, lower: bool = True) -> np.ndarray:
         """One uint64 per word."""
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        power, inverse = _power_tables(len(self.buf))
-        sums = np.zeros(len(self.buf) + 1, np.uint64)
-        np.cumsum(_CODES[lower][self.buf] * power[:len(self.buf)], out=sums[1:])
-        h = (sums[self.ends] - sums[self.starts]) * inverse[self.starts]
-        return mix(h + (self.ends - self.starts).astype(np.uint64))
+        return span_hashes(self.buf, self.starts, self.ends, lower)
 
     def windows(self, h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all runs of ``width`` words and the first window of each row."""
