@@ -39,10 +39,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import words as W
 from .common import partitions, staged
 
 END_ID = 2
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 3_000_000
+RECENT_CHUNKS = 100_000
 LEVEL = 3
 
 # fixed values of the seekable format
@@ -64,19 +66,42 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
 
 # --- encoding -------------------------------------------------------------------
 
-#: Unicode white space, as the byte-level pre-tokenizer's \s has it.
-_SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+$")
+#: White space of the pre-tokenizer's expression beyond ASCII, in UTF-8.
+_WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
+class _Known:
+    """Chunk hashes with the place, count and byte length of their ids; sorted
+    arrays, about 30 bytes a chunk."""
+
+    def __init__(self):
+        self.hashes = np.zeros(0, np.uint64)
+        self.place, self.count, self.width = (np.zeros(0, t) for t in (np.int64, np.int32, np.int32))
+
+    def find(self, hashes: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position, whether it is there) of each."""
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return at, (self.hashes[at] == hashes) & (self.width[at] == width)
+
+    def add(self, hashes, place, count, width) -> None:
+        order = np.argsort(joined := np.concatenate([self.hashes, hashes]), kind="stable")
+        self.hashes = joined[order]
+        for name, more in (("place", place), ("count", count), ("width", width)):
+            setattr(self, name, np.concatenate([getattr(self, name), more])[order])
+
+
 class Encoder:
     """Texts to the bytes of their ids.
 
     The pre-tokenizer never joins characters across the end of a run of
     non-space characters, so a text is the chain of its chunks (white space
-    and the run after it); each distinct chunk is encoded once and kept, up
-    to CACHE_CHUNKS chunks.
+    and the run after it).  The chunks of a run of rows are told apart by
+    64-bit hashes (and their length), each distinct one is encoded once, and
+    up to CACHE_CHUNKS are kept for later rows.  Rows with white space beyond
+    ASCII are encoded whole.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -85,17 +110,67 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True   # their strings are ordinary text
         self.end = np.array([end_id], "<u4").tobytes()
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        parts = [_CHUNK.findall(t) if t else [] for t in texts]
-        if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
-        new = list(set(chain.from_iterable(parts)).difference(self.known))
-        for encoded, chunk in zip(self.tokenizer.encode_batch_fast(new, add_special_tokens=False), new):
-            self.known[chunk] = np.array(encoded.ids, "<u4").tobytes()
-        for p in parts:
-            yield b"".join(map(self.known.__getitem__, p)) + self.end
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.recent = _Known(), _Known()
+        self.ids, self.n_ids = np.zeros(1 << 16, np.uint32), 0
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, chunks: list[str], hashes: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, count) of the new chunks' ids."""
+        lists = self._encode(chunks)
+        count = np.fromiter(map(len, lists), np.int32, len(lists))
+        flat = np.fromiter(chain.from_iterable(lists), np.uint32, int(count.sum()))
+        while self.n_ids + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
+        self.ids[self.n_ids:self.n_ids + len(flat)] = flat
+        place = self.n_ids + np.cumsum(count, dtype=np.int64) - count
+        self.n_ids += len(flat)
+        self.recent.add(hashes, place, count, width)
+        if len(self.recent.hashes) > RECENT_CHUNKS:
+            r, self.recent = self.recent, _Known()
+            self.known.add(r.hashes, r.place, r.count, r.width)
+        return place, count
+
+    def _run(self, buf: np.ndarray, rows: np.ndarray) -> Iterator[bytes]:
+        raw = buf.tobytes()
+        if _WIDE_SPACE.search(raw):
+            for ids in self._encode([raw[a:b].decode() for a, b in zip(rows[:-1], rows[1:])]):
+                yield np.array(ids, "<u4").tobytes() + self.end
+            return
+        space = W.SPACE[buf]
+        begin = space.copy()
+        begin[1:] &= ~space[:-1]
+        begin[rows[rows < len(buf)]] = True
+        starts = np.flatnonzero(begin)
+        ends = np.append(starts[1:], len(buf)) if len(starts) else starts
+        hashes, first, each = np.unique(W.span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+        width = (ends[first] - starts[first]).astype(np.int32)
+        if len(self.known.hashes) > CACHE_CHUNKS:
+            self._forget()
+        place, count = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int32)
+        new = np.ones(len(hashes), bool)
+        for table in (self.known, self.recent):
+            at, there = table.find(hashes, width)
+            place[there], count[there] = table.place[at[there]], table.count[at[there]]
+            new &= ~there
+        if new.any():
+            chunks = [raw[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
+            place[new], count[new] = self._learn(chunks, hashes[new], width[new])
+        n = count[each]
+        to = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+        ids = self.ids[np.arange(to[-1]) + np.repeat(place[each] - to[:-1], n)].astype("<u4", copy=False)
+        borders = to[np.searchsorted(starts, rows)]
+        for a, b in zip(borders[:-1].tolist(), borders[1:].tolist()):
+            yield ids[a:b].tobytes() + self.end
+
+    def __call__(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text (NULL: of none) and the end id."""
+        for _, _, buf, rows in W.runs(texts):
+            yield from self._run(buf, rows)
 
 
 def encoder(path: str, end_id: int) -> Encoder:
@@ -184,15 +259,12 @@ def write_frames(docs: DataFrame, folder: str, tokenizer: str, id_col: str = "do
         final = f"{base}/part-{shard:05d}.zst"
         own, writer, n_ids = f"{base}/_attempt-{uuid.uuid4().hex}", None, 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                ids = part.column(0).to_pylist()
-                for doc_id, content in zip(ids, encode(part.column(1).to_pylist())):
-                    if writer is None:
-                        system.create_dir(base, recursive=True)
-                        writer = FrameWriter(system.open_output_stream(own))
-                    writer.add(doc_id, content)
-                    n_ids += len(content) // 4
+            for doc_id, content in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
+                if writer is None:
+                    system.create_dir(base, recursive=True)
+                    writer = FrameWriter(system.open_output_stream(own))
+                writer.add(doc_id, content)
+                n_ids += len(content) // 4
         if writer is None:
             return
         writer.close()

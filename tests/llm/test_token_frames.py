@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from deskmetrics.llm import queries, token_frames
@@ -27,7 +28,9 @@ def test_chunks_encode_like_whole_texts(encode):
     letters = " \n\t\xa0\x1c\x85 abé's'll12!?$ü　漢字\r\x0b<|endoftext|>"
     texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 25))) for _ in range(4000)]
     texts += ["<|endoftext|>", None, "", "a<|endoftext|> b", "x" * 5000]
-    assert list(encode(texts)) == [_whole(encode, t) for t in texts]
+    assert list(encode(pa.array(texts))) == [_whole(encode, t) for t in texts]
+    for t in texts[:300]:        # each in a run of its own, without wide spaces of others
+        assert list(encode(pa.array([t, "", t], pa.string()))) == [_whole(encode, x) for x in (t, "", t)]
 
 
 def test_query_matches_whole_text_encoding(spark, sf_texts, encode):
