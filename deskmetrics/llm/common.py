@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -72,9 +73,18 @@ def drop_staged(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of steps that are done:
+    it does so when the driver collects its garbage, which a driver with
+    little to do puts off while the files fill the executors' disks."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def ascii_lower(c: Column) -> Column:
-    """Lower-cases A-Z only."""
-    return F.translate(c, UPPER, LOWER)
+    """Lower-cases A-Z only.  ``translate`` looks every character up, so texts
+    of ASCII alone take ``lower``, which is the same there."""
+    return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
 def held_out(id_col: str, modulus: int) -> Column:

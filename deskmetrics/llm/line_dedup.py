@@ -12,13 +12,13 @@ stay.
    ordered by hash.  This is one global order, whatever the sketch's errors.
 3. A set of n words has the prefix of its n - ceil(t n) + 1 rarest words; two
    linked sets share a prefix word.  Classes that share one are compared if
-   the sizes, the places of the word in both orders, and a 64-bit parity
-   signature (every word flips one bit, so the bits that differ are at most
+   the sizes, the places of the word in both orders, and a parity signature
+   of 128 bits (every word flips one bit, so the bits that differ are at most
    the words that differ) allow the threshold.
-4. Each class first meets the earliest class of its prefix words and size
-   range.  Those whose similarity holds are settled; only the others meet
-   all earlier classes, so a large group of near copies costs about one
-   comparison each.
+4. Each class first meets the earliest class of its size range that shares
+   one of the HUB_WORDS most frequent words of both prefixes.  Those whose
+   similarity holds are settled; only the others meet all earlier classes, so
+   a large group of near copies costs about one comparison each.
 5. The words of the lines that are compared are read again by their first
    place, and the Jaccard similarity is computed exactly.
 
@@ -37,10 +37,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bits
-from .common import SPACE_WORD, ascii_lower, drop_staged, every, staged
+from .common import SPACE_WORD, ascii_lower, drop_staged, every, staged, sweep
 
-SLOTS = 1 << 20
+SLOTS = 1 << 16
 LEVEL_SHIFT = 57
+HUB_WORDS = 3
 _PLACE = ("id", "h", "line_no")
 
 
@@ -53,46 +54,78 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _words(line: Column) -> Column:
-    """Lower-cased words, split at ASCII white space (with an empty one where a line begins or ends with it)."""
-    return F.split(ascii_lower(line), r"[\x20\x09-\x0D]+", -1)
+    """Lower-cased words, split at ASCII white space; there may be empty ones."""
+    low = ascii_lower(line)
+    # splitting at one space needs no expression; other white space is rare inside a line
+    return F.when(line.rlike(r"[\x09-\x0D]"), F.split(low, r"[\x20\x09-\x0D]", -1)).otherwise(F.split(low, " ", -1))
 
 
-def _levels(lines: DataFrame) -> Column:
-    """The rarity level of each slot, in the top bits of a long (a literal)."""
+def _levels(docs: DataFrame, text_col: str) -> Column:
+    """The rarity level of each slot as an array literal: half powers of two
+    of the words counted in it."""
     slot = F.pmod(F.xxhash64("word"), F.lit(SLOTS)).cast("int")
-    counts = (lines.select(F.explode(_words(F.col("line"))).alias("word")).groupBy(slot.alias("slot"))
+    # any counts give a global order: that a tab does not part words here only moves a few words in it
+    spaced = F.split(F.replace(ascii_lower(F.col(text_col)), F.lit("\n"), F.lit(" ")), " ", -1)
+    counts = (docs.select(F.explode(spaced).alias("word")).groupBy(slot.alias("slot"))
               .agg(F.least(F.lit(62), F.floor(F.log2(F.count("*") + 1) * 2)).cast("byte").alias("level"))).toArrow()
     level = np.zeros(SLOTS, np.uint8)
     level[counts.column(0).to_numpy()] = counts.column(1).to_numpy()
     # one string, split and cast once when the plan is optimised
-    return F.split(F.lit(",".join(map(str, level.tolist()))), ",").cast("array<int>")
+    return F.split(F.lit(",".join(map(str, level.tolist()))), ",").cast("array<bigint>")
 
 
-def _described(lines: DataFrame, num: int, den: int) -> DataFrame:
+def _described(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) -> DataFrame:
     """(place, lh, lc, n, sig, prefix) of every line; equal lines have equal (lh, lc)."""
-    levels = _levels(lines)
-    hashed = lines.select(
-        *_PLACE, F.xxhash64("line").alias("lh"), F.crc32(F.col("line").cast("binary")).alias("lc"),
-        F.array_distinct(F.transform(F.array_remove(_words(F.col("line")), ""), lambda w: F.xxhash64(w))).alias("words"))
-    rank = lambda h: (F.shiftleft(F.get(levels, F.pmod(h, F.lit(SLOTS)).cast("int")).cast("long"), LEVEL_SHIFT)
-                      .bitwiseOR(F.shiftrightunsigned(h, 64 - LEVEL_SHIFT)))
-    flip = lambda a, h: a.bitwiseXOR(F.call_function(
-        "shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63).cast("long")).cast("int")))
-    n = F.size("words")
-    return hashed.select(
-        *_PLACE, "lh", "lc", n.alias("n"), F.aggregate("words", F.lit(0).cast("long"), flip).alias("sig"),
-        F.slice(F.sort_array(F.transform("words", rank)), F.lit(1),
-                (n - F.ceil(F.lit(num) * n / F.lit(den)) + 1).cast("int")).alias("prefix"))
+    levels = _levels(docs, text_col)
+
+    def rank(word: Column) -> Column:      # rare words first; the hash tells words apart
+        h = F.xxhash64(word)
+        return F.shiftleft(F.get(levels, F.pmod(h, F.lit(SLOTS)).cast("int")), LEVEL_SHIFT).bitwiseOR(
+            F.shiftrightunsigned(h, 64 - LEVEL_SHIFT))
+
+    line = F.col("line")
+    ranks = F.array_distinct(F.transform(_words(line), rank))
+    ranked = _lines(docs, id_col, text_col).select(
+        *_PLACE, F.xxhash64("line").alias("lh"), F.crc32(line.cast("binary")).alias("lc"),
+        F.sort_array(F.array_remove(ranks, rank(F.lit("")))).alias("ranks"))
+    bit = lambda r, half: F.when(
+        F.shiftrightunsigned(r, 6).bitwiseAND(F.lit(1).cast("long")) == half,
+        F.call_function("shiftleft", F.lit(1).cast("long"), r.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    ).otherwise(F.lit(0).cast("long"))
+    parity = lambda half: F.aggregate("ranks", F.lit(0).cast("long"),
+                                      lambda a, r: a.bitwiseXOR(bit(r, half)))
+    n = F.size("ranks")
+    return ranked.select(
+        *_PLACE, "lh", "lc", n.alias("n"), parity(0).alias("sig"), parity(1).alias("sig2"),
+        F.slice("ranks", F.lit(1), (n - F.ceil(F.lit(num) * n / F.lit(den)) + 1).cast("int")).alias("prefix"))
+
+
+_SETTLED = 1 << 62      # in ni: the class needs no more comparisons
+
+
+def _tokens(prefixes: DataFrame) -> DataFrame:
+    """(token, lid, ni, sig, sig2): a row for each prefix word; ni packs the size,
+    the word's place in the order and whether the class is settled.  32 bits
+    of the word's rank are enough to meet: a chance meeting is one more
+    comparison."""
+    n = F.col("n").cast("long")
+    if "settled" in prefixes.columns:
+        n += F.col("settled").cast("long") * F.lit(_SETTLED >> 32)
+    return prefixes.select("lid", n.alias("n"), "sig", "sig2", F.posexplode("prefix").alias("i", "rank")).select(
+        F.xxhash64("rank").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("token"),
+        "lid", F.shiftleft("n", 32).bitwiseOR(F.col("i").cast("long")).alias("ni"), "sig", "sig2")
 
 
 def _may_link(a: str, b: str, num: int, den: int) -> Column:
-    """The size, place and signature bounds between two rows of ``_tokens``."""
-    na, nb, ia, ib = (F.col(f"{s}.{c}") for c in ("n", "i") for s in (a, b))
-    differ = F.bit_count(F.col(f"{a}.sig").bitwiseXOR(F.col(f"{b}.sig")))
+    """The size, place and signature bounds between two rows of ``_tokens``, b before a."""
+    size = lambda s: F.shiftright(F.col(f"{s}.ni").bitwiseAND(F.lit(_SETTLED - 1)), 32)
+    place = lambda s: F.col(f"{s}.ni").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
+    na, nb = size(a), size(b)
+    differ = sum(F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("sig", "sig2"))
     return ((F.col(f"{b}.lid") < F.col(f"{a}.lid"))
+            & ((num + den) * differ <= (den - num) * (na + nb))
             & (den * F.least(na, nb) >= num * F.greatest(na, nb))
-            & ((num + den) * F.least(na - ia, nb - ib) >= num * (na + nb))
-            & ((num + den) * differ <= (den - num) * (na + nb)))
+            & ((num + den) * F.least(na - place(a), nb - place(b)) >= num * (na + nb)))
 
 
 def _similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, num: int,
@@ -124,7 +157,7 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   den: int = 5) -> DataFrame:
     """(id, h, line_no, removed) for every line with a word; ``h`` is xxhash64
     of the text."""
-    described = staged(_described(_lines(docs, id_col, text_col), num, den), "lines")
+    described = staged(_described(docs, id_col, text_col, num, den), "lines")
     # ids of classes ascend with their first places
     classes = staged(
         described.groupBy("lh", "lc").agg(F.min(F.struct(*_PLACE)).alias("place"))
@@ -134,31 +167,43 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         & F.col("d.id").eqNullSafe(F.col("c.id")) & (F.col("d.h") == F.col("c.h")) \
         & (F.col("d.line_no") == F.col("c.line_no"))
     places = staged(described.select(*_PLACE, "lh", "lc"), "places")
-    prefixes = staged(d.join(c, first).select("lid", "n", "sig", "prefix"), "prefixes")
+    prefixes = staged(d.join(c, first).select("lid", "n", "sig", "sig2", "prefix"), "prefixes")
     drop_staged(described)
+    sweep(docs.sparkSession)
+
+    # step 4: the earliest class in each group of alike ones
     width = math.log(den / num) if num < den else 1.0
-    tokens = prefixes.select("lid", F.col("n").cast("int").alias("n"), "sig",
-                             F.posexplode("prefix").alias("i", "token"))
-
-    span = F.floor(F.log("n") / width).cast("int")
-    ranged = tokens.withColumn("span", span)
-    hubs = ranged.groupBy("token", "span").agg(F.min(F.struct("lid", "n", "i", "sig")).alias("hub")) \
-        .select("token", "span", "hub.*")
-    a, b = ranged.alias("a"), hubs.alias("b")
-    at_hub = staged(a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.span") == F.col("b.span"))
-                           & _may_link("a", "b", num, den))
-                    .select(F.col("a.lid").alias("lid"), F.col("b.lid").alias("other")).distinct(), "pairs")
+    span = F.floor(F.log(F.shiftright("ni", 32)) / width).cast("int")
+    ends = prefixes.withColumn("prefix", F.slice(
+        "prefix", F.greatest(F.lit(1), F.size("prefix") - (HUB_WORDS - 1)), F.lit(HUB_WORDS)))
+    grouped = _tokens(ends).withColumn("span", span)
+    hub = grouped.groupBy("token", "span").agg(F.min("lid").alias("other"))
+    at_hub = (grouped.join(hub, ["token", "span"]).filter("other < lid").select("lid", "other", "ni", "sig", "sig2").distinct()
+              .join(prefixes.select(F.col("lid").alias("other"), F.col("n").alias("other_n"),
+                                    F.col("sig").alias("other_sig"), F.col("sig2").alias("other_sig2")), "other"))
+    n = F.shiftright("ni", 32)
+    differ = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in ("sig", "sig2"))
+    close = ((num + den) * differ <= (den - num) * (n + F.col("other_n"))) \
+        & (den * F.least(n, F.col("other_n")) >= num * F.greatest(n, F.col("other_n")))
+    at_hub = staged(at_hub.filter(close).select("lid", "other").distinct(), "pairs")
     settled = _similar(at_hub, classes, docs, id_col, text_col, num, den)
-    open_rows = prefixes.join(settled, "lid", "left_anti").select(
-        "lid", F.col("n").cast("int").alias("n"), "sig", F.posexplode("prefix").alias("i", "token"))
-    a, b = open_rows.alias("a"), tokens.alias("b")
-    rest = staged(a.join(b, (F.col("a.token") == F.col("b.token")) & _may_link("a", "b", num, den))
+
+    marked = staged(prefixes.join(settled.withColumn("settled", F.lit(True)), "lid", "left")
+                    .select("lid", "n", "sig", "sig2", "prefix", F.col("settled").isNotNull().alias("settled")), "prefixes")
+    drop_staged(prefixes)
+    sweep(docs.sparkSession)
+    tokens = _tokens(marked)
+    a, b = tokens.alias("a"), tokens.alias("b")
+    # said of both sides, so that they stay one exchange
+    is_open = F.when(F.col("b.lid") < F.col("a.lid"), F.col("a.ni") < F.lit(_SETTLED))
+    rest = staged(a.join(b, (F.col("a.token") == F.col("b.token")) & is_open & _may_link("a", "b", num, den))
                   .select(F.col("a.lid").alias("lid"), F.col("b.lid").alias("other")).distinct()
                   .join(at_hub, ["lid", "other"], "left_anti"), "pairs")
+    drop_staged(marked)
+    sweep(docs.sparkSession)
     late = settled.unionAll(_similar(rest, classes, docs, id_col, text_col, num, den)).distinct()
     flagged = classes.join(late.withColumn("late", F.lit(True)), "lid", "left").select(
         "lh", "lc", F.struct(*_PLACE).alias("first"), F.coalesce("late", F.lit(False)).alias("late"))
-    drop_staged(prefixes)
     return places.join(flagged, ["lh", "lc"]).select(
         *_PLACE, (F.col("late") | (F.struct(*_PLACE) != F.col("first"))).alias("removed"))
 
