@@ -2,9 +2,9 @@
 
 Training is Baum-Welch: every partition runs the scaled forward-backward
 recursion over its sequences and emits expected counts; the counts are added
-up across partitions (as whole numbers of 1/4096, so that the model does not
-depend on the order of addition) and the driver re-estimates the tables,
-whose size is fixed by the parameters.  Scoring is the exact likelihood of a
+up across partitions (as whole numbers of 1/4096, so the order of addition
+does not matter and a task that runs again adds the same) and the driver
+re-estimates the tables, whose size is fixed by the parameters.  Scoring is the exact likelihood of a
 whole text by the scaled forward recursion.
 
 Symbols.  The ``top_words`` most frequent training words and the end token
@@ -35,7 +35,7 @@ from .common import drop_staged, held_out, staged
 
 END = 1                     # "hash" of the end token
 UNIT = 4096                 # counts are added in units of 1 / UNIT
-BATCH_TOKENS = 2_000_000    # tokens that one recursion handles side by side
+BATCH_TOKENS = 1_000_000    # tokens that one recursion handles side by side
 
 
 @dataclass(frozen=True)
@@ -116,7 +116,14 @@ def _with_vocabulary(vocab: DataFrame, s: Settings) -> Model:
     """The model's fixed-size tables from the counts of all training words."""
     n, v, ends = vocab.agg(F.sum("c"), F.count("*"), F.sum(F.when(F.col("h") == END, F.col("c")))).first()
     words = vocab.filter(F.col("h") != END)
-    top = words.orderBy(F.desc("c"), "h").limit(s.top_words).select("h", "c").toArrow()
+    # counts by eighths of a power of two (at most 512 rows) tell which words can be among the top
+    level = F.floor(F.log2("c") * 8)
+    least, so_far = 0, 0
+    for row in sorted(words.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect(), reverse=True):
+        least, so_far = row.level, so_far + row.n
+        if so_far >= s.top_words:
+            break
+    top = words.filter(level >= least).orderBy(F.desc("c"), "h").limit(s.top_words).select("h", "c").toArrow()
     h, c = (top.column(i).combine_chunks().to_numpy(zero_copy_only=False) for i in (0, 1))
     order = np.argsort(h)
     model = Model(s, h[order], np.arange(1, len(h) + 1)[order],
