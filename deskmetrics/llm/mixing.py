@@ -4,15 +4,21 @@ Domains are the label combinations of a labelled table.  A classifier trained
 on labelled documents gives every document a posterior over the domains, so a
 document belongs to all of them in part.  Each document gets a nonnegative
 rate (how often it is taken on average); the rates minimise the squared
-distance between the expected tokens of each domain and its target, by
-projected gradient from rates of one:
-
-    rate_i <- max(0, rate_i - step * sum_d p_id * (S_d - T_d) / T)
-
-with S_d the sum of rate * tokens * posterior over all documents.  The
-gradient needs the few numbers S_d only, so an iteration is one pass that adds
-up one row of sums; a document's rate follows from its posterior and the list
-of earlier residuals, and nothing is written between iterations.
+distance between the expected tokens of each domain and its target:
+
+    rate_i = max(0, 1 - w_i * sum_d p_id * push_d)
+
+with one number ``push_d`` for each domain.  As long as no rate is cut at 0,
+the projected-gradient steps from rates of one need the k x k matrix of sums
+only, so they run on the driver (w_i = 1).  If they do not settle, Newton steps
+on the k numbers do; a step is one pass that adds up one row of sums (tokens by
+domain, curvature of the rates above 0).  Many rates have the same tokens by
+domain; these are the ones closest to one, where a document counts half by its
+tokens n_i and half as one document (w_i = n_i / (n_i + mean n)), so a target
+is not met by copying short documents only.  The pull towards one is weakened
+until the shares are within the tolerance of the targets, or are proven (by the
+duality gap) to be within it of the nearest shares that any rates reach, which
+is warned of; anything else is an error.
 
 The lexical part of the classifier counts hashed words (``features.BUCKETS``)
 of one half of a bounded sample of labelled documents; the other half fits a
@@ -27,6 +33,7 @@ empty table gives an empty result; further columns pass through.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,7 +50,10 @@ from .common import drop_staged, every, fresh, staged, undotted, without
 #: Production targets: shares of all tokens by domain.
 TARGETS = {"good": 0.9, "low": 0.1, "toxic": 0.0}
 MAX_LABELS = 20_000
-ITERATIONS = 40
+#: Gradient steps at most; they are arithmetic on k numbers, no passes.
+ITERATIONS = 100_000
+#: Newton passes at most; more is an error.
+PASSES = 300
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -196,38 +206,106 @@ def with_posteriors(docs: DataFrame, classifier: Classifier | None, text_col: st
     return docs.mapInArrow(run, schema).withColumnsRenamed(back)
 
 
-def _rate(posterior: Column, residuals: list[list[float]]) -> Column:
-    """The rate after the steps with these residuals (already times the step)."""
-    if not residuals:
-        return F.lit(1.0)
-    steps = F.array(*[F.array(*[F.lit(v) for v in r]) for r in residuals])
-    return F.aggregate(steps, F.lit(1.0), lambda rate, r: F.greatest(F.lit(0.0), rate - F.aggregate(
-        F.zip_with(posterior, r, lambda p, x: p * x), F.lit(0.0), lambda a, b: a + b)))
+@dataclass(frozen=True)
+class Push:
+    """The change of the rates by domain, and the tokens that weigh as much as
+    being a document (0: tokens alone count)."""
+    by_domain: tuple[float, ...]
+    typical: float = 0.0
+
+    def change(self) -> Column:
+        by = F.array(*[F.lit(v) for v in self.by_domain])
+        return F.aggregate(F.zip_with("posterior", by, lambda p, x: p * x), F.lit(0.0), lambda a, b: a + b)
+
+    def rate(self) -> Column:
+        """The rate of a row with ``n_tokens`` and ``posterior``."""
+        if not self.by_domain:
+            return F.lit(1.0)
+        n = F.col("n_tokens")
+        weight = n / (n + F.lit(self.typical)) if self.typical else F.lit(1.0)
+        return F.greatest(F.lit(0.0), F.lit(1.0) - weight * self.change())
+
+
+def _gradient_steps(curve: np.ndarray, gap: np.ndarray, iterations: int, tolerance: float) -> np.ndarray | None:
+    """The sum of the projected-gradient steps if they end within the
+    tolerance before any rate can be cut at 0 (no push is above 1)."""
+    step = 1.0 / max(np.linalg.eigvalsh(curve).max(), 1e-12)
+    push = np.zeros(len(gap))
+    for _ in range(iterations):
+        now = gap - curve @ push
+        if np.abs(now).max() < tolerance:
+            return push
+        # sums of doubles depend on their order in the last digits
+        push = push + np.round(step * now, 9)
+        if push.max() > 1:
+            return None
+    return None
 
 
 def solve(members: DataFrame, targets: np.ndarray, iterations: int = ITERATIONS,
-          tolerance: float = 1e-4) -> list[list[float]]:
-    """The residuals of the projected-gradient steps; ``members`` has
-    ``n_tokens`` and ``posterior``, ``targets`` are tokens by domain."""
+          tolerance: float = 1e-4) -> Push:
+    """The push towards the targets; ``members`` has ``n_tokens`` and
+    ``posterior``, ``targets`` are tokens by domain."""
     k = len(targets)
-    total = targets.sum()
-    n, p = F.col("n_tokens"), [F.get("posterior", F.lit(j)) for j in range(k)]
-    # the step: one over the largest curvature, from the k x k matrix of sums
-    square = members.agg(*[F.sum(n * p[i] * p[j]) for i in range(k) for j in range(k)]).first()
-    if square is None or square[0] is None or total <= 0:
-        return []
-    curve = np.linalg.eigvalsh(np.array(square, float).reshape(k, k) / total).max()
-    step = 1.0 / max(curve, 1e-12)
-    residuals: list[list[float]] = []
-    for _ in range(iterations):
-        got = members.select(*[(n * _rate(F.col("posterior"), residuals) * p[j]).alias(f"s{j}")
-                               for j in range(k)]).agg(*[F.sum(f"s{j}") for j in range(k)]).first()
-        gap = (np.array(got, float) - targets) / total
+    total = float(targets.sum())
+    if total <= 0:
+        return Push(())
+    goal = targets / total
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def sums(by_domain: np.ndarray, typical: float) -> tuple[np.ndarray, np.ndarray, float, float, int]:
+        """Shares by domain, curvature, half the weighted square of the rates,
+        the least change, and the rows."""
+        push = Push(tuple(by_domain.tolist()), typical)
+        rows = members.select(F.col("n_tokens").alias("n"), push.change().alias("x"), push.rate().alias("r"),
+                              *[F.get("posterior", F.lit(j)).alias(f"p{j}") for j in range(k)]) \
+            .withColumn("m", F.col("n") + F.lit(typical)) \
+            .withColumn("c", F.when((F.col("r") > 0) & (F.col("n") > 0), F.col("n") * F.col("n") / F.col("m"))
+                        .otherwise(0.0))
+        got = rows.agg(*[F.sum(F.expr(f"n * r * p{j}")) for j in range(k)],
+                       *[F.sum(F.expr(f"c * p{i} * p{j}")) for i, j in pairs],
+                       F.sum(F.expr("m * r * r")), F.min("x"), F.count("*")).first()
+        curve = np.zeros((k, k))
+        for (i, j), v in zip(pairs, got[k:]):
+            curve[i, j] = curve[j, i] = v / total
+        return np.array(got[:k], float) / total, curve, got[-3] / total / 2, got[-2], got[-1]
+
+    share, curve, _, _, n_rows = sums(np.zeros(k), 0.0)
+    push = _gradient_steps(curve, share - goal, iterations, tolerance)
+    if push is not None:
+        return Push(tuple(push.tolist()))
+
+    typical = total / n_rows
+    push, loose, passes = np.zeros(k), 1e4, 2
+    share, curve, square, least, _ = sums(push, typical)
+    while passes < PASSES:
+        # the least of loose * |share - goal|^2 + weighted square of (rate - 1), by its dual
+        gap = share - goal
         if np.abs(gap).max() < tolerance:
-            break
-        # sums of doubles depend on their order in the last digits
-        residuals.append([round(float(step * g), 9) for g in gap])
-    return residuals
+            return Push(tuple(push.tolist()), typical)
+        slope = push / loose - gap
+        if np.abs(slope).max() > tolerance / 1000:
+            value = push @ push / (2 * loose) + square + push @ goal
+            move = -np.linalg.solve(curve + np.eye(k) / loose, slope)
+            for _ in range(40):
+                there = np.round(push + move, 9)
+                share, curve, square, least, _ = sums(there, typical)
+                passes += 1
+                if there @ there / (2 * loose) + square + there @ goal <= value + 1e-4 * (slope @ move) + 1e-13:
+                    break
+                move = move / 2
+            push = there
+            continue
+        # from a dual point: twice the objective's distance from its optimum bounds the squared distance of the shares
+        short = max(0.0, -least / loose) + np.abs(slope).max()
+        over = gap @ gap / 2 + goal @ gap + short + (gap + short) @ (gap + short) / 2
+        if 2 * over <= tolerance ** 2:
+            warnings.warn(f"targets {goal.round(4).tolist()} cannot be reached: nearest shares are "
+                          f"{share.round(4).tolist()}", stacklevel=2)
+            return Push(tuple(push.tolist()), typical)
+        loose *= 100
+    raise RuntimeError(f"no rates within {tolerance} of targets {goal.tolist()} or of the nearest shares after "
+                       f"{passes} passes; shares {share.tolist()}")
 
 
 def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None,
@@ -244,10 +322,10 @@ def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
     share = np.array([targets.get(d, 0.0) for d in domains]) if classifier else np.ones(1)
     if share.sum() <= 0:
         raise ValueError(f"no target for any of the domains {domains}")
-    residuals = solve(members, share / share.sum() * tokens, iterations)
+    push = solve(members, share / share.sum() * tokens, iterations)
     added = [f"p_{d}" for d in domains]
     return members.select(
-        *every(without(members, "rate", *added)), _rate(F.col("posterior"), residuals).alias("rate"),
+        *every(without(members, "rate", *added)), push.rate().alias("rate"),
         *[F.get("posterior", F.lit(j)).alias(name) for j, name in enumerate(added)])
 
 

@@ -77,3 +77,44 @@ def test_edge_rows(edge_docs, edge_rows, clashing_docs, no_docs):
     assert mixed.columns == clashing_docs.columns and mixed.count() == len(edge_rows)
     assert "rate" in mixing.document_rates(clashing_docs, none).columns
     assert mixing.document_rates(no_docs, labelled).collect() == [] == mixing.mix(no_docs, labelled).collect()
+
+
+def _members(spark, p, n):
+    rows = [(i, int(n[i]), p[i].tolist()) for i in range(len(n))]
+    return spark.createDataFrame(rows, "doc_id long, n_tokens long, posterior array<double>").coalesce(4)
+
+
+def _rates(members, push):
+    got = members.select("doc_id", push.rate().alias("rate")).collect()
+    return np.array([r.rate for r in sorted(got, key=lambda r: r.doc_id)])
+
+
+@pytest.mark.parametrize("shares", [(.95, .03, .02), (.86, .02, .12), (.985, .005, .01)])
+def test_small_domains_reach_the_production_targets(spark, shares):
+    rnd = np.random.default_rng(5)
+    d = rnd.choice(3, 3000, p=shares)
+    z = rnd.normal(0, 1, (3000, 3))
+    z[np.arange(3000), d] += 12
+    p = np.exp(z) / np.exp(z).sum(1, keepdims=True)
+    n = rnd.integers(20, 500, 3000)
+    want = np.array([mixing.TARGETS[x] for x in ("good", "low", "toxic")])
+    members = _members(spark, p, n)
+    rate = _rates(members, mixing.solve(members, want * n.sum()))
+    np.testing.assert_allclose((n * rate) @ p / n.sum(), want, atol=1e-4)
+    assert (n * rate)[d == 2].sum() < 0.02 * n[d == 2].sum()
+
+
+def test_targets_out_of_reach_end_at_the_least_squares_optimum(spark):
+    from itertools import combinations
+    p = np.array([[.8, .1, .1], [.7, .1, .2], [.2, .7, .1], [.1, .6, .3], [.1, .1, .8], [.5, .3, .2]])
+    n = np.array([100, 50, 80, 70, 60, 90])
+    want, best = np.array([.9, .1, 0.]), np.inf
+    for size in (1, 2, 3):
+        for some in map(list, combinations(range(6), size)):
+            weight = np.linalg.lstsq(p[some].T, want, rcond=None)[0]
+            if (weight >= 0).all() and np.sum((weight @ p[some] - want) ** 2) < best:
+                best, shares = np.sum((weight @ p[some] - want) ** 2), weight @ p[some]
+    members = _members(spark, p, n)
+    with pytest.warns(UserWarning, match="cannot be reached"):
+        push = mixing.solve(members, want * n.sum())
+    np.testing.assert_allclose((n * _rates(members, push)) @ p / n.sum(), shares, atol=1e-4)
