@@ -5,7 +5,8 @@ A page's token stream is read into nested groups.  Runs of alike neighbours
 wrapper of a host is made by aligning its pages one after the other: what only
 one side has becomes optional, what both have is aligned inside, and text that
 differs becomes a text slot, while text that all pages share stays template
-text.  Alignment is associative up to optional marks, so partitions align
+text: each node counts the pages that have exactly its text, and pages whose
+texts are all alike make no template.  Alignment is associative up to optional marks, so partitions align
 their own pages, and the partial wrappers of a host are aligned in two steps;
 no task sees all pages of a host.
 
@@ -150,10 +151,11 @@ def parse(html: str | None) -> Item:
 
 
 # --- wrappers -----------------------------------------------------------------------
-# A wrapper node is [signature, optional, repeated, text, children]:
-# text is None (none), a string (template text) or True (a slot).
+# A wrapper node is [signature, optional, repeated, text, children, pages]:
+# text is None (none), a string (the same wherever there is one) or True (a
+# slot); pages is the number of pages that have exactly this string.
 
-SIG, OPT, REP, TEXT, KIDS = range(5)
+SIG, OPT, REP, TEXT, KIDS, SEEN = range(6)
 
 
 def _own_text(item: Item) -> str:
@@ -175,12 +177,12 @@ def _fold(nodes: list[list]) -> list[list]:
                 continue
             one = nodes[i:i + period]
             for k in range(i + period, j, period):
-                one = [_merge(a, b) for a, b in zip(one, nodes[k:k + period])]
+                one = [_merge(a, b, one_page=True) for a, b in zip(one, nodes[k:k + period])]
             if period == 1:
                 one[0][REP] = True
                 out.append(one[0])
             else:
-                out.append(["(" + " ".join(sigs[i:i + period]) + ")", False, True, None, one])
+                out.append(["(" + " ".join(sigs[i:i + period]) + ")", False, True, None, one, 0])
             i = j
         nodes = out
     return nodes
@@ -192,7 +194,7 @@ def wrapper_of(item: Item) -> list:
     kids = _fold([wrapper_of(p) for p in item.parts if not isinstance(p, str)])
     if len(text) > 80:
         text = f"{text[:60]}... {md5(text.encode()).hexdigest()}"
-    return [item.sig, False, False, text or None, kids]
+    return [item.sig, False, False, text or None, kids, int(bool(text))]
 
 
 def _pairs(a: list[list], b: list[list]) -> list[tuple[int | None, int | None]]:
@@ -224,17 +226,19 @@ def _pairs(a: list[list], b: list[list]) -> list[tuple[int | None, int | None]]:
     return out + list(zip(range(x, len(a)), range(y, len(b))))
 
 
-def _merge(a: list, b: list) -> list:
-    """The wrapper of two nodes with the same signature."""
+def _merge(a: list, b: list, one_page: bool = False) -> list:
+    """The wrapper of two nodes with the same signature, of two sets of pages
+    or of one page."""
     text = a[TEXT] if a[TEXT] == b[TEXT] or b[TEXT] is None else b[TEXT] if a[TEXT] is None else True
     kids = []
     for i, j in _pairs(a[KIDS], b[KIDS]):
         if i is not None and j is not None:
-            kids.append(_merge(a[KIDS][i], b[KIDS][j]))
+            kids.append(_merge(a[KIDS][i], b[KIDS][j], one_page))
         else:
             only = a[KIDS][i] if j is None else b[KIDS][j]
             kids.append([only[SIG], True, *only[REP:]])
-    return [a[SIG], a[OPT] or b[OPT], a[REP] or b[REP], text, kids]
+    seen = max(a[SEEN], b[SEEN]) if one_page else a[SEEN] + b[SEEN]
+    return [a[SIG], a[OPT] or b[OPT], a[REP] or b[REP], text, kids, seen]
 
 
 def align(wrapper: list | None, other: list) -> list:
@@ -271,7 +275,7 @@ def _take(item: Item, node: list, region: str, inside: bool, pages: int, out: li
         return
     kids = [p for p in item.parts if not isinstance(p, str)]
     nodes = _unfold(kids, node[KIDS])
-    template = not region and pages > 1 and isinstance(node[TEXT], str)
+    template = not region and pages > 1 and isinstance(node[TEXT], str) and node[SEEN] >= pages
     run: list[str] = []
 
     def end_block():
@@ -303,7 +307,7 @@ def _unfold(kids: list[Item], nodes: list[list]) -> list[list]:
         if n[SIG].startswith("("):
             for inner in n[KIDS]:
                 by_sig.setdefault(inner[SIG], []).append(inner)
-    blank = ["", True, True, True, []]
+    blank = ["", True, True, True, [], 0]
     at: dict[str, int] = {}
     out = []
     before = None
@@ -331,6 +335,13 @@ def extract(html: str | None, wrapper: list, pages: int) -> str:
     return ""
 
 
+def digest(node: list) -> str:
+    """Equal for pages whose elements and texts are alike, but for asides."""
+    def bare(n: list) -> list:
+        return [n[SIG], n[TEXT], [bare(k) for k in n[KIDS] if not _is_aside(k[SIG], False)]]
+    return md5(json.dumps(bare(node)).encode()).hexdigest()
+
+
 # --- Spark --------------------------------------------------------------------------
 
 def host(url: Column) -> Column:
@@ -339,29 +350,37 @@ def host(url: Column) -> Column:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, pages) from (host, html)."""
+    """(host, wrapper, pages) from (host, html); pages is 1 if all are alike."""
     def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: dict[str, list] = {}
         count: dict[str, int] = {}
+        alike: dict[str, str] = {}
         salt = TaskContext.get().partitionId() % SALTS
         for batch in batches:
             for name, html in zip(*(c.to_pylist() for c in batch.columns)):
-                made[name] = align(made.get(name), wrapper_of(parse(html)))
+                page = wrapper_of(parse(html))
+                if alike.get(name) != "":
+                    own = digest(page)
+                    alike[name] = own if alike.get(name, own) == own else ""
+                made[name] = align(made.get(name), page)
                 count[name] = count.get(name, 0) + 1
         if made:
             yield pa.RecordBatch.from_pydict(
                 {"host": list(made), "salt": pa.array([salt] * len(made), pa.int32()),
-                 "wrapper": [json.dumps(w) for w in made.values()], "pages": [count[h] for h in made]})
+                 "wrapper": [json.dumps(w) for w in made.values()], "pages": [count[h] for h in made],
+                 "alike": [alike[h] for h in made]})
 
     def together(pdf: pd.DataFrame) -> pd.DataFrame:
         one = None
         for text in sorted(pdf["wrapper"]):
             one = align(one, json.loads(text))
-        return pdf.iloc[:1].assign(wrapper=json.dumps(one), pages=int(pdf["pages"].sum()))
+        alike = pdf["alike"].iloc[0] if pdf["alike"].nunique() == 1 else ""
+        return pdf.iloc[:1].assign(wrapper=json.dumps(one), pages=int(pdf["pages"].sum()), alike=alike)
 
-    kind = "host string, salt int, wrapper string, pages long"
+    kind = "host string, salt int, wrapper string, pages long, alike string"
     partial = pages.mapInArrow(infer, kind).groupBy("host", "salt").applyInPandas(together, kind)
-    return partial.groupBy("host").applyInPandas(together, kind).drop("salt")
+    whole = partial.groupBy("host").applyInPandas(together, kind)
+    return whole.select("host", "wrapper", F.when(F.col("alike") == "", F.col("pages")).otherwise(1).alias("pages"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

@@ -85,3 +85,13 @@ def test_edge_rows(spark):
         assert got[4] == got[5] == got[None] == "" and got[6] == " ".join(["word"] * 30000)
     assert H.main_text(pages).count() == len(rows)
     assert H.main_text(pages.filter(F.lit(False))).collect() == []
+
+
+def test_only_text_of_all_pages_is_template(spark):
+    copy = "<body><div>Site</div><div><p>Same story.</p></div><footer>{0}</footer></body>"
+    rows = [(1, "http://a/1", "<div>Site</div><p>Story A.</p><blockquote>Only here.</blockquote>"),
+            (2, "http://a/2", "<div>Site</div><p>Story B.</p>"), (3, "http://a/2", "<div>Site</div><p>Story B.</p>"),
+            (4, "http://b/1", copy.format(1)), (5, "http://b/1", copy.format(1)), (6, "http://b/1", copy.format(2))]
+    got = {r.page_id: r.text for r in H.main_text(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert got == {1: "Story A. Only here.", 2: "Story B.", 3: "Story B.", 4: "Site Same story.",
+                   5: "Site Same story.", 6: "Site Same story."}
