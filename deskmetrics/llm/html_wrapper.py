@@ -12,7 +12,10 @@ no task sees all pages of a host.
 
 Roles are given to the wrapper, not to pages: menus, headers, footers,
 sidebars, notices, adverts, forms, reader comments, scripts and styles are
-left out by their element or by a name in class, id or role; the article is
+left out by their element or by a name in class, id or role (whole, its last
+part, or its first before a word for a box: "ad-box", not "has-sidebar").  An
+element that is left out only by its name, or a form or header, stays if the
+host has its article in there and nowhere else.  The article is
 the ``article`` groups, else ``main``, else the body without template text
 (kept when a host has a single page) and without groups of links only.
 A page is then aligned with its host's wrapper and the text of the slots in
@@ -55,6 +58,13 @@ NAMES = frozenset(
     "notice notices alert popup modal sidebar nav navbar navigation menu breadcrumb breadcrumbs masthead header footer "
     "comment comments disqus replies share sharing social related recommended newsletter subscribe signup login "
     "search pagination pager toolbar complementary contentinfo".split())
+#: Last parts of names that say only that there is a box, and first parts that say what a page has.
+BOXES = frozenset("area bar block box container frame group inner item items links list menu panel section slot unit "
+                  "widget wrap wrapper zone".split())
+STATES = frozenset("has have hide is no not show toggle with without".split())
+#: Never the place of the article.
+FOREIGN = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion comment comments "
+                    "disqus replies related recommended".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
              "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -75,12 +85,20 @@ class Item:
         self.parts: list[Item | str] = []
 
 
+def _aside_name(name: str) -> set[str]:
+    """What NAMES a class, id or role says that the element is."""
+    parts = _PART.findall(name.lower())
+    if not parts or parts[0] in STATES:
+        return set()
+    return NAMES & {"".join(parts), parts[-1], parts[0] if parts[-1] in BOXES or parts[-1] in NAMES else ""}
+
+
 def _signature(tag: str, attrs: str) -> str:
     if tag in ("html", "body", "article", "main") or "=" not in attrs:
         names = ()
     else:
-        found = chain.from_iterable(_PART.findall("".join(m).lower()) for m in _NAMED.findall(attrs))
-        names = sorted(set(found) & NAMES)
+        values = chain.from_iterable("".join(m).split() for m in _NAMED.findall(attrs))
+        names = sorted(set(chain.from_iterable(map(_aside_name, values))))
     if tag == "article" and re.search(r"comment|reply", attrs, re.I):
         names = ("comment",)
     return ".".join((tag, *names))
@@ -267,11 +285,72 @@ def _regions(node: list, tag: str) -> bool:
     return not _is_aside(node[SIG], False) and any(_regions(k, tag) for k in node[KIDS])
 
 
-def _take(item: Item, node: list, region: str, inside: bool, pages: int, out: list[str]) -> None:
+def _may_hold(node: list) -> bool:
+    """An aside by its name alone, or a form or header."""
+    tag, *names = node[SIG].split(".")
+    return tag not in UNSEEN and (tag in ("form", "header") or tag not in ASIDE) and not FOREIGN & set(names)
+
+
+def _way_in(node: list, tag: str) -> list[int]:
+    """The asides (by ``id``) around the ``tag`` groups below this node."""
+    found: list[int] = []
+    for kid in node[KIDS]:
+        if _is_aside(kid[SIG], False):
+            if _may_hold(kid) and (_regions([""] + kid[1:], tag) or _way_in(kid, tag)):
+                found += [id(kid), *_way_in(kid, tag)]
+        else:
+            found += _way_in(kid, tag)
+    return found
+
+
+def _texts(node: list, pages: int) -> int:
+    """Nodes with text of their own (no template) below this node."""
+    return (node[TEXT] is True or (node[TEXT] is not None and (pages < 2 or node[SEEN] < pages))) + \
+        sum(_texts(k, pages) for k in node[KIDS] if not _is_aside(k[SIG], False))
+
+
+def _fullest(node: list, pages: int) -> list:
+    """(texts, its id) of the aside with most texts below this node."""
+    found = [0, 0]
+    for kid in node[KIDS]:
+        if not _is_aside(kid[SIG], False):
+            found = max(found, _fullest(kid, pages))
+        elif _may_hold(kid):
+            found = max(found, [_texts(kid, pages), id(kid)], _fullest(kid, pages))
+    return found
+
+
+def _way(wrapper: list, pages: int) -> tuple[list[str], frozenset[int]]:
+    """The regions to take text from, and the asides (by ``id``) to look into."""
+    regions = [r for r in ("article", "main") if _regions(wrapper, r)]
+    if regions:
+        return [*regions, ""], frozenset()
+    for region in ("article", "main"):
+        if way := _way_in(wrapper, region):
+            return [region, ""], frozenset(way)
+    if not _texts(wrapper, pages):
+        most, found = _fullest(wrapper, pages)
+        if most:
+            return [""], frozenset(_above(wrapper, found))
+    return [""], frozenset()
+
+
+def _above(node: list, found: int) -> list[int]:
+    """The ids of the nodes from here down to the one found."""
+    if id(node) == found:
+        return [found]
+    for kid in node[KIDS]:
+        if below := _above(kid, found):
+            return [id(node), *below]
+    return []
+
+
+def _take(item: Item, node: list, region: str, inside: bool, pages: int, out: list[str],
+          way: frozenset[int] = frozenset()) -> None:
     """Text blocks of the page's element, aligned with the wrapper node."""
     if item.sig == region:
         inside = True
-    elif _is_aside(item.sig, inside):
+    elif _is_aside(item.sig, inside) and id(node) not in way:
         return
     kids = [p for p in item.parts if not isinstance(p, str)]
     nodes = _unfold(kids, node[KIDS])
@@ -290,7 +369,7 @@ def _take(item: Item, node: list, region: str, inside: bool, pages: int, out: li
             run.append(p)
         else:
             end_block()
-            _take(p, nodes[k], region, inside, pages, out)
+            _take(p, nodes[k], region, inside, pages, out, way)
             k += 1
     end_block()
 
@@ -325,11 +404,10 @@ def _unfold(kids: list[Item], nodes: list[list]) -> list[list]:
 def extract(html: str | None, wrapper: list, pages: int) -> str:
     """The main text of a page by its host's wrapper."""
     page = parse(html)
-    for region in ("article", "main", ""):
-        if region and not _regions(wrapper, region):
-            continue
+    regions, way = _way(wrapper, pages)
+    for region in regions:
         blocks: list[str] = []
-        _take(page, wrapper, region, False, pages, blocks)
+        _take(page, wrapper, region, False, pages, blocks, way)
         if blocks:
             return " ".join(blocks)
     return ""

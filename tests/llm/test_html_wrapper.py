@@ -95,3 +95,23 @@ def test_only_text_of_all_pages_is_template(spark):
     got = {r.page_id: r.text for r in H.main_text(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
     assert got == {1: "Story A. Only here.", 2: "Story B.", 3: "Story B.", 4: "Site Same story.",
                    5: "Site Same story.", 6: "Site Same story."}
+
+
+def _wrapped(make):
+    wrapper = None
+    for i in range(3):
+        wrapper = H.align(wrapper, H.wrapper_of(H.parse(make.format(i))))
+    return H.extract(make.format(1), wrapper, 3)
+
+
+@pytest.mark.parametrize("opening", [
+    "<div class='page has-sidebar'>", "<div class=no-sidebar>", "<div id=x class='with-comments'>", "<form action='/x'>",
+    "<div class='search-results'>", "<div class=header-fixed>", "<div class=search><div class='layout sidebar'>"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_containers_of_the_article_are_no_asides(opening, tag):
+    make = f"<body><div>Site</div>{opening}<{tag}><p>Story {{0}}.</{tag}><div class=ad-box>no {{0}}</div>"
+    assert _wrapped(make) == "Story 1."
+
+
+def test_articles_among_comments_stay_out():
+    assert _wrapped("<div><p>Story {0}.</div><section id=comments><article>no {0}</article></section>") == "Story 1."
