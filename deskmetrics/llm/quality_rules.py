@@ -6,15 +6,21 @@ the whole text, is rejected.
 
 Line rules (a line without a word is neutral and stays):
 
-* navigation: at least ``min_bars`` words are a bare ``|`` separator;
+* navigation: at least ``min_bars`` words are a bare ``|`` separator, or the
+  line is nothing but three or more short pieces between ``»``, ``›``, ``→`` or
+  ``•`` (or capitalised pieces between ``>``, ``/`` or ``·``), or nothing but
+  three or more Markdown links;
 * shouting: no lower-case ASCII letter, at least ``min_line_words`` words, and
   at least half of the words end in ``!``;
 * symbols: more than ``max_symbol_words`` of the words hold a run of two or
   more of the characters ``#*$%&|<>``;
 * punctuation: at least ``long_line_words`` words and neither an ASCII
   punctuation mark nor a non-ASCII character;
-* boilerplate: at least ``min_line_words`` words, and more than
-  ``max_repeat_words`` of them equal the word before (stuttering);
+* boilerplate: at most ``max_notice_words`` words, and a license, copyright,
+  cookie, sign-up or terms notice by the phrases of ``NOTICES``; they are tied
+  to the start or end of the line, so prose about such things stays;
+* stuttering: at least ``min_line_words`` words, and more than
+  ``max_repeat_words`` of them equal the word before;
 * the same line, with a word, was seen before in the text.
 
 Base rules (whole text): fewer than 20 words, or over 30 % of the words in
@@ -27,6 +33,7 @@ columns pass through; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,6 +50,32 @@ WINDOW = 8
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 _MARK = np.array([b >= 128 or (b > 32 and not chr(b).isalnum()) for b in range(256)])
 
+#: Phrases of notices, by kind; a line is matched from its start, after marks.
+NOTICES = {
+    "license": r"(?:(?:this|the) (?:work|software|program|code|file|text|content|document|article|page|site|website)"
+               r" (?:is|are) (?:also )?(?:licen[sc]ed|released|distributed|made available) under\b"
+               r"|(?:dual.)?(?:licen[sc]ed|released|distributed|published|available) under (?=.*(?:licen[sc]e|\bcc\b|mit\b|gpl|apache|creative commons))"
+               r"(?:the |an? |cc\b|mit\b|gpl|apache)"
+               r"|spdx-license-identifier:)",
+    "copyright": r"(?:(?:copyright|copr\.) ?(?:©|\(c\)|\d{4}|by )|(?:©|\(c\)) ?\d{4}|all rights reserved\W*$"
+                 r"|(?:copyright|©|\(c\)|\d{4}).{0,120}\ball rights reserved\W*$)",
+    "cookie": r"(?:(?:this|our) (?:web ?)?site uses (?:\w+ )?cookies|we use (?:\w+ )?cookies"
+              r"|(?:accept|reject|allow|manage) (?:all )?cookies\W*$|cookie (?:policy|settings|preferences|notice)\W*$"
+              r"|by (?:continuing|using|browsing|visiting).{1,120}\bcookies\b)",
+    "sign-up": r"(?:(?:sign up|subscribe|register|sign in|log ?in)\W*(?:$|(?:now|today|here|free)\W*$"
+               r"|(?:(?:now|today|here) )?(?:for|to) (?:our|the|your|a free|free|get|receive|continue|read)\b.{0,80}"
+               r"(?:newsletters?|updates|mailing list|account|e-?mails?|offers|alerts|reading|inbox)\b)"
+               r"|(?:join|get) our (?:\w+ )?(?:newsletter|mailing list))",
+    "terms": r"(?:(?:terms (?:of (?:use|service)|(?:and|&) conditions)|privacy (?:policy|notice))"
+             r"(?:\W+(?:and|&)?\W*(?:terms (?:of (?:use|service)|(?:and|&) conditions)|privacy (?:policy|notice)|cookie policy))*\W*$"
+             r"|by (?:using|continuing|signing|accessing|clicking|registering|subscribing).{1,120}\b(?:agree|accept|consent)\b"
+             r".{0,80}\b(?:terms|conditions|privacy policy)\b)",
+}
+_NOTICE = re.compile(r"[\s*#>•·–—-]*(?:" + "|".join(NOTICES.values()) + ")", re.I)
+_TRAIL = re.compile(r"\s*(?:[»›→•]\s+)?[^»›→•|]{1,40}(?:\s[»›→•]\s+[^»›→•|]{1,40}){2,}\s*$"
+                    r"|\s*[A-Z][^>/·|]{0,39}(?:\s([>/·])\s+[A-Z][^>/·|]{0,39})(?:\s\1\s+[A-Z][^>/·|]{0,39})+\s*$"
+                    r"|(?:[\s|»›→•·,-]*\[[^\]]{1,40}\]\([^)\s]*\)){3,}[\s|»›→•·,-]*$")
+
 
 @dataclass(frozen=True)
 class Rules:
@@ -54,6 +87,7 @@ class Rules:
     long_line_words: int = 40
     max_symbol_words: float = 0.3
     max_repeat_words: float = 0.3
+    max_notice_words: int = 40
 
 
 def _repeated_words(hashes: np.ndarray, n_words: int) -> int:
@@ -125,6 +159,14 @@ def _bad_lines(buf: np.ndarray, w: W.Words, h: np.ndarray, lines: _Lines,
         | ((n >= rules.min_line_words) & (stutters > rules.max_repeat_words * n))
 
 
+def _is_notice(raw: bytes, n_words: int, rules: Rules) -> bool:
+    """A boilerplate notice, a trail of short pieces or a run of links."""
+    if not 0 < n_words <= rules.max_notice_words:
+        return False
+    line = raw.decode()
+    return bool(_NOTICE.match(line) or _TRAIL.match(line))
+
+
 def _judge(buf: np.ndarray, rows: np.ndarray, rules: Rules) -> Iterator[tuple]:
     """One tuple in the order of ``ADDED`` for each row."""
     w = W.split(buf, rows)
@@ -145,7 +187,7 @@ def _judge(buf: np.ndarray, rows: np.ndarray, rules: Rules) -> Iterator[tuple]:
             again = lines.w_hi[i] > lines.w_lo[i] and raw in seen
             seen.add(raw)
             n_dup += bool(again)
-            if again or bad[i]:
+            if again or bad[i] or _is_notice(raw, int(lines.w_hi[i] - lines.w_lo[i]), rules):
                 lost += int(chars[lines.w_hi[i]] - chars[lines.w_lo[i]])
                 n_lost += 1
             else:

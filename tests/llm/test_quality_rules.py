@@ -55,3 +55,30 @@ def test_clashing_names_and_empty_table(clashing_docs, edge_docs, no_docs):
     judged = quality_rules.judge(clashing_docs)
     assert set(CLASHING) <= set(judged.columns) and judged.columns.count("kept") == 1
     assert quality_rules.judge(no_docs).collect() == [] == quality_rules.clean(no_docs).collect()
+
+
+@pytest.mark.parametrize("line", [
+    "All rights reserved.", "Released under the MIT License.", "Licensed under CC BY-NC 4.0.",
+    "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3.",
+    "Copyright (c) 2021 Some Body. All rights reserved.", "© 2020 Example Ltd", "We use cookies to improve your visit.",
+    "Accept all cookies", "Subscribe to our weekly newsletter!", "Sign up now", "Terms of Use and Privacy Policy",
+    "By using this site you agree to our Terms of Service.", "Home > News > Sport", "start » news » sport",
+    "• Home • News • Contact", "[Home](/) [News](/n) [Contact](/c)"])
+def test_notices_and_trails_go(spark, line):
+    good = "\n".join(prose(i, 25, 10**6) for i in range(6))
+    docs = spark.createDataFrame([(1, f"{line}\n{good}\n{line.upper() if line.isascii() else line}")], "doc_id long, text string")
+    if line.startswith(("Home >", "[Home]")):
+        docs = spark.createDataFrame([(1, f"{good}\n{line}")], "doc_id long, text string")
+    assert [r.text for r in quality_rules.clean(docs).collect()] == [good]
+
+
+def test_prose_about_notices_stays(spark):
+    lines = ["The court held that all rights reserved to the states were theirs to keep.",
+             "He was licensed under protest and later drove a taxi in the old town.", "Copyright law was changed in 1976.",
+             "Cookies are baked for twelve minutes, and we use butter.", "She had to sign up for the army to see the world.",
+             "Subscribe is a verb.", "The terms of use were argued over for a year.", "• one point of a list that stays",
+             "If a > b and b > c then a > c.", "Released under the bridge, the boats drifted off.",
+             "By using a lever he moved the stone.", "Register to vote before the end of the month."]
+    text = "\n".join(lines)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [r.text for r in quality_rules.clean(docs).collect()] == [text]
