@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import decontaminate, hmm, html_wrapper, jaccard_join, line_dedup, mixing, pairwise_rank, quality_rules, secrets, sql, token_frames
+from . import decontaminate, hmm, html_wrapper, jaccard_join, line_dedup, mixing, pairwise_rank, periodic_runs, \
+    personal_data, quality_rules, secrets, sql, token_frames, whitening
 from .common import held_out, scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +91,38 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(prepare(spark), sf_dir, "embeddings").select("vec_id", "embedding")
+    white = whitening.whiten(rows, whitening.fit(rows))
+    one = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "own")
+    return white.select("vec_id", "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"), "identity_error",
+                        one).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", F.col("own.whitened").alias("whitened"),
+        F.col("own.explained").alias("explained"), "identity_error")
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    found = personal_data.scan(docs, personal_data.learn(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in personal_data.KINDS],
+        F.sha2(personal_data.listed(base).cast("binary"), 256).alias("base_sha256"),
+        personal_data.listed(F.col("spans")).alias("spans"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    found = periodic_runs.find(periodic_runs.with_tails(docs)).withColumn("best", periodic_runs.best(F.col("runs")))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div (-best.period)").alias("exponent_milli"),
+        sha(periodic_runs.listed(F.col("runs"))).alias("runs_sha256"), sha(F.col("collapsed")).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_hidden_markov,
     op2_soft_mixing,
@@ -101,6 +134,9 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op8_html_wrapper,
     op9_quality_rules,
     op10_line_dedup,
+    op11_whitening,
+    op12_personal_data,
+    op13_periodic_runs,
 )}
 
 #: The other queries hold trained models, tokenizers or line rules, which SQL

@@ -1,0 +1,165 @@
+from __future__ import annotations
+
+import itertools
+import math
+import random
+import re
+
+import pytest
+
+from deskmetrics.llm import personal_data as pii
+from deskmetrics.llm import queries
+from deskmetrics.llm.common import held_out
+
+from . import brute
+from .conftest import SF
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+            "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
+            "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def plain(text):
+    """Base spans by whole-text scans."""
+    out = []
+    for k, (name, pattern) in enumerate(PATTERNS.items()):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            odd = [int(c) for c in digits[::-1][::2]]
+            even = [int(c) * 2 - 9 * (c > "4") for c in digits[::-1][1::2]]
+            good = {"email": True, "ip": all(int(p) <= 255 for p in m[0].split(".")) if name == "ip" else None,
+                    "card": 16 <= len(digits) <= 19 and (sum(odd) + sum(even)) % 10 == 0,
+                    "phone": 8 <= len(digits) <= 15}[name]
+            if good:
+                out.append((m.start(), m.end(), k))
+    return out
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    return pii.learn(docs.filter(held_out("doc_id", 2) != 0))
+
+
+def test_base_spans_match_whole_text_scans():
+    rnd = random.Random(2)
+    parts = ["a", "b.c", "@", "x.y", ".", "1", "22", "255", "256", "-", " ", "(", ")", "+", "4539148803436467",
+             "1.2.3.4", "é", "+1 555 123 4567", "\n", "%_", "[at]", "٣"]
+    for _ in range(15000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14)))
+        assert pii.base_spans(text) == plain(text), text
+
+
+def segmentations(cells):
+    """Every way to cover the window by segments."""
+    n = len(cells.borders) - 1
+
+    def walk(i):
+        if i == n:
+            yield []
+        for s, (a, b, *_) in enumerate(cells.segments):
+            if a == i:
+                for rest in walk(b):
+                    yield [s, *rest]
+    return list(walk(0))
+
+
+def random_field(rnd, cells):
+    field = pii.Field({f: rnd.uniform(-2, 2) for *_, names in cells.segments for f in names})
+    field.steps[:] = [[rnd.uniform(-1, 1) for _ in range(pii.LABELS)] for _ in range(pii.LABELS)]
+    return field
+
+
+def total(field, cells, path):
+    value, before = 0.0, pii.OTHER
+    for s in path:
+        *_, y, names = cells.segments[s]
+        value += field.score(names) + field.steps[before][y]
+        before = y
+    return value
+
+
+@pytest.mark.parametrize("text", ["(743) 555-3824", "4539148803436467 4845168114407329", "a@b.c d@e", "1.2.3.4 5550000",
+                                  "12 34 56 78 90 12 34 56"])
+def test_recursions_match_all_segmentations(text):
+    rnd = random.Random(text)
+    cells = pii.lattice(text, 0, len(text))
+    paths = segmentations(cells)
+    assert len(paths) > 1
+    for _ in range(5):
+        field = random_field(rnd, cells)
+        values = [total(field, cells, p) for p in paths]
+        logz, chance, moves = pii.expected(cells, [field.score(s[3]) for s in cells.segments], field.steps.tolist())
+        assert logz == pytest.approx(math.log(sum(map(math.exp, values))))
+        for s in range(len(cells.segments)):
+            want = sum(math.exp(v - logz) for v, p in zip(values, paths) if s in p)
+            assert chance[s] == pytest.approx(want, abs=1e-9)
+        assert moves.sum() == pytest.approx(sum(math.exp(v - logz) * len(p) for v, p in zip(values, paths)))
+        top = paths[max(range(len(paths)), key=values.__getitem__)]
+        assert field.decode(cells) == [cells.segments[s][:3] for s in top if cells.segments[s][2] != pii.OTHER]
+
+
+def test_held_out_documents(spark, model):
+    """The field alone finds the base spans of texts it did not learn from."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter(held_out("doc_id", 2) == 0)
+    base, alone = set(), set()
+    for r in docs.collect():
+        base |= {(r.doc_id, *s) for s in pii.base_spans(r.text or "")}
+        alone |= {(r.doc_id, *s) for s in pii.added_spans(r.text or "", model, ())}
+    assert len(base) > 20
+    assert len(base & alone) >= 0.95 * len(base) and len(base & alone) >= 0.95 * len(alone)
+
+
+@pytest.mark.parametrize(("text", "found"), [
+    ("call (743) 555-3824 now", ["phone:(743) 555-3824"]),
+    ("or 743-555-3824.", ["phone:743-555-3824"]),
+    ("4539148803436467 4845168114407329", ["card:4539148803436467", "card:4845168114407329"]),
+    ("x 4539.1488.0343.6467 y", ["card:4539.1488.0343.6467"]),
+    ("hein.19 [at] mail5.example.com", ["email:hein.19 [at] mail5.example.com"]),
+    ("9807915762804490", []), ("on 2024-05-17 at 10", []), ("order 12345678", []), ("+1 743 555 3824", []),
+    ("token 681c09b8e90e7e8c9575180f595f646cf2969054", []), ("12 34 56 78 90 12 34 56 78", []), ("a@b", [])])
+def test_added_spans(model, text, found):
+    spans = pii.added_spans(text, model, pii.base_spans(text))
+    assert [f"{pii.KINDS[k]}:{text[a:b]}" for a, b, k in spans] == found
+
+
+def test_segments_are_bounded():
+    text = " ".join("1234567" for _ in range(3000))
+    cells = pii.lattice(text, 0, len(text))
+    assert max(j - i for i, j, *_ in cells.segments) <= pii.MAX_TOKENS and len(cells.segments) < 4 * len(cells.borders)
+
+
+def test_query_matches_brute_force(spark, sf_texts):
+    rows = queries.op12_personal_data(spark, SF).collect()
+    assert len(rows) == len(sf_texts)
+    for r in rows:
+        want = plain(sf_texts[r.doc_id] or "")
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == n for *_, k in want) for n in range(4)]
+        texts = [f"{pii.KINDS[k]}:{a}:{b}" for a, b, k in want]
+        assert r.base_sha256 == brute.sha(",".join(texts))
+        spans = [s for s in r.spans.split(",") if s]
+        assert set(texts) <= set(spans) and len(set(spans)) == len(spans)
+        assert spans == sorted(spans, key=lambda s: (pii.KINDS.index(s.split(":")[0]), int(s.split(":")[1])))
+
+
+def test_overlaps_with_base_are_left_out(model):
+    rnd = random.Random(4)
+    for _ in range(500):
+        text = "".join(rnd.choice(["+1 ", "743", "-555-", "3824", " ", "4539148803436467", "1.2.3.4", "a@b.c"])
+                       for _ in range(8))
+        base = pii.base_spans(text)
+        spans = sorted(pii.added_spans(text, model, base))
+        assert all(b <= c for (_, b, _), (c, _, _) in itertools.pairwise(spans))
+        assert all(b <= c or d <= a for a, b, _ in spans for c, d, _ in base), text
+
+
+def test_edge_rows(spark, model, edge_docs, edge_rows, clashing_docs, no_docs):
+    assert [r.spans for r in pii.scan(edge_docs, model).collect()] == [[]] * len(edge_rows)
+    out = pii.scan(clashing_docs, model)
+    assert out.columns.count("spans") == 1 and out.count() == len(edge_rows)
+    empty = pii.learn(no_docs)
+    assert pii.scan(no_docs, empty).collect() == [] and empty.weights == {}
+    long = spark.createDataFrame([(1, "x " * 200_000 + "a.b@c.de " + "7 " * 20_000 + "1" * 50_000), (None, "a@b.cd"),
+                                  (2, "a@b.cd"), (2, "a@b.cd")], "doc_id long, text string")
+    found = [[tuple(s) for s in r.spans] for r in pii.scan(long, model).collect()]
+    assert found[0][0] == ("email", 400_000, 400_008, True) and found[1:] == [[("email", 0, 6, True)]] * 3
