@@ -116,6 +116,23 @@ def warehouse_fact(keyed_fact: DataFrame, extra: tuple[str, ...] = ()) -> DataFr
     )
 
 
+#: Stands for NULL in the stored seconds, so that every row group has bounds.
+NO_SECOND = -(1 << 63)
+#: Epoch seconds of the two stamps, stored beside the warehouse's columns:
+#: their maxima come from file footers, which have none for stamps.
+SECONDS = {"start_second": "start_time", "resolution_second": "resolution_time"}
+
+
+def with_seconds(wfact: DataFrame) -> DataFrame:
+    """The fact with the seconds in front (footers are read by position)."""
+    return wfact.select(*[F.coalesce(F.unix_seconds(c), F.lit(NO_SECOND)).alias(s) for s, c in SECONDS.items()], "*")
+
+
+def last_stamp(second: str):
+    """The last stamp of a stored seconds column, as an aggregate."""
+    return F.timestamp_seconds(F.nullif(F.max(second), F.lit(NO_SECOND)))
+
+
 def agent_performance(agent_ranked: DataFrame, dims: Dimensions) -> DataFrame:
     """Agent mart with the agent key instead of the name (NULL agent -> NULL key)."""
     lk = _lookup(dims, "agents")

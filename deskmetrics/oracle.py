@@ -454,6 +454,7 @@ FINAL: dict[str, str] = {
         from events) where rn = 1""",
     # sinks and the whole run
     "parquet_roundtrip": "select * from wfact",
+    "data_end_stamps": "select max(start_time) last_start, max(resolution_time) last_resolution from fact",
     "run_pipeline": """select 'dim_customers' table_name, count(*) rows from dim_customers
       union all select 'dim_agents', count(*) from dim_agents
       union all select 'dim_projects', count(*) from dim_projects

@@ -224,7 +224,7 @@ def _check_bounds(m) -> DataFrame:
 def _parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: the fact written partitioned by priority and read back."""
     path = scratch(spark, "fact-parquet")
-    sinks.curate(stored.for_tables(spark, sf_dir).fact, path, by="priority")
+    sinks.curate(stored.for_tables(spark, sf_dir).fact, path, **pipeline.FACT_LAYOUT)
     return finalize(sinks.read_parquet(spark, path, list(WAREHOUSE_FACT_COLUMNS)))
 
 
@@ -301,15 +301,18 @@ QUERIES: dict[str, Query] = {
     "category_trends": _table("category_trends"),
     # reports
     "sla_by_priority": _report(reports.sla_by_priority),
-    "top_agents_last_month": _report(reports.top_agents_last_month, "assignee"),
+    "data_end_stamps": _on_star(lambda s: s.ends),
+    "top_agents_last_month": _on_star(lambda s: reports.top_agents_last_month(
+        stored.with_names(s, "assignee"), last=s.last("resolution"))),
     "avg_resolution_by_project": _report(reports.avg_resolution_by_project, "project"),
     "view_avg_resolution_by_project": _view("view_avg_resolution_by_project"),
     "view_status_distribution": _view("view_status_distribution"),
     "agent_rank_by_speed": _report(reports.agent_rank_by_speed, "assignee"),
     "heavy_reporters": _report(reports.heavy_reporters, "reporter"),
     "running_resolved_total": _report(reports.running_resolved_total),
-    "zero_compliance_categories": _report(reports.zero_compliance_categories),
-    "zero_compliance_categories_anti": _report(reports.zero_compliance_categories_anti),
+    "zero_compliance_categories": _on_star(lambda s: reports.zero_compliance_categories(s.fact, last=s.last("start"))),
+    "zero_compliance_categories_anti": _on_star(
+        lambda s: reports.zero_compliance_categories_anti(s.fact, last=s.last("start"))),
     "resolution_stats_by_priority": _report(reports.resolution_stats_by_priority),
     "status_distribution": _report(reports.status_distribution),
     "fastest_agent_per_project": _report(reports.fastest_agent_per_project, "assignee", "project"),

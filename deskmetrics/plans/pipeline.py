@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators import marts, star
 from ..schemas import WAREHOUSE_FACT_COLUMNS
-from ..session import remove, scratch, staged
+from ..session import prepare, remove, scratch, staged
 from ..sources import sinks
 from ..sources.scan import counted
 from .model import from_scans
@@ -32,6 +32,8 @@ CURATED_ORDER = ("dim_customers", "dim_agents", "dim_projects", "fact_tickets",
 WAREHOUSE_NAMES = {"agent_performance": "analytics.agent_performance",
                    "resolution_performance": "analytics.resolution_performance",
                    "category_trends": "analytics.category_trends"}
+#: The stored fact: by priority, clustered by the last stamp of a ticket.
+FACT_LAYOUT = {"by": "priority", "stamps": ("resolution_time", "start_time"), "lookup": "ticket_id"}
 
 
 @dataclass
@@ -67,6 +69,7 @@ def run(spark: SparkSession, issues: DataFrame, changes: DataFrame, out_dir: str
     database bears; ``warehouse_names`` replaces ``WAREHOUSE_NAMES``."""
     if jdbc_url and not jdbc_connections:
         raise ValueError("a warehouse load needs jdbc_connections")
+    prepare(spark)
     changes, obs_changes = counted(changes, "changes_in")
     obs_tickets, obs_fact = Observation("tickets"), Observation("fact")
     model = from_scans(issues, changes, obs_tickets)
@@ -77,8 +80,11 @@ def run(spark: SparkSession, issues: DataFrame, changes: DataFrame, out_dir: str
 
     def write(name: str) -> int:
         rows = Observation(name)
-        sinks.curate(tables[name].observe(rows, F.count(F.lit(1)).alias("rows")), f"{out}/{name}",
-                     by="priority" if name == "fact_tickets" else None)
+        seen = tables[name].observe(rows, F.count(F.lit(1)).alias("rows"))
+        if name == "fact_tickets":
+            sinks.curate(star.with_seconds(seen), f"{out}/{name}", **FACT_LAYOUT)
+        else:
+            sinks.curate(seen, f"{out}/{name}")
         return rows.get.get("rows", 0)
 
     # Parquet folders have no load order: the seven writes run as concurrent

@@ -49,16 +49,18 @@ def sla_by_priority(fact: DataFrame) -> DataFrame:
             .orderBy(F.col("priority").asc_nulls_last()))
 
 
-def top_agents_last_month(fact: DataFrame, n: int = 5) -> DataFrame:
+def top_agents_last_month(fact: DataFrame, n: int = 5, last: DataFrame | None = None) -> DataFrame:
     """R2: agents with most tickets resolved in the calendar month before
     the month of the data's last resolution (the last over all tickets).
 
-    Over an in-flight fact the scalar is a second computation; reports run
-    on the stored fact, where it is a scan of one column."""
-    last = fact.agg(F.max("resolution_time")).scalar()
-    begin = F.date_trunc("month", last - F.make_ym_interval(F.lit(0), F.lit(1)))
+    ``last`` is that stamp, one row; the stored star has it from file
+    footers.  Without it, it is computed from the fact.  Both bounds are
+    scalars of their own: only a bare scalar reaches the Parquet scan."""
+    last = (fact.agg(F.max("resolution_time")) if last is None else last).toDF("last")
+    begin = last.select(F.date_trunc("month", F.col("last") - F.make_ym_interval(F.lit(0), F.lit(1)))).scalar()
+    end = last.select(F.date_trunc("month", "last")).scalar()
     return (fact.filter((F.col("resolution_time") >= begin)
-                        & (F.col("resolution_time") < F.date_trunc("month", last))
+                        & (F.col("resolution_time") < end)
                         & F.col("assignee").isNotNull())
             .groupBy(F.col("assignee").alias("agent_name"))
             .agg(F.count("ticket_id").alias("tickets_resolved"))
@@ -117,24 +119,29 @@ def running_resolved_total(fact: DataFrame) -> DataFrame:
     return monthly.withColumn("running_total", F.sum("monthly_resolved").over(upto)).orderBy("month")
 
 
-def zero_compliance_categories(fact: DataFrame, days: int = 30) -> DataFrame:
+def _recent(fact: DataFrame, days: int, last: DataFrame | None) -> DataFrame:
+    """Tickets with a category started in the data's last ``days`` days."""
+    last = (fact.agg(F.max("start_time")) if last is None else last).toDF("last")
+    begin = last.select(F.col("last") - F.make_dt_interval(F.lit(days))).scalar()
+    return fact.filter((F.col("start_time") >= begin) & F.col("category").isNotNull())
+
+
+def zero_compliance_categories(fact: DataFrame, days: int = 30, last: DataFrame | None = None) -> DataFrame:
     """Categories with tickets started in the data's last ``days`` days
     but none of them met (the NOT IN as one grouped pass over the recent
-    tickets; their range filter reaches the scan of a stored fact)."""
-    last = fact.agg(F.max("start_time")).scalar()
+    tickets; their range filter reaches the scan of a stored fact).  ``last``
+    is the data's last start, one row (see R2)."""
     met = F.max(F.when(F.col("resolution_target_met") == F.lit(True), 1))
-    return (fact.filter((F.col("start_time") >= last - F.make_dt_interval(F.lit(days)))
-                        & F.col("category").isNotNull())
+    return (_recent(fact, days, last)
             .groupBy("category").agg(met.alias("_met"))
             .filter(F.col("_met").isNull())
             .select("category").orderBy("category"))
 
 
-def zero_compliance_categories_anti(fact: DataFrame, days: int = 30) -> DataFrame:
+def zero_compliance_categories_anti(fact: DataFrame, days: int = 30,
+                                    last: DataFrame | None = None) -> DataFrame:
     """R7 in its original shape (anti-join), kept as a cross-check."""
-    last = fact.agg(F.max("start_time")).scalar()
-    recent = fact.filter((F.col("start_time") >= last - F.make_dt_interval(F.lit(days)))
-                         & F.col("category").isNotNull())
+    recent = _recent(fact, days, last)
     met = recent.filter(F.col("resolution_target_met") == F.lit(True)).select("category").distinct()
     return recent.select("category").distinct().join(met, "category", "left_anti").orderBy("category")
 

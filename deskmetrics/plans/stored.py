@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.star import DIMENSIONS
+from ..operators.star import DIMENSIONS, SECONDS, last_stamp
 from ..schemas import WAREHOUSE_FACT_COLUMNS
 from ..session import checkpoint_dir, prepare
 from ..sources import fixture, scan, sinks
@@ -40,6 +40,7 @@ _INPUTS = ("orders", "lineitem", "customer", "supplier", "nation", "part")
 @dataclass(frozen=True)
 class Star:
     tables: dict[str, DataFrame]
+    folder: str
 
     @property
     def fact(self) -> DataFrame:
@@ -49,11 +50,23 @@ class Star:
     def dimensions(self) -> dict[str, DataFrame]:
         return {n: t for n, t in self.tables.items() if n.startswith("dim_")}
 
+    @property
+    def ends(self) -> DataFrame:
+        """One row: the last start and the last resolution of all tickets,
+        from the footers of the fact's files."""
+        seconds = sinks.read_footers(self.fact.sparkSession, f"{self.folder}/fact_tickets",
+                                     ", ".join(f"{s} bigint" for s in SECONDS))
+        return seconds.agg(*[last_stamp(s).alias(f"last_{s.removesuffix('_second')}") for s in SECONDS])
+
+    def last(self, what: str) -> DataFrame:
+        """``start`` or ``resolution`` of ``ends``."""
+        return self.ends.select(f"last_{what}")
+
 
 def open_star(spark: SparkSession, folder: str) -> Star:
     """The curated tables in a folder."""
     read = {n: sinks.read_parquet(spark, f"{folder.rstrip('/')}/{n}", schema=s) for n, s in SCHEMAS.items()}
-    return Star(read | {"fact_tickets": read["fact_tickets"].select(*WAREHOUSE_FACT_COLUMNS)})
+    return Star(read | {"fact_tickets": read["fact_tickets"].select(*WAREHOUSE_FACT_COLUMNS)}, folder.rstrip("/"))
 
 
 def with_names(star: Star, *roles: str) -> DataFrame:

@@ -7,21 +7,62 @@ the caller; nothing is hard-coded.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import default_parallelism
 
 
-def curate(df: DataFrame, path: str, by: str | None = None) -> None:
+#: Row groups of time-clustered tables: small enough that a month is some of
+#: them, large enough for a scan.
+ROW_GROUP_BYTES = 32 << 20
+
+
+def curate(df: DataFrame, path: str, by: str | None = None, stamps: tuple[str, ...] = (),
+           lookup: str | None = None, row_group_bytes: int = ROW_GROUP_BYTES) -> None:
     """Replace the Parquet table at ``path``.
 
     With ``by`` the table is partitioned on that column; the rows are
     rebalanced on it first, so each value gets a few files rather than one
     per input task, and AQE splits a large value over several tasks.  NULLs
     land in the default partition and read back as NULL.
+
+    With ``stamps`` the rows are clustered by the first of them that is not
+    NULL: rebalanced by value and
+    month, so a file holds whole months (AQE splits a large month and merges
+    small ones; no sampling pass), and sorted by it, so the bounds of
+    a row group are narrow and range filters skip most of them.  ``lookup``
+    names a key column that gets Parquet Bloom filters, for point lookups.
     """
-    rows = df if by is None else df.hint("rebalance", by)
-    rows.write.parquet(path, mode="overwrite", partitionBy=by)
+    options = {}
+    if lookup is not None:
+        options |= {f"parquet.bloom.filter.enabled#{lookup}": "true",
+                    "parquet.bloom.filter.adaptive.enabled": "true"}
+    if by is None:
+        rows = df
+    elif not stamps:
+        rows = df.hint("rebalance", by)
+    else:
+        options["parquet.block.size"] = str(row_group_bytes)
+        stamp = F.coalesce(*stamps)
+        rows = (df.withColumns({"_stamp": stamp, "_month": F.date_trunc("month", stamp)})
+                .hint("rebalance", by, "_month").sortWithinPartitions(by, "_stamp").drop("_stamp", "_month"))
+    rows.write.options(**options).parquet(path, mode="overwrite", partitionBy=by)
+
+
+def read_footers(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table through the V2 reader, which answers MIN, MAX and COUNT
+    of whole-number columns from the files' footers.  ``schema`` must begin
+    with the files' first columns, in their order: Spark 4.1 looks footers up
+    by position.  (Stamps, decimals and text have no usable bounds there, and
+    a row group without any value is an error: write a stand-in for NULL.)"""
+    conf = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "")
+    try:
+        return spark.read.schema(schema).parquet(path)
+    finally:
+        spark.conf.set(conf, before)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None,
