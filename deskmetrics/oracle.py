@@ -452,6 +452,20 @@ FINAL: dict[str, str] = {
           row_number() over (partition by user_id, event_type order by date_trunc('second', ts) desc nulls last,
             event_id desc nulls last, cast(value as varchar) desc nulls last) rn
         from events) where rn = 1""",
+    "incremental_star": """select ticket_id, reporter, assignee, project, category, priority, start_time,
+        resolution_time, resolution_duration_hours, status, resolution_target_met from fact_rest""",
+    "incremental_dimensions": """select case role when 'reporter' then 'customers' when 'assignee' then 'agents'
+        else 'projects' end dimension, name from names""",
+    "incremental_agent_performance": """select r.* exclude (agent_id), agent_name
+      from agent_perf r left join dim_agents a on a.agent_id = r.agent_id""",
+    "incremental_resolution_performance": "select * from res_perf",
+    "incremental_category_trends": """select category, month, cast(ticket_volume as integer) ticket_volume,
+        cast(volume_change_pct as decimal(12, 2)) volume_change_pct from cat_trends""",
+    "registry_keys": """select role, name, cast(row_number() over (partition by role order by late, name) as bigint) key
+      from (select role, name, min(late) late from (
+        select ticket_id % 2 late, unnest(['reporter', 'assignee', 'project']) role,
+          unnest([reporter, assignee, project]) name from fact)
+        where name is not null group by role, name)""",
     # sinks and the whole run
     "parquet_roundtrip": "select * from wfact",
     "data_end_stamps": "select max(start_time) last_start, max(resolution_time) last_resolution from fact",

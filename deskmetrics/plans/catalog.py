@@ -5,6 +5,7 @@ ticket fixture of ``sources.fixture``)."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,13 @@ from ..functions.columns import (
     standardize_project,
     sla_threshold,
 )
-from ..operators import clean, marts, quality, star
+from ..operators import clean, keys, marts, quality, star
 from ..operators.state import latest_change_per_field
 from ..schemas import CHANGES_SCHEMA, WAREHOUSE_FACT_COLUMNS, as_text
-from ..session import prepare, scratch, staged
+from ..session import prepare, remove, scratch, staged
 from ..sources import fixture, scan, sinks
 from ..streaming import current_state as streaming
+from ..streaming import incremental_star as incremental
 from . import dashboard, extras, model, pipeline, reports, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -235,17 +237,18 @@ def _run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.table_sizes({n: star_.tables[n] for n in pipeline.CURATED_ORDER})
 
 
-STREAM_FILES = 4
+STREAM_BATCHES = 4
 
 
 def _stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R-D5: the change log lands as several files and is folded into the
-    current state in as many micro-batches."""
+    """R-D5: the change log lands with the partitions it has and is folded
+    into the current state in a few micro-batches, each over many files."""
     prepare(spark)
     landing = scratch(spark, "change-log")
-    fixture.raw_changes(spark, sf_dir).repartition(STREAM_FILES).write.parquet(landing)
+    fixture.raw_changes(spark, sf_dir).write.parquet(landing)
+    files = len(spark.read.schema(as_text(CHANGES_SCHEMA)).parquet(landing).inputFiles())
     return finalize(streaming.run_available(
-        spark, landing, as_text(CHANGES_SCHEMA), "parquet", max_files_per_trigger=1,
+        spark, landing, as_text(CHANGES_SCHEMA), "parquet", max_files_per_trigger=-(-files // STREAM_BATCHES),
         transform=lambda raw: clean.parse_change_stamps(scan.scan_changes(raw))))
 
 
@@ -261,6 +264,70 @@ def _stream_latest_per_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finalize(state)
 
 
+WAVES = 4
+
+
+def land_waves(spark: SparkSession, sf_dir: str) -> str:
+    """The raw extracts dealt out to ``WAVES`` folders each, by a hash of the
+    row's key and stamp: copies of a ticket and its changes arrive apart."""
+    folder = scratch(spark, "waves")
+    for kind, raw, stamp in (("issues", fixture.raw_issues(spark, sf_dir), "issue_created"),
+                             ("changes", fixture.raw_changes(spark, sf_dir), "created")):
+        wave = F.pmod(F.xxhash64("id", stamp), F.lit(WAVES)).alias("wave")
+        raw.select("*", wave).write.partitionBy("wave").parquet(f"{folder}/{kind}")
+    return folder
+
+
+def incremental_base(spark: SparkSession, sf_dir: str) -> str:
+    """The incremental star after all waves, one run of the stream a wave;
+    kept for the application and the state of the input files."""
+    prepare(spark)
+    name = f"star-{spark.sparkContext.applicationId}-{stored.state_of(spark, sf_dir)}"
+    base = streaming.stream_base(spark, name)
+    if incremental.versions(spark, base)[1] < WAVES - 1:
+        waves = land_waves(spark, sf_dir)
+        landing = f"{base}/landing"
+        for wave in range(WAVES):
+            for kind, schema in (("issues", ISSUES_SCHEMA), ("changes", CHANGES_SCHEMA)):
+                rows = spark.read.schema(as_text(schema)).parquet(f"{waves}/{kind}/wave={wave}")
+                rows.write.mode("append").parquet(f"{landing}/{kind}")
+            incremental.run_available(spark, f"{landing}/issues", f"{landing}/changes", name)
+        remove(spark, waves)
+    return base
+
+
+def _incremental(fn: Callable[[stored.Star], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = incremental_base(spark, sf_dir)
+        return finalize(fn(stored.Star(incremental.open_star(spark, base), base)))
+    return run
+
+
+def _named_fact(star_: stored.Star) -> DataFrame:
+    """The fact with names for keys."""
+    rows = stored.with_names(star_, "reporter", "assignee", "project")
+    keys = [key for _, key, _ in star.DIMENSIONS.values()]
+    return rows.drop(*keys)
+
+
+def _dimension_names(star_: stored.Star) -> DataFrame:
+    """(dimension, name) of every dimension row."""
+    return reduce(DataFrame.unionAll, [
+        star_.tables[f"dim_{d}"].select(F.lit(d).alias("dimension"), F.col(name).alias("name"))
+        for d, (_, _, name) in star.DIMENSIONS.items()])
+
+
+def _registry_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: the names of the even tickets are registered first, then those of
+    all tickets; keys of the first batch stay."""
+    prepare(spark)
+    rows = stored.with_names(stored.for_tables(spark, sf_dir), "reporter", "assignee", "project")
+    roles = [role for role, _, _ in star.DIMENSIONS.values()]
+    path = scratch(spark, "registry")
+    keys.extend(star.distinct_names(rows.filter("ticket_id % 2 = 0"), roles), path, 0)
+    return keys.extend(star.distinct_names(rows, roles), path, 1)
+
+
 QUERIES: dict[str, Query] = {
     # sources
     "scan_issues": _q(lambda m: m.issues),
@@ -288,6 +355,7 @@ QUERIES: dict[str, Query] = {
     "dedup_tickets": _q(_dedup_tickets),
     "ticket_current_state": _q(_ticket_current_state),
     "fact_with_keys": _q(_fact_with_keys),
+    "registry_keys": _registry_keys,
     # star schema
     "dim_customers": _table("dim_customers"),
     "dim_agents": _table("dim_agents"),
@@ -349,6 +417,12 @@ QUERIES: dict[str, Query] = {
     "agent_workload_spread": _on_fact(extras.agent_workload_spread),
     "stream_current_state": _stream_current_state,
     "stream_latest_per_field": _stream_latest_per_field,
+    "incremental_star": _incremental(_named_fact),
+    "incremental_dimensions": _incremental(_dimension_names),
+    "incremental_agent_performance": _incremental(lambda s: s.tables["agent_performance"].join(
+        s.tables["dim_agents"], "agent_id", "left").drop("agent_id")),
+    "incremental_resolution_performance": _incremental(lambda s: s.tables["resolution_performance"]),
+    "incremental_category_trends": _incremental(lambda s: s.tables["category_trends"]),
     # sinks and the whole run
     "parquet_roundtrip": _parquet_roundtrip,
     "run_pipeline": _run_pipeline,

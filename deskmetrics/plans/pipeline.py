@@ -6,8 +6,8 @@ the dimensions are keyed once from it, and each output is then one write.
 Counters (C5, S6) are gathered by ``Observation`` during those passes.  The
 Parquet writes run concurrently; the warehouse load empties all tables child
 first and fills them parents first.  Every write is a full refresh, so a
-re-run gives the same tables.  The staged fact is removed at the end of the
-run.  Errors propagate to the caller.
+re-run gives the same tables.  Every scratch folder of the run is removed at
+its end, also when it fails.  Errors propagate to the caller.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators import marts, star
 from ..schemas import WAREHOUSE_FACT_COLUMNS
-from ..session import prepare, remove, scratch, staged
+from ..session import prepare, scratch, staged, workspace
 from ..sources import sinks
 from ..sources.scan import counted
 from .model import from_scans
@@ -72,26 +72,25 @@ def run(spark: SparkSession, issues: DataFrame, changes: DataFrame, out_dir: str
     prepare(spark)
     changes, obs_changes = counted(changes, "changes_in")
     obs_tickets, obs_fact = Observation("tickets"), Observation("fact")
-    model = from_scans(issues, changes, obs_tickets)
-    staging = scratch(spark, "fact")
-    fact = staged(model.fact.observe(obs_fact, F.count(F.lit(1)).alias("rows")), staging)
-    tables = build_outputs(fact)
-    out = out_dir.rstrip("/")
-
-    def write(name: str) -> int:
-        rows = Observation(name)
-        seen = tables[name].observe(rows, F.count(F.lit(1)).alias("rows"))
-        if name == "fact_tickets":
-            sinks.curate(star.with_seconds(seen), f"{out}/{name}", **FACT_LAYOUT)
-        else:
-            sinks.curate(seen, f"{out}/{name}")
-        return rows.get.get("rows", 0)
-
-    # Parquet folders have no load order: the seven writes run as concurrent
-    # jobs, so the small marts fill the cluster while the fact is written.
-    with ThreadPoolExecutor(max_workers=len(CURATED_ORDER)) as pool:
-        sizes = dict(zip(CURATED_ORDER, pool.map(write, CURATED_ORDER)))
-    remove(spark, staging)
+    with workspace(spark):
+        model = from_scans(issues, changes, obs_tickets)
+        fact = staged(model.fact.observe(obs_fact, F.count(F.lit(1)).alias("rows")), scratch(spark, "fact"))
+        tables = build_outputs(fact)
+        out = out_dir.rstrip("/")
+
+        def write(name: str) -> int:
+            rows = Observation(name)
+            seen = tables[name].observe(rows, F.count(F.lit(1)).alias("rows"))
+            if name == "fact_tickets":
+                sinks.curate(star.with_seconds(seen), f"{out}/{name}", **FACT_LAYOUT)
+            else:
+                sinks.curate(seen, f"{out}/{name}")
+            return rows.get.get("rows", 0)
+
+        # Parquet folders have no load order: the seven writes run as concurrent
+        # jobs, so the small marts fill the cluster while the fact is written.
+        with ThreadPoolExecutor(max_workers=len(CURATED_ORDER)) as pool:
+            sizes = dict(zip(CURATED_ORDER, pool.map(write, CURATED_ORDER)))
     seen = obs_tickets.get
     metrics = {**{f"issues.{k}": seen.get(k, 0) for k in ("rows_in", "invalid_resolution", "resolved_without_created")},
                "changes.rows_in": obs_changes.get.get("rows", 0),

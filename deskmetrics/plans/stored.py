@@ -86,7 +86,7 @@ def create_views(star: Star) -> None:
     reports.status_distribution(star.fact).createOrReplaceTempView("view_status_distribution")
 
 
-def _state_of(spark: SparkSession, sf_dir: str) -> str:
+def state_of(spark: SparkSession, sf_dir: str) -> str:
     """A digest of the input files' paths, sizes and change times."""
     conf, path_of = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
     seen = []
@@ -110,7 +110,7 @@ def build(spark: SparkSession, sf_dir: str, folder: str) -> Star:
 def for_tables(spark: SparkSession, sf_dir: str) -> Star:
     """The star of the driver's tables as they are now."""
     prepare(spark)
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/star-{spark.sparkContext.applicationId}-{_state_of(spark, sf_dir)}"
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/star-{spark.sparkContext.applicationId}-{state_of(spark, sf_dir)}"
     done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/run_metrics/_SUCCESS")
     if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
         return open_star(spark, folder)

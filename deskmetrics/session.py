@@ -10,10 +10,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Scratch folders of the innermost open ``workspace``.
+_FOLDERS: ContextVar[list[str] | None] = ContextVar("folders", default=None)
 
 
 def _context(spark: SparkSession):
@@ -56,7 +61,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, what: str) -> str:
     """A new path in the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex[:12]}"
+    folders = _FOLDERS.get()
+    if folders is not None:
+        folders.append(path)
+    return path
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[None]:
+    """Removes every ``scratch`` folder handed out inside, also on errors."""
+    folders: list[str] = []
+    token = _FOLDERS.set(folders)
+    try:
+        yield
+    finally:
+        _FOLDERS.reset(token)
+        for path in folders:
+            remove(spark, path)
 
 
 def staged(df: DataFrame, path: str) -> DataFrame:
