@@ -182,6 +182,10 @@ CTES: list[tuple[str, str]] = [
         from (select *, lag(ticket_volume) over (partition by category order by month asc nulls first) prev
               from cat_monthly)"""),
     ("cat_trends", "select category, month, ticket_volume, volume_change_pct from cat_trends_h"),
+    ("planted", """select case when ticket_id % 109 <> 0 then ticket_id end ticket_id, ticket_id own,
+          case when ticket_id % 103 = 0 then repeat('x', 70) else category end category,
+          case when ticket_id % 107 = 0 then -5 else customer_id end customer_id
+        from wfact, unnest(range(case when ticket_id % 101 = 0 then 2 else 1 end)) t(n)"""),
     ("disp", """select w.*, p.project_name, a.agent_name, strftime(start_time, '%Y-%m') ym from wfact w
         left join dim_projects p on p.project_id = w.project_id
         left join dim_agents a on a.agent_id = w.agent_id"""),
@@ -452,6 +456,30 @@ FINAL: dict[str, str] = {
           row_number() over (partition by user_id, event_type order by date_trunc('second', ts) desc nulls last,
             event_id desc nulls last, cast(value as varchar) desc nulls last) rn
         from events) where rn = 1""",
+    "sla_by_policy": f"""select ticket_id, priority, resolution_duration_hours, threshold_hours,
+        resolution_duration_hours <= threshold_hours resolution_target_met
+      from (select *, case when priority in ('High', 'Low') and start_time >= timestamp '1995-01-01'
+          then ({_THRESHOLD}) / 2 else ({_THRESHOLD}) end threshold_hours from fact)""",
+    "top_reporters_by_summary": """select reporter reporter_name, count(*) tickets from fact
+      where reporter is not null group by reporter order by tickets desc, reporter limit 10""",
+    "quantiles_by_span": """select priority, cast(probability as double) probability, count(*) tickets, true within_bound
+      from fact, (select unnest([0.25, 0.5, 0.9]) probability)
+      where resolution_duration_hours is not null
+        and resolution_time >= (select date_trunc('month', max(resolution_time)) - interval 11 month from fact)
+      group by all""",
+    "distinct_over_runs": """select metric, names, true within_bound from (
+      select 'dim_customers' metric, count(*) names from dim_customers
+      union all select 'dim_agents', count(*) from dim_agents
+      union all select 'dim_projects', count(*) from dim_projects)""",
+    "quarantined_rows": """select 'fact_tickets' table_name, 'ticket_id' column_name, 'duplicate' reason, cast(ticket_id as varchar) as key
+        from planted where own % 101 = 0 and ticket_id is not null
+      union all select 'fact_tickets', 'ticket_id', 'missing', null from planted where ticket_id is null
+      union all select 'fact_tickets', 'customer_id', 'no dimension row', cast(ticket_id as varchar) from planted
+        where customer_id = -5
+      union all select 'fact_tickets', 'category', 'too long', cast(ticket_id as varchar) from planted
+        where length(category) > 60
+      union all select 'issues', null, 'malformed', id from raw_issues
+        where cast(id as bigint) % 113 = 0 or cast(id as bigint) % 127 = 0""",
     "incremental_star": """select ticket_id, reporter, assignee, project, category, priority, start_time,
         resolution_time, resolution_duration_hours, status, resolution_target_met from fact_rest""",
     "incremental_dimensions": """select case role when 'reporter' then 'customers' when 'assignee' then 'agents'

@@ -4,6 +4,8 @@ ticket fixture of ``sources.fixture``)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from collections.abc import Callable
 from functools import reduce
 
@@ -13,15 +15,16 @@ from pyspark.sql.types import TimestampType
 
 from ..functions.columns import (
     hours_between,
+    month_start,
     priority_flag,
     standardize_category,
     standardize_priority,
     standardize_project,
     sla_threshold,
 )
-from ..operators import clean, keys, marts, quality, star
+from ..operators import clean, keys, marts, quality, quarantine, sketches, sla, star
 from ..operators.state import latest_change_per_field
-from ..schemas import CHANGES_SCHEMA, WAREHOUSE_FACT_COLUMNS, as_text
+from ..schemas import CHANGES_SCHEMA, ISSUES_SCHEMA, WAREHOUSE_FACT_COLUMNS, as_text
 from ..session import prepare, remove, scratch, staged
 from ..sources import fixture, scan, sinks
 from ..streaming import current_state as streaming
@@ -328,6 +331,89 @@ def _registry_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.extend(star.distinct_names(rows, roles), path, 1)
 
 
+def _sla_by_policy(m) -> DataFrame:
+    """P10 / P11 with targets as data: the built-in ones, halved from 1995 on
+    for two priorities."""
+    spark = m.fact.sparkSession
+    since = dt.datetime(1995, 1, 1, tzinfo=dt.timezone.utc)
+    later = spark.createDataFrame([("High", 12.0, since, None), ("Low", 84.0, since, None)], sla.SCHEMA)
+    return sla.with_targets(m.fact, sla.constant_policies(spark).unionByName(later)).select(
+        "ticket_id", "priority", "resolution_duration_hours", "threshold_hours", "resolution_target_met")
+
+
+def _top_reporters_by_summary(star_: stored.Star) -> DataFrame:
+    """O3 over a wide column: candidates from a merged summary, exact counts."""
+    top = sketches.top_n_by_summary(stored.with_names(star_, "reporter"), "reporter", 10)
+    return top.select(F.col("reporter").alias("reporter_name"), F.col("rows").alias("tickets"))
+
+
+QUANTILES = (0.25, 0.5, 0.9)
+
+
+def _quantiles_by_span(star_: stored.Star) -> DataFrame:
+    """R-D7 by stored monthly sketches: quantiles of the hours per priority
+    over the last twelve resolution months, and whether the share of hours
+    below and up to each value is as near to the probability as stated."""
+    spark = star_.fact.sparkSession
+    month = month_start("resolution_time").alias("month")
+    monthly = staged(sketches.quantile_sketches(star_.fact, F.col(reports.HOURS), "priority", month),
+                     scratch(spark, "hours-sketches"))
+    last = star_.last("resolution").toDF("last")
+    begin = last.select(F.date_trunc("month", "last") - F.make_ym_interval(F.lit(0), F.lit(11))).scalar()
+    found = sketches.merged_quantiles(monthly.filter(F.col("month") >= begin), QUANTILES, "priority")
+    hours = star_.fact.filter((F.col("resolution_time") >= begin) & F.col(reports.HOURS).isNotNull()) \
+        .groupBy(F.col("priority").alias("p"), F.col(reports.HOURS).cast("double").alias("h")).agg(F.count(F.lit(1)).alias("c"))
+    share = lambda hit: F.sum(F.when(hit, F.col("c")).otherwise(0)) / F.sum("c")
+    p = F.col("probability")
+    return (found.join(hours, F.col("priority").eqNullSafe(F.col("p"))).groupBy("priority", "probability")
+            .agg(F.max("n").alias("tickets"), share(F.col("h") < F.col("value")).alias("below"),
+                 share(F.col("h") <= F.col("value")).alias("upto"))
+            .select("priority", "probability", "tickets",
+                    ((F.col("below") <= p + sketches.RANK_ERROR) & (F.col("upto") >= p - sketches.RANK_ERROR))
+                    .alias("within_bound")))
+
+
+def _distinct_over_runs(star_: stored.Star) -> DataFrame:
+    """C5 over runs: one sketch per dimension and run (a third of the tickets
+    each), merged, against the exact number of names in the fact."""
+    columns = {f"dim_{d}": key for d, (_, key, _) in star.DIMENSIONS.items()}
+    runs = staged(sketches.distinct_sketches(star_.fact.withColumn("run", F.col("ticket_id") % 3), columns, "run"),
+                  scratch(star_.fact.sparkSession, "name-sketches"))
+    exact = reduce(DataFrame.unionAll, [
+        star_.tables[t].agg(F.count(F.lit(1)).alias("names")).select(F.lit(t).alias("metric"), "names") for t in columns])
+    error = F.abs(F.col("estimate") / F.col("names") - 1)
+    return exact.join(sketches.merged_distinct(runs, "metric"), "metric").select(
+        "metric", "names", (error <= sketches.DISTINCT_ERROR).alias("within_bound"))
+
+
+def _dirty(fact: DataFrame) -> DataFrame:
+    """The fact with planted violations: ids twice, over-long categories, keys
+    of no customer, missing ids."""
+    i = F.col("ticket_id")
+    twice = F.explode(F.array_repeat(F.lit(1), F.when(i % 101 == 0, 2).otherwise(1))).alias("_n")
+    return fact.select("*", twice).drop("_n").withColumns({
+        "category": F.when(i % 103 == 0, F.repeat(F.lit("x"), F.lit(70))).otherwise(F.col("category")),
+        "customer_id": F.when(i % 107 == 0, F.lit(-5).cast("long")).otherwise(F.col("customer_id")),
+        "ticket_id": F.when(i % 109 != 0, i)})
+
+
+def _quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1-C4 with the rows: planted violations of the stored fact, and lines
+    of a CSV extract that lack a field or have one too many."""
+    star_ = stored.for_tables(spark, sf_dir)
+    found = quarantine.star_rows(_dirty(star_.fact), star_.dimensions)
+    raw = fixture.raw_issues(spark, sf_dir)
+    path = scratch(spark, "issues-csv")
+    scan.write_csv_text(raw, path)
+    fields = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in raw.columns[:-1]])
+    line = F.when(F.col("id") % 113 == 0, fields).otherwise(F.concat(fields, F.lit(",1,2")))
+    # every file must begin with the header; repeated ones are whole rows
+    raw.filter("id % 113 = 0 or id % 127 = 0").select(F.concat(F.lit(",".join(raw.columns) + "\n"), line)) \
+        .write.mode("append").text(path)
+    lines = scan.read_csv_text(spark, path, as_text(ISSUES_SCHEMA), corrupt="_line")
+    return found.unionByName(quarantine.malformed_rows(lines, "issues", "id", "_line")).drop("row")
+
+
 QUERIES: dict[str, Query] = {
     # sources
     "scan_issues": _q(lambda m: m.issues),
@@ -347,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "priority_flag": _q(_priority_flag),
     "standardize_project": _q(_standardize_project),
     "sla_target_met": _q(_sla_target_met),
+    "sla_by_policy": _q(_sla_by_policy),
     "fact_tickets": _on_fact(lambda f: f),
     "warehouse_fact": _table("fact_tickets"),
     # state, de-dup, joins
@@ -398,6 +485,7 @@ QUERIES: dict[str, Query] = {
     "compliance_by_priority_all": _tile(dashboard.compliance_by_priority_all),
     "monthly_compliance_trend": _tile(dashboard.monthly_compliance_trend),
     "top_agents_by_tickets": _tile(dashboard.top_agents_by_tickets, "assignee"),
+    "top_reporters_by_summary": _on_star(_top_reporters_by_summary),
     "top_n_by_count": _tile(dashboard.top_n_by_count_tiles, "project"),
     "top_agents_avg_hours": _tile(dashboard.top_agents_avg_hours, "assignee"),
     "category_month_heatmap": _tile(dashboard.category_month_heatmap),
@@ -407,6 +495,8 @@ QUERIES: dict[str, Query] = {
     "check_foreign_keys": _checks(quality.check_foreign_keys),
     "check_bounds": _q(_check_bounds),
     "quality_counts": _table("run_metrics"),
+    "quarantined_rows": _quarantined_rows,
+    "distinct_over_runs": _on_star(_distinct_over_runs),
     # documented extras
     "category_trends_with_hours": _on_fact(marts.category_trends_with_hours),
     "dim_date": _on_fact(extras.dim_date),
@@ -415,6 +505,7 @@ QUERIES: dict[str, Query] = {
     "agent_monthly_hours": _on_fact(extras.agent_monthly_hours),
     "fastest_growing_categories": _on_fact(extras.fastest_growing_categories),
     "agent_workload_spread": _on_fact(extras.agent_workload_spread),
+    "quantiles_by_span": _on_star(_quantiles_by_span),
     "stream_current_state": _stream_current_state,
     "stream_latest_per_field": _stream_latest_per_field,
     "incremental_star": _incremental(_named_fact),

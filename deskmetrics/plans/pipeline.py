@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import marts, star
+from ..operators import marts, sketches, star
 from ..schemas import WAREHOUSE_FACT_COLUMNS
 from ..session import prepare, scratch, staged, workspace
 from ..sources import sinks
@@ -99,6 +99,10 @@ def run(spark: SparkSession, issues: DataFrame, changes: DataFrame, out_dir: str
     # written last: its marker says that the folder is whole
     sinks.curate(spark.createDataFrame(sorted(metrics.items()), "metric string, value bigint").coalesce(1),
                  f"{out}/run_metrics")
+    # distinct sizes that later runs can be merged with
+    sinks.curate(sketches.distinct_sketches(
+        sinks.read_parquet(spark, f"{out}/fact_tickets", schema=tables["fact_tickets"].schema),
+        {f"dim_{d}": key for d, (_, key, _) in star.DIMENSIONS.items()}), f"{out}/run_sketches")
     stored = {name: sinks.read_parquet(spark, f"{out}/{name}",
                                        list(WAREHOUSE_FACT_COLUMNS) if name == "fact_tickets" else None,
                                        schema=tables[name].schema)

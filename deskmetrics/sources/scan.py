@@ -9,8 +9,12 @@ keep full precision.
 from __future__ import annotations
 
 import csv
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
@@ -41,43 +45,67 @@ def scan_changes(raw: DataFrame) -> DataFrame:
     return cast_to_schema(raw, CHANGES_SCHEMA)
 
 
-def _headers(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header (the first line, read through Hadoop's file
-    system, so any store and compression that Spark reads will do)."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+@contextmanager
+def _whole_files(spark: SparkSession) -> Iterator[None]:
+    """While open, a file scan has one task per file and hands rows to Python
+    one at a time, so a task that stops early has read a few lines only."""
+    settings = {"spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50),
+                "spark.sql.files.maxPartitionNum": None, "spark.sql.files.minPartitionNum": None,
+                "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _first_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header.  The first lines are read by one Spark job, a
+    task per file, whatever store and compression they are in; the driver gets
+    each different header and the files that have it."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    with _whole_files(spark):
+        rows = (lines.mapInArrow(_first_row, "file string, value string")
+                .groupBy("value").agg(F.sort_array(F.collect_list("file")).alias("files")).collect())
     found: dict[tuple[str, ...], list[str]] = {}
-    for name in files:
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
-        stream = path.getFileSystem(conf).open(path)
-        codec = codecs.getCodec(path)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
-            codec.createInputStream(stream) if codec is not None else stream, "UTF-8"))
-        try:
-            line = reader.readLine()
-        finally:
-            reader.close()
-        if line and line.strip("\ufeff \t"):
-            columns = next(csv.reader([line.lstrip("\ufeff")]))
-            found.setdefault(tuple(c.strip() for c in columns), []).append(name)
+    for line, files in rows:
+        if line and line.strip("\ufeff \t\r"):
+            columns = next(csv.reader([line.lstrip("\ufeff").rstrip("\r")]))
+            found.setdefault(tuple(c.strip() for c in columns), []).extend(unquote(f) for f in files)
     return found
 
 
-def read_csv_text(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, schema: StructType, corrupt: str | None = None) -> DataFrame:
     """The declared columns of header CSV files as text, taken by name.
 
     Column order may differ, also between the files of a folder: files are
     read in groups with the same header, each with the names of that header
     (everything text, no inference pass).  Extra columns are ignored; a
-    column that a file lacks fails analysis.
+    column that a file lacks fails analysis.  ``corrupt`` names one more
+    column with the whole line where a row has more or fewer fields than its
+    header (see ``operators.quarantine``), NULL elsewhere.
     """
     names = [f.name for f in schema.fields]
+    own = [corrupt] if corrupt else []
     reader = spark.read.option("header", "true").option("mode", "PERMISSIVE")
-    listed = reader.schema(StructType([StructField(n, StringType()) for n in names])).csv(path)
-    groups = _headers(spark, listed.inputFiles())
+    if corrupt:
+        # a pruned scan counts the fields of the wanted columns only
+        reader = reader.option("columnNameOfCorruptRecord", corrupt).option("columnPruning", "false")
+    text = lambda columns: StructType([StructField(c, StringType()) for c in columns])
+    groups = _headers(spark, path)
     if not groups:                       # no file, or empty ones
-        return listed
-    parts = [reader.schema(StructType([StructField(c, StringType()) for c in header])).csv(files).select(*names)
+        return reader.schema(text([*names, *own])).csv(path)
+    parts = [reader.schema(text([*header, *own])).csv(path if len(groups) == 1 else files).select(*names, *own)
              for header, files in sorted(groups.items())]
     return reduce(DataFrame.unionAll, parts)
 
