@@ -8,12 +8,16 @@ import pyarrow as pa
 
 from . import words as W
 
-#: Buckets of the hashed words.
+#: Buckets of the hashed words, and as many again of the hashed stems.
 BUCKETS = 1 << 16
+#: Bytes of a word that make its stem.
+STEM = 6
+#: Words of a window of ``distinct_of_windows``.
+WINDOW = 200
 
 NAMES = ("log_words", "word_length", "long_words", "upper_share", "digit_share", "symbol_share", "mark_share",
          "other_share", "non_ascii_share", "shout_words", "symbol_words", "bar_words", "stop_words",
-         "stutter_share", "distinct_share", "distinct_of_200", "log_lines", "line_length", "line_stop_share",
+         "stutter_share", "distinct_share", "distinct_of_windows", "log_lines", "line_length", "line_stop_share",
          "repeat_lines", "capital_words")
 
 _ids = np.arange(256)
@@ -28,6 +32,23 @@ def _per_row(flags: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+def _windowed_distinct(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Mean share of distinct words over all consecutive ``WINDOW``-word
+    windows of each text (the last one may be shorter)."""
+    n = np.diff(first)
+    row = np.repeat(np.arange(len(n)), n)
+    blocks = -(-n // WINDOW)
+    block = np.concatenate([[0], np.cumsum(blocks)])[row] + (np.arange(len(h)) - first[row]) // WINDOW
+    order = np.lexsort((h, block))
+    b, v = block[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (b[1:] != b[:-1]) | (v[1:] != v[:-1])
+    total = int(blocks.sum())
+    share = np.bincount(b[new], minlength=total) / np.maximum(np.bincount(block, minlength=total), 1)
+    owner = np.repeat(np.arange(len(n)), blocks)
+    return np.bincount(owner, share, minlength=len(n)) / np.maximum(blocks, 1)
+
+
 def _run_features(buf: np.ndarray, rows: np.ndarray, w: W.Words, h: np.ndarray) -> np.ndarray:
     n_rows = len(rows) - 1
     n, size = w.counts, np.diff(rows)
@@ -41,12 +62,12 @@ def _run_features(buf: np.ndarray, rows: np.ndarray, w: W.Words, h: np.ndarray)
     stutter = np.zeros(len(h), bool)
     stutter[1:] = h[1:] == h[:-1]
     stutter[w.first[w.first < len(h)]] = False
-    distinct, early = np.zeros(n_rows), np.zeros(n_rows)
+    distinct = np.zeros(n_rows)
+    windowed = _windowed_distinct(h, w.first)
     repeat_lines, lines, stops = np.zeros(n_rows), np.zeros(n_rows), np.zeros(n_rows)
     for r in range(n_rows):
         a, b = w.first[r], w.first[r + 1]
         distinct[r] = len(np.unique(h[a:b])) / max(b - a, 1)
-        early[r] = len(np.unique(h[a:min(b, a + 200)])) / max(min(b - a, 200), 1)
         parts = [p for p in buf[rows[r]:rows[r + 1]].tobytes().split(b"\n") if p.strip()]
         lines[r] = len(parts)
         repeat_lines[r] = 1 - len(set(parts)) / max(len(parts), 1)
@@ -55,7 +76,7 @@ def _run_features(buf: np.ndarray, rows: np.ndarray, w: W.Words, h: np.ndarray)
         np.log1p(n), word(length) / 10, word(length > 20), byte(_UPPER), byte(_DIGIT), byte(_SYMBOL),
         byte(_MARK), byte(_OTHER), byte(_ids >= 128), word(last_byte == 33),
         word(symbols[w.ends] - symbols[w.starts] >= 2), word((length == 1) & (first_byte == 124)),
-        word(last_byte == 46), word(stutter), distinct, early, np.log1p(lines),
+        word(last_byte == 46), word(stutter), distinct, windowed, np.log1p(lines),
         np.log1p(size / np.maximum(lines, 1)), stops, repeat_lines,
         word(_UPPER[first_byte] if len(first_byte) else first_byte),
     ], 1).astype(np.float64)
@@ -72,6 +93,9 @@ def style(texts: pa.Array) -> np.ndarray:
 
 
 def word_buckets(texts: pa.Array):
-    """(first word of each row, bucket of each word) for runs of rows."""
+    """(first word of each row, bucket of each word, of each word's stem) for
+    runs of rows."""
     for lo, hi, w in W.run_words(texts):
-        yield lo, hi, w.first, (w.hashes() % np.uint64(BUCKETS)).astype(np.int32)
+        stems = W.span_hashes(w.buf, w.starts, np.minimum(w.ends, w.starts + STEM), lower=True)
+        yield (lo, hi, w.first, (w.hashes() % np.uint64(BUCKETS)).astype(np.int32),
+               BUCKETS + (stems % np.uint64(BUCKETS)).astype(np.int32))

@@ -2,27 +2,27 @@
 
 Domains are the label combinations of a labelled table.  A classifier trained
 on labelled documents gives every document a posterior over the domains, so a
-document belongs to all of them in part.  Each document gets a nonnegative
-rate (how often it is taken on average); the rates minimise the squared
-distance between the expected tokens of each domain and its target:
-
-    rate_i = max(0, 1 - w_i * sum_d p_id * push_d)
-
-with one number ``push_d`` for each domain.  As long as no rate is cut at 0,
-the projected-gradient steps from rates of one need the k x k matrix of sums
-only, so they run on the driver (w_i = 1).  If they do not settle, Newton steps
-on the k numbers do; a step is one pass that adds up one row of sums (tokens by
-domain, curvature of the rates above 0).  Many rates have the same tokens by
-domain; these are the ones closest to one, where a document counts half by its
-tokens n_i and half as one document (w_i = n_i / (n_i + mean n)), so a target
-is not met by copying short documents only.  The pull towards one is weakened
-until the shares are within the tolerance of the targets, or are proven (by the
-duality gap) to be within it of the nearest shares that any rates reach, which
-is warned of; anything else is an error.
-
-The lexical part of the classifier counts hashed words (``features.BUCKETS``)
-of one half of a bounded sample of labelled documents; the other half fits a
-softmax regression on the lexical sums and the style features.
+document belongs to all of them in part.  Each document gets a rate (how often
+it is taken on average) from 0 to ``MAX_RATE``.  The rates are the optimum of
+
+    |shares - targets|^2 + PULL * sum of m_i (rate_i - 1)^2
+
+shares being the expected tokens by domain over all tokens, and m_i the share
+of a document (half by its tokens, half as one document), so a target is not
+met by copying short documents only.  The pull to one is fixed: documents that
+no target asks away keep a rate near one, and what distance from the targets
+remains is reported (``Fit.residual``), not chased by throwing rows away.
+
+The optimum is found by accelerated projected gradient.  A step needs of all
+documents only the k share gaps, one pass that adds up one row per task; the
+rates themselves are replayed from those numbers, so nothing per document is
+written between passes and a lost executor costs nothing but its tasks.
+
+The lexical part of the classifier counts hashed words and stems
+(``features.BUCKETS``) of labelled documents, on two quarters of them while the
+third quarter fits a softmax regression on the lexical sums and the style
+features; the fourth calibrates the posteriors (one temperature).  At most
+``MAX_LABELS`` labelled rows are used.
 
 Defined results: a NULL or empty text has no tokens, a posterior like any
 other and so a rate; repeated rows get equal rates; a NULL id is hashed as
@@ -33,9 +33,8 @@ empty table gives an empty result; further columns pass through.
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -50,10 +49,12 @@ from .common import drop_staged, every, fresh, staged, undotted, without
 #: Production targets: shares of all tokens by domain.
 TARGETS = {"good": 0.9, "low": 0.1, "toxic": 0.0}
 MAX_LABELS = 20_000
-#: Gradient steps at most; they are arithmetic on k numbers, no passes.
-ITERATIONS = 100_000
-#: Newton passes at most; more is an error.
-PASSES = 300
+#: Weight of staying at a rate of one, against the squared shares.
+PULL = 1e-3
+#: The greatest rate.
+MAX_RATE = 4.0
+#: Passes at most; more is an error.
+PASSES = 400
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -85,33 +86,40 @@ def _scaled(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
 
 
 def describe(texts: pa.Array, odds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Style features and, by domain, mean and greatest log odds of the words."""
+    """Style features and, by domain, mean and greatest log odds of the words
+    and of their stems, and how many are nearly as telling as any can be."""
     lexical, counts = [], []
-    for lo, hi, first, buckets in features.word_buckets(texts):
+    k = odds.shape[1]
+    telling = 0.7 * odds.max(0)
+    for lo, hi, first, *kinds in features.word_buckets(texts):
         n = np.diff(first)
         some = n > 0
-        part = np.zeros((hi - lo, 2 * odds.shape[1]))
-        if len(buckets):
-            value = odds[buckets]
-            total = np.concatenate([np.zeros((1, odds.shape[1])), np.cumsum(value, 0)])
-            part[:, :odds.shape[1]] = (total[first[1:]] - total[first[:-1]]) / np.maximum(n, 1)[:, None] * 10
-            part[some, odds.shape[1]:] = np.maximum.reduceat(value, first[:-1][some], 0)
+        part = np.zeros((hi - lo, 6 * k))
+        for at, buckets in zip((0, 3 * k), kinds):
+            if len(buckets):
+                value = odds[buckets]
+                total = np.concatenate([np.zeros((1, k)), np.cumsum(value, 0)])
+                part[:, at:at + k] = (total[first[1:]] - total[first[:-1]]) / np.maximum(n, 1)[:, None] * 10
+                part[some, at + k:at + 2 * k] = np.maximum.reduceat(value, first[:-1][some], 0)
+                part[some, at + 2 * k:at + 3 * k] = np.log1p(
+                    np.add.reduceat(value > telling, first[:-1][some], 0, dtype=float))
         lexical.append(part)
         counts.append(n)
     if not lexical:
-        return np.zeros((0, len(features.NAMES) + 2 * odds.shape[1])), np.zeros(0, np.int64)
+        return np.zeros((0, len(features.NAMES) + 6 * k)), np.zeros(0, np.int64)
     return np.concatenate([features.style(texts), np.concatenate(lexical)], 1), np.concatenate(counts)
 
 
 def _count_buckets(n_domains: int):
     """mapInArrow (y, text): documents with each bucket, by domain."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((features.BUCKETS, n_domains), np.int64)
+        table = np.zeros((2 * features.BUCKETS, n_domains), np.int64)
         for batch in batches:
             y = batch.column(0).to_numpy()
-            for lo, hi, first, buckets in features.word_buckets(batch.column(1)):
-                for r in range(hi - lo):
-                    table[np.unique(buckets[first[r]:first[r + 1]]), y[lo + r]] += 1
+            for lo, hi, first, *kinds in features.word_buckets(batch.column(1)):
+                for buckets in kinds:
+                    for r in range(hi - lo):
+                        table[np.unique(buckets[first[r]:first[r + 1]]), y[lo + r]] += 1
         used = np.flatnonzero(table.any(1))
         if len(used):
             yield pa.RecordBatch.from_arrays(
@@ -145,6 +153,15 @@ def _fit_softmax(x: np.ndarray, y: np.ndarray, k: int, ridge: float = 1e-3) -> n
     return w
 
 
+def _temperature(z: np.ndarray, y: np.ndarray) -> float:
+    """What to divide scores by, so that the posteriors of labelled rows that
+    the weights were not fitted on are likeliest (1 without such rows)."""
+    if not len(y):
+        return 1.0
+    loss = lambda t: -np.log(_softmax(z / t)[np.arange(len(y)), y] + 1e-300).mean()
+    return float(min(np.exp(np.linspace(np.log(0.25), np.log(8), 101)), key=loss))
+
+
 def learn(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           domain_col: str = "domain", max_labels: int = MAX_LABELS) -> Classifier | None:
     """A classifier from (``id_col``, ``domain_col``) rows, of which at most
@@ -160,25 +177,34 @@ def learn(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     if len(domains) < 2:
         return None
     number = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")).cast("int") - 1
-    halves = rows.select(number.alias("y"), "text", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)).alias("half"))
+    # two quarters count words, one fits the weights, one the temperature; the
+    # classifier then uses the counts of all four
+    parts = rows.select(number.alias("y"), "text", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)).cast("int").alias("part"))
     k = len(domains)
-    cols = [f"n{j}" for j in range(k)]
-    table = (halves.filter("half = 0").select("y", "text")
-             .mapInArrow(_count_buckets(k), "bucket int, " + ", ".join(f"{c} long" for c in cols))
+    cols = [f"n{j}" for j in range(2 * k)]
+    later = (F.col("part") >= 2).cast("int")
+    table = (parts.select((F.col("y") + k * later).alias("y"), "text")
+             .mapInArrow(_count_buckets(2 * k), "bucket int, " + ", ".join(f"{c} long" for c in cols))
              .groupBy("bucket").agg(*[F.sum(c).alias(c) for c in cols]).toArrow())
-    seen = np.zeros((features.BUCKETS, k))
-    seen[table.column(0).to_numpy()] = np.stack([table.column(1 + j).to_numpy() for j in range(k)], 1)
+    seen = np.zeros((2 * features.BUCKETS, 2 * k))
+    seen[table.column(0).to_numpy()] = np.stack([table.column(1 + j).to_numpy() for j in range(2 * k)], 1)
     share = np.array([counts[d] for d in domains]) / sum(counts.values())
     # log odds of the domain given the word, shrunk to 0 for rare words
-    odds = np.log((seen + 4 * share) / (seen.sum(1, keepdims=True) + 4) / share)
-    fitted = halves.filter("half = 1").select("y", "text").mapInArrow(
+    odds_of = lambda n: np.log((n + 4 * share) / (n.sum(1, keepdims=True) + 4) / share)
+    odds = odds_of(seen[:, :k])
+    fitted = parts.filter("part >= 2").select((F.col("y") + k * (F.col("part") - 2)).alias("y"), "text").mapInArrow(
         _described(odds), "y int, x array<double>").toArrow()
     drop_staged(rows)
     if not fitted.num_rows:
         return None
     x, y = np.stack(fitted.column("x").to_numpy()), fitted.column("y").to_numpy()
     mean, scale = x.mean(0), x.std(0) + 1e-6
-    return Classifier(domains, odds, mean, scale, _fit_softmax(_scaled(x, mean, scale), y, k))
+    x, last = _scaled(x, mean, scale), y >= k
+    if last.all():
+        last[:] = False
+    weights = _fit_softmax(x[~last], y[~last] % k, k)
+    return Classifier(domains, odds_of(seen[:, :k] + seen[:, k:]), mean, scale,
+                      weights / _temperature(x[last] @ weights, y[last] % k))
 
 
 def with_posteriors(docs: DataFrame, classifier: Classifier | None, text_col: str = "text") -> DataFrame:
@@ -207,109 +233,119 @@ def with_posteriors(docs: DataFrame, classifier: Classifier | None, text_col: st
 
 
 @dataclass(frozen=True)
-class Push:
-    """The change of the rates by domain, and the tokens that weigh as much as
-    being a document (0: tokens alone count)."""
-    by_domain: tuple[float, ...]
-    typical: float = 0.0
-
-    def change(self) -> Column:
-        by = F.array(*[F.lit(v) for v in self.by_domain])
-        return F.aggregate(F.zip_with("posterior", by, lambda p, x: p * x), F.lit(0.0), lambda a, b: a + b)
-
-    def rate(self) -> Column:
-        """The rate of a row with ``n_tokens`` and ``posterior``."""
-        if not self.by_domain:
-            return F.lit(1.0)
-        n = F.col("n_tokens")
-        weight = n / (n + F.lit(self.typical)) if self.typical else F.lit(1.0)
-        return F.greatest(F.lit(0.0), F.lit(1.0) - weight * self.change())
-
-
-def _gradient_steps(curve: np.ndarray, gap: np.ndarray, iterations: int, tolerance: float) -> np.ndarray | None:
-    """The sum of the projected-gradient steps if they end within the
-    tolerance before any rate can be cut at 0 (no push is above 1)."""
-    step = 1.0 / max(np.linalg.eigvalsh(curve).max(), 1e-12)
-    push = np.zeros(len(gap))
-    for _ in range(iterations):
-        now = gap - curve @ push
-        if np.abs(now).max() < tolerance:
-            return push
-        # sums of doubles depend on their order in the last digits
-        push = push + np.round(step * now, 9)
-        if push.max() > 1:
-            return None
-    return None
-
-
-def solve(members: DataFrame, targets: np.ndarray, iterations: int = ITERATIONS,
-          tolerance: float = 1e-4) -> Push:
-    """The push towards the targets; ``members`` has ``n_tokens`` and
-    ``posterior``, ``targets`` are tokens by domain."""
+class Fit:
+    """Rates as the gradient steps that lead to them: what a step needs from
+    all documents is the k share gaps, so a document's rate is found again
+    from its tokens, its posterior and those numbers."""
+    goal: np.ndarray            # shares of the tokens by domain
+    typical: float              # mean tokens of a document
+    step: float
+    gaps: tuple[np.ndarray, ...] = ()       # shares minus goal at each look-ahead point
+    momenta: tuple[float, ...] = ()         # of the steps that are done
+    shares: np.ndarray | None = None        # reached by the rates
+    pull: float = PULL
+    most: float = MAX_RATE
+
+    @property
+    def residual(self) -> float:
+        """The greatest distance of a domain's share from its target."""
+        return 0.0 if self.shares is None else float(np.abs(self.shares - self.goal).max())
+
+    def replay(self, n: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(look-ahead point, rates before, rates after) of the last step."""
+        weight = n / np.maximum(n + self.typical, 1e-300)
+        ahead = before = rate = np.ones(len(n))
+        for t, gap in enumerate(self.gaps):
+            if t:
+                ahead = rate + self.momenta[t - 1] * (rate - before)
+            before, rate = rate, np.clip(
+                ahead - self.step * (weight * (p @ gap) / self.pull + ahead - 1), 0.0, self.most)
+        return ahead, before, rate
+
+
+def _arrays(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and posteriors of a batch of (n_tokens, posterior)."""
+    n = batch.column(0).to_numpy().astype(float)
+    return n, batch.column(1).flatten().to_numpy().reshape(len(n), k)
+
+
+def _totals(members: DataFrame, width: int, measure) -> np.ndarray:
+    """The sum over all rows of the ``width`` numbers that ``measure`` gives a
+    batch; one row per task, added up by Spark."""
+    names = [f"s{j}" for j in range(width)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, some = np.zeros(width), False
+        for batch in batches:
+            if batch.num_rows:
+                total, some = total + measure(batch), True
+        if some:
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in total], names)
+    rows = members.select("n_tokens", "posterior").mapInArrow(run, ", ".join(f"{c} double" for c in names))
+    return np.array([v or 0.0 for v in rows.agg(*[F.sum(c) for c in names]).first()])
+
+
+def solve(members: DataFrame, targets: np.ndarray, pull: float = PULL, most: float = MAX_RATE,
+          tolerance: float = 5e-3, passes: int = PASSES) -> Fit:
+    """The rates for ``targets`` (tokens by domain); ``members`` has
+    ``n_tokens`` and ``posterior``.  A pass is one step: accelerated projected
+    gradient, restarted where the look-ahead overshoots, until the projected
+    gradient's root mean square (by m_i) is below the tolerance.  The objective
+    curves by one at least, so the rates are as near to the optimum, by the
+    same mean.  More than ``passes`` is an error."""
     k = len(targets)
     total = float(targets.sum())
     if total <= 0:
-        return Push(())
+        return Fit(np.zeros(k), 1.0, 0.0)
     goal = targets / total
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-
-    def sums(by_domain: np.ndarray, typical: float) -> tuple[np.ndarray, np.ndarray, float, float, int]:
-        """Shares by domain, curvature, half the weighted square of the rates,
-        the least change, and the rows."""
-        push = Push(tuple(by_domain.tolist()), typical)
-        rows = members.select(F.col("n_tokens").alias("n"), push.change().alias("x"), push.rate().alias("r"),
-                              *[F.get("posterior", F.lit(j)).alias(f"p{j}") for j in range(k)]) \
-            .withColumn("m", F.col("n") + F.lit(typical)) \
-            .withColumn("c", F.when((F.col("r") > 0) & (F.col("n") > 0), F.col("n") * F.col("n") / F.col("m"))
-                        .otherwise(0.0))
-        got = rows.agg(*[F.sum(F.expr(f"n * r * p{j}")) for j in range(k)],
-                       *[F.sum(F.expr(f"c * p{i} * p{j}")) for i, j in pairs],
-                       F.sum(F.expr("m * r * r")), F.min("x"), F.count("*")).first()
-        curve = np.zeros((k, k))
-        for (i, j), v in zip(pairs, got[k:]):
-            curve[i, j] = curve[j, i] = v / total
-        return np.array(got[:k], float) / total, curve, got[-3] / total / 2, got[-2], got[-1]
-
-    share, curve, _, _, n_rows = sums(np.zeros(k), 0.0)
-    push = _gradient_steps(curve, share - goal, iterations, tolerance)
-    if push is not None:
-        return Push(tuple(push.tolist()))
-
-    typical = total / n_rows
-    push, loose, passes = np.zeros(k), 1e4, 2
-    share, curve, square, least, _ = sums(push, typical)
-    while passes < PASSES:
-        # the least of loose * |share - goal|^2 + weighted square of (rate - 1), by its dual
-        gap = share - goal
-        if np.abs(gap).max() < tolerance:
-            return Push(tuple(push.tolist()), typical)
-        slope = push / loose - gap
-        if np.abs(slope).max() > tolerance / 1000:
-            value = push @ push / (2 * loose) + square + push @ goal
-            move = -np.linalg.solve(curve + np.eye(k) / loose, slope)
-            for _ in range(40):
-                there = np.round(push + move, 9)
-                share, curve, square, least, _ = sums(there, typical)
-                passes += 1
-                if there @ there / (2 * loose) + square + there @ goal <= value + 1e-4 * (slope @ move) + 1e-13:
-                    break
-                move = move / 2
-            push = there
-            continue
-        # from a dual point: twice the objective's distance from its optimum bounds the squared distance of the shares
-        short = max(0.0, -least / loose) + np.abs(slope).max()
-        over = gap @ gap / 2 + goal @ gap + short + (gap + short) @ (gap + short) / 2
-        if 2 * over <= tolerance ** 2:
-            warnings.warn(f"targets {goal.round(4).tolist()} cannot be reached: nearest shares are "
-                          f"{share.round(4).tolist()}", stacklevel=2)
-            return Push(tuple(push.tolist()), typical)
-        loose *= 100
-    raise RuntimeError(f"no rates within {tolerance} of targets {goal.tolist()} or of the nearest shares after "
-                       f"{passes} passes; shares {share.tolist()}")
+
+    def start(batch: pa.RecordBatch) -> np.ndarray:
+        n, p = _arrays(batch, k)
+        return np.concatenate([n @ p, [len(n)]])
+    first = _totals(members, k + 1, start)
+    typical = total / first[-1]
+
+    def curve(batch: pa.RecordBatch) -> np.ndarray:
+        n, p = _arrays(batch, k)
+        return ((p * (n * n / (n + typical))[:, None]).T @ p).ravel()
+    steepest = np.linalg.eigvalsh(_totals(members, k * k, curve).reshape(k, k) / total).max()
+    # sums of doubles depend on their order in the last digits
+    gap = np.round(first[:k] / total - goal, 9)
+    fit = Fit(goal, typical, 1.0 / (1.0 + max(steepest, 0.0) / pull), (gap,), (), None, pull, most)
+    root = fit.step ** -0.5
+    momentum = (root - 1) / (root + 1)
+    for _ in range(passes):
+        def look(batch: pa.RecordBatch, fit: Fit = fit) -> np.ndarray:
+            n, p = _arrays(batch, k)
+            ahead, before, rate = fit.replay(n, p)
+            m = (n + typical) / 2
+            return np.concatenate([(n * rate) @ p, (n * (rate + momentum * (rate - before))) @ p,
+                                   [m @ ((ahead - rate) * (rate - before)), m @ (ahead - rate) ** 2]])
+        *got, overshoot, slope = _totals(members, 2 * k + 2, look) / total
+        if slope ** 0.5 <= tolerance * fit.step:
+            return replace(fit, shares=np.array(got[:k]))
+        go_on, at = (0.0, got[:k]) if overshoot > 0 else (momentum, got[k:])
+        fit = replace(fit, gaps=(*fit.gaps, np.round(at - goal, 9)), momenta=(*fit.momenta, go_on))
+    raise RuntimeError(f"rates still move after {passes} passes; shares {got[:k]}")
+
+
+def with_rates(members: DataFrame, fit: Fit) -> DataFrame:
+    """``members`` with ``rate`` (an input column of that name is replaced)."""
+    members, back = undotted(without(members, "rate"))
+    k = len(fit.goal)
+    at = [members.columns.index(c) for c in ("n_tokens", "posterior")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                rate = fit.replay(*_arrays(pa.RecordBatch.from_arrays([batch.column(i) for i in at], ["n", "p"]), k))[2]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], [*batch.schema.names, "rate"])
+    schema = StructType(list(members.schema.fields)).add("rate", DoubleType())
+    return members.mapInArrow(run, schema).withColumnsRenamed(back)
 
 
 def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None,
-                   id_col: str = "doc_id", text_col: str = "text", iterations: int = ITERATIONS) -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the text, with ``n_tokens``, ``posterior``, ``rate``
     and one ``p_<domain>`` for each domain (input columns of these names are
     replaced).  The targets are shares of the
@@ -322,11 +358,10 @@ def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
     share = np.array([targets.get(d, 0.0) for d in domains]) if classifier else np.ones(1)
     if share.sum() <= 0:
         raise ValueError(f"no target for any of the domains {domains}")
-    push = solve(members, share / share.sum() * tokens, iterations)
+    fit = solve(members, share / share.sum() * tokens)
     added = [f"p_{d}" for d in domains]
-    return members.select(
-        *every(without(members, "rate", *added)), push.rate().alias("rate"),
-        *[F.get("posterior", F.lit(j)).alias(name) for j, name in enumerate(added)])
+    rated = with_rates(without(members, *added), fit)
+    return rated.select(*every(rated), *[F.get("posterior", F.lit(j)).alias(name) for j, name in enumerate(added)])
 
 
 def copies(rate: Column, key: Column) -> Column:
