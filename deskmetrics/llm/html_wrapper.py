@@ -17,7 +17,10 @@ part, or its first before a word for a box: "ad-box", not "has-sidebar").  An
 element that is left out only by its name, or a form or header, stays if the
 host has its article in there and nowhere else.  The article is
 the ``article`` groups, else ``main``, else the body without template text
-(kept when a host has a single page) and without groups of links only.
+(kept when a host has a single page) and without groups of links only.  Inside
+an article, text is template if TEMPLATE_PAGES pages or more, and all of the
+host, share it and it is no heading; elsewhere, a heading beside text that
+differs from page to page belongs to the story.
 A page is then aligned with its host's wrapper and the text of the slots in
 the article is taken.
 
@@ -34,7 +37,6 @@ import re
 from collections.abc import Iterator
 from hashlib import md5
 from html import unescape
-from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
@@ -70,7 +72,14 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<",
                     re.S)
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMED = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose id is an anchor to link to, no role (but for what is FOREIGN).
+ANCHORED = HEADINGS | frozenset("section p li dt dd".split())
+#: What makes an article one of the readers' comments.
+REMARKS = frozenset("comment comments reply replies".split())
+#: Pages of a host that must share a text before it is template inside an article.
+TEMPLATE_PAGES = 5
 _PART = re.compile(r"[a-z]+")
 
 
@@ -94,14 +103,16 @@ def _aside_name(name: str) -> set[str]:
 
 
 def _signature(tag: str, attrs: str) -> str:
-    if tag in ("html", "body", "article", "main") or "=" not in attrs:
-        names = ()
-    else:
-        values = chain.from_iterable("".join(m).split() for m in _NAMED.findall(attrs))
-        names = sorted(set(chain.from_iterable(map(_aside_name, values))))
-    if tag == "article" and re.search(r"comment|reply", attrs, re.I):
-        names = ("comment",)
-    return ".".join((tag, *names))
+    if tag in ("html", "body", "main") or "=" not in attrs:
+        return tag
+    names: set[str] = set()
+    for kind, *given in _NAMED.findall(attrs):
+        for value in "".join(given).split():
+            own = _aside_name(value) | ({"".join(_PART.findall(value.lower()))} & REMARKS)
+            names |= own & FOREIGN if kind.lower() == "id" and tag in ANCHORED else own
+    if tag == "article":
+        return "article.comment" if names & REMARKS else tag
+    return ".".join((tag, *sorted(names)))
 
 
 def parse(html: str | None) -> Item:
@@ -329,6 +340,9 @@ def _way(wrapper: list, pages: int) -> tuple[list[str], frozenset[int]]:
         if way := _way_in(wrapper, region):
             return [region, ""], frozenset(way)
     if not _texts(wrapper, pages):
+        # named like comments, but there is nothing that they are comments on
+        if _regions(wrapper, "article.comment"):
+            return ["article.comment", ""], frozenset()
         most, found = _fullest(wrapper, pages)
         if most:
             return [""], frozenset(_above(wrapper, found))
@@ -346,15 +360,19 @@ def _above(node: list, found: int) -> list[int]:
 
 
 def _take(item: Item, node: list, region: str, inside: bool, pages: int, out: list[str],
-          way: frozenset[int] = frozenset()) -> None:
-    """Text blocks of the page's element, aligned with the wrapper node."""
+          way: frozenset[int] = frozenset(), story: bool = False) -> None:
+    """Text blocks of the page's element, aligned with the wrapper node;
+    ``story``: the element stands beside text that differs from page to page."""
     if item.sig == region:
         inside = True
     elif _is_aside(item.sig, inside) and id(node) not in way:
         return
     kids = [p for p in item.parts if not isinstance(p, str)]
     nodes = _unfold(kids, node[KIDS])
-    template = not region and pages > 1 and isinstance(node[TEXT], str) and node[SEEN] >= pages
+    heading = item.sig.partition(".")[0] in HEADINGS and (region or story)
+    template = (pages >= (TEMPLATE_PAGES if region else 2) and isinstance(node[TEXT], str) and node[SEEN] >= pages
+                and not heading)
+    story = item.sig not in ("", "html", "body") and any(_texts(k, pages) for k in node[KIDS])
     run: list[str] = []
 
     def end_block():
@@ -369,7 +387,7 @@ def _take(item: Item, node: list, region: str, inside: bool, pages: int, out: li
             run.append(p)
         else:
             end_block()
-            _take(p, nodes[k], region, inside, pages, out, way)
+            _take(p, nodes[k], region, inside, pages, out, way, story)
             k += 1
     end_block()
 

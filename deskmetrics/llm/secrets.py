@@ -3,7 +3,8 @@
 One Aho-Corasick pass over the ASCII-lower-cased text finds the keywords that
 a secret must hold; an anchored regular expression is tried only where one
 begins.  Runs of hexadecimal digits have no keyword: their anchors are the
-bytes at every 16th place, of which a run of 32 covers two neighbours.
+bytes at every 16th place, of which a run of 32 covers two neighbours; only
+there is a run widened to both sides.
 
 Base kinds: ``assign`` (a named value of 8 characters or more), ``access``
 (AKIA key ids) and ``hex`` (32 digits or more), leftmost and non-overlapping
@@ -44,7 +45,8 @@ CHECKED_WORDS = {"github": ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), "npm": ("np
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 KINDS = (*BASE_KINDS, *CHECKED)
-_HEX_RUN = re.compile(rf"[0-9a-f]{{{MIN_HEX},}}")
+_HEX = b"0123456789abcdef"
+_HEX_RUN = re.compile(rb"[0-9a-f]+")
 _IS_HEX = np.isin(np.arange(256), list(b"0123456789abcdef"))
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
@@ -72,9 +74,18 @@ def _keywords():
     return found
 
 
-def _has_hex_run(raw: np.ndarray) -> bool:
-    probes = _IS_HEX[raw[::MIN_HEX // 2]]
-    return bool((probes[1:] & probes[:-1]).any())
+def hex_runs(raw: bytes) -> list[tuple[int, int]]:
+    """Byte offsets of the runs of MIN_HEX digits or more."""
+    gap = MIN_HEX // 2
+    probes = _IS_HEX[np.frombuffer(raw, np.uint8)[::gap]]
+    out, done = [], 0
+    for at in (np.flatnonzero(probes[1:] & probes[:-1]) * gap).tolist():
+        if at >= done:
+            start = done + len(raw[done:at].rstrip(_HEX))
+            done = _HEX_RUN.match(raw, at).end()
+            if done - start >= MIN_HEX:
+                out.append((start, done))
+    return out
 
 
 def spans(text: str | None) -> list[tuple[int, str, int]]:
@@ -100,8 +111,11 @@ def spans(text: str | None) -> list[tuple[int, str, int]]:
             taken[kind] = m.end()
         if good:
             out.append((start, kind, m.end()))
-    if _has_hex_run(np.frombuffer(raw, np.uint8)):
-        out += [(m.start(), "hex", m.end()) for m in _HEX_RUN.finditer(text)]
+    seen = points = 0       # bytes and code points before the run
+    for start, end in hex_runs(raw):
+        points += len(raw[seen:start].decode())
+        out.append((points, "hex", points + end - start))
+        seen, points = end, points + end - start
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[1])))
 
 

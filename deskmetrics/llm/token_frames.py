@@ -101,14 +101,16 @@ class Encoder:
     and the run after it).  The chunks of a run of rows are told apart by
     64-bit hashes (and their length), each distinct one is encoded once, and
     up to CACHE_CHUNKS are kept for later rows.  Rows with white space beyond
-    ASCII are encoded whole.
+    ASCII, or with the string of an added token, are encoded whole.
     """
 
     def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True   # their strings are ordinary text
+        # the strings of added tokens are found by the library before it parts words
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.whole = re.compile(b"|".join([_WIDE_SPACE.pattern, *map(re.escape, sorted(added))]))
         self.end = np.array([end_id], "<u4").tobytes()
         self._forget()
 
@@ -137,7 +139,7 @@ class Encoder:
 
     def _run(self, buf: np.ndarray, rows: np.ndarray) -> Iterator[bytes]:
         raw = buf.tobytes()
-        if _WIDE_SPACE.search(raw):
+        if self.whole.search(raw):
             for ids in self._encode([raw[a:b].decode() for a, b in zip(rows[:-1], rows[1:])]):
                 yield np.array(ids, "<u4").tobytes() + self.end
             return

@@ -113,5 +113,41 @@ def test_containers_of_the_article_are_no_asides(opening, tag):
     assert _wrapped(make) == "Story 1."
 
 
+@pytest.mark.parametrize("attrs", [
+    'data-comment-count="3"', 'class="post comments-open"', 'id="reply-all-story"', 'data-id="comment"',
+    'class="comment"', "id=comment-7"])
+def test_attributes_do_not_make_the_article_a_comment(attrs):
+    assert _wrapped(f"<div>Site</div><article {attrs}><p>Story {{0}}.</article>") == "Story 1."
+
+
+def test_comments_as_articles_stay_out():
+    page = "<article><p>Story {0}.</article><article class=comment><p>no {0}</article><article id=reply-4>no {0}</article>"
+    assert _wrapped(page) == "Story 1."
+
+
+def test_anchors_inside_an_article_are_no_roles():
+    page = "<article><section id=search><h2 id=menu>Search</h2><p>Story {0}.</section><div id=search>no</div></article>"
+    assert _wrapped(page) == "Search Story 1."
+
+
+def test_fixed_lines_of_articles_are_template():
+    page = "<article><h2>Summary</h2><p>Story {0}.</p><div>Share this with friends</div></article>"
+    wrapper = None
+    for i in range(6):
+        wrapper = H.align(wrapper, H.wrapper_of(H.parse(page.format(i))))
+    assert H.extract(page.format(1), wrapper, 6) == "Summary Story 1."
+    assert H.extract(page.format(1), wrapper, 4) == "Summary Story 1. Share this with friends"
+
+
+def test_headings_beside_the_story_stay():
+    assert _wrapped("<h1>Site</h1><div><h2>Summary</h2><p>Story {0}.</div>") == "Summary Story 1."
+
+
+@pytest.mark.parametrize("tag", ["div", "x-story", "section"])
+def test_hosts_with_other_tags(tag):
+    page = f"<header>Top</header><div>Site</div><{tag}><p>Story {{0}}.<p>More {{0}}.</{tag}><footer>End</footer>"
+    assert _wrapped(page) == "Story 1. More 1."
+
+
 def test_articles_among_comments_stay_out():
     assert _wrapped("<div><p>Story {0}.</div><section id=comments><article>no {0}</article></section>") == "Story 1."

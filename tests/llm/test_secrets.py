@@ -32,6 +32,25 @@ def test_base_spans_match_whole_text_scans():
         assert base(text) == plain(text), text
 
 
+def test_hex_runs_are_tried_at_anchors_only(monkeypatch):
+    tried = []
+
+    class Spy:
+        def match(self, raw, at):
+            tried.append(at)
+            return pattern.match(raw, at)
+    pattern = secrets._HEX_RUN
+    monkeypatch.setattr(secrets, "_HEX_RUN", Spy())
+    rnd = random.Random(7)
+    for _ in range(3000):
+        text = "".join(rnd.choice(["a" * rnd.randint(1, 40), "z", "é", " the ", "0f" * rnd.randint(1, 20)]) for _ in range(9))
+        tried.clear()
+        assert [s for s in secrets.spans(text) if s[1] == "hex"] == [s for s in plain(text) if s[1] == "hex"], text
+        raw = text.encode()
+        assert len(tried) <= len(raw) // 16 and all(raw[i:i + 1] in secrets._HEX and raw[i + 16:i + 17] in secrets._HEX
+                                                   for i in tried)
+
+
 def test_checksums_decide_further_kinds():
     body = "abcdefghijABCDEFGHIJ0123456789"
     good = "ghp_" + body + secrets.checksum62(body)
