@@ -7,9 +7,11 @@ stay.
 
 1. Equal lines become one class with its first place; every later place is
    removed without any comparison.
-2. Words are ordered by rarity: a count sketch of SLOTS slots over all words
-   gives each word a level (half powers of two), words of one level are
-   ordered by hash.  This is one global order, whatever the sketch's errors.
+2. Words are ordered by rarity: a count sketch over all words gives each word
+   a level (half powers of two), words of one level are ordered by hash.  The
+   sketch grows with the text, a slot for SLOT_BYTES bytes, up to MAX_SLOTS
+   (one byte each), so that a slot's noise stays a few words.  This is one
+   global order, whatever the sketch's errors.
 3. A set of n words has the prefix of its n - ceil(t n) + 1 rarest words; two
    linked sets share a prefix word.  Classes that share one are compared if
    the sizes, the places of the word in both orders, and a parity signature
@@ -32,25 +34,29 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bits
 from .common import SPACE_WORD, ascii_lower, drop_staged, every, staged, sweep
 
-SLOTS = 1 << 16
+SLOT_BYTES = 256
+MIN_SLOTS, MAX_SLOTS = 1 << 12, 1 << 23
 LEVEL_SHIFT = 57
 HUB_WORDS = 3
 _PLACE = ("id", "h", "line_no")
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, h, line_no, line) of every line with a word."""
+def _split(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, h, line_no, line) of every line, also of those without a word."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"),
-                       F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line")) \
-        .filter(F.col("line").rlike(SPACE_WORD))
+                       F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, h, line_no, line) of every line with a word."""
+    return _split(docs, id_col, text_col).filter(F.col("line").rlike(SPACE_WORD))
 
 
 def _words(line: Column) -> Column:
@@ -60,34 +66,44 @@ def _words(line: Column) -> Column:
     return F.when(line.rlike(r"[\x09-\x0D]"), F.split(low, r"[\x20\x09-\x0D]", -1)).otherwise(F.split(low, " ", -1))
 
 
-def _levels(docs: DataFrame, text_col: str) -> Column:
-    """The rarity level of each slot as an array literal: half powers of two
-    of the words counted in it."""
-    slot = F.pmod(F.xxhash64("word"), F.lit(SLOTS)).cast("int")
+def slots_for(size: int) -> int:
+    """A power of two with a slot for every SLOT_BYTES bytes of text, within the bounds."""
+    return min(max(1 << (size // SLOT_BYTES).bit_length(), MIN_SLOTS), MAX_SLOTS)
+
+
+def _levels(docs: DataFrame, text_col: str, slots: int) -> Column:
+    """The rarity level of each slot (half powers of two of the words counted
+    in it) as a scalar: an array of bytes, made from longs of eight levels."""
+    slot = F.pmod(F.xxhash64("word"), F.lit(slots)).cast("int")
     # any counts give a global order: that a tab does not part words here only moves a few words in it
     spaced = F.split(F.replace(ascii_lower(F.col(text_col)), F.lit("\n"), F.lit(" ")), " ", -1)
-    counts = (docs.select(F.explode(spaced).alias("word")).groupBy(slot.alias("slot"))
-              .agg(F.least(F.lit(62), F.floor(F.log2(F.count("*") + 1) * 2)).cast("byte").alias("level"))).toArrow()
-    level = np.zeros(SLOTS, np.uint8)
-    level[counts.column(0).to_numpy()] = counts.column(1).to_numpy()
-    # one string, split and cast once when the plan is optimised
-    return F.split(F.lit(",".join(map(str, level.tolist()))), ",").cast("array<bigint>")
+    levels = (docs.select(F.explode(spaced).alias("word")).groupBy(slot.alias("slot"))
+              .agg(F.least(F.lit(62), F.floor(F.log2(F.count("*") + 1) * 2)).cast("long").alias("level")))
+    eight = levels.groupBy(F.shiftright("slot", 3).cast("long").alias("at")).agg(F.sum(F.call_function(
+        "shiftleft", F.col("level"), F.col("slot").bitwiseAND(7) * 8)).alias("packed"))
+    # one row for eight slots, filled or not: as many rows as the size says
+    full = docs.sparkSession.range(slots // 8).withColumnRenamed("id", "at").join(eight, "at", "left")
+    parts = F.array_sort(F.collect_list(F.struct("at", F.coalesce("packed", F.lit(0)).alias("packed"))))
+    return full.agg(F.flatten(F.transform(parts, lambda x: F.array(*[
+        F.shiftright(x["packed"], 8 * i).bitwiseAND(F.lit(127).cast("long")).cast("byte") for i in range(8)])))).scalar()
 
 
 def _described(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) -> DataFrame:
     """(place, lh, lc, n, sig, prefix) of every line; equal lines have equal (lh, lc)."""
-    levels = _levels(docs, text_col)
-
-    def rank(word: Column) -> Column:      # rare words first; the hash tells words apart
-        h = F.xxhash64(word)
-        return F.shiftleft(F.get(levels, F.pmod(h, F.lit(SLOTS)).cast("int")), LEVEL_SHIFT).bitwiseOR(
+    slots = slots_for(docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0)
+    line = F.col("line")
+    hashes = F.transform(F.array_distinct(F.array_remove(_words(line), "")), lambda w: F.xxhash64(w))
+    # a subquery may not be written inside a higher-order function, but the optimiser moves it there from
+    # a column that is used once; so no row carries the levels
+    levelled = _lines(docs, id_col, text_col).select(
+        *_PLACE, line, hashes.alias("hashes"), _levels(docs, text_col, slots).alias("levels"))
+
+    def rank(h: Column) -> Column:      # rare words first; the hash tells words apart
+        return F.shiftleft(F.get("levels", F.pmod(h, F.lit(slots)).cast("int")).cast("long"), LEVEL_SHIFT).bitwiseOR(
             F.shiftrightunsigned(h, 64 - LEVEL_SHIFT))
 
-    line = F.col("line")
-    ranks = F.array_distinct(F.transform(_words(line), rank))
-    ranked = _lines(docs, id_col, text_col).select(
-        *_PLACE, F.xxhash64("line").alias("lh"), F.crc32(line.cast("binary")).alias("lc"),
-        F.sort_array(F.array_remove(ranks, rank(F.lit("")))).alias("ranks"))
+    ranked = levelled.select(*_PLACE, F.xxhash64("line").alias("lh"), F.crc32(line.cast("binary")).alias("lc"),
+                             F.sort_array(F.transform("hashes", rank)).alias("ranks"))
     bit = lambda r, half: F.when(
         F.shiftrightunsigned(r, 6).bitwiseAND(F.lit(1).cast("long")) == half,
         F.call_function("shiftleft", F.lit(1).cast("long"), r.bitwiseAND(F.lit(63).cast("long")).cast("int"))
@@ -136,7 +152,7 @@ def _similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     n_bits = bits.size_for(wanted.count())
     key = F.xxhash64(*_PLACE)
     held = bits.bit_words(wanted.select(key.alias("key")), "key", n_bits)
-    near = _lines(docs, id_col, text_col).filter(bits.may_hold(held, key, n_bits)).alias("l")
+    near = _split(docs, id_col, text_col).filter(bits.may_hold(held, key, n_bits)).alias("l")
     w = wanted.alias("w")
     same = (F.col("l.id").eqNullSafe(F.col("w.id")) & (F.col("l.h") == F.col("w.h"))
             & (F.col("l.line_no") == F.col("w.line_no")))
@@ -212,9 +228,9 @@ def by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 den: int = 5) -> DataFrame:
     """(``id_col``, text_hash, n_lines, n_removed, removed) for every row of
     ``docs``; ``removed`` lists line numbers, from 0."""
-    found = line_verdicts(docs, id_col, text_col, num, den)
-    of_doc = found.distinct().groupBy("id", "h").agg(
-        F.count("*").alias("n_lines"), F.array_sort(F.collect_list(
+    # sets, as repeated rows give the same lines again
+    of_doc = line_verdicts(docs, id_col, text_col, num, den).groupBy("id", "h").agg(
+        F.size(F.collect_set("line_no")).alias("n_lines"), F.array_sort(F.collect_set(
             F.when(F.col("removed"), F.col("line_no")))).alias("removed"))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
     same = rows["id"].eqNullSafe(of_doc["id"]) & (rows["h"] == of_doc["h"])
