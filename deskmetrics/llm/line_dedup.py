@@ -19,8 +19,10 @@ stay.
    the words that differ) allow the threshold.
 4. Each class first meets the earliest class of its size range that shares
    one of the HUB_WORDS most frequent words of both prefixes.  Those whose
-   similarity holds are settled; only the others meet all earlier classes, so
-   a large group of near copies costs about one comparison each.
+   similarity holds are settled.  The others look for all earlier classes
+   within the bounds, are compared with the one whose signature is nearest,
+   and only those that it does not settle with the rest, so a large group of
+   near copies costs few comparisons each.
 5. The words of the lines that are compared are read again by their first
    place, and the Jaccard similarity is computed exactly.
 
@@ -132,21 +134,25 @@ def _tokens(prefixes: DataFrame) -> DataFrame:
         "lid", F.shiftleft("n", 32).bitwiseOR(F.col("i").cast("long")).alias("ni"), "sig", "sig2")
 
 
+def _bits_apart(a: str, b: str) -> Column:
+    """The signature bits in which two rows differ: at most their differing words."""
+    return sum(F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("sig", "sig2"))
+
+
 def _may_link(a: str, b: str, num: int, den: int) -> Column:
     """The size, place and signature bounds between two rows of ``_tokens``, b before a."""
     size = lambda s: F.shiftright(F.col(f"{s}.ni").bitwiseAND(F.lit(_SETTLED - 1)), 32)
     place = lambda s: F.col(f"{s}.ni").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
     na, nb = size(a), size(b)
-    differ = sum(F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("sig", "sig2"))
+    differ = _bits_apart(a, b)
     return ((F.col(f"{b}.lid") < F.col(f"{a}.lid"))
             & ((num + den) * differ <= (den - num) * (na + nb))
             & (den * F.least(na, nb) >= num * F.greatest(na, nb))
             & ((num + den) * F.least(na - place(a), nb - place(b)) >= num * (na + nb)))
 
 
-def _similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, num: int,
-             den: int) -> DataFrame:
-    """The classes ``lid`` of (lid, other) pairs whose exact similarity reaches the threshold."""
+def _word_sets(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(lid, words) of the classes in (lid, other) pairs, read by their first places."""
     ids = pairs.select("lid").unionAll(pairs.select(F.col("other").alias("lid"))).distinct()
     wanted = staged(classes.join(ids, "lid").select("lid", *_PLACE), "wanted")
     n_bits = bits.size_for(wanted.count())
@@ -160,13 +166,16 @@ def _similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
         "lid", F.array_distinct(F.array_remove(_words(F.col("line")), "")).alias("words"))
         .dropDuplicates(["lid"]), "words")
     drop_staged(wanted)
+    return words
+
+
+def _similar(pairs: DataFrame, words: DataFrame, num: int, den: int) -> DataFrame:
+    """The classes ``lid`` of (lid, other) pairs whose exact similarity reaches the threshold."""
     both = (pairs.join(words.withColumnRenamed("words", "wa"), "lid")
             .join(words.select(F.col("lid").alias("other"), F.col("words").alias("wb")), "other"))
     inter = F.size(F.array_intersect("wa", "wb"))
-    out = staged(both.filter((num + den) * inter >= num * (F.size("wa") + F.size("wb")))
-                 .select("lid").distinct(), "similar")
-    drop_staged(words)
-    return out
+    return staged(both.filter((num + den) * inter >= num * (F.size("wa") + F.size("wb")))
+                  .select("lid").distinct(), "similar")
 
 
 def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 4,
@@ -202,7 +211,9 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     close = ((num + den) * differ <= (den - num) * (n + F.col("other_n"))) \
         & (den * F.least(n, F.col("other_n")) >= num * F.greatest(n, F.col("other_n")))
     at_hub = staged(at_hub.filter(close).select("lid", "other").distinct(), "pairs")
-    settled = _similar(at_hub, classes, docs, id_col, text_col, num, den)
+    words = _word_sets(at_hub, classes, docs, id_col, text_col)
+    settled = _similar(at_hub, words, num, den)
+    drop_staged(words)
 
     marked = staged(prefixes.join(settled.withColumn("settled", F.lit(True)), "lid", "left")
                     .select("lid", "n", "sig", "sig2", "prefix", F.col("settled").isNotNull().alias("settled")), "prefixes")
@@ -213,11 +224,18 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # said of both sides, so that they stay one exchange
     is_open = F.when(F.col("b.lid") < F.col("a.lid"), F.col("a.ni") < F.lit(_SETTLED))
     rest = staged(a.join(b, (F.col("a.token") == F.col("b.token")) & is_open & _may_link("a", "b", num, den))
-                  .select(F.col("a.lid").alias("lid"), F.col("b.lid").alias("other")).distinct()
+                  .select(F.col("a.lid").alias("lid"), F.col("b.lid").alias("other"),
+                          _bits_apart("a", "b").alias("apart")).distinct()
                   .join(at_hub, ["lid", "other"], "left_anti"), "pairs")
-    drop_staged(marked)
+    drop_staged(marked, at_hub)
     sweep(docs.sparkSession)
-    late = settled.unionAll(_similar(rest, classes, docs, id_col, text_col, num, den)).distinct()
+    words = _word_sets(rest, classes, docs, id_col, text_col)
+    nearest = rest.groupBy("lid").agg(F.min_by("other", F.struct("apart", "other")).alias("other"))
+    by_nearest = _similar(nearest, words, num, den)
+    open_pairs = rest.select("lid", "other").join(by_nearest, "lid", "left_anti") \
+        .join(nearest, ["lid", "other"], "left_anti")
+    late = settled.unionAll(by_nearest).unionAll(_similar(open_pairs, words, num, den)).distinct()
+    drop_staged(words, rest)
     flagged = classes.join(late.withColumn("late", F.lit(True)), "lid", "left").select(
         "lh", "lc", F.struct(*_PLACE).alias("first"), F.coalesce("late", F.lit(False)).alias("late"))
     return places.join(flagged, ["lh", "lc"]).select(
