@@ -6,32 +6,20 @@ always do, so the join after it decides.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BITS = 1 << 26      # 8 MB
-MAX_LITERAL_BITS = 1 << 20
 
 
-def size_for(values: int, most: int = MAX_BITS) -> int:
-    """A power of two with about 32 bits for each value, up to ``most``."""
+def size_for(values: int) -> int:
+    """A power of two with about 32 bits for each value, up to ``MAX_BITS``."""
     n = 1 << 13
-    while n < most and n < 32 * values:
+    while n < MAX_BITS and n < 32 * values:
         n *= 2
     return n
 
 
-def literal_words(values: DataFrame, column: str, n_bits: int) -> Column:
-    """The bit array as a literal (subqueries cannot stand inside higher-order
-    functions); at most n_bits slots reach the driver."""
-    slots = values.filter(F.col(column).isNotNull()).select(
-        F.pmod(F.col(column), F.lit(n_bits).cast("long")).alias("slot")).distinct().toArrow()
-    flags = np.zeros(n_bits, np.uint8)
-    flags[slots.column(0).to_numpy()] = 1
-    return F.lit(np.packbits(flags, bitorder="little").view("<i8"))
-
-
 def bit_words(values: DataFrame, column: str, n_bits: int) -> Column:
     """The bit array of a column of longs (hashes), as a scalar."""
     slot = F.pmod(F.col(column), F.lit(n_bits).cast("long"))

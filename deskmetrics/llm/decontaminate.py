@@ -7,8 +7,9 @@ window's shingles, so any one of them is a necessary prefix, and the rarest is
 the best:
 
 1. One scan of the documents finds the places of shingles that occur in the
-   benchmark.  A bit array of fixed size lets others pass by chance only; each
-   place keeps the few words around it, so no text is read or moved again.
+   benchmark.  A bit array that grows with the benchmark (up to 8 MB, 32 bits
+   for each of 2 million shingles) lets others pass by chance only; each place
+   keeps the few words around it, so no text is read or moved again.
 2. A window's shingles are ordered by how often documents have them; the
    rarest is its prefix.  A window with a shingle that no document has is out.
 3. Places join windows on the prefix; the place and the shingle's offset give
@@ -72,15 +73,17 @@ def _places(docs: DataFrame, id_col: str, text_col: str, sizes: list[int], windo
                         words(text_col).alias("words")).withColumn("n_words", F.size("words"))
 
     def of_size(size: int) -> Column:
-        hashed = F.transform(_span(F.lit(1), F.col("n_words") - size + 1), lambda i: F.struct(
-            i.alias("pos"), F.xxhash64(F.slice("words", i, size)).alias("hash")))
-        found = F.filter(hashed, lambda x: bits.may_hold(held, x["hash"], n_bits))
-        begin = lambda x: F.greatest(F.lit(1), x["pos"] - (window - size))
-        return F.transform(found, lambda x: F.struct(
-            x["pos"].alias("pos"), x["hash"].alias("hash"), begin(x).alias("begin"),
-            F.slice("words", begin(x), x["pos"] + window - begin(x)).alias("around")))
+        return F.transform(_span(F.lit(1), F.col("n_words") - size + 1), lambda i: F.struct(
+            i.alias("pos"), F.lit(size).alias("size"), F.xxhash64(F.slice("words", i, size)).alias("hash")))
 
-    return split.select("id", "h", "n_words", F.concat(*[of_size(s) for s in sizes]).alias("places"))
+    # a subquery may not be written inside a higher-order function, but the optimiser moves it there from
+    # a column that is used once; so no row carries the bits
+    hashed = split.select("*", F.concat(*[of_size(s) for s in sizes]).alias("hashed"), held.alias("held"))
+    found = F.filter("hashed", lambda x: bits.may_hold(F.col("held"), x["hash"], n_bits))
+    begin = lambda x: F.greatest(F.lit(1), x["pos"] - (F.lit(window) - x["size"]))
+    return hashed.select("id", "h", "n_words", F.transform(found, lambda x: F.struct(
+        x["pos"].alias("pos"), x["hash"].alias("hash"), begin(x).alias("begin"),
+        F.slice("words", begin(x), x["pos"] + window - begin(x)).alias("around"))).alias("places"))
 
 
 def _covered(spans: Column) -> Column:
@@ -102,8 +105,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     shingles = staged(_shingles(windows, shingle), "shingles")
     found = shingles.agg(F.count("*").alias("n"), F.sort_array(F.collect_set("size")).alias("sizes")).first()
     sizes = found.sizes or [min(shingle, window)]      # at most ``shingle`` values
-    n_bits = bits.size_for(found.n, bits.MAX_LITERAL_BITS)
-    held = bits.literal_words(shingles, "hash", n_bits)
+    n_bits = bits.size_for(found.n)
+    held = bits.bit_words(shingles, "hash", n_bits)
     docs_places = staged(_places(docs, id_col, text_col, sizes, window, held, n_bits), "places")
     place = docs_places.select("id", "h", "n_words", F.explode("places").alias("p")).select("id", "h", "n_words", "p.*")
 

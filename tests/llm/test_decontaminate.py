@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from deskmetrics.llm import decontaminate, queries
+from deskmetrics.llm import bits, decontaminate, queries
 
 from . import brute
 from .conftest import SF
@@ -32,6 +32,18 @@ def test_no_python_on_the_main_path(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_bits_grow_with_the_benchmark_and_no_row_carries_them(spark):
+    assert bits.size_for(10) == 1 << 13 and bits.size_for(1_000_000) == 1 << 25 and bits.size_for(10**9) == bits.MAX_BITS
+    values = spark.range(200_000).select(F.xxhash64("id").alias("hash"))
+    held = bits.bit_words(values, "hash", bits.size_for(200_000))
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(3000)))], "doc_id long, text string")
+    places = decontaminate._places(docs, "doc_id", "text", [2, 5], 10, held, bits.size_for(200_000))
+    plan = places._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS held" not in plan and plan.split("\n")[0].count("scalar-subquery") == 1
+    found = places.select(F.size("places")).first()[0]
+    assert 0 < found < 6000 * 0.06        # by chance only: 200,000 of 2^23 bits are set
+
+
 def test_short_items_overlaps_and_frequent_words(spark):
     rnd = random.Random(2)
     word = lambda: rnd.choice("the of a in to x y z".split())
