@@ -4,8 +4,11 @@ Training is Baum-Welch: every partition runs the scaled forward-backward
 recursion over its sequences and emits expected counts; the counts are added
 up across partitions (as whole numbers of 1/4096, so the order of addition
 does not matter and a task that runs again adds the same) and the driver
-re-estimates the tables, whose size is fixed by the parameters.  Scoring is the exact likelihood of a
-whole text by the scaled forward recursion.
+re-estimates the tables, whose size is fixed by the parameters.  A long text is learned from in parts of
+``segment`` tokens, read with ``context`` tokens of its neighbours on both
+sides, so the recursions know the state at a cut; every token and every move
+is counted in one part, and only the begin of a text is a start.  Scoring is
+the exact likelihood of a whole text by the scaled forward recursion.
 
 Symbols.  The ``top_words`` most frequent training words and the end token
 emit themselves.  Any other word emits its suffix class (one of ``classes``),
@@ -44,7 +47,8 @@ class Settings:
     iterations: int = 4
     top_words: int = 32_000     # with classes + 1 below 65,536
     classes: int = 512
-    segment: int = 2048         # training sequences are cut at so many tokens
+    segment: int = 2048         # training counts a text in parts of so many tokens
+    context: int = 64           # tokens (at least 1) that a part reads on both sides
     prior: float = 5000.0       # tokens' worth of the unigram model in each state
     seed: int = 7
 
@@ -205,16 +209,23 @@ def forward_log10(model: Model, ids: np.ndarray, lengths: np.ndarray) -> np.ndar
     return result
 
 
-def expected_counts(model: Model, ids: np.ndarray, lengths: np.ndarray):
-    """Expected emissions (symbols x states), moves and starts of the sequences."""
+def expected_counts(model: Model, ids: np.ndarray, lengths: np.ndarray, own: np.ndarray | None = None):
+    """Expected emissions (symbols x states), moves and starts of the sequences.
+    ``own`` has the begin and end of what each sequence counts (default: all);
+    one that begins later than 0 is no text's begin, so no start."""
     k, side = len(model.start), _Side(lengths)
     emit, move = model.emit.astype(np.float32), model.move.astype(np.float32)
+    if own is None:
+        own = np.stack([np.zeros(len(lengths), int), lengths], 1)
+    begin, end = own[side.order].T
+    settled = np.full(k, 1 / k) @ np.linalg.matrix_power(model.move, 1024)
+    first = np.where((begin == 0)[:, None], model.start, settled).astype(np.float32)
     alpha = np.empty((len(ids), k), np.float32)
     scale = np.empty(len(ids), np.float32)
     state = None
     for t in range(side.steps):
         at = side.at(t)
-        prior = model.start.astype(np.float32) if t == 0 else state[:len(at)] @ move
+        prior = first if t == 0 else state[:len(at)] @ move
         state = prior * emit[ids[at]]
         total = state.sum(1)
         state /= total[:, None]
@@ -225,26 +236,51 @@ def expected_counts(model: Model, ids: np.ndarray, lengths: np.ndarray):
         at = side.at(t)
         now = np.ones((len(at), k), np.float32)
         if len(beta):
-            after = side.at(t + 1)
+            m, after = len(beta), side.at(t + 1)
             ahead = emit[ids[after]] * beta / scale[after][:, None]
-            moves += alpha[at[:len(after)]].T @ ahead
-            now[:len(after)] = ahead @ move.T
+            counted = (begin[:m] <= t + 1) & (t + 1 < end[:m])      # moves into the part's own tokens
+            moves += (alpha[at[:m]] * counted[:, None]).T @ ahead
+            now[:m] = ahead @ move.T
         beta = now
         alpha[at] *= beta                       # alpha becomes the state posterior
-    emits = np.stack([np.bincount(ids, alpha[:, j], len(emit)) for j in range(k)], 1)
-    return emits, moves * model.move, alpha[side.at(0)].sum(0, dtype=np.float64)
+    place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    mine = (place >= np.repeat(own[:, 0], lengths)) & (place < np.repeat(own[:, 1], lengths))
+    emits = np.stack([np.bincount(ids[mine], alpha[mine, j], len(emit)) for j in range(k)], 1)
+    return emits, moves * model.move, alpha[side.at(0)[begin == 0]].sum(0, dtype=np.float64)
 
 
-def _batches(batches: Iterator[pa.RecordBatch], segment: int | None):
-    """(rows, symbols, lengths) of about BATCH_TOKENS tokens."""
+def _parts(batches: Iterator[pa.RecordBatch], segment: int, context: int):
+    """(symbols, lengths, own) of parts of texts, about BATCH_TOKENS tokens at a time."""
+    ids, lengths, own, held = [], [], [], 0
+
+    def together():
+        return np.concatenate(ids).astype(np.int32), np.array(lengths), np.array(own)
+
+    for batch in batches:
+        for raw in batch.column("ids"):
+            s = np.frombuffer(raw.as_buffer(), "<u2")
+            for a in range(0, len(s), segment):
+                lo, hi = max(0, a - context), min(len(s), a + segment + context)
+                ids.append(s[lo:hi])
+                lengths.append(hi - lo)
+                own.append((a - lo, min(a + segment, len(s)) - lo))
+                held += hi - lo
+                if held >= BATCH_TOKENS:
+                    yield together()
+                    ids, lengths, own, held = [], [], [], 0
+    if ids:
+        yield together()
+
+
+def _batches(batches: Iterator[pa.RecordBatch]):
+    """(rows, symbols, lengths) of whole texts, about BATCH_TOKENS tokens at a time."""
     rows, ids, lengths, held = [], [], [], 0
     for batch in batches:
         for i, raw in enumerate(batch.column("ids")):
             s = np.frombuffer(raw.as_buffer(), "<u2")
             rows.append((batch, i))
             ids.append(s)
-            cut = segment or len(s)
-            lengths += [min(cut, len(s) - a) for a in range(0, len(s), cut)]
+            lengths.append(len(s))
             held += len(s)
             if held >= BATCH_TOKENS:
                 yield rows, np.concatenate(ids).astype(np.int32), np.array(lengths)
@@ -259,8 +295,8 @@ def _expect(model: Model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emits, moves, starts = 0.0, 0.0, 0.0
-        for _, ids, lengths in _batches(batches, model.settings.segment):
-            e, m, s = expected_counts(model, ids, lengths)
+        for ids, lengths, own in _parts(batches, model.settings.segment, model.settings.context):
+            e, m, s = expected_counts(model, ids, lengths, own)
             emits, moves, starts = emits + e, moves + m, starts + s
         if isinstance(emits, float):
             return
@@ -355,7 +391,7 @@ def _score(encoded: DataFrame, model: Model, kind: str) -> DataFrame:
     keep = ["row", "id", "held_out", "n_tokens", "n_top", "top_log"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, ids, lengths in _batches(batches, None):
+        for rows, ids, lengths in _batches(batches):
             chain = forward_log10(model, ids, lengths)
             paid = np.concatenate([[0.0], np.cumsum(cost[ids])])
             ends = np.cumsum(lengths)

@@ -5,6 +5,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from deskmetrics.llm import hmm, queries
@@ -43,6 +44,27 @@ def test_recursions_match_the_sum_over_all_paths(tiny):
         np.testing.assert_allclose(got, want, atol=1e-6)
 
 
+def test_parts_of_a_text_count_what_the_whole_counts(tiny):
+    """Every token, move and start once; with enough context almost the same expectations."""
+    m, _, _ = tiny
+    m.move = 0.7 * np.eye(3) + 0.3 * m.move
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 6, n).astype("<u2") for n in (1, 50, 99, 100, 101, 1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in texts], pa.binary())], ["ids"])
+    lengths = np.array([len(t) for t in texts])
+    whole = hmm.expected_counts(m, np.concatenate(texts).astype(np.int32), lengths)
+    gaps = {}
+    for context in (1, 30, 100):
+        (ids, sizes, own), = hmm._parts(iter([batch]), 50, context)
+        assert (own[:, 1] - own[:, 0]).sum() == lengths.sum() and (own[:, 0] == 0).sum() == len(texts)
+        parts = hmm.expected_counts(m, ids, sizes, own)
+        for got, total in zip(parts, (lengths.sum(), lengths.sum() - len(texts), len(texts))):
+            assert math.isclose(got.sum(), total, rel_tol=1e-5)
+        np.testing.assert_allclose(parts[0].sum(1), np.bincount(np.concatenate(texts), minlength=6), rtol=1e-5)
+        gaps[context] = max(np.abs(a - b).max() for a, b in zip(parts, whole))
+    assert gaps[30] < 1e-2 and gaps[30] < gaps[1]
+
+
 def test_base_columns_and_gain_over_the_base(spark, sf_texts):
     rows = queries.op1_hidden_markov(spark, SF).collect()
     tokens = {k: [*brute.words(brute.lower(t or "")), None] for k, t in sf_texts.items()}
