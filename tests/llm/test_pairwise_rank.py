@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 from deskmetrics.llm import features, pairwise_rank, queries
 
@@ -58,3 +59,22 @@ def test_edge_rows(edge_docs, edge_rows, clashing_docs, no_docs):
     assert pairwise_rank.learn(edge_docs, labels.filter("quality = 1")) is None
     assert {r.score for r in pairwise_rank.score(edge_docs, None).collect()} == {0.5}
     assert pairwise_rank.score(no_docs, ranking).collect() == []
+
+
+def test_learns_from_every_label(spark):
+    """More labels than the fit once took: the ranking is the one of all rows
+    in memory, and the cut has as many training scores below it as zeros."""
+    n = 21_000
+    text = lambda i: "word " * (1 + i % 3) + ("| " * (i % 4) if i % 5 < 2 else "End. ") + "x" * (i % 37)
+    docs = spark.createDataFrame([(i, text(i)) for i in range(n)], "doc_id long, text string")
+    label = [int(i % 5 >= 2 or i % 11 == 0) for i in range(n)]
+    labels = spark.createDataFrame(list(enumerate(label)), "doc_id long, quality int")
+    got = pairwise_rank.learn(docs, labels)
+    x, y = features.style(pa.array([text(i) for i in range(n)])), np.array(label)
+    want = pairwise_rank.fit(x, y, float(np.mean(y == 0)), pairwise_rank.CELLS, 1e-3)
+    np.testing.assert_allclose(got.mean, x.mean(0), atol=1e-9)
+    np.testing.assert_allclose(got.weights, want.weights, atol=1e-6)
+    assert abs(got.cut - want.cut) < 1e-6 and abs(got.spread - want.spread) < 1e-6
+    raw = np.sort(pairwise_rank._scaled(x, got.mean, got.scale) @ got.weights)
+    zeros = int(np.sum(y == 0))
+    assert raw[zeros - 1] - 1e-9 <= got.cut <= raw[zeros] + 1e-9
