@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from conftest import SMOKE_DIR, change, issue, raw_frames
 from deskmetrics.operators import keys, star
 from deskmetrics.plans import catalog, pipeline, stored
-from deskmetrics.session import scratch, workspace
+from deskmetrics.session import move, persisting, scratch, workspace
 from deskmetrics.sources import scan
 from deskmetrics.streaming import incremental_star as inc
 
@@ -97,6 +98,35 @@ def test_late_rows_move_tickets_and_names(spark, landing):
     assert held["fact"] == {0: 2, 1: 2, 2: 0} and held["tickets"] == {0: 1, 1: 2, 2: 0} and last == 2
 
 
+def test_an_epoch_exchanges_stored_rows_once(spark, landing, monkeypatch):
+    plans, write = {}, inc._write
+
+    def seen(rows, base, table, *args):
+        write(rows, base, table, *args)
+        # planned once more: the persisted rows are there now, so their layout is known
+        plans[table] = rows.select("*")._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(inc, "_write", seen)
+    for wave in (FIRST, SECOND):
+        land(*raw_frames(spark, *wave), landing)
+        base = run(spark, landing)
+    for table in inc.VERSIONED:
+        above, _, below = plans[table].partition("InMemoryRelation")
+        assert "Exchange" not in above and re.search(r"Exchange hashpartitioning\(slice#\w+, \d+\), REPARTITION_BY_NUM", below)
+    # a wave that is there already stays
+    inc.remove(spark, f"{base}/deltas")
+    move(spark, f"{landing}/issues", f"{base}/deltas/a")
+    move(spark, f"{landing}/changes", f"{base}/deltas/a")
+    assert not os.path.exists(local(f"{landing}/issues")) and os.path.exists(local(f"{landing}/changes"))
+
+
+def test_persisting_ends_with_its_block_also_on_errors(spark):
+    df = spark.range(3)
+    with pytest.raises(RuntimeError), persisting() as keep:
+        assert keep(df).is_cached and df.storageLevel.useMemory
+        raise RuntimeError("lost")
+    assert not df.storageLevel.useMemory
+
+
 def test_nothing_new_is_no_epoch(spark, landing):
     land(*raw_frames(spark, *FIRST), landing)
     base = run(spark, landing)
