@@ -7,24 +7,28 @@ stay.
 
 1. Equal lines become one class with its first place; every later place is
    removed without any comparison.
-2. Words are ordered by rarity: a count sketch over all words gives each word
-   a level (half powers of two), words of one level are ordered by hash.  The
-   sketch grows with the text, a slot for SLOT_BYTES bytes, up to MAX_SLOTS
-   (one byte each), so that a slot's noise stays a few words.  This is one
-   global order, whatever the sketch's errors.
+2. The lines are split once, and their distinct words kept as 64-bit hashes,
+   which stand for the words from here on.  Words are ordered by rarity: a
+   count sketch over the words of all lines gives each word a level (half
+   powers of two), words of one level are ordered by hash.  The sketch grows
+   with the text, a slot for SLOT_BYTES bytes, up to MAX_SLOTS (one byte
+   each), so that a slot's noise stays a few words.  This is one global order,
+   whatever the sketch's errors.
 3. A set of n words has the prefix of its n - ceil(t n) + 1 rarest words; two
    linked sets share a prefix word.  Classes that share one are compared if
    the sizes, the places of the word in both orders, and a parity signature
-   of 128 bits (every word flips one bit, so the bits that differ are at most
-   the words that differ) allow the threshold.
-4. Each class first meets the earliest class of its size range that shares
-   one of the HUB_WORDS most frequent words of both prefixes.  Those whose
-   similarity holds are settled.  The others look for all earlier classes
-   within the bounds, are compared with the one whose signature is nearest,
-   and only those that it does not settle with the rest, so a large group of
-   near copies costs few comparisons each.
-5. The words of the lines that are compared are read again by their first
-   place, and the Jaccard similarity is computed exactly.
+   of 64 bits, 128 for more than SHORT words (every word flips one bit, so the
+   bits that differ are at most the words that differ) allow the threshold.
+4. Each class first meets a class of the smallest document id of its size
+   range that shares one of the HUB_WORDS most frequent words of both
+   prefixes.  Those with a similar earlier line are settled.  The others look
+   for all classes within the bounds that may be earlier (by document id), are
+   compared with the one whose signature is nearest, and only those that it
+   does not settle with the rest, so a large group of near copies costs few
+   comparisons each.
+5. The lines that are compared are read again by their first place, and which
+   is earlier and the Jaccard similarity of their words are computed exactly.
+   Of the texts, only those with such a line are split again.
 
 Defined results: NULL and empty texts have no line with words; rows with the
 same id and text are one document and lose the same lines; a NULL id sorts
@@ -46,19 +50,15 @@ SLOT_BYTES = 256
 MIN_SLOTS, MAX_SLOTS = 1 << 12, 1 << 23
 LEVEL_SHIFT = 57
 HUB_WORDS = 3
+SHORT = 64      # lines of more words have a signature of 128 bits
 _PLACE = ("id", "h", "line_no")
 
 
-def _split(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, h, line_no, line) of every line, also of those without a word."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"),
-                       F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line"))
-
-
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, h, line_no, line) of every line with a word."""
-    return _split(docs, id_col, text_col).filter(F.col("line").rlike(SPACE_WORD))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"),
+                       F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line")).filter(F.col("line").rlike(SPACE_WORD))
 
 
 def _words(line: Column) -> Column:
@@ -68,166 +68,170 @@ def _words(line: Column) -> Column:
     return F.when(line.rlike(r"[\x09-\x0D]"), F.split(low, r"[\x20\x09-\x0D]", -1)).otherwise(F.split(low, " ", -1))
 
 
+def _word_hashes(line: Column) -> Column:
+    """The distinct words of a line as 64-bit hashes."""
+    return F.array_distinct(F.array_remove(F.transform(_words(line), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
+
+
 def slots_for(size: int) -> int:
     """A power of two with a slot for every SLOT_BYTES bytes of text, within the bounds."""
     return min(max(1 << (size // SLOT_BYTES).bit_length(), MIN_SLOTS), MAX_SLOTS)
 
 
-def _levels(docs: DataFrame, text_col: str, slots: int) -> Column:
-    """The rarity level of each slot (half powers of two of the words counted
+def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(place, lh, lc, hashes) of every line with a word: its distinct words'
+    hashes; equal lines have equal (lh, lc)."""
+    return _lines(docs, id_col, text_col).select(
+        *_PLACE, F.xxhash64("line").alias("lh"), F.crc32(F.col("line").cast("binary")).alias("lc"),
+        _word_hashes(F.col("line")).alias("hashes"))
+
+
+def _levels(hashed: DataFrame, slots: int) -> Column:
+    """The rarity level of each slot (half powers of two of the lines counted
     in it) as a scalar: an array of bytes, made from longs of eight levels."""
-    slot = F.pmod(F.xxhash64("word"), F.lit(slots)).cast("int")
-    # any counts give a global order: that a tab does not part words here only moves a few words in it
-    spaced = F.split(F.replace(ascii_lower(F.col(text_col)), F.lit("\n"), F.lit(" ")), " ", -1)
-    levels = (docs.select(F.explode(spaced).alias("word")).groupBy(slot.alias("slot"))
+    slot = F.col("word").bitwiseAND(F.lit(slots - 1).cast("long")).cast("int")
+    levels = (hashed.select(F.explode("hashes").alias("word")).groupBy(slot.alias("slot"))
               .agg(F.least(F.lit(62), F.floor(F.log2(F.count("*") + 1) * 2)).cast("long").alias("level")))
     eight = levels.groupBy(F.shiftright("slot", 3).cast("long").alias("at")).agg(F.sum(F.call_function(
         "shiftleft", F.col("level"), F.col("slot").bitwiseAND(7) * 8)).alias("packed"))
     # one row for eight slots, filled or not: as many rows as the size says
-    full = docs.sparkSession.range(slots // 8).withColumnRenamed("id", "at").join(eight, "at", "left")
+    full = hashed.sparkSession.range(slots // 8).withColumnRenamed("id", "at").join(eight, "at", "left")
     parts = F.array_sort(F.collect_list(F.struct("at", F.coalesce("packed", F.lit(0)).alias("packed"))))
     return full.agg(F.flatten(F.transform(parts, lambda x: F.array(*[
         F.shiftright(x["packed"], 8 * i).bitwiseAND(F.lit(127).cast("long")).cast("byte") for i in range(8)])))).scalar()
 
 
-def _described(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) -> DataFrame:
-    """(place, lh, lc, n, sig, prefix) of every line; equal lines have equal (lh, lc)."""
-    slots = slots_for(docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0)
-    line = F.col("line")
-    hashes = F.transform(F.array_distinct(F.array_remove(_words(line), "")), lambda w: F.xxhash64(w))
+def _described(hashed: DataFrame, slots: int, num: int, den: int) -> DataFrame:
+    """(place, lh, lc, n, sig, half, prefix) of every line; the prefix holds 31 bits
+    of each word's rank, which are enough to meet: a chance meeting is one
+    more comparison."""
     # a subquery may not be written inside a higher-order function, but the optimiser moves it there from
     # a column that is used once; so no row carries the levels
-    levelled = _lines(docs, id_col, text_col).select(
-        *_PLACE, line, hashes.alias("hashes"), _levels(docs, text_col, slots).alias("levels"))
+    levelled = hashed.withColumn("levels", _levels(hashed, slots))
 
     def rank(h: Column) -> Column:      # rare words first; the hash tells words apart
-        return F.shiftleft(F.get("levels", F.pmod(h, F.lit(slots)).cast("int")).cast("long"), LEVEL_SHIFT).bitwiseOR(
-            F.shiftrightunsigned(h, 64 - LEVEL_SHIFT))
-
-    ranked = levelled.select(*_PLACE, F.xxhash64("line").alias("lh"), F.crc32(line.cast("binary")).alias("lc"),
-                             F.sort_array(F.transform("hashes", rank)).alias("ranks"))
-    bit = lambda r, half: F.when(
-        F.shiftrightunsigned(r, 6).bitwiseAND(F.lit(1).cast("long")) == half,
-        F.call_function("shiftleft", F.lit(1).cast("long"), r.bitwiseAND(F.lit(63).cast("long")).cast("int"))
-    ).otherwise(F.lit(0).cast("long"))
-    parity = lambda half: F.aggregate("ranks", F.lit(0).cast("long"),
-                                      lambda a, r: a.bitwiseXOR(bit(r, half)))
-    n = F.size("ranks")
-    return ranked.select(
-        *_PLACE, "lh", "lc", n.alias("n"), parity(0).alias("sig"), parity(1).alias("sig2"),
-        F.slice("ranks", F.lit(1), (n - F.ceil(F.lit(num) * n / F.lit(den)) + 1).cast("int")).alias("prefix"))
+        return F.shiftleft(F.get("levels", h.bitwiseAND(F.lit(slots - 1).cast("long")).cast("int")).cast("long"),
+                           LEVEL_SHIFT).bitwiseOR(F.shiftrightunsigned(h, 64 - LEVEL_SHIFT))
+
+    ranked = levelled.select(*_PLACE, "lh", "lc", F.sort_array(F.transform("hashes", rank)).alias("ranks"))
+    none, n = F.lit(0).cast("long"), F.size("ranks")
+
+    def parity(ranks: Column) -> Column:
+        return F.aggregate(ranks, none, lambda a, r: a.bitwiseXOR(F.call_function(
+            "shiftleft", F.lit(1).cast("long"), r.bitwiseAND(F.lit(63).cast("long")).cast("int"))))
+    # the other half of 128 bits is the exclusive or of both
+    half = F.when(n > SHORT, parity(F.filter("ranks", lambda r: r.bitwiseAND(F.lit(64).cast("long")) != none)))
+    prefix = F.slice("ranks", F.lit(1), (n - F.ceil(F.lit(num) * n / F.lit(den)) + 1).cast("int"))
+    return ranked.select(*_PLACE, "lh", "lc", n.alias("n"), parity(F.col("ranks")).alias("sig"), half.alias("half"), F.transform(
+        prefix, lambda r: r.bitwiseAND(F.lit(0x7FFFFFFF).cast("long")).cast("int")).alias("prefix"))
 
 
 _SETTLED = 1 << 62      # in ni: the class needs no more comparisons
 
 
-def _tokens(prefixes: DataFrame) -> DataFrame:
-    """(token, lid, ni, sig, sig2): a row for each prefix word; ni packs the size,
-    the word's place in the order and whether the class is settled.  32 bits
-    of the word's rank are enough to meet: a chance meeting is one more
-    comparison."""
+def _tokens(classes: DataFrame) -> DataFrame:
+    """(token, lid, id, ni, sig, half): a row for each prefix word; ni packs the size,
+    the word's place in the order and whether the class is settled."""
     n = F.col("n").cast("long")
-    if "settled" in prefixes.columns:
+    if "settled" in classes.columns:
         n += F.col("settled").cast("long") * F.lit(_SETTLED >> 32)
-    return prefixes.select("lid", n.alias("n"), "sig", "sig2", F.posexplode("prefix").alias("i", "rank")).select(
-        F.xxhash64("rank").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("token"),
-        "lid", F.shiftleft("n", 32).bitwiseOR(F.col("i").cast("long")).alias("ni"), "sig", "sig2")
+    return classes.select("lid", "id", n.alias("n"), "sig", "half", F.posexplode("prefix").alias("i", "token")).select(
+        "token", "lid", "id", F.shiftleft("n", 32).bitwiseOR(F.col("i").cast("long")).alias("ni"), "sig", "half")
 
 
-def _bits_apart(a: str, b: str) -> Column:
-    """The signature bits in which two rows differ: at most their differing words."""
-    return sum(F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("sig", "sig2"))
+def _size(ni: Column) -> Column:
+    return F.shiftright(ni.bitwiseAND(F.lit(_SETTLED - 1)), 32)
 
 
-def _may_link(a: str, b: str, num: int, den: int) -> Column:
-    """The size, place and signature bounds between two rows of ``_tokens``, b before a."""
-    size = lambda s: F.shiftright(F.col(f"{s}.ni").bitwiseAND(F.lit(_SETTLED - 1)), 32)
-    place = lambda s: F.col(f"{s}.ni").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
-    na, nb = size(a), size(b)
-    differ = _bits_apart(a, b)
-    return ((F.col(f"{b}.lid") < F.col(f"{a}.lid"))
-            & ((num + den) * differ <= (den - num) * (na + nb))
-            & (den * F.least(na, nb) >= num * F.greatest(na, nb))
-            & ((num + den) * F.least(na - place(a), nb - place(b)) >= num * (na + nb)))
+def _bits_apart(sig: Column, half: Column, other_sig: Column, other_half: Column) -> Column:
+    """The signature bits in which two lines differ: at most their differing
+    words.  If one of them is short, it is those of 64 bits."""
+    whole, part = sig.bitwiseXOR(other_sig), half.bitwiseXOR(other_half)
+    return F.coalesce(F.bit_count(part) + F.bit_count(part.bitwiseXOR(whole)), F.bit_count(whole))
+
+
+def _may_link(na: Column, nb: Column, apart: Column, num: int, den: int) -> Column:
+    """The size and signature bounds; the bits ``apart`` are at most the words that differ."""
+    return ((num + den) * apart <= (den - num) * (na + nb)) & (den * F.least(na, nb) >= num * F.greatest(na, nb))
 
 
 def _word_sets(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(lid, words) of the classes in (lid, other) pairs, read by their first places."""
+    """(lid, place, words) of the classes in (lid, other) pairs, read by their first places."""
     ids = pairs.select("lid").unionAll(pairs.select(F.col("other").alias("lid"))).distinct()
-    wanted = staged(classes.join(ids, "lid").select("lid", *_PLACE), "wanted")
-    n_bits = bits.size_for(wanted.count())
-    key = F.xxhash64(*_PLACE)
-    held = bits.bit_words(wanted.select(key.alias("key")), "key", n_bits)
-    near = _split(docs, id_col, text_col).filter(bits.may_hold(held, key, n_bits)).alias("l")
+    wanted = staged(classes.select("lid", *_PLACE).join(ids, "lid"), "wanted")
+    # one array for the documents and the lines: a text without a wanted line is not split
+    n_bits = bits.size_for(2 * wanted.count())
+    of_doc, of_line = F.xxhash64("id", "h"), F.xxhash64(*_PLACE)
+    held = bits.bit_words(wanted.select(F.explode(F.array(of_doc, of_line)).alias("key")), "key", n_bits)
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    near = (texts.withColumn("h", F.xxhash64("text")).filter(bits.may_hold(held, of_doc, n_bits))
+            .select("id", "h", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+            .filter(bits.may_hold(held, of_line, n_bits)).alias("l"))
     w = wanted.alias("w")
     same = (F.col("l.id").eqNullSafe(F.col("w.id")) & (F.col("l.h") == F.col("w.h"))
             & (F.col("l.line_no") == F.col("w.line_no")))
     words = staged(near.join(w, same).select(
-        "lid", F.array_distinct(F.array_remove(_words(F.col("line")), "")).alias("words"))
+        "lid", F.struct(*[F.col(f"w.{c}") for c in _PLACE]).alias("place"),
+        _word_hashes(F.col("line")).alias("words"))
         .dropDuplicates(["lid"]), "words")
     drop_staged(wanted)
     return words
 
 
 def _similar(pairs: DataFrame, words: DataFrame, num: int, den: int) -> DataFrame:
-    """The classes ``lid`` of (lid, other) pairs whose exact similarity reaches the threshold."""
-    both = (pairs.join(words.withColumnRenamed("words", "wa"), "lid")
-            .join(words.select(F.col("lid").alias("other"), F.col("words").alias("wb")), "other"))
+    """The classes ``lid`` of (lid, other) pairs whose ``other`` is earlier and
+    whose exact similarity reaches the threshold."""
+    both = (pairs.join(words.select("lid", F.col("words").alias("wa"), F.col("place").alias("pa")), "lid")
+            .join(words.select(F.col("lid").alias("other"), F.col("words").alias("wb"), F.col("place").alias("pb")), "other"))
     inter = F.size(F.array_intersect("wa", "wb"))
-    return staged(both.filter((num + den) * inter >= num * (F.size("wa") + F.size("wb")))
+    return staged(both.filter((F.col("pb") < F.col("pa")) & ((num + den) * inter >= num * (F.size("wa") + F.size("wb"))))
                   .select("lid").distinct(), "similar")
 
 
-def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 4,
+def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 4,
                   den: int = 5) -> DataFrame:
-    """(id, h, line_no, removed) for every line with a word; ``h`` is xxhash64
-    of the text."""
-    described = staged(_described(docs, id_col, text_col, num, den), "lines")
-    # ids of classes ascend with their first places
+    """(id, h, line_no) of every removed line; ``h`` is xxhash64 of the text."""
+    slots = slots_for(docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0)
+    hashed = staged(_hashed(docs, id_col, text_col), "hashes", plain=True)
     classes = staged(
-        described.groupBy("lh", "lc").agg(F.min(F.struct(*_PLACE)).alias("place"))
-        .select("lh", "lc", "place.*").orderBy(*_PLACE).withColumn("lid", F.monotonically_increasing_id()), "classes")
-    d, c = described.alias("d"), classes.alias("c")
-    first = (F.col("d.lh") == F.col("c.lh")) & (F.col("d.lc") == F.col("c.lc")) \
-        & F.col("d.id").eqNullSafe(F.col("c.id")) & (F.col("d.h") == F.col("c.h")) \
-        & (F.col("d.line_no") == F.col("c.line_no"))
-    places = staged(described.select(*_PLACE, "lh", "lc"), "places")
-    prefixes = staged(d.join(c, first).select("lid", "n", "sig", "sig2", "prefix"), "prefixes")
-    drop_staged(described)
+        _described(hashed, slots, num, den).groupBy("lh", "lc")
+        .agg(F.min(F.struct(*_PLACE, "n", "sig", "half", "prefix")).alias("first")).select("lh", "lc", "first.*")
+        .withColumn("lid", F.monotonically_increasing_id()), "classes")
+    places = staged(hashed.select(*_PLACE, "lh", "lc"), "places")
+    drop_staged(hashed)
     sweep(docs.sparkSession)
 
     # step 4: the earliest class in each group of alike ones
     width = math.log(den / num) if num < den else 1.0
-    span = F.floor(F.log(F.shiftright("ni", 32)) / width).cast("int")
-    ends = prefixes.withColumn("prefix", F.slice(
+    span = F.floor(F.log(_size(F.col("ni"))) / width).cast("int")
+    ends = classes.withColumn("prefix", F.slice(
         "prefix", F.greatest(F.lit(1), F.size("prefix") - (HUB_WORDS - 1)), F.lit(HUB_WORDS)))
     grouped = _tokens(ends).withColumn("span", span)
-    hub = grouped.groupBy("token", "span").agg(F.min("lid").alias("other"))
-    at_hub = (grouped.join(hub, ["token", "span"]).filter("other < lid").select("lid", "other", "ni", "sig", "sig2").distinct()
-              .join(prefixes.select(F.col("lid").alias("other"), F.col("n").alias("other_n"),
-                                    F.col("sig").alias("other_sig"), F.col("sig2").alias("other_sig2")), "other"))
-    n = F.shiftright("ni", 32)
-    differ = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in ("sig", "sig2"))
-    close = ((num + den) * differ <= (den - num) * (n + F.col("other_n"))) \
-        & (den * F.least(n, F.col("other_n")) >= num * F.greatest(n, F.col("other_n")))
-    at_hub = staged(at_hub.filter(close).select("lid", "other").distinct(), "pairs")
+    # any choice is right, as the words decide; of rows with one id, all four take the same one
+    hub = grouped.groupBy("token", "span").agg(*[F.min_by(c, "id").alias(to) for c, to in (
+        ("lid", "other"), ("ni", "other_ni"), ("sig", "other_sig"), ("half", "other_half"))], F.count("*").alias("held")).filter("held > 1").drop("held")
+    apart = _bits_apart(*map(F.col, ("sig", "half", "other_sig", "other_half")))
+    at_hub = staged(grouped.join(hub, ["token", "span"]).filter("other != lid").filter(
+        _may_link(_size(F.col("ni")), _size(F.col("other_ni")), apart, num, den)).select("lid", "other").distinct(), "pairs")
     words = _word_sets(at_hub, classes, docs, id_col, text_col)
     settled = _similar(at_hub, words, num, den)
     drop_staged(words)
-
-    marked = staged(prefixes.join(settled.withColumn("settled", F.lit(True)), "lid", "left")
-                    .select("lid", "n", "sig", "sig2", "prefix", F.col("settled").isNotNull().alias("settled")), "prefixes")
-    drop_staged(prefixes)
     sweep(docs.sparkSession)
-    tokens = _tokens(marked)
+
+    tokens = _tokens(classes.select("lid", "id", "n", "sig", "half", "prefix").join(
+        settled.withColumn("settled", F.lit(True)), "lid", "left").withColumn("settled", F.col("settled").isNotNull()))
     a, b = tokens.alias("a"), tokens.alias("b")
-    # said of both sides, so that they stay one exchange
-    is_open = F.when(F.col("b.lid") < F.col("a.lid"), F.col("a.ni") < F.lit(_SETTLED))
-    rest = staged(a.join(b, (F.col("a.token") == F.col("b.token")) & is_open & _may_link("a", "b", num, den))
-                  .select(F.col("a.lid").alias("lid"), F.col("b.lid").alias("other"),
-                          _bits_apart("a", "b").alias("apart")).distinct()
+    place = lambda s: F.col(f"{s}.ni").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
+    na, nb = _size(F.col("a.ni")), _size(F.col("b.ni"))
+    apart = _bits_apart(*map(F.col, ("a.sig", "a.half", "b.sig", "b.half")))
+    # lines of one id meet both ways, their places decide; said of both sides, so that they stay one exchange
+    earlier = (F.col("b.id").isNull() | (F.col("b.id") <= F.col("a.id"))) & (F.col("a.lid") != F.col("b.lid"))
+    is_open = F.when(earlier, F.col("a.ni") < F.lit(_SETTLED))
+    left = (num + den) * F.least(na - place("a"), nb - place("b")) >= num * (na + nb)
+    rest = staged(a.join(b, (F.col("a.token") == F.col("b.token")) & is_open & left & _may_link(na, nb, apart, num, den))
+                  .select(F.col("a.lid").alias("lid"), F.col("b.lid").alias("other"), apart.alias("apart")).distinct()
                   .join(at_hub, ["lid", "other"], "left_anti"), "pairs")
-    drop_staged(marked, at_hub)
+    drop_staged(at_hub)
     sweep(docs.sparkSession)
     words = _word_sets(rest, classes, docs, id_col, text_col)
     nearest = rest.groupBy("lid").agg(F.min_by("other", F.struct("apart", "other")).alias("other"))
@@ -236,10 +240,10 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .join(nearest, ["lid", "other"], "left_anti")
     late = settled.unionAll(by_nearest).unionAll(_similar(open_pairs, words, num, den)).distinct()
     drop_staged(words, rest)
-    flagged = classes.join(late.withColumn("late", F.lit(True)), "lid", "left").select(
-        "lh", "lc", F.struct(*_PLACE).alias("first"), F.coalesce("late", F.lit(False)).alias("late"))
-    return places.join(flagged, ["lh", "lc"]).select(
-        *_PLACE, (F.col("late") | (F.struct(*_PLACE) != F.col("first"))).alias("removed"))
+    flagged = classes.select("lid", "lh", "lc", F.struct(*_PLACE).alias("first")).join(
+        late.withColumn("late", F.lit(True)), "lid", "left").drop("lid")
+    return places.join(flagged, ["lh", "lc"]).filter(
+        F.col("late").isNotNull() | (F.struct(*_PLACE) != F.col("first"))).select(*_PLACE)
 
 
 def by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 4,
@@ -247,22 +251,22 @@ def by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(``id_col``, text_hash, n_lines, n_removed, removed) for every row of
     ``docs``; ``removed`` lists line numbers, from 0."""
     # sets, as repeated rows give the same lines again
-    of_doc = line_verdicts(docs, id_col, text_col, num, den).groupBy("id", "h").agg(
-        F.size(F.collect_set("line_no")).alias("n_lines"), F.array_sort(F.collect_set(
-            F.when(F.col("removed"), F.col("line_no")))).alias("removed"))
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
+    of_doc = removed_lines(docs, id_col, text_col, num, den).groupBy("id", "h").agg(
+        F.array_sort(F.collect_set("line_no")).alias("removed"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    n_lines = F.size(F.filter(F.split(text, "\n", -1), lambda line: line.rlike(SPACE_WORD)))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), n_lines.cast("long").alias("n_lines"))
     same = rows["id"].eqNullSafe(of_doc["id"]) & (rows["h"] == of_doc["h"])
     return rows.join(of_doc, same, "left").select(
-        rows["id"].alias(id_col), rows["h"].alias("text_hash"),
-        F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
+        rows["id"].alias(id_col), rows["h"].alias("text_hash"), "n_lines",
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", num: int = 4, den: int = 5) -> DataFrame:
     """``docs`` without the removed lines; texts that keep all lines stay as they are."""
-    removed = (line_verdicts(docs, id_col, text_col, num, den).filter("removed").distinct()
-               .groupBy("id", "h").agg(F.collect_list("line_no").alias("gone")))
+    removed = removed_lines(docs, id_col, text_col, num, den).groupBy("id", "h").agg(
+        F.collect_set("line_no").alias("gone"))
     own, gone = docs[text_col], removed["gone"]
     same = docs[id_col].eqNullSafe(removed["id"]) & (F.xxhash64(F.coalesce(own, F.lit(""))) == removed["h"])
     lines = F.filter(F.split(own, "\n", -1), lambda line, i: ~F.array_contains(gone, i))

@@ -54,6 +54,35 @@ def test_near_copies_around_the_threshold(spark):
         assert got == dict(zip(range(60), verdicts(rows, num, den)))
 
 
+def test_long_lines_and_lines_of_one_document(spark):
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(160)]
+
+    def line():
+        words = base[:rnd.choice((60, 63, 64, 65, 70, 150, 160))]
+        for _ in range(rnd.randrange(0, len(words) // 7)):
+            words[rnd.randrange(len(words))] = f"r{rnd.randrange(400)}"
+        return " ".join(rnd.sample(words, len(words)))
+    rows = [(i, "\n".join(line() for _ in range(rnd.randrange(1, 9)))) for i in range(25)]
+    got = {r.doc_id: r.removed for r in line_dedup.by_document(
+        spark.createDataFrame([(str(i + 10), t) for i, t in rows], "doc_id string, text string")).collect()}
+    assert got == {str(i + 10): gone for (i, _), gone in zip(rows, verdicts(rows))}
+
+
+def test_texts_are_split_once_before_lines_are_compared(spark, monkeypatch):
+    steps, stage = {}, line_dedup.staged
+
+    def seen(df, what, **kwargs):
+        if "split(" in df._jdf.queryExecution().analyzed().toString():
+            steps[what] = steps.get(what, 0) + 1
+        return stage(df, what, **kwargs)
+    monkeypatch.setattr(line_dedup, "staged", seen)
+    docs = spark.createDataFrame([(1, "a b c\nd e"), (2, "c b a"), (3, "d e")], "doc_id long, text string")
+    assert {r.doc_id: r.removed for r in line_dedup.by_document(docs).collect()} == {1: [], 2: [0], 3: [0]}
+    # the words of all lines once, and those of the lines to compare at each of two comparisons
+    assert steps == {"hashes": 1, "words": 2}
+
+
 def test_edge_rows(edge_docs, edge_rows, clashing_docs, no_docs):
     rows = line_dedup.by_document(edge_docs).collect()
     assert len(rows) == len(edge_rows)
