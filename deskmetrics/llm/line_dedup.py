@@ -27,7 +27,7 @@ stay.
    does not settle with the rest, so a large group of near copies costs few
    comparisons each.
 5. The lines that are compared are read again by their first place, and which
-   is earlier and the Jaccard similarity of their words are computed exactly.
+   is earlier and the Jaccard similarity of their word hashes are computed exactly.
    Of the texts, only those with such a line are split again.
 
 Defined results: NULL and empty texts have no line with words; rows with the
