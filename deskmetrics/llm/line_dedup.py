@@ -22,7 +22,8 @@ stay.
 4. Each class first meets a class of the smallest document id of its size
    range that shares one of the HUB_WORDS most frequent words of both
    prefixes.  Those with a similar earlier line are settled.  The others look
-   for all classes within the bounds that may be earlier (by document id), are
+   for all classes within the bounds that may be earlier (by document id; a run
+   of shared prefix words is one meeting, at its first word), are
    compared with the one whose signature is nearest, and only those that it
    does not settle with the rest, so a large group of near copies costs few
    comparisons each.
@@ -54,23 +55,31 @@ SHORT = 64      # lines of more words have a signature of 128 bits
 _PLACE = ("id", "h", "line_no")
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, h, line_no, line) of every line with a word."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"),
-                       F.posexplode(F.split(text, "\n", -1)).alias("line_no", "line")).filter(F.col("line").rlike(SPACE_WORD))
+def _spaced(text: Column) -> Column:
+    """``text`` with spaces for the white space inside its lines, which is rarely anything else."""
+    return F.when(text.rlike(r"[\x09\x0B-\x0D]"), F.translate(text, "\t\x0b\f\r", "    ")).otherwise(text)
+
+
+def _split(text: Column) -> Column:
+    """The lines of a text that went through ``_spaced``."""
+    return F.split(text, "\n", -1)
 
 
-def _words(line: Column) -> Column:
-    """Lower-cased words, split at ASCII white space; there may be empty ones."""
-    low = ascii_lower(line)
-    # splitting at one space needs no expression; other white space is rare inside a line
-    return F.when(line.rlike(r"[\x09-\x0D]"), F.split(low, r"[\x20\x09-\x0D]", -1)).otherwise(F.split(low, " ", -1))
+def _has_word(line: Column) -> Column:
+    return F.trim(line) != ""
+
+
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, h, line_no, line) of every line with a word, spaced."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), F.posexplode(
+        _split(_spaced(text))).alias("line_no", "line")).filter(_has_word(F.col("line")))
 
 
 def _word_hashes(line: Column) -> Column:
-    """The distinct words of a line as 64-bit hashes."""
-    return F.array_distinct(F.array_remove(F.transform(_words(line), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
+    """The distinct lower-cased words of a spaced line as 64-bit hashes."""
+    return F.array_distinct(F.array_remove(F.transform(F.split(ascii_lower(line), " ", -1), lambda w: F.xxhash64(w)),
+                                           F.xxhash64(F.lit(""))))
 
 
 def slots_for(size: int) -> int:
@@ -113,7 +122,9 @@ def _described(hashed: DataFrame, slots: int, num: int, den: int) -> DataFrame:
         return F.shiftleft(F.get("levels", h.bitwiseAND(F.lit(slots - 1).cast("long")).cast("int")).cast("long"),
                            LEVEL_SHIFT).bitwiseOR(F.shiftrightunsigned(h, 64 - LEVEL_SHIFT))
 
-    ranked = levelled.select(*_PLACE, "lh", "lc", F.sort_array(F.transform("hashes", rank)).alias("ranks"))
+    # without nulls, longs are sorted as such
+    ranks = F.transform("hashes", lambda h: F.coalesce(rank(h), F.lit(0).cast("long")))
+    ranked = levelled.select(*_PLACE, "lh", "lc", F.sort_array(ranks).alias("ranks"))
     none, n = F.lit(0).cast("long"), F.size("ranks")
 
     def parity(ranks: Column) -> Column:
@@ -130,13 +141,15 @@ _SETTLED = 1 << 62      # in ni: the class needs no more comparisons
 
 
 def _tokens(classes: DataFrame) -> DataFrame:
-    """(token, lid, id, ni, sig, half): a row for each prefix word; ni packs the size,
-    the word's place in the order and whether the class is settled."""
+    """(token, before, lid, id, ni, sig, half): a row for each prefix word; before is
+    the prefix word before it (-1: none), ni packs the size, the word's place in
+    the order and whether the class is settled."""
     n = F.col("n").cast("long")
     if "settled" in classes.columns:
         n += F.col("settled").cast("long") * F.lit(_SETTLED >> 32)
-    return classes.select("lid", "id", n.alias("n"), "sig", "half", F.posexplode("prefix").alias("i", "token")).select(
-        "token", "lid", "id", F.shiftleft("n", 32).bitwiseOR(F.col("i").cast("long")).alias("ni"), "sig", "half")
+    return classes.select("lid", "id", n.alias("n"), "sig", "half", "prefix", F.posexplode("prefix").alias("i", "token")).select(
+        "token", F.coalesce(F.get("prefix", F.col("i") - 1), F.lit(-1)).alias("before"), "lid", "id",
+        F.shiftleft("n", 32).bitwiseOR(F.col("i").cast("long")).alias("ni"), "sig", "half")
 
 
 def _size(ni: Column) -> Column:
@@ -155,17 +168,43 @@ def _may_link(na: Column, nb: Column, apart: Column, num: int, den: int) -> Colu
     return ((num + den) * apart <= (den - num) * (na + nb)) & (den * F.least(na, nb) >= num * F.greatest(na, nb))
 
 
+def _meetings(tokens: DataFrame, num: int, den: int) -> DataFrame:
+    """(lid, other, apart): open classes and those that may be earlier and
+    similar, by the prefix words they share.  Two that share a word and the one
+    before it have met there, so a run of shared words is one meeting."""
+    a, b = tokens.alias("a"), tokens.alias("b")
+    place = lambda s: F.col(f"{s}.ni").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
+    na, nb = _size(F.col("a.ni")), _size(F.col("b.ni"))
+    apart = _bits_apart(*map(F.col, ("a.sig", "a.half", "b.sig", "b.half")))
+    # lines of one id meet both ways, their places decide; said of both sides, so that they stay one exchange
+    earlier = (F.col("b.id").isNull() | (F.col("b.id") <= F.col("a.id"))) & (F.col("a.lid") != F.col("b.lid"))
+    is_open = F.when(earlier, F.col("a.ni") < F.lit(_SETTLED))
+    met = (F.col("a.before") == F.col("b.before")) & (F.col("a.before") >= 0)
+    left = (num + den) * F.least(na - place("a"), nb - place("b")) >= num * (na + nb)
+    return a.join(b, (F.col("a.token") == F.col("b.token")) & is_open & left & ~met
+                  & _may_link(na, nb, apart, num, den)) \
+        .select(F.col("a.lid").alias("lid"), F.col("b.lid").alias("other"), apart.alias("apart"))
+
+
+def _among(classes: DataFrame, lids: DataFrame) -> tuple[Column, int]:
+    """Whether a class may be one of ``lids``, as a column, and how many there are."""
+    count = lids.count()
+    n_bits, key = bits.size_for(count), F.xxhash64("lid")
+    return bits.may_hold(bits.bit_words(lids.select(key.alias("key")), "key", n_bits), key, n_bits), count
+
+
 def _word_sets(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(lid, place, words) of the classes in (lid, other) pairs, read by their first places."""
-    ids = pairs.select("lid").unionAll(pairs.select(F.col("other").alias("lid"))).distinct()
-    wanted = staged(classes.select("lid", *_PLACE).join(ids, "lid"), "wanted")
+    ids = staged(pairs.select("lid").unionAll(pairs.select(F.col("other").alias("lid"))).distinct(), "ids")
+    among, count = _among(classes, ids)
+    wanted = staged(classes.select("lid", *_PLACE).filter(among).join(ids, "lid"), "wanted")
     # one array for the documents and the lines: a text without a wanted line is not split
-    n_bits = bits.size_for(2 * wanted.count())
+    n_bits = bits.size_for(2 * count)
     of_doc, of_line = F.xxhash64("id", "h"), F.xxhash64(*_PLACE)
     held = bits.bit_words(wanted.select(F.explode(F.array(of_doc, of_line)).alias("key")), "key", n_bits)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     near = (texts.withColumn("h", F.xxhash64("text")).filter(bits.may_hold(held, of_doc, n_bits))
-            .select("id", "h", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+            .select("id", "h", F.posexplode(_split(_spaced(F.col("text")))).alias("line_no", "line"))
             .filter(bits.may_hold(held, of_line, n_bits)).alias("l"))
     w = wanted.alias("w")
     same = (F.col("l.id").eqNullSafe(F.col("w.id")) & (F.col("l.h") == F.col("w.h"))
@@ -174,7 +213,7 @@ def _word_sets(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: st
         "lid", F.struct(*[F.col(f"w.{c}") for c in _PLACE]).alias("place"),
         _word_hashes(F.col("line")).alias("words"))
         .dropDuplicates(["lid"]), "words")
-    drop_staged(wanted)
+    drop_staged(ids, wanted)
     return words
 
 
@@ -218,18 +257,12 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     drop_staged(words)
     sweep(docs.sparkSession)
 
-    tokens = _tokens(classes.select("lid", "id", "n", "sig", "half", "prefix").join(
-        settled.withColumn("settled", F.lit(True)), "lid", "left").withColumn("settled", F.col("settled").isNotNull()))
-    a, b = tokens.alias("a"), tokens.alias("b")
-    place = lambda s: F.col(f"{s}.ni").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
-    na, nb = _size(F.col("a.ni")), _size(F.col("b.ni"))
-    apart = _bits_apart(*map(F.col, ("a.sig", "a.half", "b.sig", "b.half")))
-    # lines of one id meet both ways, their places decide; said of both sides, so that they stay one exchange
-    earlier = (F.col("b.id").isNull() | (F.col("b.id") <= F.col("a.id"))) & (F.col("a.lid") != F.col("b.lid"))
-    is_open = F.when(earlier, F.col("a.ni") < F.lit(_SETTLED))
-    left = (num + den) * F.least(na - place("a"), nb - place("b")) >= num * (na + nb)
-    rest = staged(a.join(b, (F.col("a.token") == F.col("b.token")) & is_open & left & _may_link(na, nb, apart, num, den))
-                  .select(F.col("a.lid").alias("lid"), F.col("b.lid").alias("other"), apart.alias("apart")).distinct()
+    # only the few that may be settled are joined with those that are
+    among, _ = _among(classes, settled)
+    own = classes.select("lid", "id", "n", "sig", "half", "prefix")
+    marked = own.filter(among).join(settled.withColumn("settled", F.lit(True)), "lid", "left") \
+        .withColumn("settled", F.col("settled").isNotNull()).unionByName(own.filter(~among).withColumn("settled", F.lit(False)))
+    rest = staged(_meetings(_tokens(marked), num, den).distinct()
                   .join(at_hub, ["lid", "other"], "left_anti"), "pairs")
     drop_staged(at_hub)
     sweep(docs.sparkSession)

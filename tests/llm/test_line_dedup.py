@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from deskmetrics.llm import line_dedup, queries
 
 from . import brute
@@ -83,6 +85,22 @@ def test_texts_are_split_once_before_lines_are_compared(spark, monkeypatch):
     assert steps == {"hashes": 1, "words": 2}
 
 
+def test_a_run_of_shared_words_is_one_meeting(spark):
+    rows = [(1, 10, 9, 0, [7, 3, 5, 4]), (2, 20, 9, 0, [7, 3, 5, 4]), (3, 30, 9, 0, [8, 3, 5, 6])]
+    classes = spark.createDataFrame(rows, "lid long, id long, n int, sig long, prefix array<int>") \
+        .withColumn("half", F.lit(None).cast("long"))
+    # the first two share four words in a row; the third shares two with each, after another word
+    met = sorted((r.lid, r.other) for r in line_dedup._meetings(line_dedup._tokens(classes), 1, 2).collect())
+    assert met == [(2, 1), (3, 1), (3, 2)]
+
+
+def test_white_space_inside_lines(spark):
+    docs = spark.createDataFrame([(1, "a\tb\x0bc d\n \t\n\x0c"), (2, "\rD  C b\fA\n\u00c4 \u00a0"), (3, "\u00e4 \u00a0\n\u00c4\t\u00a0 ")],
+                                 "doc_id long, text string")
+    got = {r.doc_id: (r.n_lines, r.removed) for r in line_dedup.by_document(docs).collect()}
+    assert got == {1: (1, []), 2: (2, [0]), 3: (2, [1])}
+
+
 def test_edge_rows(edge_docs, edge_rows, clashing_docs, no_docs):
     rows = line_dedup.by_document(edge_docs).collect()
     assert len(rows) == len(edge_rows)
