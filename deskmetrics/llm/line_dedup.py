@@ -20,8 +20,8 @@ stay.
    of 64 bits, 128 for more than SHORT words (every word flips one bit, so the
    bits that differ are at most the words that differ) allow the threshold.
 4. Each class first meets a class of the smallest document id of its size
-   range that shares one of the HUB_WORDS most frequent words of both
-   prefixes.  Those with a similar earlier line are settled.  The others look
+   range that shares one of three words of both prefixes: the least and the
+   greatest by hash, and the most frequent.  Those with a similar earlier line are settled.  The others look
    for all classes within the bounds that may be earlier (by document id; a run
    of shared prefix words is one meeting, at its first word), are
    compared with the one whose signature is nearest, and only those that it
@@ -50,7 +50,6 @@ from .common import SPACE_WORD, ascii_lower, drop_staged, every, staged, sweep
 SLOT_BYTES = 256
 MIN_SLOTS, MAX_SLOTS = 1 << 12, 1 << 23
 LEVEL_SHIFT = 57
-HUB_WORDS = 3
 SHORT = 64      # lines of more words have a signature of 128 bits
 _PLACE = ("id", "h", "line_no")
 
@@ -243,8 +242,9 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # step 4: the earliest class in each group of alike ones
     width = math.log(den / num) if num < den else 1.0
     span = F.floor(F.log(_size(F.col("ni"))) / width).cast("int")
-    ends = classes.withColumn("prefix", F.slice(
-        "prefix", F.greatest(F.lit(1), F.size("prefix") - (HUB_WORDS - 1)), F.lit(HUB_WORDS)))
+    # least and greatest by hash: near copies choose alike, whatever differs before them in the order
+    ends = classes.withColumn("prefix", F.array_distinct(F.array(
+        F.array_min("prefix"), F.array_max("prefix"), F.element_at("prefix", -1))))
     grouped = _tokens(ends).withColumn("span", span)
     # any choice is right, as the words decide; of rows with one id, all four take the same one
     hub = grouped.groupBy("token", "span").agg(*[F.min_by(c, "id").alias(to) for c, to in (
