@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from conftest import SMOKE_DIR, change, issue, raw_frames
 from deskmetrics.operators import keys, star
 from deskmetrics.plans import catalog, pipeline, stored
-from deskmetrics.session import move, persisting, scratch, workspace
+from deskmetrics.session import move, persisting, scratch, settings, workspace
 from deskmetrics.sources import scan
 from deskmetrics.streaming import incremental_star as inc
 
@@ -119,6 +119,44 @@ def test_an_epoch_exchanges_stored_rows_once(spark, landing, monkeypatch):
     assert not os.path.exists(local(f"{landing}/issues")) and os.path.exists(local(f"{landing}/changes"))
 
 
+def test_an_epoch_sorts_its_rows_once(spark, landing, monkeypatch):
+    plans, write = {}, inc._write
+
+    def seen(rows, base, table, *args):
+        write(rows, base, table, *args)
+        plans[table] = rows.select("*")._jdf.queryExecution().executedPlan().toString(), rows.columns
+    monkeypatch.setattr(inc, "_write", seen)
+    for wave in (FIRST, SECOND):
+        land(*raw_frames(spark, *wave), landing)
+        run(spark, landing)
+    for table in ("tickets", "latest"):
+        above, _, below = plans[table][0].partition("InMemoryRelation")
+        assert not re.search(r"\bSort \[", above) and re.search(r"\bSort \[slice", below)
+    assert "struct<" not in plans["fact"][0].partition("InMemoryRelation")[2][:200] and tuple(plans["fact"][1]) == inc.FACT
+
+
+def test_waves_leave_no_replaced_versions(spark, monkeypatch):
+    swept = []
+    monkeypatch.setattr(catalog, "sweep", swept.append)
+    monkeypatch.setattr(stored, "state_of", lambda *args: "vacuumed")
+    base = catalog.incremental_base(spark, SMOKE_DIR)
+    held, last = inc.versions(spark, base)
+    assert last == catalog.WAVES - 1 and len(swept) == 2 + catalog.WAVES
+    for table in inc.VERSIONED:
+        there = {(int(e[6:]), int(b[7:])) for e in os.listdir(local(f"{base}/{table}")) if e.startswith("epoch=")
+                 for b in os.listdir(local(f"{base}/{table}/{e}")) if b.startswith("bucket=")}
+        assert there == {(e, b) for b, e in held[table].items()}
+
+
+def test_settings_end_with_their_block_also_on_errors(spark):
+    known, other = "spark.sql.maxConcurrentOutputFileWriters", "spark.deskmetrics.other"
+    before = spark.conf.get(known, None)
+    with pytest.raises(RuntimeError), settings(spark, {known: "7", other: "x"}):
+        assert spark.conf.get(known) == "7" and spark.conf.get(other) == "x"
+        raise RuntimeError("lost")
+    assert spark.conf.get(known, None) == before and spark.conf.get(other, None) is None
+
+
 def test_persisting_ends_with_its_block_also_on_errors(spark):
     df = spark.range(3)
     with pytest.raises(RuntimeError), persisting() as keep:
